@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadscope.operators import profiles
+from leadscope.operators import matching, profiles, share
 from leadscope.plans import fixtures as fx
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -25,9 +25,25 @@ def merchant_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.merchant_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir))
 
 
+def non_name_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return share.non_name_share(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), fx.location(spark, sf_dir),
+                                since="2024-01-10")
+
+
+def name_match_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.name_match_flags(fx.activity(spark, sf_dir), fx.account(spark, sf_dir))
+
+
+def edit_distance_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.edit_distance_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir))
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
+    "non_name_share": non_name_share,
+    "name_match_flags": name_match_flags,
+    "edit_distance_profile": edit_distance_profile,
 }
 
 FLAGSHIP = "heading_directory_profile"

@@ -174,8 +174,49 @@ SELECT account_key, account_id, account_name,
   {big("count_if(upper(term) = 'NONE')")} AS queries_none
 FROM normalised GROUP BY account_key, account_id, account_name"""
 
+NON_NAME_SHARE = with_views(ACTIVITY, ACCOUNT, LOCATION) + r""",
+base AS (
+  SELECT a.account_key, c.account_id, c.account_name, l.location_city, l.location_zip_code, a.keywords
+  FROM activity a JOIN account c ON c.account_key = a.account_key
+       JOIN location l ON c.location_key = l.location_key
+  WHERE CAST(a.activity_ts AS DATE) > DATE '2024-01-10'),
+t_all AS (
+  SELECT account_key, min(account_id) AS account_id, min(account_name) AS account_name,
+         min(location_city) AS location_city, min(location_zip_code) AS location_zip_code, count(*) AS total_count
+  FROM base GROUP BY account_key),
+t_diff AS (
+  SELECT account_key, count(*) AS per_category_count FROM base
+  WHERE upper(replace(replace(keywords, '-', ''), ' ', '')) <> upper(replace(replace(account_name, chr(39), ''), ' ', ''))
+  GROUP BY account_key)
+SELECT t_all.account_key, account_id, account_name, location_city, location_zip_code,
+  CAST(total_count AS BIGINT) AS total_count, CAST(per_category_count AS BIGINT) AS per_category_count,
+  CAST(per_category_count AS DOUBLE) / CAST(total_count AS DOUBLE) AS category_proportion
+FROM t_all LEFT JOIN t_diff ON t_all.account_key = t_diff.account_key"""
+
+NAME_MATCH_FLAGS = with_views(ACTIVITY, ACCOUNT) + f""",
+pairs AS (
+  SELECT DISTINCT {clean('a.keywords')} AS term, {clean('c.account_name')} AS name
+  FROM activity a JOIN account c ON a.account_key = c.account_key),
+nm AS (SELECT term, name, {norm_term('term')} AS t, {norm_name('name')} AS n FROM pairs)
+SELECT term, name, t, n,
+  coalesce(contains(n, t), false) AS by_contains,
+  coalesce(length(t) >= 10 AND contains(n, left(t, length(t) // 2)), false) AS by_half_prefix,
+  coalesce(levenshtein(t, n) <= length(t) // 3, false) AS by_edit_distance,
+  {match('t', 'n')} AS matched
+FROM nm"""
+
+EDIT_DISTANCE_PROFILE = with_views(ACTIVITY, ACCOUNT) + f""",
+pairs AS (
+  SELECT DISTINCT a.account_key, {norm_term(clean('a.keywords'))} AS t, {norm_name(clean('c.account_name'))} AS n
+  FROM activity a JOIN account c ON a.account_key = c.account_key)
+SELECT account_key, CAST(levenshtein(t, n) AS INTEGER) AS edit_distance, {big('count(*)')} AS pairs
+FROM pairs GROUP BY 1, 2"""
+
 
 ORACLES: dict[str, str] = {
     "heading_directory_profile": HEADING_DIRECTORY_PROFILE,
     "merchant_profile": MERCHANT_PROFILE,
+    "non_name_share": NON_NAME_SHARE,
+    "name_match_flags": NAME_MATCH_FLAGS,
+    "edit_distance_profile": EDIT_DISTANCE_PROFILE,
 }
