@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadscope.operators import matching, profiles, share
+from leadscope.operators import matching, profiles, share, totals
 from leadscope.plans import fixtures as fx
+from leadscope.sources import exports
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -38,12 +39,44 @@ def edit_distance_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.edit_distance_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir))
 
 
+def activity_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.good(exports.parse_activity_lines(fx.activity_lines(spark, sf_dir)))
+
+
+def activity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.rejects(exports.parse_activity_lines(fx.activity_lines(spark, sf_dir)), "event_id")
+
+
+def account_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.good(exports.parse_account_lines(fx.account_lines(spark, sf_dir)))
+
+
+def account_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.rejects(exports.parse_account_lines(fx.account_lines(spark, sf_dir)), "record_id")
+
+
+def monthly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extract = exports.good(exports.parse_extract_lines(fx.extract_lines(spark, sf_dir)))
+    return totals.monthly_totals(extract, fx.account(spark, sf_dir))
+
+
+def activity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """0.1 % sample without replacement, seed 1 (rows-only check)."""
+    return fx.activity(spark, sf_dir).sample(withReplacement=False, fraction=0.001, seed=1)
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
     "non_name_share": non_name_share,
     "name_match_flags": name_match_flags,
     "edit_distance_profile": edit_distance_profile,
+    "activity_ingest": activity_ingest,
+    "activity_rejects": activity_rejects,
+    "account_ingest": account_ingest,
+    "account_rejects": account_rejects,
+    "monthly_totals": monthly_totals,
+    "activity_sample": activity_sample,
 }
 
 FLAGSHIP = "heading_directory_profile"

@@ -220,3 +220,78 @@ ORACLES: dict[str, str] = {
     "name_match_flags": NAME_MATCH_FLAGS,
     "edit_distance_profile": EDIT_DISTANCE_PROFILE,
 }
+
+
+# ---------------------------------------------------------------- ingest oracles
+
+def java_trim(x: str) -> str:
+    return rf"""regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"""
+
+
+ACTIVITY_FIELDS = with_views(ACTIVITY, ACTIVITY_LINES) + f""",
+parsed AS (SELECT event_id, string_split(line, ',') AS p FROM activity_lines),
+f AS (
+  SELECT event_id, len(p) AS n_fields,
+    TRY_CAST({clean('p[3]')} AS BIGINT) AS account_key, {clean('p[4]')} AS date_text,
+    TRY_CAST({clean('p[5]')} AS BIGINT) AS heading_id, TRY_CAST({clean('p[6]')} AS BIGINT) AS directory_id,
+    TRY_CAST({clean('p[8]')} AS BIGINT) AS referer_id,
+    coalesce(TRY_CAST({clean('p[13]')} AS DOUBLE), CAST(0 AS DOUBLE)) AS impression_weight,
+    coalesce(TRY_CAST({clean('p[14]')} AS DOUBLE), CAST(0 AS DOUBLE)) AS click_weight,
+    TRY_CAST({clean('p[16]')} AS BIGINT) AS mobile_number, {clean('p[18]')} AS keywords
+  FROM parsed),
+tagged AS (
+  SELECT *, CASE WHEN n_fields < 18 THEN 'short_row'
+                 WHEN account_key IS NULL OR heading_id IS NULL OR directory_id IS NULL OR referer_id IS NULL
+                      OR mobile_number IS NULL THEN 'bad_number' END AS reason
+  FROM f)"""
+
+ACTIVITY_INGEST = ACTIVITY_FIELDS + """
+SELECT event_id, account_key, keywords, date_text, heading_id, directory_id, referer_id,
+       impression_weight, click_weight, mobile_number = 1 AS is_mobile
+FROM tagged WHERE reason IS NULL"""
+
+ACTIVITY_REJECTS = ACTIVITY_FIELDS + """
+SELECT event_id, reason FROM tagged WHERE reason IS NOT NULL"""
+
+ACCOUNT_FIELDS = with_views(ACCOUNT_LINES) + f""",
+parsed AS (SELECT record_id, string_split(line, ';') AS p FROM account_lines),
+f AS (
+  SELECT record_id, len(p) AS n_fields, TRY_CAST({clean('p[1]')} AS BIGINT) AS account_key,
+         p[3] AS account_id, p[4] AS account_name, replace(upper({java_trim('p[5]')}), '"', '') AS vertical
+  FROM parsed),
+tagged AS (
+  SELECT *, CASE WHEN n_fields < 5 THEN 'short_row' WHEN account_key IS NULL THEN 'bad_number'
+                 WHEN vertical NOT IN ('MERCHANT', '', 'CLIENT') THEN 'other_vertical' END AS reason
+  FROM f)"""
+
+ACCOUNT_INGEST = ACCOUNT_FIELDS + """
+SELECT record_id, account_key, account_id, account_name, vertical FROM tagged WHERE reason IS NULL"""
+
+ACCOUNT_REJECTS = ACCOUNT_FIELDS + """
+SELECT record_id, reason FROM tagged WHERE reason IS NOT NULL"""
+
+
+def _amount(x: str) -> str:
+    return f"coalesce(TRY_CAST(TRY_CAST({x} AS DOUBLE) AS DECIMAL(38,9)), CAST(0 AS DECIMAL(38,9)))"
+
+
+MONTHLY_TOTALS = with_views(ACTIVITY, ACCOUNT, EXTRACT_LINES) + f""",
+parsed AS (SELECT string_split(line, ';') AS p FROM extract_lines),
+f AS (
+  SELECT len(p) AS n_fields, TRY_CAST({clean('p[1]')} AS BIGINT) AS account_key,
+         TRY_CAST({clean('p[6]')} AS BIGINT) AS directory_id, {clean('p[13]')} AS impressions, {clean('p[14]')} AS clicks
+  FROM parsed)
+SELECT c.account_id, f.account_key, f.directory_id,
+  CAST(floor(sum({_amount('f.impressions')}) + 0.5) AS BIGINT) AS impressions,
+  CAST(floor(sum({_amount('f.clicks')}) + 0.5) AS BIGINT) AS clicks
+FROM f JOIN account c ON c.account_key = f.account_key
+WHERE f.n_fields >= 14 AND f.account_key IS NOT NULL AND f.directory_id IS NOT NULL
+GROUP BY 1, 2, 3"""
+
+ORACLES.update({
+    "activity_ingest": ACTIVITY_INGEST,
+    "activity_rejects": ACTIVITY_REJECTS,
+    "account_ingest": ACCOUNT_INGEST,
+    "account_rejects": ACCOUNT_REJECTS,
+    "monthly_totals": MONTHLY_TOTALS,
+})
