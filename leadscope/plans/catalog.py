@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leadscope.operators import matching, profiles, share, totals
 from leadscope.plans import fixtures as fx
-from leadscope.sources import exports
+from leadscope.session import shared_path
+from leadscope.sources import dataset, exports
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +66,24 @@ def activity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.activity(spark, sf_dir).sample(withReplacement=False, fraction=0.001, seed=1)
 
 
+def _exported_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export the activity (full and 0.1 % sample snapshots) as the partitioned dataset
+    below the shared checkpoint folder and read it back."""
+    path = dataset.export_activity(fx.activity(spark, sf_dir), shared_path(spark, "activity"))
+    return dataset.read_activity_dataset(spark, path)
+
+
+def activity_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ds = _exported_activity(spark, sf_dir)
+    return dataset.rows_per_day(dataset.day_range(ds, "2024-01-01", "2024-01-31", channels=dataset.CHANNELS))
+
+
+def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ds = _exported_activity(spark, sf_dir)
+    present = dataset.day_range(ds, "2024-01-01", "2024-01-31")
+    return dataset.missing_days(present, dataset.expected_days(spark, "2024-01-01", "2024-01-31"))
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
@@ -77,6 +96,8 @@ JOBS: dict[str, Job] = {
     "account_rejects": account_rejects,
     "monthly_totals": monthly_totals,
     "activity_sample": activity_sample,
+    "activity_day_range": activity_day_range,
+    "missing_days": missing_days,
 }
 
 FLAGSHIP = "heading_directory_profile"

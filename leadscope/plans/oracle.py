@@ -295,3 +295,26 @@ ORACLES.update({
     "account_rejects": ACCOUNT_REJECTS,
     "monthly_totals": MONTHLY_TOTALS,
 })
+
+
+# ---------------------------------------------------------------- partitioned dataset oracles
+
+CHANNEL_SQL = "CASE WHEN is_mobile THEN 'mobile' ELSE 'online' END"
+
+ACTIVITY_DAY_RANGE = with_views(ACTIVITY) + f"""
+SELECT activity_date, {CHANNEL_SQL} AS channel, {big('count(*)')} AS n
+FROM activity
+WHERE activity_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+GROUP BY 1, 2"""
+
+MISSING_DAYS = with_views(ACTIVITY) + f""",
+calendar AS (
+  SELECT CAST(d AS DATE) AS activity_date, ch AS channel
+  FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY) AS r(d), (VALUES ('online'), ('mobile')) AS c(ch))
+SELECT activity_date, channel FROM calendar k
+WHERE NOT EXISTS (SELECT 1 FROM activity a WHERE a.activity_date = k.activity_date AND {CHANNEL_SQL} = k.channel)"""
+
+ORACLES.update({
+    "activity_day_range": ACTIVITY_DAY_RANGE,
+    "missing_days": MISSING_DAYS,
+})
