@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadscope.operators import matching, profiles, share, totals
+from leadscope.operators import leads, matching, profiles, share, totals
 from leadscope.plans import fixtures as fx
 from leadscope.session import shared_path
 from leadscope.sources import dataset, exports
@@ -84,6 +84,48 @@ def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.missing_days(present, dataset.expected_days(spark, "2024-01-01", "2024-01-31"))
 
 
+# Day ranges of the lead check: the online fixture covers January 2024, the phone one 1995-2001.
+ONLINE_RANGE = ("2024-01-05", "2024-01-20")
+PHONE_RANGE = ("1996-01-01", "1996-12-31")
+
+
+def child_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.child_accounts(fx.account_bridge(spark, sf_dir))
+
+
+def online_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.online_leads(fx.activity(spark, sf_dir), fx.click_type(spark), fx.account_bridge(spark, sf_dir),
+                              *ONLINE_RANGE)
+
+
+def phone_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.phone_leads(fx.phone_lead(spark, sf_dir), fx.account_bridge(spark, sf_dir), *PHONE_RANGE)
+
+
+def online_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.online_report(fx.online_report(spark, sf_dir), fx.account_bridge(spark, sf_dir), *ONLINE_RANGE)
+
+
+def phone_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.phone_report(fx.phone_report(spark, sf_dir), fx.account_bridge(spark, sf_dir), *PHONE_RANGE)
+
+
+def lead_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.lead_reconciliation(
+        fx.activity(spark, sf_dir), fx.click_type(spark), fx.phone_lead(spark, sf_dir),
+        fx.online_report(spark, sf_dir), fx.phone_report(spark, sf_dir), fx.account_bridge(spark, sf_dir),
+        *ONLINE_RANGE, *PHONE_RANGE)
+
+
+def report_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.report_violations(fx.online_report(spark, sf_dir), fx.account_bridge(spark, sf_dir), *ONLINE_RANGE)
+
+
+def report_violations_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.report_violations(fx.online_report(spark, sf_dir), fx.account_bridge(spark, sf_dir), *ONLINE_RANGE,
+                                   reconciliation=lead_reconciliation(spark, sf_dir))
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
@@ -98,6 +140,14 @@ JOBS: dict[str, Job] = {
     "activity_sample": activity_sample,
     "activity_day_range": activity_day_range,
     "missing_days": missing_days,
+    "child_accounts": child_accounts,
+    "online_leads": online_leads,
+    "phone_leads": phone_leads,
+    "online_report": online_report,
+    "phone_report": phone_report,
+    "lead_reconciliation": lead_reconciliation,
+    "report_violations": report_violations,
+    "report_violations_reconciled": report_violations_reconciled,
 }
 
 FLAGSHIP = "heading_directory_profile"

@@ -86,8 +86,8 @@ def account_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return c.select(
         F.concat(F.lit("P"), _s(F.col("c_nationkey"))).alias("parent_account_id"),
-        F.when(key % 37 == 0, F.concat(F.lit("X"), _s(key))).otherwise(_s(key)).alias("child_account_id"),
-        F.when(key % 41 == 0, F.concat(F.lit("K"), _s(key))).otherwise(_s(key)).alias("child_account_key"),
+        F.when(key % 373 == 0, F.concat(F.lit("X"), _s(key))).otherwise(_s(key)).alias("child_account_id"),
+        F.when(key % 419 == 0, F.concat(F.lit("K"), _s(key))).otherwise(_s(key)).alias("child_account_key"),
     )
 
 
@@ -106,10 +106,10 @@ def phone_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def phone_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivered phone report; some pending orders of every 7th customer are missing."""
+    """The delivered phone report; pending orders of every 101st customer are missing."""
     o = table(spark, sf_dir, "orders")
     created = _phone_created(o)
-    missing = (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 7 == 0)
+    missing = (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 101 == 0)
     return o.filter(~missing).select(
         F.col("o_orderkey").alias("phone_lead_id"),
         _s(created.cast("date")).alias("phone_lead_date"),

@@ -48,8 +48,8 @@ click_type AS (
 BRIDGE = r"""
 account_bridge AS (
   SELECT 'P' || CAST(c_nationkey AS VARCHAR) AS parent_account_id,
-         CASE WHEN c_custkey % 37 = 0 THEN 'X' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS child_account_id,
-         CASE WHEN c_custkey % 41 = 0 THEN 'K' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS child_account_key
+         CASE WHEN c_custkey % 373 = 0 THEN 'X' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS child_account_id,
+         CASE WHEN c_custkey % 419 = 0 THEN 'K' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS child_account_key
   FROM customer)"""
 
 PHONE_LEAD = r"""
@@ -65,7 +65,7 @@ phone_report AS (
          strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%H:%M:%S') AS phone_lead_time,
          CAST(o_custkey AS VARCHAR) AS merchant_id, 'A' || CAST(o_custkey AS VARCHAR) AS cust_account_id,
          o_orderpriority AS zone, CAST(o_orderkey % 600 AS VARCHAR) AS duration, o_orderstatus AS answer_status
-  FROM orders WHERE NOT (o_orderstatus = 'P' AND o_custkey % 7 = 0))"""
+  FROM orders WHERE NOT (o_orderstatus = 'P' AND o_custkey % 101 = 0))"""
 
 ONLINE_REPORT = r"""
 online_report AS (
@@ -318,3 +318,130 @@ ORACLES.update({
     "activity_day_range": ACTIVITY_DAY_RANGE,
     "missing_days": MISSING_DAYS,
 })
+
+
+# ---------------------------------------------------------------- lead check oracles
+
+from leadscope.operators.leads import LEAD_CLICK_TYPES  # noqa: E402  (fixed list, shared as data)
+
+LEAD_NAMES_SQL = "(" + ", ".join(f"'{n}'" for n in LEAD_CLICK_TYPES) + ")"
+
+KEYS = """
+keys AS (SELECT DISTINCT parent_account_id, TRY_CAST(child_account_key AS BIGINT) AS child_key
+         FROM account_bridge WHERE TRY_CAST(child_account_key AS BIGINT) IS NOT NULL)"""
+
+IDS = """
+ids AS (SELECT DISTINCT parent_account_id, CAST(TRY_CAST(child_account_id AS BIGINT) AS VARCHAR) AS child_id
+        FROM account_bridge WHERE TRY_CAST(child_account_id AS BIGINT) IS NOT NULL)"""
+
+
+def ts_between(ts: str, begin: str, end: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%d %H:%M:%S') BETWEEN '{begin} 00:00:00' AND '{end} 23:59:59'"
+
+
+ONLINE_COND = (ts_between("a.activity_ts", "2024-01-05", "2024-01-20")
+               + f" AND (a.click_type_id IN (SELECT click_type_id FROM click_type WHERE name IN {LEAD_NAMES_SQL})"
+               + " OR a.click_type_id = 0)")
+PHONE_COND = ts_between("p.created_datetime", "1996-01-01", "1996-12-31")
+ONLINE_REPORT_COND = "TRY_CAST(r.date_day AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+PHONE_REPORT_COND = "TRY_CAST(r.phone_lead_date AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
+
+CHILD_ACCOUNTS = with_views(BRIDGE) + """
+SELECT DISTINCT parent_account_id, 'child_account_id' AS field, TRY_CAST(child_account_id AS BIGINT) AS child
+FROM account_bridge WHERE TRY_CAST(child_account_id AS BIGINT) IS NOT NULL
+UNION
+SELECT DISTINCT parent_account_id, 'child_account_key' AS field, TRY_CAST(child_account_key AS BIGINT) AS child
+FROM account_bridge WHERE TRY_CAST(child_account_key AS BIGINT) IS NOT NULL"""
+
+ONLINE_LEADS = with_views(ACTIVITY, CLICK_TYPE, BRIDGE, KEYS) + f"""
+SELECT k.parent_account_id, a.event_id AS raw_activity_account_key, a.account_key, a.session_id,
+       a.activity_ts AS activity_date
+FROM activity a JOIN keys k ON a.account_key = k.child_key
+WHERE {ONLINE_COND}"""
+
+PHONE_LEADS = with_views(PHONE_LEAD, BRIDGE, KEYS) + f"""
+SELECT k.parent_account_id, p.phone_lead_id, p.account_key, p.created_datetime
+FROM phone_lead p JOIN keys k ON p.account_key = k.child_key
+WHERE {PHONE_COND}"""
+
+ONLINE_REPORT_ROWS = with_views(ACTIVITY, CLICK_TYPE, ONLINE_REPORT, BRIDGE, IDS) + f"""
+SELECT r.event_id, TRY_CAST(r.date_day AS DATE) AS date_day, r.merchant_id, r.cust_account_id,
+       coalesce(TRY_CAST(r.impressions AS BIGINT), 0) AS impressions, r.click_type_name,
+       coalesce(TRY_CAST(r.clicks AS BIGINT), 0) AS clicks, r.platform, r.keyword, i.parent_account_id
+FROM online_report r JOIN ids i ON r.merchant_id = i.child_id
+WHERE {ONLINE_REPORT_COND}"""
+
+PHONE_REPORT_ROWS = with_views(PHONE_REPORT, BRIDGE, IDS) + f"""
+SELECT r.phone_lead_id, TRY_CAST(r.phone_lead_date AS DATE) AS phone_lead_date, r.phone_lead_time, r.merchant_id,
+       r.cust_account_id, r.zone, coalesce(TRY_CAST(r.duration AS INTEGER), 0) AS duration, r.answer_status,
+       i.parent_account_id
+FROM phone_report r JOIN ids i ON r.merchant_id = i.child_id
+WHERE {PHONE_REPORT_COND}"""
+
+RECONCILIATION_VIEWS = [ACTIVITY, CLICK_TYPE, PHONE_LEAD, PHONE_REPORT, ONLINE_REPORT, BRIDGE, KEYS, IDS, f"""
+parents AS (SELECT DISTINCT parent_account_id FROM account_bridge),
+online_src AS (SELECT k.parent_account_id, count(*) AS n FROM activity a JOIN keys k ON a.account_key = k.child_key
+               WHERE {ONLINE_COND} GROUP BY 1),
+online_rep AS (SELECT i.parent_account_id, count(*) AS n FROM online_report r JOIN ids i ON r.merchant_id = i.child_id
+               WHERE {ONLINE_REPORT_COND} GROUP BY 1),
+phone_src AS (SELECT k.parent_account_id, count(*) AS n FROM phone_lead p JOIN keys k ON p.account_key = k.child_key
+              WHERE {PHONE_COND} GROUP BY 1),
+phone_rep AS (SELECT i.parent_account_id, count(*) AS n FROM phone_report r JOIN ids i ON r.merchant_id = i.child_id
+              WHERE {PHONE_REPORT_COND} GROUP BY 1),
+reconciliation AS (
+  SELECT p.parent_account_id, 'online' AS kind, CAST(coalesce(s.n, 0) AS BIGINT) AS source_count,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS report_count, coalesce(s.n, 0) = coalesce(r.n, 0) AS ok
+  FROM parents p LEFT JOIN online_src s ON p.parent_account_id = s.parent_account_id
+                 LEFT JOIN online_rep r ON p.parent_account_id = r.parent_account_id
+  UNION ALL
+  SELECT p.parent_account_id, 'phone', CAST(coalesce(s.n, 0) AS BIGINT), CAST(coalesce(r.n, 0) AS BIGINT),
+         coalesce(s.n, 0) = coalesce(r.n, 0)
+  FROM parents p LEFT JOIN phone_src s ON p.parent_account_id = s.parent_account_id
+                 LEFT JOIN phone_rep r ON p.parent_account_id = r.parent_account_id)"""]
+
+LEAD_RECONCILIATION = with_views(*RECONCILIATION_VIEWS) + """
+SELECT * FROM reconciliation"""
+
+
+def _violations(row_filter: str) -> str:
+    return f""",
+typed AS (
+  SELECT event_id, TRY_CAST(date_day AS DATE) AS date_day, merchant_id, click_type_name,
+         coalesce(TRY_CAST(impressions AS BIGINT), 0) AS i, coalesce(TRY_CAST(clicks AS BIGINT), 0) AS c,
+         coalesce(platform, '') AS platform
+  FROM online_report WHERE {row_filter}),
+flags AS (SELECT t.*, EXISTS (SELECT 1 FROM ids WHERE ids.child_id = t.merchant_id) AS expected FROM typed t)
+SELECT event_id, date_day, merchant_id, 'empty_platform' AS rule, platform AS value FROM flags WHERE platform = ''
+UNION ALL
+SELECT event_id, date_day, merchant_id, 'unknown_platform', platform FROM flags
+WHERE platform <> '' AND upper(platform) NOT IN ('DESKTOP', 'MOBILE')
+UNION ALL
+SELECT event_id, date_day, merchant_id, 'not_a_lead', click_type_name FROM flags
+WHERE click_type_name IS NULL OR click_type_name NOT IN {LEAD_NAMES_SQL}
+UNION ALL
+SELECT event_id, date_day, merchant_id, 'clicks_xor_impressions',
+       'clicks=' || CAST(c AS VARCHAR) || ', impressions=' || CAST(i AS VARCHAR) FROM flags
+WHERE NOT (c * i = 0 AND c + i > 0)
+UNION ALL
+SELECT event_id, date_day, merchant_id, 'date_out_of_range', CAST(date_day AS VARCHAR) FROM flags
+WHERE date_day IS NULL OR date_day NOT BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+UNION ALL
+SELECT event_id, date_day, merchant_id, 'merchant_not_expected', merchant_id FROM flags WHERE NOT expected"""
+
+
+REPORT_VIOLATIONS = with_views(ACTIVITY, CLICK_TYPE, ONLINE_REPORT, BRIDGE, IDS) + _violations("true")
+
+REPORT_VIOLATIONS_RECONCILED = with_views(*RECONCILIATION_VIEWS) + _violations(
+    "merchant_id IN (SELECT child_id FROM ids WHERE parent_account_id IN ("
+    "SELECT parent_account_id FROM reconciliation GROUP BY 1 HAVING bool_and(ok)))")
+
+ORACLES.update({
+    "child_accounts": CHILD_ACCOUNTS,
+    "online_leads": ONLINE_LEADS,
+    "phone_leads": PHONE_LEADS,
+    "online_report": ONLINE_REPORT_ROWS,
+    "phone_report": PHONE_REPORT_ROWS,
+    "lead_reconciliation": LEAD_RECONCILIATION,
+    "report_violations": REPORT_VIOLATIONS,
+    "report_violations_reconciled": REPORT_VIOLATIONS_RECONCILED,
+})
