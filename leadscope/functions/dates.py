@@ -48,13 +48,13 @@ def component_violation(value: Column | str, component: Column | str) -> Column:
 def is_date_text(c: Column | str) -> Column:
     """Whole text is ``yyyy-MM-dd`` and names a real calendar day (2014-02-31 is not)."""
     c = _col(c)
-    return F.coalesce(c.rlike(DATE_TEXT_PATTERN) & F.try_to_date(c, F.lit("yyyy-MM-dd")).isNotNull(),
+    return F.coalesce(c.rlike(DATE_TEXT_PATTERN) & F.try_to_date(c, "yyyy-MM-dd").isNotNull(),
                       F.lit(False))
 
 
 def parse_date_text(c: Column | str) -> Column:
     c = _col(c)
-    return F.when(is_date_text(c), F.try_to_date(c, F.lit("yyyy-MM-dd")))
+    return F.when(is_date_text(c), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 _DATE_ARG = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")

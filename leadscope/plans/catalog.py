@@ -11,10 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadscope.operators import leads, matching, profiles, share, totals
+from leadscope.operators import audit, leads, matching, profiles, share, totals
 from leadscope.plans import fixtures as fx
 from leadscope.session import shared_path
-from leadscope.sources import dataset, exports
+from leadscope.sources import dataset, exports, sinks
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +126,29 @@ def report_violations_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    reconciliation=lead_reconciliation(spark, sf_dir))
 
 
+def date_component_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.date_component_audit(fx.activity(spark, sf_dir), "activity_ts")
+
+
+def date_text_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = exports.good(exports.parse_activity_lines(fx.activity_lines(spark, sf_dir)))
+    return audit.date_text_audit(parsed, "date_text")
+
+
+def report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship profile written as a tab-separated report folder and read back."""
+    df = heading_directory_profile(spark, sf_dir)
+    path = sinks.write_tsv(df, shared_path(spark, "reports", "heading_directory"))
+    return sinks.read_tsv(spark, path, df.schema)
+
+
+def share_report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-name share written as comma files with a header and read back."""
+    df = non_name_share(spark, sf_dir)
+    path = sinks.write_csv_with_header(df, shared_path(spark, "reports", "non_name_share"))
+    return sinks.read_csv_with_header(spark, path, df.schema)
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
@@ -148,6 +171,10 @@ JOBS: dict[str, Job] = {
     "lead_reconciliation": lead_reconciliation,
     "report_violations": report_violations,
     "report_violations_reconciled": report_violations_reconciled,
+    "date_component_audit": date_component_audit,
+    "date_text_audit": date_text_audit,
+    "report_write": report_write,
+    "share_report_write": share_report_write,
 }
 
 FLAGSHIP = "heading_directory_profile"

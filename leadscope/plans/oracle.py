@@ -445,3 +445,45 @@ ORACLES.update({
     "report_violations": REPORT_VIOLATIONS,
     "report_violations_reconciled": REPORT_VIOLATIONS_RECONCILED,
 })
+
+
+# ---------------------------------------------------------------- audits and written reports
+
+def _range_message(label: str, low: int, high: int) -> str:
+    return (f"CASE WHEN value < {low} OR value > {high} "
+            f"THEN '{label} must be in [{low},{high}]: currently ' || CAST(value AS VARCHAR) END")
+
+
+DATE_COMPONENT_AUDIT = with_views(ACTIVITY) + f""",
+parts AS (
+  SELECT 'YY' AS component, CAST(year(activity_ts) AS INTEGER) AS value FROM activity UNION ALL
+  SELECT 'MM', CAST(month(activity_ts) AS INTEGER) FROM activity UNION ALL
+  SELECT 'DD', CAST(day(activity_ts) AS INTEGER) FROM activity UNION ALL
+  SELECT 'hh', CAST(hour(activity_ts) AS INTEGER) FROM activity UNION ALL
+  SELECT 'mm', CAST(minute(activity_ts) AS INTEGER) FROM activity UNION ALL
+  SELECT 'ss', CAST(second(activity_ts) AS INTEGER) FROM activity)
+SELECT component, value, {big('count(*)')} AS n,
+  CASE component WHEN 'YY' THEN NULL
+    WHEN 'MM' THEN {_range_message('month', 1, 12)}
+    WHEN 'DD' THEN {_range_message('day', 1, 31)}
+    WHEN 'hh' THEN {_range_message('hour of day', 1, 24)}
+    WHEN 'mm' THEN {_range_message('minutes of the hour', 1, 60)}
+    WHEN 'ss' THEN {_range_message('seconds of the minute', 1, 60)} END AS message
+FROM parts GROUP BY 1, 2"""
+
+DATE_TEXT_AUDIT = ACTIVITY_FIELDS + """,
+texts AS (SELECT date_text, count(*) AS n FROM tagged WHERE reason IS NULL GROUP BY 1),
+checked AS (
+  SELECT date_text, n, coalesce(regexp_full_match(date_text, '[0-9]{4}-[0-9]{2}-[0-9]{2}')
+                                AND try_strptime(date_text, '%Y-%m-%d') IS NOT NULL, false) AS is_valid
+  FROM texts)
+SELECT date_text, CAST(n AS BIGINT) AS n, is_valid,
+       CASE WHEN is_valid THEN CAST(try_strptime(date_text, '%Y-%m-%d') AS DATE) END AS day
+FROM checked"""
+
+ORACLES.update({
+    "date_component_audit": DATE_COMPONENT_AUDIT,
+    "date_text_audit": DATE_TEXT_AUDIT,
+    "report_write": HEADING_DIRECTORY_PROFILE,
+    "share_report_write": NON_NAME_SHARE,
+})

@@ -60,7 +60,7 @@ def channel_of_file(path: Column) -> Column:
 
 def day_of_file(path: Column) -> Column:
     """Day of an activity export from the ``yyyy-MM-dd`` in its file name."""
-    return F.try_to_date(F.regexp_extract(path, r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$", 1), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.regexp_extract(path, r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$", 1), "yyyy-MM-dd")
 
 
 def _fields(line: Column, sep: str) -> Column:
