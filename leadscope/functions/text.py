@@ -74,23 +74,27 @@ def branch_edit_distance(t: Column, n: Column) -> Column:
     return F.call_function("levenshtein", t, n, limit) >= 0
 
 
-def name_match(term: Column | str, name: Column | str, strict: bool = False) -> Column:
-    """True when a (cleaned) search term designates the (cleaned) merchant name.
+def normalised_match(t: Column | str, n: Column | str, strict: bool = False) -> Column:
+    """The match on already normalised term ``t`` and name ``n``.
 
-    After cutting a domain suffix from the term and squeezing both: the name contains
-    the term, or a term of 10+ characters has its first half in the name, or the edit
-    distance is at most a third of the term length.  The cheap branches come first: Spark
-    short-circuits OR, so levenshtein only runs when both containment tests fail.
-    An empty squeezed term matches every name unless ``strict``.  NULL -> False.
+    The name contains the term, or a term of 10+ characters has its first half in the
+    name, or the edit distance is at most a third of the term length.  The cheap branches
+    come first: Spark short-circuits OR, so levenshtein only runs when both containment
+    tests fail.  An empty term matches every name unless ``strict``.  NULL -> False.
     """
-    t = normalised_term(term)
-    n = normalised_name(name)
+    t, n = _col(t), _col(n)
     matched = branch_contains(t, n) | branch_half_prefix(t, n) | branch_edit_distance(t, n)
     if strict:
         matched = (F.length(t) > 0) & matched
     return F.coalesce(matched, F.lit(False))
 
 
+def name_match(term: Column | str, name: Column | str, strict: bool = False) -> Column:
+    """True when a (cleaned) search term designates the (cleaned) merchant name: a domain
+    suffix is cut from the term, both are squeezed, then ``normalised_match``."""
+    return normalised_match(normalised_term(term), normalised_name(name), strict)
+
+
 def is_empty_term(term: Column | str) -> Column:
     return java_trim(term) == F.lit("")
 

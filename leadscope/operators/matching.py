@@ -1,8 +1,8 @@
 """The name match laid open: per distinct (term, name) pair its branches, and edit distances.
 
 Both jobs reduce activity to distinct (account, cleaned term) first – a partial aggregate,
-so hot keys and repeated terms collapse before any shuffle – then join the accounts and
-keep distinct pairs, so the expensive edit distance runs once per pair.
+so hot keys and repeated terms collapse before any shuffle – normalise names once per
+account, join, and keep distinct pairs, so the edit distance runs once per pair.
 """
 
 from __future__ import annotations
@@ -20,30 +20,33 @@ from leadscope.functions.text import (
 )
 
 
-def _pairs(activity: DataFrame, account: DataFrame) -> DataFrame:
-    terms = activity.select("account_key", clean_text("keywords").alias("term")).distinct()
-    names = account.select("account_key", clean_text("account_name").alias("name"))
-    return terms.join(names, "account_key")
+def _terms(activity: DataFrame) -> DataFrame:
+    return activity.select("account_key", clean_text("keywords").alias("term")).distinct()
 
 
 def name_match_flags(activity: DataFrame, account: DataFrame) -> DataFrame:
     """Distinct (term, name) pairs met in the data, with normalised forms and branch flags."""
-    pairs = _pairs(activity, account).select("term", "name").distinct()
-    t, n = normalised_term(F.col("term")), normalised_name(F.col("name"))
-    flagged = pairs.select(
-        "term", "name", t.alias("t"), n.alias("n"))
-    a = F.coalesce(branch_contains(F.col("t"), F.col("n")), F.lit(False))
-    b = F.coalesce(branch_half_prefix(F.col("t"), F.col("n")), F.lit(False))
-    c = F.coalesce(branch_edit_distance(F.col("t"), F.col("n")), F.lit(False))
-    return flagged.select("term", "name", "t", "n", a.alias("by_contains"), b.alias("by_half_prefix"),
-                          c.alias("by_edit_distance"), (a | b | c).alias("matched"))
+    names = (account.select("account_key", clean_text("account_name").alias("name"))
+             .withColumn("n", normalised_name(F.col("name"))))
+    pairs = _terms(activity).join(names, "account_key").select("term", "name", "n").distinct()
+    with_t = pairs.withColumn("t", normalised_term(F.col("term")))
+    t, n = F.col("t"), F.col("n")
+    flags = with_t.withColumns({
+        "by_contains": F.coalesce(branch_contains(t, n), F.lit(False)),
+        "by_half_prefix": F.coalesce(branch_half_prefix(t, n), F.lit(False)),
+        "by_edit_distance": F.coalesce(branch_edit_distance(t, n), F.lit(False)),
+    })
+    matched = F.col("by_contains") | F.col("by_half_prefix") | F.col("by_edit_distance")
+    return flags.select("term", "name", "t", "n", "by_contains", "by_half_prefix", "by_edit_distance",
+                        matched.alias("matched"))
 
 
 def edit_distance_profile(activity: DataFrame, account: DataFrame) -> DataFrame:
     """Per account and edit distance between normalised term and name: distinct pairs."""
-    pairs = _pairs(activity, account).select(
-        "account_key", normalised_term(F.col("term")).alias("t"), normalised_name(F.col("name")).alias("n"))
-    return (pairs.distinct()
-            .select("account_key", F.levenshtein("t", "n").alias("edit_distance"))
+    names = account.select("account_key", normalised_name(clean_text("account_name")).alias("n"))
+    pairs = (_terms(activity).join(names, "account_key")
+             .select("account_key", normalised_term(F.col("term")).alias("t"), "n")
+             .distinct())
+    return (pairs.select("account_key", F.levenshtein("t", "n").alias("edit_distance"))
             .groupBy("account_key", "edit_distance")
             .agg(F.count(F.lit(1)).alias("pairs")))

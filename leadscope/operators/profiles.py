@@ -2,11 +2,13 @@
 
 Plan shape (both jobs): activity is first reduced to distinct (key, ..., term) with a count;
 Spark runs that as a partial aggregate before the shuffle, so repeated terms and hot
-account keys collapse on the map side.  The reduced rows are joined with the accounts
-(Catalyst/AQE broadcast the account side only when its measured size is under the
-threshold, and otherwise sort-merge with skew splitting), the match is computed once per
-distinct row instead of once per search, and the final counters are sums of the counts.
-Summing pre-counted rows after an inner join is exact, duplicate account keys included.
+account keys collapse on the map side.  Names are cleaned and normalised on the account
+side, once per account.  The reduced rows are joined with the accounts (Catalyst/AQE
+broadcast the account side only when its measured size is under the threshold, and
+otherwise sort-merge with skew splitting); the term is normalised once per distinct row in
+its own projection and the match runs on that, so it is evaluated per distinct
+(key, term) and not per search.  The final counters are sums of the counts; summing
+pre-counted rows after an inner join is exact, duplicate account keys included.
 """
 
 from __future__ import annotations
@@ -14,15 +16,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadscope.functions.text import clean_text, is_empty_term, is_none_term, name_match
+from leadscope.functions.text import NONE_TERM, clean_text, normalised_match, normalised_name, normalised_term
 
 
-def _counters(n, matched, empty, none, total_name="queries_total"):
+def with_match_flags(df: DataFrame, strict: bool = False) -> DataFrame:
+    """``df`` has a cleaned ``term`` and a normalised ``name_key``; adds ``by_name``,
+    ``is_empty`` and ``is_none``.  ``t`` is its own projection so it is computed once."""
+    with_t = df.withColumn("t", normalised_term(F.col("term")))
+    term = F.col("term")  # already cleaned (quotes dropped, Java trim), so no second trim
+    return with_t.withColumns({
+        "by_name": normalised_match(F.col("t"), F.col("name_key"), strict),
+        "is_empty": term == F.lit(""),
+        "is_none": F.upper(term) == F.lit(NONE_TERM),
+    })
+
+
+def _counters(total_name: str = "queries_total"):
+    n = F.col("searches")
     return [
         F.sum(n).alias(total_name),
-        F.sum(F.when(matched, n).otherwise(F.lit(0))).alias("queries_by_name"),
-        F.sum(F.when(empty, n).otherwise(F.lit(0))).alias("queries_empty"),
-        F.sum(F.when(none, n).otherwise(F.lit(0))).alias("queries_none"),
+        F.sum(F.when(F.col("by_name"), n).otherwise(F.lit(0))).alias("queries_by_name"),
+        F.sum(F.when(F.col("is_empty"), n).otherwise(F.lit(0))).alias("queries_empty"),
+        F.sum(F.when(F.col("is_none"), n).otherwise(F.lit(0))).alias("queries_none"),
     ]
 
 
@@ -36,13 +51,10 @@ def heading_directory_profile(activity: DataFrame, account: DataFrame, strict: b
     searches = (activity
                 .select("account_key", "heading_id", "directory_id", clean_text("keywords").alias("term"))
                 .groupBy("account_key", "heading_id", "directory_id", "term")
-                .agg(F.count(F.lit(1)).alias("n")))
-    names = account.select("account_key", clean_text("account_name").alias("name"))
-    joined = searches.join(names, "account_key")
-    return (joined
-            .groupBy("heading_id", "directory_id")
-            .agg(*_counters(F.col("n"), name_match(F.col("term"), F.col("name"), strict),
-                            is_empty_term(F.col("term")), is_none_term(F.col("term")))))
+                .agg(F.count(F.lit(1)).alias("searches")))
+    names = account.select("account_key", normalised_name(clean_text("account_name")).alias("name_key"))
+    flagged = with_match_flags(searches.join(names, "account_key"), strict)
+    return flagged.groupBy("heading_id", "directory_id").agg(*_counters())
 
 
 def merchant_profile(activity: DataFrame, account: DataFrame, per_date: bool = True,
@@ -59,17 +71,13 @@ def merchant_profile(activity: DataFrame, account: DataFrame, per_date: bool = T
         a = a.filter(F.col("click_weight").try_cast("double") > 0)
     a = a.select("account_key", "activity_date", clean_text("keywords").alias("term"))
     if per_date:
-        daily = a.groupBy("account_key", "activity_date").agg(F.min("term").alias("term"))
-        terms = daily.groupBy("account_key", "term").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        terms = a.groupBy("account_key", "term").agg(F.count(F.lit(1)).alias("n"))
+        a = a.groupBy("account_key", "activity_date").agg(F.min("term").alias("term"))
+    terms = a.groupBy("account_key", "term").agg(F.count(F.lit(1)).alias("searches"))
     accounts = account.select("account_key", clean_text("account_id").alias("account_id"),
                               clean_text("account_name").alias("account_name"))
     if per_date:
         # one group per distinct (key, name, id): identical account rows merge
         accounts = accounts.dropDuplicates(["account_key", "account_id", "account_name"])
-    joined = terms.join(accounts, "account_key")
-    return (joined
-            .groupBy("account_key", "account_id", "account_name")
-            .agg(*_counters(F.col("n"), name_match(F.col("term"), F.col("account_name"), strict),
-                            is_empty_term(F.col("term")), is_none_term(F.col("term")))))
+    accounts = accounts.withColumn("name_key", normalised_name(F.col("account_name")))
+    flagged = with_match_flags(terms.join(accounts, "account_key"), strict)
+    return flagged.groupBy("account_key", "account_id", "account_name").agg(*_counters())
