@@ -75,9 +75,12 @@ def location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def click_type(spark: SparkSession) -> DataFrame:
-    """The click-type dimension: a fixed four-row table (id 0 means 'no click type')."""
-    rows = [(1, "contact_submit"), (2, "free_call"), (3, "banner_view"), (4, "share_confirm")]
-    return spark.createDataFrame(rows, "click_type_id int, name string")
+    """The click-type dimension: a fixed four-row table (id 0 means 'no click type').
+
+    Built as an inline VALUES relation so Catalyst knows its exact size (a local list turned
+    into an RDD has no statistics and would make every join with it a shuffle)."""
+    return spark.sql("SELECT * FROM VALUES (1, 'contact_submit'), (2, 'free_call'), (3, 'banner_view'), "
+                     "(4, 'share_confirm') AS t(click_type_id, name)")
 
 
 def account_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
