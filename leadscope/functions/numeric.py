@@ -35,5 +35,6 @@ def exact_amount(c: Column | str) -> Column:
 
 
 def round_half_up(c: Column | str) -> Column:
-    """floor(x + 0.5) as BIGINT (the rounding of the report, not banker's or half-away)."""
-    return F.floor(_col(c) + F.lit(0.5)).cast("bigint")
+    """floor(x + 0.5) as BIGINT (the rounding of the report, not banker's or half-away).
+    The half is a DECIMAL literal, so a DECIMAL input stays exact."""
+    return F.floor(_col(c) + F.lit(0.5).cast("decimal(2,1)")).cast("bigint")

@@ -71,6 +71,9 @@ def merchant_profile(activity: DataFrame, account: DataFrame, per_date: bool = T
         a = a.filter(F.col("click_weight").try_cast("double") > 0)
     a = a.select("account_key", "activity_date", clean_text("keywords").alias("term"))
     if per_date:
+        # A string minimum is a sort-based aggregate in Spark (variable-width buffer).  It still
+        # runs partial-then-final, so a hot (key, day) collapses on the map side, and it spills.
+        # (A distinct() in front would be removed by Catalyst, min ignoring duplicates.)
         a = a.groupBy("account_key", "activity_date").agg(F.min("term").alias("term"))
     terms = a.groupBy("account_key", "term").agg(F.count(F.lit(1)).alias("searches"))
     accounts = account.select("account_key", clean_text("account_id").alias("account_id"),

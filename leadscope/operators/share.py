@@ -9,7 +9,9 @@ original left join of two aggregates gives.
 
 Plan: one scan of activity with the date range pushed into the scan; searches are counted
 per (account, squeezed keyword) before the joins, so the joins and the non-name test see
-distinct keywords only; one aggregate gives both counts (no second pass over the join).
+distinct keywords only; one numeric aggregate gives both counts (no second pass over the
+join).  Text attributes per key are taken from the account side alone, so string minima
+never run over the activity.
 """
 
 from __future__ import annotations
@@ -42,20 +44,20 @@ def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
                 .select("account_key", F.upper(F.translate("keywords", "- ", "")).alias("kw"))
                 .groupBy("account_key", "kw")
                 .agg(F.count(F.lit(1)).alias("n")))
-    accounts = (account
-                .select("account_key", "account_id", "account_name", "location_key")
-                .join(location.select("location_key", "location_city", "location_zip_code"), "location_key"))
-    joined = keywords.join(accounts, "account_key")
-    name_key = F.upper(F.translate("account_name", "' ", ""))
-    non_name = F.coalesce(F.col("kw") != name_key, F.lit(False))
-    per_account = (joined
-                   .groupBy("account_key")
-                   .agg(F.min("account_id").alias("account_id"),
-                        F.min("account_name").alias("account_name"),
-                        F.min("location_city").alias("location_city"),
-                        F.min("location_zip_code").alias("location_zip_code"),
-                        F.sum("n").alias("total_count"),
-                        F.sum(F.when(non_name, F.col("n"))).alias("per_category_count")))
+    located = (account
+               .select("account_key", "account_id", "account_name", "location_key")
+               .join(location.select("location_key", "location_city", "location_zip_code"), "location_key"))
+    # counts: numeric sums only, so the fact side stays in hash aggregation
+    name_keys = located.select("account_key", F.upper(F.translate("account_name", "' ", "")).alias("name_key"))
+    non_name = F.coalesce(F.col("kw") != F.col("name_key"), F.lit(False))
+    counts = (keywords.join(name_keys, "account_key")
+              .groupBy("account_key")
+              .agg(F.sum("n").alias("total_count"), F.sum(F.when(non_name, F.col("n"))).alias("per_category_count")))
+    # one set of text attributes per key (the original grouped by key alone), from the account side only
+    attributes = located.groupBy("account_key").agg(
+        F.min("account_id").alias("account_id"), F.min("account_name").alias("account_name"),
+        F.min("location_city").alias("location_city"), F.min("location_zip_code").alias("location_zip_code"))
+    per_account = counts.join(attributes, "account_key")
     out = per_account.select(
         "account_key", "account_id", "account_name", "location_city", "location_zip_code", "total_count",
         "per_category_count",
