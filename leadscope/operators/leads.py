@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
 from leadscope.functions.numeric import to_long
+from leadscope.plans.sizing import bounded_broadcast
 
 # Click-type names that count as leads (21 distinct names).
 LEAD_CLICK_TYPES = (
@@ -88,7 +89,10 @@ def date_in_days(day: Column, begin: str | dt.date, end: str | dt.date) -> Colum
 # ---------------------------------------------------------------- sources
 
 def lead_click_type_ids(click_type: DataFrame) -> DataFrame:
-    return click_type.filter(F.col("name").isin(*LEAD_CLICK_TYPES)).select("click_type_id")
+    """Ids of the lead click types, broadcast after a size check: the id is a
+    low-cardinality key, so a shuffle join on it would concentrate the activity."""
+    ids = click_type.filter(F.col("name").isin(*LEAD_CLICK_TYPES)).select("click_type_id").distinct()
+    return bounded_broadcast(ids)
 
 
 def online_source(activity: DataFrame, click_type: DataFrame, begin, end) -> DataFrame:

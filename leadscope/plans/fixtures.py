@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadscope.plans.sizing import bounded_broadcast
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -129,7 +131,7 @@ def online_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delivered online report: activity rows with a lead or empty click type,
     one record in 997 missing, platforms and counters partly malformed."""
     a = activity(spark, sf_dir)
-    ct = click_type(spark)
+    ct = bounded_broadcast(click_type(spark))  # low-cardinality key: never a shuffle join
     eid = F.col("event_id")
     platform = (F.when(eid % 17 == 0, F.lit("")).when(eid % 19 == 0, F.lit("Tablet"))
                 .when(F.col("is_mobile"), F.lit("Mobile")).otherwise(F.lit("Desktop")))
