@@ -3,7 +3,8 @@
 Each parser takes a DataFrame with a text column (default ``line``) – from ``read_lines``
 or any other source – keeps every other column (record ids, file names) and adds the
 typed fields plus ``reject_reason``: NULL for a good row, otherwise why it is unusable.
-``good`` / ``rejects`` split that one frame, so no row is dropped silently.  Splitting is
+``good`` / ``rejects`` split that one frame, so no row is dropped silently; ``keep_line``
+keeps the raw text next to the fields (for reject tables).  Splitting is
 positional with Spark's ``split(.., -1)``, which keeps trailing empty fields.
 """
 
@@ -71,7 +72,7 @@ def _field(parts: Column, pos: int) -> Column:
     return F.get(parts, pos)
 
 
-def parse_activity_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
     parts = _fields(F.col(line_col), ",")
     f = {name: clean_text(_field(parts, pos)) for name, pos in ACTIVITY_POSITIONS.items()}
     longs = {name: to_long(f[name]) for name in ("account_key", "heading_id", "directory_id", "referer_id")}
@@ -79,7 +80,7 @@ def parse_activity_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     n_fields = F.coalesce(F.size(parts), F.lit(0))
     reason = (F.when(n_fields < ACTIVITY_MIN_FIELDS, F.lit(SHORT_ROW))
               .when(reduce(operator.or_, [c.isNull() for c in [*longs.values(), mobile_number]]), F.lit(BAD_NUMBER)))
-    carry = [c for c in lines.columns if c != line_col]
+    carry = [c for c in lines.columns if keep_line or c != line_col]
     return lines.select(
         *carry,
         longs["account_key"].alias("account_key"),
@@ -95,7 +96,7 @@ def parse_activity_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
-def parse_account_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def parse_account_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
     parts = _fields(F.col(line_col), ";")
     key = to_long(clean_text(_field(parts, ACCOUNT_POSITIONS["account_key"])))
     vertical = F.replace(F.upper(java_trim(_field(parts, ACCOUNT_POSITIONS["vertical"]))), F.lit('"'), F.lit(""))
@@ -103,7 +104,7 @@ def parse_account_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     reason = (F.when(n_fields < ACCOUNT_MIN_FIELDS, F.lit(SHORT_ROW))
               .when(key.isNull(), F.lit(BAD_NUMBER))
               .when(~vertical.isin(*KEPT_VERTICALS), F.lit(OTHER_VERTICAL)))
-    carry = [c for c in lines.columns if c != line_col]
+    carry = [c for c in lines.columns if keep_line or c != line_col]
     return lines.select(
         *carry,
         key.alias("account_key"),
@@ -114,14 +115,14 @@ def parse_account_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
-def parse_extract_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def parse_extract_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
     parts = _fields(F.col(line_col), ";")
     key = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["account_key"])))
     directory = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["directory_id"])))
     n_fields = F.coalesce(F.size(parts), F.lit(0))
     reason = (F.when(n_fields < EXTRACT_MIN_FIELDS, F.lit(SHORT_ROW))
               .when(key.isNull() | directory.isNull(), F.lit(BAD_NUMBER)))
-    carry = [c for c in lines.columns if c != line_col]
+    carry = [c for c in lines.columns if keep_line or c != line_col]
     return lines.select(
         *carry,
         key.alias("account_key"),
