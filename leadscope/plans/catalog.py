@@ -27,6 +27,16 @@ def merchant_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.merchant_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir))
 
 
+def merchant_profile_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variant counting every search instead of one per day."""
+    return profiles.merchant_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), per_date=False)
+
+
+def merchant_profile_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variant restricted to searches with a positive click weight."""
+    return profiles.merchant_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), clicks_only=True)
+
+
 def non_name_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share.non_name_share(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), fx.location(spark, sf_dir),
                                 since="2024-01-10")
@@ -152,6 +162,8 @@ def share_report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
+    "merchant_profile_all_rows": merchant_profile_all_rows,
+    "merchant_profile_clicks": merchant_profile_clicks,
     "non_name_share": non_name_share,
     "name_match_flags": name_match_flags,
     "edit_distance_profile": edit_distance_profile,

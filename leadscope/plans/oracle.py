@@ -487,3 +487,29 @@ ORACLES.update({
     "report_write": HEADING_DIRECTORY_PROFILE,
     "share_report_write": NON_NAME_SHARE,
 })
+
+
+# ---------------------------------------------------------------- merchant profile variants
+
+MERCHANT_PROFILE_ALL_ROWS = with_views(ACTIVITY, ACCOUNT) + f""",
+rows AS (
+  SELECT c.account_key, {clean('c.account_id')} AS account_id, {clean('c.account_name')} AS account_name,
+         {clean('a.keywords')} AS term
+  FROM account c JOIN activity a ON c.account_key = a.account_key),
+normalised AS (SELECT *, {norm_term('term')} AS t, {norm_name('account_name')} AS n FROM rows)
+SELECT account_key, account_id, account_name,
+  {big('count(*)')} AS queries_total,
+  {big(f"count_if({match('t', 'n')})")} AS queries_by_name,
+  {big("count_if(term = '')")} AS queries_empty,
+  {big("count_if(upper(term) = 'NONE')")} AS queries_none
+FROM normalised GROUP BY account_key, account_id, account_name"""
+
+MERCHANT_PROFILE_CLICKS = MERCHANT_PROFILE.replace(
+    "FROM account c JOIN activity a ON c.account_key = a.account_key\n",
+    "FROM account c JOIN activity a ON c.account_key = a.account_key\n  WHERE a.click_weight > 0\n")
+assert MERCHANT_PROFILE_CLICKS != MERCHANT_PROFILE
+
+ORACLES.update({
+    "merchant_profile_all_rows": MERCHANT_PROFILE_ALL_ROWS,
+    "merchant_profile_clicks": MERCHANT_PROFILE_CLICKS,
+})
