@@ -34,6 +34,13 @@ def test_no_python_in_plans(spark, name):
 def test_online_source_uses_existence_join(spark):
     plan = _plan(catalog.JOBS["online_leads"](spark, SF001))
     assert "ExistenceJoin" in plan
+    # the typed day range reaches the Parquet scan of the activity
+    assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in plan and "LessThan(ts,2024-01-21T00:00)" in plan
+
+
+def test_dataset_read_prunes_partitions(spark):
+    plan = _plan(catalog.JOBS["activity_day_range"](spark, SF001))
+    assert "PartitionFilters: [isnotnull(activity_date" in plan
 
 
 def test_time_range_reaches_the_scan(spark):
