@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
 from leadscope.functions.numeric import to_long
-from leadscope.plans.sizing import bounded_broadcast
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 # Click-type names that count as leads (21 distinct names).
 LEAD_CLICK_TYPES = (
@@ -106,17 +106,20 @@ def phone_source(phone_lead: DataFrame, begin, end) -> DataFrame:
 
 
 def online_leads(activity: DataFrame, click_type: DataFrame, bridge: DataFrame, begin, end,
-                 parents: Parents = None) -> DataFrame:
+                 parents: Parents = None, broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Source rows of the children: the child list is broadcast within the checked bound,
+    otherwise a shuffle join whose hot keys AQE splits."""
     src = online_source(activity, click_type, begin, end)
-    keys = child_keys(bridge, parents)
+    keys = bounded_broadcast(child_keys(bridge, parents), broadcast_rows)
     return (src.join(keys, src["account_key"] == keys["child_key"])
             .select("parent_account_id", F.col("event_id").alias("raw_activity_account_key"), "account_key",
                     "session_id", F.col("activity_ts").alias("activity_date")))
 
 
-def phone_leads(phone_lead: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None) -> DataFrame:
+def phone_leads(phone_lead: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,
+                broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     src = phone_source(phone_lead, begin, end)
-    keys = child_keys(bridge, parents)
+    keys = bounded_broadcast(child_keys(bridge, parents), broadcast_rows)
     return src.join(keys, src["account_key"] == keys["child_key"]).select("parent_account_id", *phone_lead.columns)
 
 
@@ -138,8 +141,9 @@ def typed_phone_report(report: DataFrame) -> DataFrame:
     })
 
 
-def _report_rows(typed: DataFrame, day_col: str, bridge: DataFrame, begin, end, parents: Parents) -> DataFrame:
-    ids = child_ids(bridge, parents)
+def _report_rows(typed: DataFrame, day_col: str, bridge: DataFrame, begin, end, parents: Parents,
+                 broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    ids = bounded_broadcast(child_ids(bridge, parents), broadcast_rows)
     rows = typed.filter(date_in_days(F.col(day_col), begin, end))
     return rows.join(ids, rows["merchant_id"] == ids["child_id"]).drop("child_id")
 

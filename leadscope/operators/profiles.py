@@ -1,14 +1,21 @@
 """Search profiles: how often searches name the merchant, are empty, or are the placeholder.
 
-Plan shape (both jobs): activity is first reduced to distinct (key, ..., term) with a count;
-Spark runs that as a partial aggregate before the shuffle, so repeated terms and hot
-account keys collapse on the map side.  Names are cleaned and normalised on the account
-side, once per account.  The reduced rows are joined with the accounts (Catalyst/AQE
-broadcast the account side only when its measured size is under the threshold, and
-otherwise sort-merge with skew splitting); the term is normalised once per distinct row in
-its own projection and the match runs on that, so it is evaluated per distinct
-(key, term) and not per search.  The final counters are sums of the counts; summing
-pre-counted rows after an inner join is exact, duplicate account keys included.
+Names are cleaned and normalised on the account side, once per account; the term is
+normalised in its own projection and the match reads both as columns.
+
+The heading/directory profile has two exact plan shapes, chosen by a checked size of the
+(projected) account side:
+
+* accounts within the broadcast bound: broadcast hash join, the match runs per search on
+  the map side and only (heading, directory) partial counters are shuffled – the activity
+  itself never crosses the network;
+* larger: activity is first reduced to distinct (key, heading, directory, term) with a
+  count (a partial aggregate before the shuffle, so repeated terms and hot keys collapse
+  on the map side), the reduced rows are joined (sort-merge, AQE skew splitting) and the
+  match runs once per distinct row.
+
+Counters are sums of counts; summing pre-counted rows after an inner join is exact,
+duplicate account keys included.
 """
 
 from __future__ import annotations
@@ -17,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.functions.text import NONE_TERM, clean_text, normalised_match, normalised_name, normalised_term
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def with_match_flags(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -41,19 +49,24 @@ def _counters(total_name: str = "queries_total"):
     ]
 
 
-def heading_directory_profile(activity: DataFrame, account: DataFrame, strict: bool = False) -> DataFrame:
+def heading_directory_profile(activity: DataFrame, account: DataFrame, strict: bool = False,
+                              broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Per (heading, directory): searches, searches by merchant name, empty ones, ``NONE`` ones.
 
     ``activity`` needs account_key, heading_id, directory_id, keywords; ``account`` needs
     account_key, account_name.  Terms and names are cleaned (quotes dropped, Java trim).
-    A NULL term counts in the total only.
+    A NULL term counts in the total only.  ``broadcast_rows`` bounds the account side that
+    may be broadcast (0: never).
     """
-    searches = (activity
-                .select("account_key", "heading_id", "directory_id", clean_text("keywords").alias("term"))
-                .groupBy("account_key", "heading_id", "directory_id", "term")
-                .agg(F.count(F.lit(1)).alias("searches")))
     names = account.select("account_key", normalised_name(clean_text("account_name")).alias("name_key"))
-    flagged = with_match_flags(searches.join(names, "account_key"), strict)
+    terms = activity.select("account_key", "heading_id", "directory_id", clean_text("keywords").alias("term"))
+    if fits_broadcast(names, broadcast_rows):
+        joined = terms.join(F.broadcast(names), "account_key").withColumn("searches", F.lit(1).cast("bigint"))
+    else:
+        searches = (terms.groupBy("account_key", "heading_id", "directory_id", "term")
+                    .agg(F.count(F.lit(1)).alias("searches")))
+        joined = searches.join(names, "account_key")
+    flagged = with_match_flags(joined, strict)
     return flagged.groupBy("heading_id", "directory_id").agg(*_counters())
 
 

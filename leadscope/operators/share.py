@@ -7,11 +7,12 @@ location drop out), counts all searches and the non-name ones per account key, a
 divides.  Accounts without any non-name search get NULL count and NULL share, as the
 original left join of two aggregates gives.
 
-Plan: one scan of activity with the date range pushed into the scan; searches are counted
-per (account, squeezed keyword) before the joins, so the joins and the non-name test see
-distinct keywords only; one numeric aggregate gives both counts (no second pass over the
-join).  Text attributes per key are taken from the account side alone, so string minima
-never run over the activity.
+Plan: one scan of activity with the date range pushed into the scan.  When the (key,
+name) side is within the checked broadcast bound it is broadcast and each search is
+tested on the map side; otherwise searches are first counted per (account, squeezed
+keyword) so the shuffle join moves distinct keywords only.  One numeric aggregate per key
+gives both counts (no second pass over the join).  Text attributes per key are taken from
+the account side alone, so string minima never run over the activity.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def _day_after(day: dt.date) -> F.Column:
@@ -30,28 +32,32 @@ def _day_after(day: dt.date) -> F.Column:
 
 def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
                    since: str | dt.date = "2014-04-01", limit: int | None = None,
-                   ts_col: str = "activity_ts") -> DataFrame:
+                   ts_col: str = "activity_ts", broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``activity``: account_key, keywords, ``ts_col`` (TIMESTAMP_NTZ);
     ``account``: account_key, account_id, account_name, location_key;
     ``location``: location_key, location_city, location_zip_code.
 
     Output ordered by account name then key; ``limit`` keeps the first rows of that order.
+    ``broadcast_rows`` bounds the (key, name) side that may be broadcast (0: never).
     """
     since_day = date_argument(since)
     # "DATE(ts) > since" written as a sargable range on the raw timestamp
     recent = activity.filter(F.col(ts_col) >= _day_after(since_day))
-    keywords = (recent
-                .select("account_key", F.upper(F.translate("keywords", "- ", "")).alias("kw"))
-                .groupBy("account_key", "kw")
-                .agg(F.count(F.lit(1)).alias("n")))
+    keywords = recent.select("account_key", F.upper(F.translate("keywords", "- ", "")).alias("kw"))
     located = (account
                .select("account_key", "account_id", "account_name", "location_key")
                .join(location.select("location_key", "location_city", "location_zip_code"), "location_key"))
-    # counts: numeric sums only, so the fact side stays in hash aggregation
     name_keys = located.select("account_key", F.upper(F.translate("account_name", "' ", "")).alias("name_key"))
+    if fits_broadcast(name_keys, broadcast_rows):
+        # no shuffle of the activity: broadcast join, one count per search
+        joined = keywords.join(F.broadcast(name_keys), "account_key").withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        # count distinct (key, keyword) first, so the shuffle join moves reduced rows
+        counted = keywords.groupBy("account_key", "kw").agg(F.count(F.lit(1)).alias("n"))
+        joined = counted.join(name_keys, "account_key")
+    # numeric sums only, so the fact side stays in hash aggregation
     non_name = F.coalesce(F.col("kw") != F.col("name_key"), F.lit(False))
-    counts = (keywords.join(name_keys, "account_key")
-              .groupBy("account_key")
+    counts = (joined.groupBy("account_key")
               .agg(F.sum("n").alias("total_count"), F.sum(F.when(non_name, F.col("n"))).alias("per_category_count")))
     # one set of text attributes per key (the original grouped by key alone), from the account side only
     attributes = located.groupBy("account_key").agg(

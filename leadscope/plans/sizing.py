@@ -1,12 +1,13 @@
 """Explicit, checked broadcasts.
 
 Catalyst and AQE broadcast a join side on their own when its (estimated or measured)
-size is under ``spark.sql.autoBroadcastJoinThreshold``; the jobs rely on that for sides
-whose size follows the data.  A side that must never be shuffled against the fact table –
-a join on a low-cardinality key (e.g. a click type), where a sort-merge join would put
-whole fractions of the data into a few tasks and AQE cannot split an existence join – is
-broadcast by hint, but only after its row count is checked.  Beyond the limit the side
-is returned unhinted and the planner chooses (shuffle join, AQE skew splitting).
+size is under ``spark.sql.autoBroadcastJoinThreshold``.  Where the plan *shape* depends
+on whether a side can be broadcast, or where a side must never be shuffled against the
+fact table – a join on a low-cardinality key such as a click type, where a sort-merge
+join would put whole fractions of the data into a few tasks and AQE cannot split an
+existence join – the jobs check the side's row count first and broadcast by hint only
+under the bound.  Beyond the bound the side is left unhinted and the job takes its
+shuffle-based form (planner's choice, AQE skew splitting).
 """
 
 from __future__ import annotations
@@ -14,14 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side of up to a million short rows is a few tens of MB on every executor.
+# A lookup side of up to a million short rows (a key and a name) is some tens of MB on
+# every executor; the bound applies to projected sides, so row width stays small.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most ``max_rows + 1`` rows
+    (``limit`` stops the scan early); ``max_rows <= 0`` disables broadcasting."""
+    if max_rows <= 0:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

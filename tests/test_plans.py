@@ -54,9 +54,21 @@ def test_column_pruning_on_flagship(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan
 
 
-def test_partial_aggregate_before_join(spark):
-    """The flagship counts distinct (key, heading, directory, term) before the account join."""
+def test_flagship_broadcast_shape_shuffles_only_counters(spark):
+    """Accounts within the bound: broadcast join, the only shuffle carries (heading, directory) partials."""
     plan = _plan(catalog.JOBS["heading_directory_profile"](spark, SF001))
+    assert "BroadcastHashJoin" in plan
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "heading_id" in shuffles[0] and "directory_id" in shuffles[0]
+
+
+def test_partial_aggregate_before_shuffle_join(spark):
+    """Accounts beyond the bound: distinct (key, heading, directory, term) are counted before the join."""
+    from leadscope.operators import profiles
+    from leadscope.plans import fixtures as fx
+
+    df = profiles.heading_directory_profile(fx.activity(spark, SF001), fx.account(spark, SF001), broadcast_rows=0)
+    plan = _plan(df)
     assert plan.count("HashAggregate") >= 4   # partial + final before the join, partial + final after
 
 

@@ -20,7 +20,7 @@ def test_bounded_broadcast_checks_rows(spark):
 
 
 def test_hot_key_is_split_and_lookup_stays_broadcast(spark):
-    """A third of the activity on one account; broadcasts of size-following sides disabled:
+    """A third of the activity on one account; the child list beyond the broadcast bound:
     the child-key join is split by AQE, the click-type check stays a broadcast."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -38,7 +38,8 @@ def test_hot_key_is_split_and_lookup_stays_broadcast(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = leads.online_leads(hot, fx.click_type(spark), fx.account_bridge(spark, SF01), "2024-01-01", "2024-01-31")
+        df = leads.online_leads(hot, fx.click_type(spark), fx.account_bridge(spark, SF01), "2024-01-01", "2024-01-31",
+                                broadcast_rows=0)  # the child list treated as too large to broadcast
         plan = _final_plan(df)
         assert "SortMergeJoin(skew=true)" in plan
         assert "BroadcastHashJoin" in plan and "ExistenceJoin" in plan
@@ -49,3 +50,23 @@ def test_hot_key_is_split_and_lookup_stays_broadcast(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_profile_shapes_agree(spark):
+    """Both plan shapes of the flagship (broadcast / pre-aggregate + shuffle join) give the same rows."""
+    from leadscope.operators import profiles
+
+    act, acc = fx.activity(spark, SF01), fx.account(spark, SF01)
+    a = profiles.heading_directory_profile(act, acc)
+    b = profiles.heading_directory_profile(act, acc, broadcast_rows=0)
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_share_shapes_agree(spark):
+    from leadscope.operators import share
+
+    args = (fx.activity(spark, SF01), fx.account(spark, SF01), fx.location(spark, SF01))
+    a = share.non_name_share(*args, since="2024-01-10")
+    b = share.non_name_share(*args, since="2024-01-10", broadcast_rows=0)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
