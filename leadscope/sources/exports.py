@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadscope.functions.numeric import flag_is_one, to_long, tolerant_double
+from leadscope.functions.numeric import to_long, tolerant_double
 from leadscope.functions.text import clean_text, java_trim
 
 # Field positions (0-based) of the comma-separated activity export.
@@ -64,73 +64,81 @@ def day_of_file(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$", 1), "yyyy-MM-dd")
 
 
-def _fields(line: Column, sep: str) -> Column:
-    return F.split(line, sep, -1)
-
-
 def _field(parts: Column, pos: int) -> Column:
     return F.get(parts, pos)
 
 
-def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    parts = _fields(F.col(line_col), ",")
-    f = {name: clean_text(_field(parts, pos)) for name, pos in ACTIVITY_POSITIONS.items()}
-    longs = {name: to_long(f[name]) for name in ("account_key", "heading_id", "directory_id", "referer_id")}
-    mobile_number = to_long(f["is_mobile"])
-    n_fields = F.coalesce(F.size(parts), F.lit(0))
-    reason = (F.when(n_fields < ACTIVITY_MIN_FIELDS, F.lit(SHORT_ROW))
-              .when(reduce(operator.or_, [c.isNull() for c in [*longs.values(), mobile_number]]), F.lit(BAD_NUMBER)))
+def _parse(lines: DataFrame, line_col: str, sep: str, keep_line: bool, build) -> DataFrame:
+    """Split each line once, then compute every output field (and the reject reason) from
+    the field array inside one generator over a one-element array.
+
+    Catalyst pushes filters below projections by inlining the projected expressions, so a
+    ``reject_reason IS NULL`` filter on plain projections would re-split the line once per
+    referenced field.  It does not push a filter on generator output below the generator,
+    so here each line is parsed exactly once, whatever filter follows (``good``/``rejects``).
+    """
     carry = [c for c in lines.columns if keep_line or c != line_col]
-    return lines.select(
-        *carry,
-        longs["account_key"].alias("account_key"),
-        f["keywords"].alias("keywords"),
-        f["date"].alias("date_text"),
-        longs["heading_id"].alias("heading_id"),
-        longs["directory_id"].alias("directory_id"),
-        longs["referer_id"].alias("referer_id"),
-        tolerant_double(f["impression_weight"]).alias("impression_weight"),
-        tolerant_double(f["click_weight"]).alias("click_weight"),
-        flag_is_one(f["is_mobile"]).alias("is_mobile"),
-        reason.alias("reject_reason"),
-    )
+    split = lines.select(*carry, F.split(F.col(line_col), sep, -1).alias("_parts"))
+    parts = F.col("_parts")
+    fields = build(parts, F.coalesce(F.size(parts), F.lit(0)))
+    row = F.struct(*[col.alias(name) for name, col in fields.items()])
+    return split.select(*carry, F.inline(F.array(row)))
+
+
+def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
+    def build(parts: Column, n_fields: Column) -> dict[str, Column]:
+        f = {name: clean_text(_field(parts, pos)) for name, pos in ACTIVITY_POSITIONS.items()}
+        longs = {name: to_long(f[name]) for name in ("account_key", "heading_id", "directory_id", "referer_id")}
+        mobile_number = to_long(f["is_mobile"])
+        reason = (F.when(n_fields < ACTIVITY_MIN_FIELDS, F.lit(SHORT_ROW))
+                  .when(reduce(operator.or_, [c.isNull() for c in [*longs.values(), mobile_number]]),
+                        F.lit(BAD_NUMBER)))
+        return {
+            "account_key": longs["account_key"],
+            "keywords": f["keywords"],
+            "date_text": f["date"],
+            "heading_id": longs["heading_id"],
+            "directory_id": longs["directory_id"],
+            "referer_id": longs["referer_id"],
+            "impression_weight": tolerant_double(f["impression_weight"]),
+            "click_weight": tolerant_double(f["click_weight"]),
+            "is_mobile": mobile_number == F.lit(1),
+            "reject_reason": reason,
+        }
+    return _parse(lines, line_col, ",", keep_line, build)
 
 
 def parse_account_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    parts = _fields(F.col(line_col), ";")
-    key = to_long(clean_text(_field(parts, ACCOUNT_POSITIONS["account_key"])))
-    vertical = F.replace(F.upper(java_trim(_field(parts, ACCOUNT_POSITIONS["vertical"]))), F.lit('"'), F.lit(""))
-    n_fields = F.coalesce(F.size(parts), F.lit(0))
-    reason = (F.when(n_fields < ACCOUNT_MIN_FIELDS, F.lit(SHORT_ROW))
-              .when(key.isNull(), F.lit(BAD_NUMBER))
-              .when(~vertical.isin(*KEPT_VERTICALS), F.lit(OTHER_VERTICAL)))
-    carry = [c for c in lines.columns if keep_line or c != line_col]
-    return lines.select(
-        *carry,
-        key.alias("account_key"),
-        _field(parts, ACCOUNT_POSITIONS["account_id"]).alias("account_id"),
-        _field(parts, ACCOUNT_POSITIONS["account_name"]).alias("account_name"),
-        vertical.alias("vertical"),
-        reason.alias("reject_reason"),
-    )
+    def build(parts: Column, n_fields: Column) -> dict[str, Column]:
+        key = to_long(clean_text(_field(parts, ACCOUNT_POSITIONS["account_key"])))
+        vertical = F.replace(F.upper(java_trim(_field(parts, ACCOUNT_POSITIONS["vertical"]))), F.lit('"'), F.lit(""))
+        reason = (F.when(n_fields < ACCOUNT_MIN_FIELDS, F.lit(SHORT_ROW))
+                  .when(key.isNull(), F.lit(BAD_NUMBER))
+                  .when(~vertical.isin(*KEPT_VERTICALS), F.lit(OTHER_VERTICAL)))
+        return {
+            "account_key": key,
+            "account_id": _field(parts, ACCOUNT_POSITIONS["account_id"]),
+            "account_name": _field(parts, ACCOUNT_POSITIONS["account_name"]),
+            "vertical": vertical,
+            "reject_reason": reason,
+        }
+    return _parse(lines, line_col, ";", keep_line, build)
 
 
 def parse_extract_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    parts = _fields(F.col(line_col), ";")
-    key = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["account_key"])))
-    directory = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["directory_id"])))
-    n_fields = F.coalesce(F.size(parts), F.lit(0))
-    reason = (F.when(n_fields < EXTRACT_MIN_FIELDS, F.lit(SHORT_ROW))
-              .when(key.isNull() | directory.isNull(), F.lit(BAD_NUMBER)))
-    carry = [c for c in lines.columns if keep_line or c != line_col]
-    return lines.select(
-        *carry,
-        key.alias("account_key"),
-        directory.alias("directory_id"),
-        clean_text(_field(parts, EXTRACT_POSITIONS["impressions"])).alias("impressions"),
-        clean_text(_field(parts, EXTRACT_POSITIONS["clicks"])).alias("clicks"),
-        reason.alias("reject_reason"),
-    )
+    def build(parts: Column, n_fields: Column) -> dict[str, Column]:
+        key = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["account_key"])))
+        directory = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["directory_id"])))
+        reason = (F.when(n_fields < EXTRACT_MIN_FIELDS, F.lit(SHORT_ROW))
+                  .when(key.isNull() | directory.isNull(), F.lit(BAD_NUMBER)))
+        return {
+            "account_key": key,
+            "directory_id": directory,
+            "impressions": clean_text(_field(parts, EXTRACT_POSITIONS["impressions"])),
+            "clicks": clean_text(_field(parts, EXTRACT_POSITIONS["clicks"])),
+            "reject_reason": reason,
+        }
+    return _parse(lines, line_col, ";", keep_line, build)
 
 
 def good(parsed: DataFrame) -> DataFrame:

@@ -83,3 +83,10 @@ def test_oracle_gate(spark, sf):
         if not r["ok"]:
             bad.append(r)
     assert not bad, bad
+
+
+@pytest.mark.parametrize("name", ["activity_ingest", "account_rejects", "monthly_totals"])
+def test_lines_are_split_once(spark, name):
+    """The reject filter stays above the parse: each line is split exactly once."""
+    plan = _plan(catalog.JOBS[name](spark, SF001))
+    assert plan.count("split(") == 1, plan
