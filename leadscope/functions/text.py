@@ -25,7 +25,12 @@ def _col(c: Column | str) -> Column:
 
 
 def java_trim(c: Column | str) -> Column:
-    return F.trim(_col(c), F.lit(JAVA_TRIM_CHARS))
+    """Strip characters <= U+0020 at both ends.  The set trim is only applied when the first
+    or last character is in the set (a one-character comparison); most values pass as is."""
+    c = _col(c)
+    blank = F.lit(" ")
+    at_edge = (F.left(c, F.lit(1)) <= blank) | (F.right(c, F.lit(1)) <= blank)
+    return F.when(at_edge, F.trim(c, F.lit(JAVA_TRIM_CHARS))).otherwise(c)
 
 
 def clean_text(c: Column | str) -> Column:

@@ -68,26 +68,37 @@ def _field(parts: Column, pos: int) -> Column:
     return F.get(parts, pos)
 
 
-def _parse(lines: DataFrame, line_col: str, sep: str, keep_line: bool, build) -> DataFrame:
-    """Split each line once, then compute every output field (and the reject reason) from
-    the field array inside one generator over a one-element array.
+def _parse(lines: DataFrame, line_col: str, sep: str, keep_line: bool, fields: dict, build) -> DataFrame:
+    """Split each line once, clean the needed fields once, then compute the typed output and
+    the reject reason inside one generator over a one-element array.
 
     Catalyst pushes filters below projections by inlining the projected expressions, so a
     ``reject_reason IS NULL`` filter on plain projections would re-split the line once per
     referenced field.  It does not push a filter on generator output below the generator,
     so here each line is parsed exactly once, whatever filter follows (``good``/``rejects``).
+    ``fields`` maps names to expressions over the field array; ``build`` maps the cleaned
+    field columns and the field count to the output columns.
     """
     carry = [c for c in lines.columns if keep_line or c != line_col]
     split = lines.select(*carry, F.split(F.col(line_col), sep, -1).alias("_parts"))
     parts = F.col("_parts")
-    fields = build(parts, F.coalesce(F.size(parts), F.lit(0)))
-    row = F.struct(*[col.alias(name) for name, col in fields.items()])
-    return split.select(*carry, F.inline(F.array(row)))
+    cleaned = split.select(*carry, F.coalesce(F.size(parts), F.lit(0)).alias("_n"),
+                           *[expr(parts).alias(f"_f_{name}") for name, expr in fields.items()])
+    out = build({name: F.col(f"_f_{name}") for name in fields}, F.col("_n"))
+    row = F.struct(*[col.alias(name) for name, col in out.items()])
+    return cleaned.select(*carry, F.inline(F.array(row)))
+
+
+def _cleaned(pos: int):
+    return lambda parts: clean_text(_field(parts, pos))
+
+
+def _raw(pos: int):
+    return lambda parts: _field(parts, pos)
 
 
 def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    def build(parts: Column, n_fields: Column) -> dict[str, Column]:
-        f = {name: clean_text(_field(parts, pos)) for name, pos in ACTIVITY_POSITIONS.items()}
+    def build(f: dict[str, Column], n_fields: Column) -> dict[str, Column]:
         longs = {name: to_long(f[name]) for name in ("account_key", "heading_id", "directory_id", "referer_id")}
         mobile_number = to_long(f["is_mobile"])
         reason = (F.when(n_fields < ACTIVITY_MIN_FIELDS, F.lit(SHORT_ROW))
@@ -105,40 +116,35 @@ def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bo
             "is_mobile": mobile_number == F.lit(1),
             "reject_reason": reason,
         }
-    return _parse(lines, line_col, ",", keep_line, build)
+    fields = {name: _cleaned(pos) for name, pos in ACTIVITY_POSITIONS.items()}
+    return _parse(lines, line_col, ",", keep_line, fields, build)
 
 
 def parse_account_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    def build(parts: Column, n_fields: Column) -> dict[str, Column]:
-        key = to_long(clean_text(_field(parts, ACCOUNT_POSITIONS["account_key"])))
-        vertical = F.replace(F.upper(java_trim(_field(parts, ACCOUNT_POSITIONS["vertical"]))), F.lit('"'), F.lit(""))
+    def build(f: dict[str, Column], n_fields: Column) -> dict[str, Column]:
+        key = to_long(f["account_key"])
+        vertical = F.replace(F.upper(java_trim(f["vertical"])), F.lit('"'), F.lit(""))
         reason = (F.when(n_fields < ACCOUNT_MIN_FIELDS, F.lit(SHORT_ROW))
                   .when(key.isNull(), F.lit(BAD_NUMBER))
                   .when(~vertical.isin(*KEPT_VERTICALS), F.lit(OTHER_VERTICAL)))
-        return {
-            "account_key": key,
-            "account_id": _field(parts, ACCOUNT_POSITIONS["account_id"]),
-            "account_name": _field(parts, ACCOUNT_POSITIONS["account_name"]),
-            "vertical": vertical,
-            "reject_reason": reason,
-        }
-    return _parse(lines, line_col, ";", keep_line, build)
+        return {"account_key": key, "account_id": f["account_id"], "account_name": f["account_name"],
+                "vertical": vertical, "reject_reason": reason}
+    fields = {"account_key": _cleaned(ACCOUNT_POSITIONS["account_key"]),
+              "account_id": _raw(ACCOUNT_POSITIONS["account_id"]),
+              "account_name": _raw(ACCOUNT_POSITIONS["account_name"]),
+              "vertical": _raw(ACCOUNT_POSITIONS["vertical"])}
+    return _parse(lines, line_col, ";", keep_line, fields, build)
 
 
 def parse_extract_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
-    def build(parts: Column, n_fields: Column) -> dict[str, Column]:
-        key = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["account_key"])))
-        directory = to_long(clean_text(_field(parts, EXTRACT_POSITIONS["directory_id"])))
+    def build(f: dict[str, Column], n_fields: Column) -> dict[str, Column]:
+        key, directory = to_long(f["account_key"]), to_long(f["directory_id"])
         reason = (F.when(n_fields < EXTRACT_MIN_FIELDS, F.lit(SHORT_ROW))
                   .when(key.isNull() | directory.isNull(), F.lit(BAD_NUMBER)))
-        return {
-            "account_key": key,
-            "directory_id": directory,
-            "impressions": clean_text(_field(parts, EXTRACT_POSITIONS["impressions"])),
-            "clicks": clean_text(_field(parts, EXTRACT_POSITIONS["clicks"])),
-            "reject_reason": reason,
-        }
-    return _parse(lines, line_col, ";", keep_line, build)
+        return {"account_key": key, "directory_id": directory, "impressions": f["impressions"],
+                "clicks": f["clicks"], "reject_reason": reason}
+    fields = {name: _cleaned(pos) for name, pos in EXTRACT_POSITIONS.items()}
+    return _parse(lines, line_col, ";", keep_line, fields, build)
 
 
 def good(parsed: DataFrame) -> DataFrame:
