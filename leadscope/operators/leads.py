@@ -195,7 +195,8 @@ def lead_reconciliation(activity: DataFrame, click_type: DataFrame, phone_lead:
 # ---------------------------------------------------------------- record checks
 
 def report_violations(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,
-                      reconciliation: DataFrame | None = None) -> DataFrame:
+                      reconciliation: DataFrame | None = None,
+                      broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """One row per (online report record, broken rule): rule name and offending value.
 
     Rules: empty_platform, unknown_platform (not Desktop/Mobile), not_a_lead (click type
@@ -210,8 +211,10 @@ def report_violations(report: DataFrame, bridge: DataFrame, begin, end, parents:
         good_parents = (reconciliation.groupBy("parent_account_id")
                         .agg(F.bool_and("ok").alias("all_ok")).filter("all_ok").select("parent_account_id"))
         ok_ids = ids.join(good_parents, "parent_account_id", "left_semi").select("child_id").distinct()
+        ok_ids = bounded_broadcast(ok_ids, broadcast_rows)
         rows = rows.join(ok_ids, rows["merchant_id"] == ok_ids["child_id"], "left_semi")
     expected = ids.select(F.col("child_id").alias("expected_id")).distinct().withColumn("expected", F.lit(True))
+    expected = bounded_broadcast(expected, broadcast_rows)
     rows = rows.join(expected, rows["merchant_id"] == expected["expected_id"], "left")
     platform = F.coalesce(F.col("platform"), F.lit(""))
     c, i = F.col("clicks"), F.col("impressions")

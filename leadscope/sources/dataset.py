@@ -4,8 +4,13 @@ This replaces one file and one table per channel × day × fullness.  A day rang
 channel is a partition filter (only the matching folders are listed and read), and a
 missing day is a row of an anti join, not an exception.
 
-Writing does not shuffle: each task writes the days it holds, sorted by the partition
-columns so one file is open at a time, and ``max_records_per_file`` bounds file size.
+By default writing does not shuffle: each task writes the days it holds, sorted by the
+partition columns so one file is open at a time, and ``max_records_per_file`` bounds file
+size.  That suits exports whose input files are per day and channel.  When every input
+split mixes many days, ``files_per_day`` clusters rows first: a shuffle on (channel,
+snapshot, day, bucket) with a deterministic bucket from a row hash, so each day gets that
+many files (and a hot day is spread over that many tasks) and a retried task sends every
+row to the same place.
 Re-running an export overwrites only the partitions it writes (dynamic overwrite), so a
 retried job after a lost executor gives the same dataset.
 """
@@ -36,8 +41,11 @@ def with_partition_columns(activity: DataFrame, snapshot: str = "full") -> DataF
 
 
 def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full",
-                           max_records_per_file: int = 5_000_000) -> str:
+                           max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
     df = with_partition_columns(activity, snapshot)
+    if files_per_day:
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in activity.columns]), F.lit(files_per_day))
+        df = df.repartition(*[F.col(c) for c in PARTITION_COLUMNS], bucket)
     (df.sortWithinPartitions(*PARTITION_COLUMNS)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")

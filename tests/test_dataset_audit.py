@@ -28,6 +28,16 @@ def test_dataset_round_trip_prunes_partitions(spark, scratch):
     assert dataset.day_range(dataset.read_activity_dataset(spark, path), "2024-01-01", "2024-01-31").count() == act.count()
 
 
+def test_clustered_export_bounds_files_per_day(spark, scratch):
+    import glob
+
+    act = fx.activity(spark, SF001).repartition(4)   # every split holds every day
+    path = dataset.write_activity_dataset(act, os.path.join(scratch, "clustered"), files_per_day=2)
+    day_dirs = glob.glob(os.path.join(path, "channel=*", "snapshot=full", "activity_date=*"))
+    assert day_dirs and all(len(glob.glob(os.path.join(d, "*.parquet"))) <= 2 for d in day_dirs)
+    assert dataset.read_activity_dataset(spark, path).count() == act.count()
+
+
 def test_missing_days_anti_join(spark, scratch):
     act = fx.activity(spark, SF001)
     gap = act.filter(~((F.col("activity_date") == dt.date(2024, 1, 7)) & F.col("is_mobile")))
