@@ -45,7 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The folder named by ``spark.checkpoint.dir`` (or set on the context) is used as is.
     Only when neither is set – local tests – a private folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the server-side setting is authoritative
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="leadscope-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
