@@ -83,3 +83,11 @@ def test_component_audit_flags_zero_hours(spark):
     assert got[("YY", 2024)] is None
     assert got[("hh", 0)] == "hour of day must be in [1,24]: currently 0"
     assert got[("MM", 1)] is None
+
+
+def test_sample_repeats_with_its_seed(spark):
+    from leadscope.plans import catalog
+
+    a = sorted(r.event_id for r in catalog.JOBS["activity_sample"](spark, "/root/testdata/sf0.1").collect())
+    b = sorted(r.event_id for r in catalog.JOBS["activity_sample"](spark, "/root/testdata/sf0.1").collect())
+    assert a == b and 40 <= len(a) <= 200   # 0.1 % of 100,000 rows, same rows for the same seed
