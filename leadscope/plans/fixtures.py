@@ -100,6 +100,13 @@ def _phone_created(o: DataFrame) -> Column:
     return F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
 
 
+def _clock(ts: Column) -> Column:
+    """HH:mm:ss of a TIMESTAMP_NTZ without going through the session time zone (date_format
+    would, and wall-clock times inside a daylight-saving gap would shift)."""
+    two = [F.lpad(_s(part(ts)), 2, "0") for part in (F.hour, F.minute, F.second)]
+    return F.concat_ws(":", *two)
+
+
 def phone_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phone lead source records (one per order)."""
     o = table(spark, sf_dir, "orders")
@@ -118,7 +125,7 @@ def phone_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.filter(~missing).select(
         F.col("o_orderkey").alias("phone_lead_id"),
         _s(created.cast("date")).alias("phone_lead_date"),
-        F.date_format(created, "HH:mm:ss").alias("phone_lead_time"),
+        _clock(created).alias("phone_lead_time"),
         _s(F.col("o_custkey")).alias("merchant_id"),
         F.concat(F.lit("A"), _s(F.col("o_custkey"))).alias("cust_account_id"),
         F.col("o_orderpriority").alias("zone"),

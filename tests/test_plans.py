@@ -90,3 +90,23 @@ def test_lines_are_split_once(spark, name):
     """The reject filter stays above the parse: each line is split exactly once."""
     plan = _plan(catalog.JOBS[name](spark, SF001))
     assert plan.count("split(") == 1, plan
+
+
+def test_oracle_gate_under_other_session_settings(spark):
+    """Results must not depend on the session: AQE off, no automatic broadcast, few shuffle
+    partitions and a time zone with daylight saving (sf0.01 has a wall-clock time in a DST gap)."""
+    from tests.conftest import SF01
+    from tests.oracle_harness import compare, duck
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.session.timeZone": "America/Toronto"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        con = duck(SF01)
+        bad = [r for r in (compare(spark, n, SF01, con) for n in entry.oracle_sql()) if not r["ok"]]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert not bad, bad
