@@ -1,7 +1,7 @@
 """Column expressions shared by the jobs (no Python UDFs)."""
 
 from leadscope.functions.dates import component_violation, date_argument, is_date_text, parse_date_text
-from leadscope.functions.numeric import exact_amount, flag_is_one, round_half_up, to_long, tolerant_double
+from leadscope.functions.numeric import exact_amount, round_half_up, to_long, tolerant_double
 from leadscope.functions.text import (
     branch_contains,
     branch_edit_distance,
@@ -18,7 +18,7 @@ from leadscope.functions.text import (
 
 __all__ = [
     "branch_contains", "branch_edit_distance", "branch_half_prefix", "clean_text", "component_violation",
-    "date_argument", "exact_amount", "flag_is_one", "is_date_text", "is_empty_term", "is_none_term",
+    "date_argument", "exact_amount", "is_date_text", "is_empty_term", "is_none_term",
     "java_trim", "name_match", "non_name_search", "normalised_name", "normalised_term", "parse_date_text",
     "round_half_up", "to_long", "tolerant_double",
 ]

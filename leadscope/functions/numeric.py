@@ -24,11 +24,6 @@ def tolerant_double(c: Column | str) -> Column:
     return F.coalesce(_col(c).try_cast("double"), F.lit(0.0))
 
 
-def flag_is_one(c: Column | str) -> Column:
-    """A flag text is true only when it is the integer 1 (NULL when not a number)."""
-    return to_long(c) == F.lit(1)
-
-
 def exact_amount(c: Column | str) -> Column:
     """Text -> DECIMAL amount; unparsable, NaN or infinite values count as 0."""
     return F.coalesce(_col(c).try_cast("double").try_cast(AMOUNT_TYPE), F.lit(0).cast(AMOUNT_TYPE))

@@ -113,7 +113,7 @@ def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bo
             "referer_id": longs["referer_id"],
             "impression_weight": tolerant_double(f["impression_weight"]),
             "click_weight": tolerant_double(f["click_weight"]),
-            "is_mobile": mobile_number == F.lit(1),
+            "is_mobile": mobile_number == F.lit(1),   # a flag is true only as the integer 1
             "reject_reason": reason,
         }
     fields = {name: _cleaned(pos) for name, pos in ACTIVITY_POSITIONS.items()}
