@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
 from leadscope.functions.numeric import to_long
-from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits_broadcast
 
 # Click-type names that count as leads (21 distinct names).
 LEAD_CLICK_TYPES = (
@@ -207,14 +207,17 @@ def report_violations(report: DataFrame, bridge: DataFrame, begin, end, parents:
     """
     rows = typed_online_report(report)
     ids = child_ids(bridge, parents)
+    expected = ids.select(F.col("child_id").alias("expected_id")).distinct()
+    # one size check proves the bound for both lookups: the reconciled children are a subset
+    small = fits_broadcast(expected, broadcast_rows)
     if reconciliation is not None:
         good_parents = (reconciliation.groupBy("parent_account_id")
                         .agg(F.bool_and("ok").alias("all_ok")).filter("all_ok").select("parent_account_id"))
         ok_ids = ids.join(good_parents, "parent_account_id", "left_semi").select("child_id").distinct()
-        ok_ids = bounded_broadcast(ok_ids, broadcast_rows)
+        ok_ids = F.broadcast(ok_ids) if small else ok_ids
         rows = rows.join(ok_ids, rows["merchant_id"] == ok_ids["child_id"], "left_semi")
-    expected = ids.select(F.col("child_id").alias("expected_id")).distinct().withColumn("expected", F.lit(True))
-    expected = bounded_broadcast(expected, broadcast_rows)
+    expected = expected.withColumn("expected", F.lit(True))
+    expected = F.broadcast(expected) if small else expected
     rows = rows.join(expected, rows["merchant_id"] == expected["expected_id"], "left")
     platform = F.coalesce(F.col("platform"), F.lit(""))
     c, i = F.col("clicks"), F.col("impressions")
