@@ -40,11 +40,10 @@ def with_partition_columns(activity: DataFrame, snapshot: str = "full") -> DataF
     return df.withColumn("snapshot", F.lit(snapshot))
 
 
-def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full",
-                           max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
-    df = with_partition_columns(activity, snapshot)
+def _write(df: DataFrame, path: str, max_records_per_file: int, files_per_day: int | None,
+           hash_columns: list[str]) -> str:
     if files_per_day:
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in activity.columns]), F.lit(files_per_day))
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hash_columns]), F.lit(files_per_day))
         df = df.repartition(*[F.col(c) for c in PARTITION_COLUMNS], bucket)
     (df.sortWithinPartitions(*PARTITION_COLUMNS)
        .write.mode("overwrite")
@@ -55,14 +54,28 @@ def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full
     return path
 
 
-def export_activity(activity: DataFrame, path: str, sample_fraction: float | None = 0.001,
-                    seed: int = 1) -> str:
-    """Full snapshot and (optionally) the sampled snapshot of the same activity, one dataset."""
-    write_activity_dataset(activity, path, "full")
+def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full",
+                           max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
+    """Write ``activity`` as one snapshot of the dataset (only the days it holds are replaced)."""
+    return _write(with_partition_columns(activity, snapshot), path, max_records_per_file, files_per_day,
+                  activity.columns)
+
+
+def export_activity(activity: DataFrame, path: str, sample_fraction: float | None = 0.001, seed: int = 1,
+                    max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
+    """Full snapshot and (optionally) a sampled snapshot of the same activity, in one pass.
+
+    Each row is written to ``snapshot=full`` and, when a seeded Bernoulli draw selects it
+    (probability ``sample_fraction``, no replacement), also to ``snapshot=sample``: one scan
+    and one write job instead of two.  ``rand(seed)`` is seeded per partition, so a retried
+    task draws the same rows."""
+    df = with_partition_columns(activity, "full").drop("snapshot")
+    snapshots = F.array(F.lit("full"))
     if sample_fraction:
-        write_activity_dataset(activity.sample(withReplacement=False, fraction=sample_fraction, seed=seed),
-                               path, "sample")
-    return path
+        snapshots = F.when(F.rand(seed) < F.lit(sample_fraction), F.array(F.lit("full"), F.lit("sample"))) \
+            .otherwise(snapshots)
+    both = df.withColumn("snapshot", F.explode(snapshots))
+    return _write(both, path, max_records_per_file, files_per_day, activity.columns)
 
 
 def read_activity_dataset(spark: SparkSession, path: str) -> DataFrame:

@@ -91,3 +91,15 @@ def test_sample_repeats_with_its_seed(spark):
     a = sorted(r.event_id for r in catalog.JOBS["activity_sample"](spark, "/root/testdata/sf0.1").collect())
     b = sorted(r.event_id for r in catalog.JOBS["activity_sample"](spark, "/root/testdata/sf0.1").collect())
     assert a == b and 40 <= len(a) <= 200   # 0.1 % of 100,000 rows, same rows for the same seed
+
+
+def test_one_pass_export_sample_is_repeatable(spark, scratch):
+    act = fx.activity(spark, "/root/testdata/sf0.01")
+    sampled = []
+    for name in ("first", "again"):
+        path = dataset.export_activity(act, os.path.join(scratch, name), sample_fraction=0.05, seed=1)
+        ds = dataset.read_activity_dataset(spark, path)
+        assert ds.filter(F.col("snapshot") == "full").count() == act.count()
+        sampled.append(sorted(r.event_id for r in ds.filter(F.col("snapshot") == "sample").select("event_id").collect()))
+    assert sampled[0] == sampled[1]
+    assert 300 <= len(sampled[0]) <= 700   # 5 % of 10,000 rows
