@@ -159,6 +159,19 @@ def share_report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_csv_with_header(spark, path, df.schema)
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental ingest over raw export files written from the driver tables (one
+    folder per channel and day, named like the exports): an availableNow stream converts
+    them into the partitioned dataset; rows per day and channel are read back."""
+    from leadscope.streaming import start_activity_ingest
+
+    root = shared_path(spark, "stream")
+    fx.activity_export_lines(spark, sf_dir).write.partitionBy("export").text(f"{root}/source")
+    start_activity_ingest(spark, f"{root}/source", f"{root}/dataset", f"{root}/rejects",
+                          f"{root}/checkpoints").await_all()
+    return dataset.rows_per_day(dataset.read_activity_dataset(spark, f"{root}/dataset"))
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,
     "merchant_profile": merchant_profile,
@@ -175,6 +188,7 @@ JOBS: dict[str, Job] = {
     "activity_sample": activity_sample,
     "activity_day_range": activity_day_range,
     "missing_days": missing_days,
+    "stream_ingest": stream_ingest,
     "child_accounts": child_accounts,
     "online_leads": online_leads,
     "phone_leads": phone_leads,

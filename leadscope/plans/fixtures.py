@@ -158,8 +158,11 @@ def online_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def activity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw comma-separated activity export lines (18 fields; some short, some with a bad key)."""
+def _activity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw comma-separated activity export lines (18 fields; some short, some with a bad key),
+    with the event id and the name of the daily export each belongs to."""
+    from leadscope.sources.exports import CHANNEL_FILE_PREFIXES
+
     a = activity(spark, sf_dir)
     eid = F.col("event_id")
     key = F.when(eid % 89 == 0, F.lit("bad")).otherwise(_s(F.col("account_key")))
@@ -170,7 +173,21 @@ def activity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('",a,b,c,d,'), imp, F.lit(","), _s(eid % 4), F.lit(',e,"'), _s(eid % 2),
         F.lit('",f,"'), F.col("event_type"), F.lit('"'))
     short = F.concat(F.lit("x,y,"), _s(F.col("account_key")))
-    return a.select(eid.alias("event_id"), F.when(eid % 97 == 0, short).otherwise(full).alias("line"))
+    export = F.concat(F.when(F.col("is_mobile"), F.lit(CHANNEL_FILE_PREFIXES["mobile"]))
+                      .otherwise(F.lit(CHANNEL_FILE_PREFIXES["online"])), _s(F.col("activity_date")))
+    return a.select(eid.alias("event_id"), F.when(eid % 97 == 0, short).otherwise(full).alias("line"),
+                    export.alias("export"))
+
+
+def activity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw comma-separated activity export lines with their event id."""
+    return _activity_lines(spark, sf_dir).select("event_id", "line")
+
+
+def activity_export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw activity lines with the name of the daily export they belong to
+    (``deduped-<day>`` online, ``API_DTA_D_<day>`` mobile)."""
+    return _activity_lines(spark, sf_dir).select("export", "line")
 
 
 def account_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

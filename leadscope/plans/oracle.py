@@ -513,3 +513,14 @@ ORACLES.update({
     "merchant_profile_all_rows": MERCHANT_PROFILE_ALL_ROWS,
     "merchant_profile_clicks": MERCHANT_PROFILE_CLICKS,
 })
+
+
+# ---------------------------------------------------------------- incremental ingest
+
+STREAM_INGEST = ACTIVITY_FIELDS + f"""
+SELECT a.activity_date, {CHANNEL_SQL} AS channel, {big('count(*)')} AS n
+FROM tagged t JOIN activity a ON a.event_id = t.event_id
+WHERE t.reason IS NULL
+GROUP BY 1, 2"""
+
+ORACLES.update({"stream_ingest": STREAM_INGEST})

@@ -11,6 +11,7 @@ positional with Spark's ``split(.., -1)``, which keeps trailing empty fields.
 from __future__ import annotations
 
 import operator
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,18 +51,23 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"))
 
 
+EXPORT_NAME_PATTERN = ("(" + "|".join(re.escape(p) for p in CHANNEL_FILE_PREFIXES.values()) + ")"
+                       + r"([0-9]{4}-[0-9]{2}-[0-9]{2})")
+
+
 def channel_of_file(path: Column) -> Column:
-    """Channel of an activity export from its file name, NULL for other files."""
-    name = F.regexp_extract(path, r"([^/]*)$", 1)
+    """Channel of an activity export from the export name (prefix + day) in its path –
+    the file name or a folder – NULL for other files."""
+    prefix = F.regexp_extract(path, EXPORT_NAME_PATTERN, 1)
     out = F.lit(None).cast("string")
-    for channel, prefix in CHANNEL_FILE_PREFIXES.items():
-        out = F.when(name.startswith(prefix), F.lit(channel)).otherwise(out)
+    for channel, p in CHANNEL_FILE_PREFIXES.items():
+        out = F.when(prefix == p, F.lit(channel)).otherwise(out)
     return out
 
 
 def day_of_file(path: Column) -> Column:
-    """Day of an activity export from the ``yyyy-MM-dd`` in its file name."""
-    return F.try_to_date(F.regexp_extract(path, r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*$", 1), "yyyy-MM-dd")
+    """Day of an activity export from the export name in its path."""
+    return F.try_to_date(F.regexp_extract(path, EXPORT_NAME_PATTERN, 2), "yyyy-MM-dd")
 
 
 def _field(parts: Column, pos: int) -> Column:
