@@ -118,10 +118,10 @@ def phone_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def phone_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivered phone report; pending orders of every 101st customer are missing."""
+    """The delivered phone report; the most expensive orders (over 497,000) are missing."""
     o = table(spark, sf_dir, "orders")
     created = _phone_created(o)
-    missing = (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 101 == 0)
+    missing = F.col("o_totalprice") > 497000
     return o.filter(~missing).select(
         F.col("o_orderkey").alias("phone_lead_id"),
         _s(created.cast("date")).alias("phone_lead_date"),
@@ -135,15 +135,16 @@ def phone_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def online_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivered online report: activity rows with a lead or empty click type,
-    one record in 997 missing, platforms and counters partly malformed."""
+    """The delivered online report: activity rows with a lead or empty click type; records
+    weighing over 300 are missing; platforms and counters partly malformed."""
     a = activity(spark, sf_dir)
     ct = bounded_broadcast(click_type(spark))  # low-cardinality key: never a shuffle join
     eid = F.col("event_id")
     platform = (F.when(eid % 17 == 0, F.lit("")).when(eid % 19 == 0, F.lit("Tablet"))
                 .when(F.col("is_mobile"), F.lit("Mobile")).otherwise(F.lit("Desktop")))
     et = F.col("event_type")
-    return (a.filter((F.col("click_type_id") != 3) & (eid % 997 != 0))
+    lost = (F.col("impression_weight") + F.col("click_weight")) > 300
+    return (a.filter((F.col("click_type_id") != 3) & ~lost)
             .join(ct, "click_type_id", "left")
             .select(
                 eid.alias("event_id"),

@@ -65,7 +65,7 @@ phone_report AS (
          strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%H:%M:%S') AS phone_lead_time,
          CAST(o_custkey AS VARCHAR) AS merchant_id, 'A' || CAST(o_custkey AS VARCHAR) AS cust_account_id,
          o_orderpriority AS zone, CAST(o_orderkey % 600 AS VARCHAR) AS duration, o_orderstatus AS answer_status
-  FROM orders WHERE NOT (o_orderstatus = 'P' AND o_custkey % 101 = 0))"""
+  FROM orders WHERE NOT (o_totalprice > 497000))"""
 
 ONLINE_REPORT = r"""
 online_report AS (
@@ -78,7 +78,7 @@ online_report AS (
               WHEN a.is_mobile THEN 'Mobile' ELSE 'Desktop' END AS platform,
          a.keywords AS keyword
   FROM activity a LEFT JOIN click_type c ON a.click_type_id = c.click_type_id
-  WHERE a.click_type_id <> 3 AND a.event_id % 997 <> 0)"""
+  WHERE a.click_type_id <> 3 AND NOT (a.impression_weight + a.click_weight > 300))"""
 
 ACTIVITY_LINES = r"""
 activity_lines AS (
