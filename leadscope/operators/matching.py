@@ -2,7 +2,8 @@
 
 Both jobs reduce activity to distinct (account, cleaned term) first – a partial aggregate,
 so hot keys and repeated terms collapse before any shuffle – normalise names once per
-account, join, and keep distinct pairs, so the edit distance runs once per pair.
+account, join (the name side broadcast within the checked bound), and keep distinct
+pairs, so the edit distance runs once per pair.
 """
 
 from __future__ import annotations
@@ -18,16 +19,18 @@ from leadscope.functions.text import (
     normalised_name,
     normalised_term,
 )
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 
 def _terms(activity: DataFrame) -> DataFrame:
     return activity.select("account_key", clean_text("keywords").alias("term")).distinct()
 
 
-def name_match_flags(activity: DataFrame, account: DataFrame) -> DataFrame:
+def name_match_flags(activity: DataFrame, account: DataFrame,
+                     broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Distinct (term, name) pairs met in the data, with normalised forms and branch flags."""
-    names = (account.select("account_key", clean_text("account_name").alias("name"))
-             .withColumn("n", normalised_name(F.col("name"))))
+    names = bounded_broadcast(account.select("account_key", clean_text("account_name").alias("name"))
+                              .withColumn("n", normalised_name(F.col("name"))), broadcast_rows)
     pairs = _terms(activity).join(names, "account_key").select("term", "name", "n").distinct()
     with_t = pairs.withColumn("t", normalised_term(F.col("term")))
     t, n = F.col("t"), F.col("n")
@@ -41,9 +44,11 @@ def name_match_flags(activity: DataFrame, account: DataFrame) -> DataFrame:
                         matched.alias("matched"))
 
 
-def edit_distance_profile(activity: DataFrame, account: DataFrame) -> DataFrame:
+def edit_distance_profile(activity: DataFrame, account: DataFrame,
+                          broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Per account and edit distance between normalised term and name: distinct pairs."""
-    names = account.select("account_key", normalised_name(clean_text("account_name")).alias("n"))
+    names = bounded_broadcast(account.select("account_key", normalised_name(clean_text("account_name")).alias("n")),
+                              broadcast_rows)
     pairs = (_terms(activity).join(names, "account_key")
              .select("account_key", normalised_term(F.col("term")).alias("t"), "n")
              .distinct())

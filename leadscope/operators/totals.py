@@ -13,15 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.functions.numeric import exact_amount, round_half_up
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 
-def monthly_totals(extract: DataFrame, account: DataFrame) -> DataFrame:
+def monthly_totals(extract: DataFrame, account: DataFrame,
+                   broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``extract``: account_key, directory_id, impressions, clicks (text);
     ``account``: account_key, account_id."""
     sums = (extract
             .groupBy("account_key", "directory_id")
             .agg(F.sum(exact_amount("impressions")).alias("imp"), F.sum(exact_amount("clicks")).alias("clk")))
-    joined = sums.join(account.select("account_key", "account_id"), "account_key")
+    accounts = bounded_broadcast(account.select("account_key", "account_id"), broadcast_rows)
+    joined = sums.join(accounts, "account_key")
     return (joined
             .groupBy("account_id", "account_key", "directory_id")
             .agg(round_half_up(F.sum("imp")).alias("impressions"), round_half_up(F.sum("clk")).alias("clicks")))

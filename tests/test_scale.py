@@ -70,3 +70,20 @@ def test_share_shapes_agree(spark):
     a = share.non_name_share(*args, since="2024-01-10")
     b = share.non_name_share(*args, since="2024-01-10", broadcast_rows=0)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_account_side_fallbacks_agree(spark):
+    """Beyond the broadcast bound (forced with broadcast_rows=0) every job gives the same rows."""
+    from leadscope.operators import matching, profiles, totals
+    from leadscope.sources import exports
+
+    act, acc = fx.activity(spark, SF01), fx.account(spark, SF01)
+    extract = exports.good(exports.parse_extract_lines(fx.extract_lines(spark, SF01)))
+    pairs = [
+        (lambda b: profiles.merchant_profile(act, acc, broadcast_rows=b)),
+        (lambda b: matching.name_match_flags(act, acc, broadcast_rows=b)),
+        (lambda b: matching.edit_distance_profile(act, acc, broadcast_rows=b)),
+        (lambda b: totals.monthly_totals(extract, acc, broadcast_rows=b)),
+    ]
+    for job in pairs:
+        assert sorted(map(tuple, job(1_000_000).collect())) == sorted(map(tuple, job(0).collect()))
