@@ -43,7 +43,7 @@ def _norm(v):
     if isinstance(v, bool):
         return (2, str(v))
     if isinstance(v, int):
-        return (1, f"{float(v):.9g}") if False else (3, str(v))
+        return (3, str(v))
     if isinstance(v, (dt.datetime, dt.date)):
         return (4, v.isoformat())
     return (5, str(v))
