@@ -37,9 +37,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, f"{v:.9g}")
+        return (1, repr(v))   # exact: both engines must produce the same double
     if isinstance(v, decimal.Decimal):
-        return (1, f"{float(v):.9g}")
+        return (1, str(v))
     if isinstance(v, bool):
         return (2, str(v))
     if isinstance(v, int):
