@@ -102,3 +102,11 @@ def test_violation_rules(spark, scratch, bridge):
 
 def test_lead_names_are_21_distinct():
     assert len(leads.LEAD_CLICK_TYPES) == len(set(leads.LEAD_CLICK_TYPES)) == 21
+
+
+def test_parents_as_a_dataframe(spark, scratch, bridge):
+    parents = as_parquet(spark, [("P2",), ("P2",), ("P9",)], "parent_account_id string", scratch)
+    got = sorted(tuple(r) for r in leads.child_accounts(bridge, parents).collect())
+    assert got == [("P2", "child_account_id", 21), ("P2", "child_account_key", 201)]
+    phone = as_parquet(spark, [(1, 201, dt.datetime(2014, 1, 3)), (2, 101, dt.datetime(2014, 1, 3))], PHONE, scratch)
+    assert [r.phone_lead_id for r in leads.phone_leads(phone, bridge, "2014-01-01", "2014-01-31", parents).collect()] == [1]
