@@ -14,20 +14,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 # A lookup side of up to a million short rows (a key and a name) is some tens of MB on
-# every executor; the bound applies to projected sides, so row width stays small.
+# every executor.  Both bounds must hold: rows, and bytes of the projected columns.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most ``max_rows + 1`` rows
-    (``limit`` stops the scan early); ``max_rows <= 0`` disables broadcasting."""
+def _row_bytes(df: DataFrame):
+    """Bytes of one row: string/binary lengths plus 8 for every fixed-width column."""
+    parts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+             if isinstance(f.dataType, (StringType, BinaryType)) else F.lit(8)
+             for f in df.schema.fields]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("bigint")
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of data.
+
+    Measured with one plain aggregate (partial counts and byte sums per partition, a tiny
+    shuffle) – not with ``limit``, which Spark finishes in a single partition and which
+    could funnel a large side through one task.  The check scans the (projected, lookup-
+    sized) side once; ``max_rows <= 0`` disables broadcasting."""
     if max_rows <= 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
+    rows, size = probe.first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is within both bounds, else ``df`` unchanged."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df

@@ -13,10 +13,16 @@ def _final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_bounded_broadcast_checks_rows(spark):
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
     small = spark.range(3)
-    assert "broadcast" in bounded_broadcast(small, max_rows=3)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in bounded_broadcast(small, max_rows=2)._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(bounded_broadcast(small, max_rows=3))
+    assert not hinted(bounded_broadcast(small, max_rows=2))
+    names = spark.range(3).select("id", F.repeat(F.lit("x"), 100).alias("name"))   # 3 * (8 + 100) bytes
+    assert hinted(bounded_broadcast(names, max_bytes=324))
+    assert not hinted(bounded_broadcast(names, max_bytes=323))
 
 
 def test_hot_key_is_split_and_lookup_stays_broadcast(spark):
