@@ -148,12 +148,14 @@ def _report_rows(typed: DataFrame, day_col: str, bridge: DataFrame, begin, end,
     return rows.join(ids, rows["merchant_id"] == ids["child_id"]).drop("child_id")
 
 
-def online_report(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None) -> DataFrame:
-    return _report_rows(typed_online_report(report), "date_day", bridge, begin, end, parents)
+def online_report(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,
+                  broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return _report_rows(typed_online_report(report), "date_day", bridge, begin, end, parents, broadcast_rows)
 
 
-def phone_report(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None) -> DataFrame:
-    return _report_rows(typed_phone_report(report), "phone_lead_date", bridge, begin, end, parents)
+def phone_report(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,
+                 broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return _report_rows(typed_phone_report(report), "phone_lead_date", bridge, begin, end, parents, broadcast_rows)
 
 
 # ---------------------------------------------------------------- reconciliation
@@ -226,7 +228,8 @@ def report_violations(report: DataFrame, bridge: DataFrame, begin, end, parents:
         ("unknown_platform", (platform != "") & ~F.upper(platform).isin(*PLATFORMS), platform),
         ("not_a_lead", ~F.coalesce(F.col("click_type_name").isin(*LEAD_CLICK_TYPES), F.lit(False)),
          F.col("click_type_name")),
-        ("clicks_xor_impressions", ~((c * i == 0) & (c + i > 0)),
+        # "c * i = 0 and c + i > 0" written without arithmetic, which could overflow BIGINT
+        ("clicks_xor_impressions", ~(((c == 0) & (i > 0)) | ((i == 0) & (c > 0))),
          F.concat(F.lit("clicks="), c.cast("string"), F.lit(", impressions="), i.cast("string"))),
         ("date_out_of_range", ~F.coalesce(date_in_days(F.col("date_day"), begin, end), F.lit(False)),
          F.col("date_day").cast("string")),

@@ -110,3 +110,15 @@ def test_parents_as_a_dataframe(spark, scratch, bridge):
     assert got == [("P2", "child_account_id", 21), ("P2", "child_account_key", 201)]
     phone = as_parquet(spark, [(1, 201, dt.datetime(2014, 1, 3)), (2, 101, dt.datetime(2014, 1, 3))], PHONE, scratch)
     assert [r.phone_lead_id for r in leads.phone_leads(phone, bridge, "2014-01-01", "2014-01-31", parents).collect()] == [1]
+
+
+def test_xor_rule_does_not_overflow(spark, scratch, bridge):
+    big = str(2 ** 62)
+    rep = as_parquet(spark, [(1, "2014-01-05", "11", big, "free_call", big, "Desktop"),
+                             (2, "2014-01-05", "11", "0", "free_call", big, "Desktop"),
+                             (3, "2014-01-05", "11", "-1", "free_call", "2", "Desktop")],
+                     "event_id bigint, date_day string, merchant_id string, impressions string, "
+                     "click_type_name string, clicks string, platform string", scratch)
+    got = sorted(r.event_id for r in leads.report_violations(rep, bridge, "2014-01-01", "2014-01-31").collect()
+                 if r.rule == "clicks_xor_impressions")
+    assert got == [1, 3]
