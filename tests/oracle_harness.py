@@ -26,8 +26,11 @@ def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
         path = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(path):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+        if os.path.isdir(path):          # a table written by Spark: a folder of part files
+            path = f"{path}/*.parquet"
+        elif not os.path.exists(path):
+            continue
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
