@@ -30,7 +30,7 @@ def java_trim(c: Column | str) -> Column:
     c = _col(c)
     blank = F.lit(" ")
     at_edge = (F.left(c, F.lit(1)) <= blank) | (F.right(c, F.lit(1)) <= blank)
-    return F.when(at_edge, F.trim(c, F.lit(JAVA_TRIM_CHARS))).otherwise(c)
+    return F.when(at_edge, F.btrim(c, F.lit(JAVA_TRIM_CHARS))).otherwise(c)
 
 
 def clean_text(c: Column | str) -> Column:
