@@ -94,12 +94,14 @@ def test_lines_are_split_once(spark, name):
 
 def test_oracle_gate_under_other_session_settings(spark):
     """Results must not depend on the session: AQE off, no automatic broadcast, few shuffle
-    partitions and a time zone with daylight saving (sf0.01 has a wall-clock time in a DST gap)."""
+    partitions, ANSI off and a time zone with daylight saving (sf0.01 has a wall-clock time
+    in a DST gap)."""
     from tests.conftest import SF01
     from tests.oracle_harness import compare, duck
 
     conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3",
-            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.session.timeZone": "America/Toronto"}
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.session.timeZone": "America/Toronto",
+            "spark.sql.ansi.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
