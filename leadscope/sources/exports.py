@@ -40,6 +40,9 @@ EXTRACT_MIN_FIELDS = 14
 # Source file name prefixes of the two activity channels.
 CHANNEL_FILE_PREFIXES = {"online": "deduped-", "mobile": "API_DTA_D_"}
 
+# A separator outside double-quoted sections: followed by an even number of quotes.
+QUOTE_AWARE = r'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
 SHORT_ROW = "short_row"
 BAD_NUMBER = "bad_number"
 OTHER_VERTICAL = "other_vertical"
@@ -103,7 +106,10 @@ def _raw(pos: int):
     return lambda parts: _field(parts, pos)
 
 
-def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:
+def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False,
+                         quoted: bool = False) -> DataFrame:
+    """``quoted=True`` keeps commas inside double quotes in their field (the export's own
+    positional split, the default, cuts there too)."""
     def build(f: dict[str, Column], n_fields: Column) -> dict[str, Column]:
         longs = {name: to_long(f[name]) for name in ("account_key", "heading_id", "directory_id", "referer_id")}
         mobile_number = to_long(f["is_mobile"])
@@ -123,7 +129,8 @@ def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bo
             "reject_reason": reason,
         }
     fields = {name: _cleaned(pos) for name, pos in ACTIVITY_POSITIONS.items()}
-    return _parse(lines, line_col, ",", keep_line, fields, build)
+    sep = QUOTE_AWARE.format(sep=",") if quoted else ","
+    return _parse(lines, line_col, sep, keep_line, fields, build)
 
 
 def parse_account_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:

@@ -96,3 +96,12 @@ def test_read_lines_from_compressed_text(spark, scratch):
     parsed = exports.parse_activity_lines(exports.read_lines(spark, path))
     assert sorted(r.reject_reason or "" for r in parsed.collect()) == ["", "short_row"]
     assert parsed.select("source_file").first()[0].endswith("deduped-2013-05-02.csv.gz")
+
+
+def test_quoted_option_keeps_commas_inside_quotes(spark, scratch):
+    line = GOOD.replace('"pizza hut"', '"pizza, hut"')
+    lines = as_parquet(spark, [(1, line), (2, GOOD)], "id int, line string", scratch)
+    positional = {r.id: r.keywords for r in exports.parse_activity_lines(lines).collect()}
+    quoted = {r.id: r.keywords for r in exports.parse_activity_lines(lines, quoted=True).collect()}
+    assert positional == {1: "pizza", 2: "pizza hut"}
+    assert quoted == {1: "pizza, hut", 2: "pizza hut"}
