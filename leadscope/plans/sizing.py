@@ -27,8 +27,8 @@ def _row_bytes(df: DataFrame):
     parts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
              if isinstance(f.dataType, (StringType, BinaryType)) else F.lit(8)
              for f in df.schema.fields]
-    total = parts[0]
-    for p in parts[1:]:
+    total = F.lit(0)
+    for p in parts:
         total = total + p
     return total.cast("bigint")
 
