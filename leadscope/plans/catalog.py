@@ -42,6 +42,17 @@ def non_name_share(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 since="2024-01-10")
 
 
+def non_name_share_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share report's first ten merchants by name (a top-k report: the limit is the feature)."""
+    return share.non_name_share(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), fx.location(spark, sf_dir),
+                                since="2024-01-10", limit=10)
+
+
+def heading_directory_profile_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with the strict match: an empty normalised term matches no name."""
+    return profiles.heading_directory_profile(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), strict=True)
+
+
 def name_match_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.name_match_flags(fx.activity(spark, sf_dir), fx.account(spark, sf_dir))
 
@@ -178,6 +189,8 @@ JOBS: dict[str, Job] = {
     "merchant_profile_all_rows": merchant_profile_all_rows,
     "merchant_profile_clicks": merchant_profile_clicks,
     "non_name_share": non_name_share,
+    "non_name_share_top10": non_name_share_top10,
+    "heading_directory_profile_strict": heading_directory_profile_strict,
     "name_match_flags": name_match_flags,
     "edit_distance_profile": edit_distance_profile,
     "activity_ingest": activity_ingest,

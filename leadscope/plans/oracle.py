@@ -524,3 +524,18 @@ WHERE t.reason IS NULL
 GROUP BY 1, 2"""
 
 ORACLES.update({"stream_ingest": STREAM_INGEST})
+
+
+# ---------------------------------------------------------------- report variants
+
+NON_NAME_SHARE_TOP10 = NON_NAME_SHARE + """
+ORDER BY account_name, t_all.account_key LIMIT 10"""
+
+HEADING_DIRECTORY_PROFILE_STRICT = HEADING_DIRECTORY_PROFILE.replace(
+    f"count_if({match('t', 'n')})", f"count_if(length(t) > 0 AND {match('t', 'n')})")
+assert HEADING_DIRECTORY_PROFILE_STRICT != HEADING_DIRECTORY_PROFILE
+
+ORACLES.update({
+    "non_name_share_top10": NON_NAME_SHARE_TOP10,
+    "heading_directory_profile_strict": HEADING_DIRECTORY_PROFILE_STRICT,
+})

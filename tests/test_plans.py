@@ -112,3 +112,8 @@ def test_oracle_gate_under_other_session_settings(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert not bad, bad
+
+
+def test_top10_is_a_top_k(spark):
+    plan = _plan(catalog.JOBS["non_name_share_top10"](spark, SF001))
+    assert "TakeOrderedAndProject" in plan
