@@ -82,6 +82,14 @@ def read_activity_dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def register_activity_view(spark: SparkSession, path: str, name: str = "activity") -> DataFrame:
+    """The dataset as a temporary view for SQL users; day, channel and snapshot predicates in
+    the SQL still become partition filters."""
+    df = read_activity_dataset(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def day_range(dataset: DataFrame, start: str | dt.date, end: str | dt.date,
               channels: str | tuple[str, ...] | None = None, snapshot: str = "full") -> DataFrame:
     """Rows of ``[start, end]`` (inclusive days) of the given channel(s) and snapshot.

@@ -103,3 +103,13 @@ def test_one_pass_export_sample_is_repeatable(spark, scratch):
         sampled.append(sorted(r.event_id for r in ds.filter(F.col("snapshot") == "sample").select("event_id").collect()))
     assert sampled[0] == sampled[1]
     assert 300 <= len(sampled[0]) <= 700   # 5 % of 10,000 rows
+
+
+def test_registered_view_prunes_partitions(spark, scratch):
+    path = dataset.write_activity_dataset(fx.activity(spark, SF001), os.path.join(scratch, "view"))
+    dataset.register_activity_view(spark, path, "activity_view_test")
+    q = spark.sql("SELECT count(*) AS n FROM activity_view_test "
+                  "WHERE activity_date BETWEEN DATE'2024-01-10' AND DATE'2024-01-12' AND channel = 'online'")
+    assert "PartitionFilters: [isnotnull(activity_date" in q._jdf.queryExecution().executedPlan().toString()
+    assert q.first().n == dataset.day_range(dataset.read_activity_dataset(spark, path),
+                                            "2024-01-10", "2024-01-12", "online").count()
