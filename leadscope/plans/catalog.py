@@ -184,36 +184,36 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JOBS: dict[str, Job] = {
-    "heading_directory_profile": heading_directory_profile,
-    "merchant_profile": merchant_profile,
-    "merchant_profile_all_rows": merchant_profile_all_rows,
-    "merchant_profile_clicks": merchant_profile_clicks,
-    "non_name_share": non_name_share,
-    "non_name_share_top10": non_name_share_top10,
-    "heading_directory_profile_strict": heading_directory_profile_strict,
-    "name_match_flags": name_match_flags,
-    "edit_distance_profile": edit_distance_profile,
-    "activity_ingest": activity_ingest,
-    "activity_rejects": activity_rejects,
-    "account_ingest": account_ingest,
-    "account_rejects": account_rejects,
-    "monthly_totals": monthly_totals,
-    "activity_sample": activity_sample,
-    "activity_day_range": activity_day_range,
-    "missing_days": missing_days,
-    "stream_ingest": stream_ingest,
-    "child_accounts": child_accounts,
-    "online_leads": online_leads,
-    "phone_leads": phone_leads,
-    "online_report": online_report,
-    "phone_report": phone_report,
-    "lead_reconciliation": lead_reconciliation,
-    "report_violations": report_violations,
-    "report_violations_reconciled": report_violations_reconciled,
-    "date_component_audit": date_component_audit,
-    "date_text_audit": date_text_audit,
-    "report_write": report_write,
-    "share_report_write": share_report_write,
+    "heading_directory_profile": heading_directory_profile,  # J7 (flagship)
+    "merchant_profile": merchant_profile,  # J8
+    "merchant_profile_all_rows": merchant_profile_all_rows,  # J8, G4
+    "merchant_profile_clicks": merchant_profile_clicks,  # J8, F11
+    "non_name_share": non_name_share,  # J10
+    "non_name_share_top10": non_name_share_top10,  # J10, O2
+    "heading_directory_profile_strict": heading_directory_profile_strict,  # J7, strict match
+    "name_match_flags": name_match_flags,  # J16
+    "edit_distance_profile": edit_distance_profile,  # J17
+    "activity_ingest": activity_ingest,  # J1
+    "activity_rejects": activity_rejects,  # J2
+    "account_ingest": account_ingest,  # J3
+    "account_rejects": account_rejects,  # J3 rejects
+    "monthly_totals": monthly_totals,  # J9
+    "activity_sample": activity_sample,  # J6
+    "activity_day_range": activity_day_range,  # J4
+    "missing_days": missing_days,  # J5
+    "stream_ingest": stream_ingest,  # S1 + K1, incremental
+    "child_accounts": child_accounts,  # J11
+    "online_leads": online_leads,  # J12
+    "phone_leads": phone_leads,  # J12
+    "online_report": online_report,  # J13
+    "phone_report": phone_report,  # J13
+    "lead_reconciliation": lead_reconciliation,  # J14
+    "report_violations": report_violations,  # J15
+    "report_violations_reconciled": report_violations_reconciled,  # J15, D5
+    "date_component_audit": date_component_audit,  # J18
+    "date_text_audit": date_text_audit,  # J18 (X6)
+    "report_write": report_write,  # J19, K4
+    "share_report_write": share_report_write,  # J19, K5
 }
 
 FLAGSHIP = "heading_directory_profile"
