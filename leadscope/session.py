@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # smaller files than the default snappy at similar speed: less storage and scan I/O
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
 }
 
