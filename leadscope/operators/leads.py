@@ -38,12 +38,24 @@ Parents = Iterable[str] | DataFrame | None
 
 # ---------------------------------------------------------------- children
 
+def _parents_arg(parents: Parents) -> tuple[str, ...] | DataFrame | None:
+    """One parent id, several (any iterable, read once here) or a DataFrame of them."""
+    if parents is None or isinstance(parents, DataFrame):
+        return parents
+    if isinstance(parents, str):
+        return (parents,)
+    return tuple(parents)
+
+
 def _for_parents(bridge: DataFrame, parents: Parents) -> DataFrame:
+    """Bridge rows of the selected parents; a NULL parent id names no parent."""
+    parents = _parents_arg(parents)
+    named = bridge.filter(F.col("parent_account_id").isNotNull())
     if parents is None:
-        return bridge
+        return named
     if isinstance(parents, DataFrame):
-        return bridge.join(parents.select("parent_account_id").distinct(), "parent_account_id", "left_semi")
-    return bridge.filter(F.col("parent_account_id").isin(*list(parents)))
+        return named.join(parents.select("parent_account_id").distinct(), "parent_account_id", "left_semi")
+    return named.filter(F.col("parent_account_id").isin(*parents))
 
 
 def child_accounts(bridge: DataFrame, parents: Parents = None) -> DataFrame:
@@ -174,6 +186,7 @@ def lead_reconciliation(activity: DataFrame, click_type: DataFrame, phone_lead:
                         begin, end, phone_begin=None, phone_end=None, parents: Parents = None) -> DataFrame:
     """Per parent and kind (online, phone): records in the source, records in the report,
     and whether the two agree.  The phone range defaults to the online one."""
+    parents = _parents_arg(parents)
     phone_begin = begin if phone_begin is None else phone_begin
     phone_end = end if phone_end is None else phone_end
     plist = parent_list(bridge, parents)
@@ -207,6 +220,7 @@ def report_violations(report: DataFrame, bridge: DataFrame, begin, end, parents:
     With ``reconciliation`` given, only records of parents whose online and phone counts
     both agree are checked.
     """
+    parents = _parents_arg(parents)
     rows = typed_online_report(report)
     ids = child_ids(bridge, parents)
     expected = ids.select(F.col("child_id").alias("expected_id")).distinct()

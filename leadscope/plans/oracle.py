@@ -328,11 +328,11 @@ LEAD_NAMES_SQL = "(" + ", ".join(f"'{n}'" for n in LEAD_CLICK_TYPES) + ")"
 
 KEYS = """
 keys AS (SELECT DISTINCT parent_account_id, TRY_CAST(child_account_key AS BIGINT) AS child_key
-         FROM account_bridge WHERE TRY_CAST(child_account_key AS BIGINT) IS NOT NULL)"""
+         FROM account_bridge WHERE TRY_CAST(child_account_key AS BIGINT) IS NOT NULL AND parent_account_id IS NOT NULL)"""
 
 IDS = """
 ids AS (SELECT DISTINCT parent_account_id, CAST(TRY_CAST(child_account_id AS BIGINT) AS VARCHAR) AS child_id
-        FROM account_bridge WHERE TRY_CAST(child_account_id AS BIGINT) IS NOT NULL)"""
+        FROM account_bridge WHERE TRY_CAST(child_account_id AS BIGINT) IS NOT NULL AND parent_account_id IS NOT NULL)"""
 
 
 def ts_between(ts: str, begin: str, end: str) -> str:
@@ -348,10 +348,10 @@ PHONE_REPORT_COND = "TRY_CAST(r.phone_lead_date AS DATE) BETWEEN DATE '1996-01-0
 
 CHILD_ACCOUNTS = with_views(BRIDGE) + """
 SELECT DISTINCT parent_account_id, 'child_account_id' AS field, TRY_CAST(child_account_id AS BIGINT) AS child
-FROM account_bridge WHERE TRY_CAST(child_account_id AS BIGINT) IS NOT NULL
+FROM account_bridge WHERE TRY_CAST(child_account_id AS BIGINT) IS NOT NULL AND parent_account_id IS NOT NULL
 UNION
 SELECT DISTINCT parent_account_id, 'child_account_key' AS field, TRY_CAST(child_account_key AS BIGINT) AS child
-FROM account_bridge WHERE TRY_CAST(child_account_key AS BIGINT) IS NOT NULL"""
+FROM account_bridge WHERE TRY_CAST(child_account_key AS BIGINT) IS NOT NULL AND parent_account_id IS NOT NULL"""
 
 ONLINE_LEADS = with_views(ACTIVITY, CLICK_TYPE, BRIDGE, KEYS) + f"""
 SELECT k.parent_account_id, a.event_id AS raw_activity_account_key, a.account_key, a.session_id,
@@ -379,7 +379,7 @@ FROM phone_report r JOIN ids i ON r.merchant_id = i.child_id
 WHERE {PHONE_REPORT_COND}"""
 
 RECONCILIATION_VIEWS = [ACTIVITY, CLICK_TYPE, PHONE_LEAD, PHONE_REPORT, ONLINE_REPORT, BRIDGE, KEYS, IDS, f"""
-parents AS (SELECT DISTINCT parent_account_id FROM account_bridge),
+parents AS (SELECT DISTINCT parent_account_id FROM account_bridge WHERE parent_account_id IS NOT NULL),
 online_src AS (SELECT k.parent_account_id, count(*) AS n FROM activity a JOIN keys k ON a.account_key = k.child_key
                WHERE {ONLINE_COND} GROUP BY 1),
 online_rep AS (SELECT i.parent_account_id, count(*) AS n FROM online_report r JOIN ids i ON r.merchant_id = i.child_id

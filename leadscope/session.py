@@ -41,25 +41,43 @@ def get_session(master: str | None = None, app_name: str = "leadscope",
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
+def is_local_master(master: str | None) -> bool:
+    return bool(master) and master.startswith("local")
+
+
+def _master(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # Spark Connect: no context
+        return spark.conf.get("spark.master", None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` (or set on the context) is used as is.
-    Only when neither is set – local tests – a private folder is created.
+    Only when neither is set *and* Spark runs in local mode – tests – a private folder is
+    created (once per session).  On a cluster an unset folder is an error: executors would
+    otherwise write intermediate tables to their own local disks.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no context; the server-side setting is authoritative
         sc = None
-    if sc is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="leadscope-ckpt-")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None
+                  else spark.conf.get("spark.checkpoint.dir", None))
     if not configured:
-        configured = tempfile.mkdtemp(prefix="leadscope-ckpt-")
+        if not is_local_master(_master(spark)):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach")
+        key = str(id(spark))
+        configured = _LOCAL_FOLDERS.setdefault(key, tempfile.mkdtemp(prefix="leadscope-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -117,3 +117,10 @@ def test_oracle_gate_under_other_session_settings(spark):
 def test_top10_is_a_top_k(spark):
     plan = _plan(catalog.JOBS["non_name_share_top10"](spark, SF001))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_shared_folder_required_on_a_cluster():
+    from leadscope.session import is_local_master
+
+    assert is_local_master("local[8]") and is_local_master("local")
+    assert not is_local_master("spark://host:7077") and not is_local_master("yarn") and not is_local_master(None)
