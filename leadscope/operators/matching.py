@@ -46,12 +46,14 @@ def name_match_flags(activity: DataFrame, account: DataFrame,
 
 def edit_distance_profile(activity: DataFrame, account: DataFrame,
                           broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Per account and edit distance between normalised term and name: distinct pairs."""
-    names = bounded_broadcast(account.select("account_key", normalised_name(clean_text("account_name")).alias("n")),
-                              broadcast_rows)
+    """Per account and edit distance: the number of distinct (term, name) pairs met after the
+    account join; the distance is taken between the normalised term and name."""
+    names = bounded_broadcast(account.select("account_key", clean_text("account_name").alias("name"))
+                              .withColumn("n", normalised_name(F.col("name"))), broadcast_rows)
     pairs = (_terms(activity).join(names, "account_key")
-             .select("account_key", normalised_term(F.col("term")).alias("t"), "n")
+             .select("account_key", "term", "name", "n")
              .distinct())
-    return (pairs.select("account_key", F.levenshtein("t", "n").alias("edit_distance"))
+    distance = F.levenshtein(normalised_term(F.col("term")), F.col("n"))
+    return (pairs.select("account_key", distance.alias("edit_distance"))
             .groupBy("account_key", "edit_distance")
             .agg(F.count(F.lit(1)).alias("pairs")))

@@ -59,10 +59,11 @@ def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
     non_name = F.coalesce(F.col("kw") != F.col("name_key"), F.lit(False))
     counts = (joined.groupBy("account_key")
               .agg(F.sum("n").alias("total_count"), F.sum(F.when(non_name, F.col("n"))).alias("per_category_count")))
-    # one set of text attributes per key (the original grouped by key alone), from the account side only
-    attributes = located.groupBy("account_key").agg(
-        F.min("account_id").alias("account_id"), F.min("account_name").alias("account_name"),
-        F.min("location_city").alias("location_city"), F.min("location_zip_code").alias("location_zip_code"))
+    # one set of text attributes per key (the original grouped by key alone), all taken from one
+    # account row (the smallest), on the account side only
+    text = ["account_id", "account_name", "location_city", "location_zip_code"]
+    attributes = (located.groupBy("account_key").agg(F.min(F.struct(*text)).alias("a"))
+                  .select("account_key", *[F.col(f"a.{c}").alias(c) for c in text]))
     per_account = counts.join(attributes, "account_key")
     out = per_account.select(
         "account_key", "account_id", "account_name", "location_city", "location_zip_code", "total_count",

@@ -181,8 +181,11 @@ base AS (
        JOIN location l ON c.location_key = l.location_key
   WHERE CAST(a.activity_ts AS DATE) > DATE '2024-01-10'),
 t_all AS (
-  SELECT account_key, min(account_id) AS account_id, min(account_name) AS account_name,
-         min(location_city) AS location_city, min(location_zip_code) AS location_zip_code, count(*) AS total_count
+  SELECT account_key, arg_min(account_id, (account_id, account_name, location_city, location_zip_code)) AS account_id,
+         arg_min(account_name, (account_id, account_name, location_city, location_zip_code)) AS account_name,
+         arg_min(location_city, (account_id, account_name, location_city, location_zip_code)) AS location_city,
+         arg_min(location_zip_code, (account_id, account_name, location_city, location_zip_code)) AS location_zip_code,
+         count(*) AS total_count
   FROM base GROUP BY account_key),
 t_diff AS (
   SELECT account_key, count(*) AS per_category_count FROM base
@@ -207,9 +210,10 @@ FROM nm"""
 
 EDIT_DISTANCE_PROFILE = with_views(ACTIVITY, ACCOUNT) + f""",
 pairs AS (
-  SELECT DISTINCT a.account_key, {norm_term(clean('a.keywords'))} AS t, {norm_name(clean('c.account_name'))} AS n
+  SELECT DISTINCT a.account_key, {clean('a.keywords')} AS term, {clean('c.account_name')} AS name
   FROM activity a JOIN account c ON a.account_key = c.account_key)
-SELECT account_key, CAST(levenshtein(t, n) AS INTEGER) AS edit_distance, {big('count(*)')} AS pairs
+SELECT account_key, CAST(levenshtein({norm_term('term')}, {norm_name('name')}) AS INTEGER) AS edit_distance,
+       {big('count(*)')} AS pairs
 FROM pairs GROUP BY 1, 2"""
 
 

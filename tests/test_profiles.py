@@ -89,8 +89,9 @@ def test_monthly_totals_round_half_up_and_tolerant(spark, scratch):
 def test_edit_distance_profile_counts_distinct_pairs(small):
     act, acc = small
     got = {(r.account_key, r.edit_distance): r.pairs for r in matching.edit_distance_profile(act, acc).collect()}
-    # account 1 distinct normalised terms: PIZZAHUT (twice, once quoted), '' and NONE (both 8 away), NULL
-    assert got[(1, 0)] == 1 and got[(1, 8)] == 2 and got[(1, None)] == 1
+    # account 1 distinct (term, name) pairs: 'Pizza Hut' and 'pizza hut' (both 0 away), '' and 'none'
+    # (both 8 away), NULL
+    assert got[(1, 0)] == 2 and got[(1, 8)] == 2 and got[(1, None)] == 1
 
 
 def test_flagship_totals_at_sf001(spark):
@@ -100,3 +101,12 @@ def test_flagship_totals_at_sf001(spark):
     tot = df.agg(*[F.sum(c).alias(c) for c in ("queries_total", "queries_by_name", "queries_empty", "queries_none")]).first()
     assert tuple(tot) == (10000, 7500, 1250, 1250)
     assert df.count() == 175
+
+
+def test_share_attributes_come_from_one_account_row(spark, scratch):
+    act = as_parquet(spark, [(7, 1, 1, "x", dt.date(2014, 4, 2), _ts(2), 0.0)], ACT, scratch)
+    acc = as_parquet(spark, [(7, "A7", "Zed Pizza", 1), (7, "B7", "Alpha Cafe", 2)], ACC, scratch)
+    loc = as_parquet(spark, [(1, "Paris", "P1"), (2, "Lyon", "L2")],
+                     "location_key int, location_city string, location_zip_code string", scratch)
+    (r,) = share.non_name_share(act, acc, loc, since="2014-04-01").collect()
+    assert (r.account_id, r.account_name, r.location_city, r.total_count) == ("A7", "Zed Pizza", "Paris", 2)
