@@ -108,9 +108,25 @@ def is_none_term(term: Column | str) -> Column:
     return F.upper(java_trim(term)) == F.lit(NONE_TERM)
 
 
+# Characters the SQL study removes from the keyword and from the name.
+STUDY_KEYWORD_DROP = "- "
+STUDY_NAME_DROP = "' "
+
+
+def study_keyword(keyword: Column | str) -> Column:
+    return F.upper(F.translate(_col(keyword), STUDY_KEYWORD_DROP, ""))
+
+
+def study_name(name: Column | str) -> Column:
+    return F.upper(F.translate(_col(name), STUDY_NAME_DROP, ""))
+
+
 def non_name_search(keyword: Column | str, name: Column | str) -> Column:
     """The SQL study's predicate: keyword without ``-``/blank differs from the name without
     ``'``/blank, both upper-cased.  The removed sets differ on purpose.  NULL -> not counted."""
-    k = F.upper(F.translate(_col(keyword), "- ", ""))
-    n = F.upper(F.translate(_col(name), "' ", ""))
-    return F.coalesce(k != n, F.lit(False))
+    return non_name_of(study_keyword(keyword), study_name(name))
+
+
+def non_name_of(kw: Column | str, name_key: Column | str) -> Column:
+    """The same predicate on already squeezed keyword and name."""
+    return F.coalesce(_col(kw) != _col(name_key), F.lit(False))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
+from leadscope.functions.text import non_name_of, study_keyword, study_name
 from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
 
@@ -43,11 +44,11 @@ def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
     since_day = date_argument(since)
     # "DATE(ts) > since" written as a sargable range on the raw timestamp
     recent = activity.filter(F.col(ts_col) >= _day_after(since_day))
-    keywords = recent.select("account_key", F.upper(F.translate("keywords", "- ", "")).alias("kw"))
+    keywords = recent.select("account_key", study_keyword("keywords").alias("kw"))
     located = (account
                .select("account_key", "account_id", "account_name", "location_key")
                .join(location.select("location_key", "location_city", "location_zip_code"), "location_key"))
-    name_keys = located.select("account_key", F.upper(F.translate("account_name", "' ", "")).alias("name_key"))
+    name_keys = located.select("account_key", study_name("account_name").alias("name_key"))
     if fits_broadcast(name_keys, broadcast_rows):
         # no shuffle of the activity: broadcast join, one count per search
         joined = keywords.join(F.broadcast(name_keys), "account_key").withColumn("n", F.lit(1).cast("bigint"))
@@ -56,7 +57,7 @@ def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
         counted = keywords.groupBy("account_key", "kw").agg(F.count(F.lit(1)).alias("n"))
         joined = counted.join(name_keys, "account_key")
     # numeric sums only, so the fact side stays in hash aggregation
-    non_name = F.coalesce(F.col("kw") != F.col("name_key"), F.lit(False))
+    non_name = non_name_of("kw", "name_key")
     counts = (joined.groupBy("account_key")
               .agg(F.sum("n").alias("total_count"), F.sum(F.when(non_name, F.col("n"))).alias("per_category_count")))
     # one set of text attributes per key (the original grouped by key alone), all taken from one

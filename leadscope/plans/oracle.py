@@ -467,12 +467,12 @@ parts AS (
   SELECT 'mm', CAST(minute(activity_ts) AS INTEGER) FROM activity UNION ALL
   SELECT 'ss', CAST(second(activity_ts) AS INTEGER) FROM activity)
 SELECT component, value, {big('count(*)')} AS n,
-  CASE component WHEN 'YY' THEN NULL
+  CASE WHEN value IS NULL AND component <> 'YY' THEN 'no value' ELSE CASE component WHEN 'YY' THEN NULL
     WHEN 'MM' THEN {_range_message('month', 1, 12)}
     WHEN 'DD' THEN {_range_message('day', 1, 31)}
     WHEN 'hh' THEN {_range_message('hour of day', 1, 24)}
     WHEN 'mm' THEN {_range_message('minutes of the hour', 1, 60)}
-    WHEN 'ss' THEN {_range_message('seconds of the minute', 1, 60)} END AS message
+    WHEN 'ss' THEN {_range_message('seconds of the minute', 1, 60)} END END AS message
 FROM parts GROUP BY 1, 2"""
 
 DATE_TEXT_AUDIT = ACTIVITY_FIELDS + """,

@@ -68,7 +68,9 @@ def export_activity(activity: DataFrame, path: str, sample_fraction: float | Non
     Each row is written to ``snapshot=full`` and, when a seeded Bernoulli draw selects it
     (probability ``sample_fraction``, no replacement), also to ``snapshot=sample``: one scan
     and one write job instead of two.  ``rand(seed)`` is seeded per partition, so a retried
-    task draws the same rows."""
+    task draws the same rows.  Dynamic overwrite replaces the partitions that receive rows: a
+    re-exported day whose draw selects no row (a day of a few hundred rows at 0.1 %) keeps
+    its earlier sample partition."""
     df = with_partition_columns(activity, "full").drop("snapshot")
     snapshots = F.array(F.lit("full"))
     if sample_fraction:
@@ -112,6 +114,8 @@ def expected_days(spark: SparkSession, start: str | dt.date, end: str | dt.date,
                   channels: tuple[str, ...] = CHANNELS) -> DataFrame:
     """Every (day, channel) of the calendar range: generated with sequence + explode."""
     lo, hi = date_argument(start), date_argument(end)
+    if lo > hi:
+        raise ValueError(f"calendar range ends before it starts: {lo} > {hi}")
     days = F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))
     return (spark.range(1)
             .select(F.explode(days).alias("activity_date"))

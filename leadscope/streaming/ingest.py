@@ -6,7 +6,13 @@ folder, the same parser as the batch jobs, and two file sinks – typed rows int
 dataset partitioned by channel / snapshot / day, rejected rows with their reason into a
 rejects table.  File sinks commit through their metadata log, so a restarted or retried
 run writes every file exactly once; ``availableNow`` processes what is there and stops,
-which fits a daily schedule.  Channel and day come from the file name.
+which fits a daily schedule.  Channel and day come from the export name in the file path;
+rows of files that are not named exports are rejected (``unknown_export``).
+
+The file sink keeps a metadata log in the dataset folder, and readers then see only files
+in that log: the folder of a streamed dataset is written by the stream alone (a batch
+export writes its own folder).  The two sinks are two queries, so each file is parsed
+twice; that keeps both outputs exactly once without a transactional table format.
 """
 
 from __future__ import annotations
@@ -21,6 +27,8 @@ from leadscope.functions.dates import parse_date_text
 from leadscope.sources.dataset import PARTITION_COLUMNS
 from leadscope.sources.exports import channel_of_file, day_of_file, good, parse_activity_lines
 
+UNKNOWN_EXPORT = "unknown_export"
+
 
 @dataclass
 class IngestStreams:
@@ -28,8 +36,14 @@ class IngestStreams:
     rejects: StreamingQuery
 
     def await_all(self) -> None:
-        self.rows.awaitTermination()
-        self.rejects.awaitTermination()
+        """Wait for both streams; if one fails the other is stopped and the error raised."""
+        try:
+            self.rows.awaitTermination()
+            self.rejects.awaitTermination()
+        finally:
+            for q in (self.rows, self.rejects):
+                if q.isActive:
+                    q.stop()
 
 
 def _lines(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None) -> DataFrame:
@@ -43,12 +57,15 @@ def _lines(spark: SparkSession, source_dir: str, max_files_per_trigger: int | No
 def start_activity_ingest(spark: SparkSession, source_dir: str, dataset_path: str, rejects_path: str,
                           checkpoint_dir: str, snapshot: str = "full",
                           max_files_per_trigger: int | None = None, available_now: bool = True) -> IngestStreams:
-    parsed = parse_activity_lines(_lines(spark, source_dir, max_files_per_trigger), keep_line=True)
-    rows = (good(parsed).drop("line")
-            .withColumn("channel", channel_of_file(F.col("source_file")))
-            .withColumn("snapshot", F.lit(snapshot))
-            .withColumn("activity_date", F.coalesce(day_of_file(F.col("source_file")),
-                                                    parse_date_text(F.col("date_text")))))
+    parsed = (parse_activity_lines(_lines(spark, source_dir, max_files_per_trigger), keep_line=True)
+              .withColumn("channel", channel_of_file(F.col("source_file")))
+              .withColumn("activity_date", F.coalesce(day_of_file(F.col("source_file")),
+                                                      parse_date_text(F.col("date_text")))))
+    # a row whose file is not a named export has no channel or day: rejected, never put in a null partition
+    reason = F.coalesce(F.col("reject_reason"),
+                        F.when(F.col("channel").isNull() | F.col("activity_date").isNull(), F.lit(UNKNOWN_EXPORT)))
+    parsed = parsed.withColumn("reject_reason", reason)
+    rows = good(parsed).drop("line").withColumn("snapshot", F.lit(snapshot))
     rejects = (parsed.filter(F.col("reject_reason").isNotNull())
                .select("source_file", "line", F.col("reject_reason").alias("reason")))
 

@@ -113,3 +113,16 @@ def test_registered_view_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(activity_date" in q._jdf.queryExecution().executedPlan().toString()
     assert q.first().n == dataset.day_range(dataset.read_activity_dataset(spark, path),
                                             "2024-01-10", "2024-01-12", "online").count()
+
+
+def test_reversed_calendar_range_is_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        dataset.expected_days(spark, "2024-01-31", "2024-01-01")
+
+
+def test_missing_component_value_is_flagged(spark, scratch):
+    df = as_parquet(spark, [(None, "hh"), (None, "YY"), (5, "hh")], "value int, component string", scratch)
+    got = [r.m for r in df.select(component_violation(F.col("value"), F.col("component")).alias("m")).collect()]
+    assert got == ["no value", None, None]

@@ -35,3 +35,14 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, scratch):
     assert ds.count() == 37
     assert dataset.day_range(ds, "2013-05-02", "2013-05-02", "online").count() == 7
     assert ds.filter(F.col("snapshot") == "full").count() == 37
+
+
+def test_files_that_are_not_exports_are_rejected(spark, scratch):
+    src, out, rej, ckpt = (os.path.join(scratch, d) for d in ("src", "dataset", "rejects", "ckpt"))
+    os.makedirs(src)
+    _write(src, "deduped-2013-05-03.csv.gz", [LINE.format(i=i, key=1, day=3, mob=0) for i in range(4)])
+    _write(src, "activity_extra.csv.gz", [LINE.format(i=i, key=1, day=3, mob=0) for i in range(3)])
+    start_activity_ingest(spark, src, out, rej, ckpt).await_all()
+    assert dataset.read_activity_dataset(spark, out).count() == 4
+    reasons = [r.reason for r in spark.read.parquet(rej).collect()]
+    assert reasons == ["unknown_export"] * 3
