@@ -1,6 +1,7 @@
 """The job catalogue: every job bound to the fixture views of one driver data directory.
 
-Each entry takes (spark, sf_dir) and returns the job's DataFrame without running it,
+Each entry takes (spark, sf_dir) and returns the job's DataFrame without running it – apart
+from the size checks of broadcast candidates (small aggregate jobs over lookup sides) –
 except jobs whose subject is a write (the partitioned export, the report files): those
 write below the shared checkpoint folder and return the read-back DataFrame.
 """

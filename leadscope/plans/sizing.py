@@ -17,19 +17,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 # A lookup side of up to a million short rows (a key and a name) is some tens of MB on
-# every executor.  Both bounds must hold: rows, and bytes of the projected columns.
+# every executor.  Both bounds must hold: rows, and bytes of the projected rows as Spark
+# stores them; the byte bound leaves room for the hash index of the broadcast relation.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _row_bytes(df: DataFrame):
-    """Bytes of one row: string/binary lengths plus 8 for every fixed-width column."""
-    parts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-             if isinstance(f.dataType, (StringType, BinaryType)) else F.lit(8)
-             for f in df.schema.fields]
-    total = F.lit(0)
-    for p in parts:
-        total = total + p
+    """Bytes of one row as Spark holds it (UnsafeRow): a null-bit word per 64 fields, an
+    8-byte slot per field, and string/binary data rounded up to 8 bytes.  The hashed
+    relation built for a broadcast adds its index on top, which the byte bound allows for."""
+    fields = df.schema.fields
+    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
+    total = F.lit(fixed)
+    for f in fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            length = F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+            total = total + F.ceil(length / 8) * 8
     return total.cast("bigint")
 
 

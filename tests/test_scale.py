@@ -20,9 +20,10 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     small = spark.range(3)
     assert hinted(bounded_broadcast(small, max_rows=3))
     assert not hinted(bounded_broadcast(small, max_rows=2))
-    names = spark.range(3).select("id", F.repeat(F.lit("x"), 100).alias("name"))   # 3 * (8 + 100) bytes
-    assert hinted(bounded_broadcast(names, max_bytes=324))
-    assert not hinted(bounded_broadcast(names, max_bytes=323))
+    # per row: null word 8 + two slots 16 + 100 bytes rounded to 104 = 128; three rows 384
+    names = spark.range(3).select("id", F.repeat(F.lit("x"), 100).alias("name"))
+    assert hinted(bounded_broadcast(names, max_bytes=384))
+    assert not hinted(bounded_broadcast(names, max_bytes=383))
 
 
 def test_hot_key_is_split_and_lookup_stays_broadcast(spark):
