@@ -11,14 +11,19 @@ from leadscope.functions.text import (
     is_none_term,
     java_trim,
     name_match,
+    non_name_of,
     non_name_search,
+    normalised_match,
     normalised_name,
     normalised_term,
+    study_keyword,
+    study_name,
 )
 
 __all__ = [
     "branch_contains", "branch_edit_distance", "branch_half_prefix", "clean_text", "component_violation",
     "date_argument", "exact_amount", "is_date_text", "is_empty_term", "is_none_term",
-    "java_trim", "name_match", "non_name_search", "normalised_name", "normalised_term", "parse_date_text",
-    "round_half_up", "to_long", "tolerant_double",
+    "java_trim", "name_match", "non_name_of", "non_name_search", "normalised_match", "normalised_name",
+    "normalised_term", "parse_date_text", "round_half_up", "study_keyword", "study_name", "to_long",
+    "tolerant_double",
 ]
