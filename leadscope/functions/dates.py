@@ -43,7 +43,7 @@ def component_violation(value: Column | str, component: Column | str) -> Column:
         msg = F.when(bad, F.concat(F.lit(f"{label} must be in [{low},{high}]: currently "),
                                    value.cast("string")))
         out = F.when(code == key, msg).otherwise(out)
-    return F.when(value.isNull() & (code != YEAR_CODE), F.lit(MISSING_VALUE)).otherwise(out)
+    return F.when(value.isNull() & code.isin(*COMPONENT_RANGES), F.lit(MISSING_VALUE)).otherwise(out)
 
 
 def is_date_text(c: Column | str) -> Column:

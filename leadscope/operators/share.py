@@ -61,9 +61,11 @@ def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
     counts = (joined.groupBy("account_key")
               .agg(F.sum("n").alias("total_count"), F.sum(F.when(non_name, F.col("n"))).alias("per_category_count")))
     # one set of text attributes per key (the original grouped by key alone), all taken from one
-    # account row (the smallest), on the account side only
+    # account row – the smallest, NULLs after values (explicit flags, as engines order NULLs
+    # inside structs differently) – on the account side only
     text = ["account_id", "account_name", "location_city", "location_zip_code"]
-    attributes = (located.groupBy("account_key").agg(F.min(F.struct(*text)).alias("a"))
+    order = [part for c in text for part in (F.col(c).isNull().alias(f"{c}_missing"), F.col(c))]
+    attributes = (located.groupBy("account_key").agg(F.min(F.struct(*order)).alias("a"))
                   .select("account_key", *[F.col(f"a.{c}").alias(c) for c in text]))
     per_account = counts.join(attributes, "account_key")
     out = per_account.select(

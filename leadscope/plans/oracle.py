@@ -181,10 +181,10 @@ base AS (
        JOIN location l ON c.location_key = l.location_key
   WHERE CAST(a.activity_ts AS DATE) > DATE '2024-01-10'),
 t_all AS (
-  SELECT account_key, arg_min(account_id, (account_id, account_name, location_city, location_zip_code)) AS account_id,
-         arg_min(account_name, (account_id, account_name, location_city, location_zip_code)) AS account_name,
-         arg_min(location_city, (account_id, account_name, location_city, location_zip_code)) AS location_city,
-         arg_min(location_zip_code, (account_id, account_name, location_city, location_zip_code)) AS location_zip_code,
+  SELECT account_key, arg_min(account_id, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS account_id,
+         arg_min(account_name, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS account_name,
+         arg_min(location_city, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS location_city,
+         arg_min(location_zip_code, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS location_zip_code,
          count(*) AS total_count
   FROM base GROUP BY account_key),
 t_diff AS (
@@ -467,7 +467,8 @@ parts AS (
   SELECT 'mm', CAST(minute(activity_ts) AS INTEGER) FROM activity UNION ALL
   SELECT 'ss', CAST(second(activity_ts) AS INTEGER) FROM activity)
 SELECT component, value, {big('count(*)')} AS n,
-  CASE WHEN value IS NULL AND component <> 'YY' THEN 'no value' ELSE CASE component WHEN 'YY' THEN NULL
+  CASE WHEN value IS NULL AND component IN ('MM', 'DD', 'hh', 'mm', 'ss') THEN 'no value'
+  ELSE CASE component WHEN 'YY' THEN NULL
     WHEN 'MM' THEN {_range_message('month', 1, 12)}
     WHEN 'DD' THEN {_range_message('day', 1, 31)}
     WHEN 'hh' THEN {_range_message('hour of day', 1, 24)}

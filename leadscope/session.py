@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -41,7 +42,7 @@ def get_session(master: str | None = None, app_name: str = "leadscope",
     return spark
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_LOCAL_FOLDERS: "weakref.WeakKeyDictionary[SparkSession, str]" = weakref.WeakKeyDictionary()
 
 
 def is_local_master(master: str | None) -> bool:
@@ -74,8 +75,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not is_local_master(_master(spark)):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach")
-        key = str(id(spark))
-        configured = _LOCAL_FOLDERS.setdefault(key, tempfile.mkdtemp(prefix="leadscope-ckpt-"))
+        configured = _LOCAL_FOLDERS.get(spark)
+        if configured is None:
+            configured = tempfile.mkdtemp(prefix="leadscope-ckpt-")
+            _LOCAL_FOLDERS[spark] = configured
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)

@@ -35,13 +35,17 @@ class IngestStreams:
     rows: StreamingQuery
     rejects: StreamingQuery
 
-    def await_all(self) -> None:
-        """Wait for both streams; if one fails the other is stopped and the error raised."""
+    def await_all(self, poll_seconds: float = 1.0) -> None:
+        """Wait until both streams end; if either fails the other is stopped and the error
+        raised (both are watched together, so a failure is seen whichever stream it hits)."""
+        queries = (self.rows, self.rejects)
         try:
-            self.rows.awaitTermination()
-            self.rejects.awaitTermination()
+            while True:
+                done = [q.awaitTermination(poll_seconds) for q in queries]   # raises on failure
+                if all(done):
+                    return
         finally:
-            for q in (self.rows, self.rejects):
+            for q in queries:
                 if q.isActive:
                     q.stop()
 

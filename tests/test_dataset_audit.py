@@ -126,3 +126,9 @@ def test_missing_component_value_is_flagged(spark, scratch):
     df = as_parquet(spark, [(None, "hh"), (None, "YY"), (5, "hh")], "value int, component string", scratch)
     got = [r.m for r in df.select(component_violation(F.col("value"), F.col("component")).alias("m")).collect()]
     assert got == ["no value", None, None]
+
+
+def test_unknown_component_wins_over_missing_value(spark, scratch):
+    df = as_parquet(spark, [(None, "hx")], "value int, component string", scratch)
+    assert df.select(component_violation(F.col("value"), F.col("component")).alias("m")).first().m == \
+        "unknown date component: hx"

@@ -110,3 +110,12 @@ def test_share_attributes_come_from_one_account_row(spark, scratch):
                      "location_key int, location_city string, location_zip_code string", scratch)
     (r,) = share.non_name_share(act, acc, loc, since="2014-04-01").collect()
     assert (r.account_id, r.account_name, r.location_city, r.total_count) == ("A7", "Zed Pizza", "Paris", 2)
+
+
+def test_share_attributes_prefer_values_over_nulls(spark, scratch):
+    act = as_parquet(spark, [(7, 1, 1, "x", dt.date(2014, 4, 2), _ts(2), 0.0)], ACT, scratch)
+    acc = as_parquet(spark, [(7, "A7", "Pizza", 1), (7, "A7", "Pizza", 2)], ACC, scratch)
+    loc = as_parquet(spark, [(1, None, "P1"), (2, "Paris", "P2")],
+                     "location_key int, location_city string, location_zip_code string", scratch)
+    (r,) = share.non_name_share(act, acc, loc, since="2014-04-01").collect()
+    assert (r.location_city, r.location_zip_code) == ("Paris", "P2")
