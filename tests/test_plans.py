@@ -124,3 +124,34 @@ def test_shared_folder_required_on_a_cluster():
 
     assert is_local_master("local[8]") and is_local_master("local")
     assert not is_local_master("spark://host:7077") and not is_local_master("yarn") and not is_local_master(None)
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _RemoteSession:
+    """Stands in for a session without a SparkContext (as over Spark Connect)."""
+
+    def __init__(self, values):
+        self.conf = _Conf(values)
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("no context")
+
+
+def test_checkpoint_folder_fallback_rules():
+    from leadscope.session import ensure_checkpoint_dir
+
+    shared = _RemoteSession({"spark.checkpoint.dir": "hdfs://nn/shared/ckpt", "spark.master": "yarn"})
+    assert ensure_checkpoint_dir(shared) == "hdfs://nn/shared/ckpt"
+    local = _RemoteSession({"spark.master": "local[2]"})
+    first = ensure_checkpoint_dir(local)
+    assert first == ensure_checkpoint_dir(local)          # one private folder per session
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_RemoteSession({"spark.master": "yarn"}))
