@@ -65,9 +65,8 @@ def child_accounts(bridge: DataFrame, parents: Parents = None) -> DataFrame:
     pairs = F.array(
         F.struct(F.lit("child_account_id").alias("field"), to_long("child_account_id").alias("child")),
         F.struct(F.lit("child_account_key").alias("field"), to_long("child_account_key").alias("child")))
-    return (b.select("parent_account_id", F.inline(pairs))
-            .filter(F.col("child").isNotNull())
-            .distinct())
+    numeric = F.filter(pairs, lambda x: x["child"].isNotNull())
+    return b.select("parent_account_id", F.inline(numeric)).distinct()
 
 
 def child_keys(bridge: DataFrame, parents: Parents = None) -> DataFrame:
