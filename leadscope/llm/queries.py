@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadscope.llm import op08_simhash
+from leadscope.llm import op02_suffix_dedup, op06_langid, op08_simhash
 from leadscope.llm.common import table
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op02_suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), min_len=100)
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_langid.identify(table(spark, sf_dir, "documents"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": suffix_dedup,
+    "op6_language_id": language_id,
     "op8_simhash_near_dedup": simhash_near_dedup,
 }
