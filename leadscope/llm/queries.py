@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadscope.llm import op02_suffix_dedup, op06_langid, op08_simhash
+from leadscope.llm import (op02_suffix_dedup, op04_decontaminate, op06_langid, op08_simhash, op09_tokencount,
+                           op10_sentencepiece)
 from leadscope.llm.common import table
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file on the driver."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), min_len=100)
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_langid.identify(table(spark, sf_dir, "documents"))
 
@@ -22,8 +33,19 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09_tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
+
+
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_sentencepiece.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": suffix_dedup,
+    "op4_decontamination": decontamination,
     "op6_language_id": language_id,
     "op8_simhash_near_dedup": simhash_near_dedup,
+    "op9_token_counts": token_counts,
+    "op10_sentencepiece": sentencepiece,
 }
