@@ -8,15 +8,18 @@ Which suffixes: each ``min_len``-byte window elects the position whose ``anchor_
 same place within themselves, and sorting the suffixes at elected places finds every repeat.  About one
 suffix in 35 is kept, each with the bytes of the windows that elected it (a stretch).
 
-1.  Per task: elect, drop stretches repeated in the task itself (the earliest stays), route the rest by
-    sampled splitters over their leading bytes into buckets, packed and compressed.
-2.  Per bucket: multikey quicksort, eight bytes at a time, first over the leading bytes, then over whole
+1.  Candidates: the leading bytes of every elected suffix are counted by hash; a suffix whose leading
+    bytes occur once can match nothing and goes no further.
+2.  Per task: stretches of the candidates; those repeated in the task itself are settled (the earliest
+    stays), the rest is routed by sampled splitters over the leading bytes into buckets, packed and
+    compressed.
+3.  Per bucket: multikey quicksort, eight bytes at a time, first over the leading bytes, then over whole
     stretches, then over the single windows of stretches that differ somewhere; each window's earliest
     occurrence stays.
-3.  Across boundaries: a prefix cut by a splitter has windows in several buckets.  Those windows, already
+4.  Across boundaries: a prefix cut by a splitter has windows in several buckets.  Those windows, already
     reduced to one per bucket, meet by content in one more shuffle.  A hot prefix holds several splitters,
     so no bucket has to take all of it.
-4.  The ranges found join the texts.
+5.  The ranges found join the texts.
 
 Defined cases: NULL text is empty; texts under ``min_len`` bytes keep everything; rows with the same
 doc_id count as the same document, so a row and its exact repetition under one id start at the same
@@ -33,6 +36,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadscope.llm.common import PolynomialHash, mix64, partitions, text_groups, written
 
@@ -64,11 +68,11 @@ class Stretches:
     def pack(self) -> bytes:
         parts = [np.array([len(self)], np.int64).tobytes()]
         parts += [self.columns[n].astype(t).tobytes() for n, t in self.FIELDS]
-        return zstandard.ZstdCompressor(level=3).compress(b"".join([*parts, self.data.tobytes()]))
+        return _zip(b"".join([*parts, self.data.tobytes()]))
 
     @classmethod
     def unpack(cls, packed: bytes) -> Stretches:
-        raw = zstandard.ZstdDecompressor().decompress(packed)
+        raw = _unzip(packed)
         n, at, columns = int(np.frombuffer(raw, np.int64, 1)[0]), 8, {}
         for name, kind in cls.FIELDS:
             columns[name] = np.frombuffer(raw, kind, n, at)
@@ -98,15 +102,16 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def elect(data: np.ndarray, doc_starts: np.ndarray, doc_ends: np.ndarray, hasher: PolynomialHash, min_len: int,
           anchor_len: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per block: (document index, first window, last window, elected place, hash of the stretch)."""
+    """Per block: (document index, first window, last window, elected place, hash of the stretch, hash of
+    the leading bytes)."""
     hasher._powers(BLOCK + min_len + 1)
     for start in range(0, max(0, len(data) - min_len + 1), BLOCK):
         stop = min(start + BLOCK, len(data) - min_len + 1)          # windows start .. stop-1
         piece = data[start:stop + min_len - 1]
         total = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(hasher.letters[piece] * hasher.up[:len(piece)], out=total[1:])
-        grams = (total[anchor_len:] - total[:-anchor_len]) * hasher.down[:len(piece) - anchor_len + 1]
-        grams ^= grams >> np.uint64(32)
+        exact = (total[anchor_len:] - total[:-anchor_len]) * hasher.down[:len(piece) - anchor_len + 1]
+        grams = exact ^ (exact >> np.uint64(32))
         grams *= np.uint64(0xD6E8FEB86659FD93)
         grams &= ~_LOW
         grams |= np.arange(len(grams), dtype=np.uint64)
@@ -123,33 +128,45 @@ def elect(data: np.ndarray, doc_starts: np.ndarray, doc_ends: np.ndarray, hasher
         first, last, doc, anchor = first[ok], last[ok], doc[ok], place[first[ok]]
         whole = (total[last + min_len] - total[first]) * hasher.down[first]
         shape = (anchor - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
-        yield doc, first + start, last + start, anchor + start, mix64(whole ^ mix64(shape))
-
-
-def _stretches(raws: list[bytes], ids: np.ndarray, hasher: PolynomialHash, min_len: int, anchor_len: int
-               ) -> tuple[Stretches, np.ndarray, tuple[np.ndarray, ...]]:
-    """Stretches of a group of texts without those repeated in it, their leading bytes, and the ranges
-    (doc, start, size) of the repeated ones."""
-    data = np.frombuffer(b"".join(raws), np.uint8)
-    ends = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)))
-    starts = np.concatenate([[0], ends[:-1]])
-    parts = list(elect(data, starts, ends, hasher, min_len, anchor_len))
-    if not parts:
-        none = np.zeros(0, np.int64)
-        parts = [(none, none, none, none, np.zeros(0, np.uint64))]
-    doc, first, last, anchor, whole = (np.concatenate(c) for c in zip(*parts))
-    in_doc, size = first - starts[doc] if len(doc) else first, last - first + min_len
-    order = np.lexsort((in_doc, ids[doc], whole)) if len(doc) else np.zeros(0, np.int64)
-    lead = np.ones(len(order), bool)
-    lead[1:] = whole[order[1:]] != whole[order[:-1]]
-    head = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))] if len(order) else order
-    later = (ids[doc[order]] != ids[doc[head]]) | (in_doc[order] != in_doc[head]) if len(order) else lead
-    gone = order[~lead & later]
-    keep = np.sort(order[lead])
-    out = Stretches({"doc": ids[doc[keep]], "first": in_doc[keep], "before": (anchor - first)[keep],
-                     "size": size[keep]}, data[_spread(first[keep], size[keep])])
-    heads = data[anchor[keep][:, None] + np.arange(anchor_len)] if len(keep) else np.zeros((0, anchor_len), np.uint8)
-    return out, heads, (ids[doc[gone]], in_doc[gone], size[gone])
+        yield (doc, first + start, last + start, anchor + start, mix64(whole ^ mix64(shape)), mix64(exact[anchor]))
+
+
+class Group:
+    """The elected suffixes of a group of texts."""
+
+    def __init__(self, raws: list[bytes], ids: np.ndarray, hasher: PolynomialHash, min_len: int, anchor_len: int) -> None:
+        self.data = np.frombuffer(b"".join(raws), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)))
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        parts = list(elect(self.data, starts, ends, hasher, min_len, anchor_len))
+        if not parts:
+            none = np.zeros(0, np.int64)
+            parts = [(none, none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+        self.text, self.first, last, self.anchor, self.whole, self.prefix = (np.concatenate(c) for c in zip(*parts))
+        self.size = last - self.first + min_len
+        self.doc, self.base = ids[self.text], starts[self.text]
+        self.anchor_len = anchor_len
+
+    def select(self, rows: np.ndarray) -> None:
+        for name in ("text", "first", "anchor", "whole", "prefix", "size", "doc", "base"):
+            setattr(self, name, getattr(self, name)[rows])
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """(rows of the earliest of equal stretches, rows that repeat an earlier one)."""
+        order = np.lexsort((self.first - self.base, self.doc, self.whole))
+        lead = np.ones(len(order), bool)
+        lead[1:] = self.whole[order[1:]] != self.whole[order[:-1]]
+        head = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+        later = (self.doc[order] != self.doc[head]) | ((self.first - self.base)[order] != (self.first - self.base)[head])
+        return np.sort(order[lead]), order[~lead & later]
+
+    def heads(self, rows: np.ndarray) -> np.ndarray:
+        return self.data[self.anchor[rows][:, None] + np.arange(self.anchor_len)]
+
+    def stretches(self, rows: np.ndarray) -> Stretches:
+        return Stretches({"doc": self.doc[rows], "first": (self.first - self.base)[rows],
+                          "before": (self.anchor - self.first)[rows], "size": self.size[rows]},
+                         self.data[_spread(self.first[rows], self.size[rows])])
 
 
 def _as_keys(heads: np.ndarray) -> np.ndarray:
@@ -174,8 +191,9 @@ def sample_splitters(docs: DataFrame, buckets: int, min_len: int, anchor_len: in
                 heads = []
                 for raw in raws:
                     raw = raw[:1 << 16]      # which suffixes are sampled does not change the result
-                    _, found, _ = _stretches([raw], np.zeros(1, np.int64), hasher, min_len, anchor_len)
-                    heads += [h.tobytes() for h in found[::max(1, -(-len(found) // per_doc))]]
+                    group = Group([raw], np.zeros(1, np.int64), hasher, min_len, anchor_len)
+                    n = len(group.first)
+                    heads += [h.tobytes() for h in group.heads(np.arange(0, n, max(1, -(-n // per_doc))))]
                 yield pa.RecordBatch.from_arrays([pa.array(heads, pa.binary())], names=["head"])
 
     picked = docs if share == 1.0 else docs.where(
@@ -186,30 +204,116 @@ def sample_splitters(docs: DataFrame, buckets: int, min_len: int, anchor_len: in
     return np.array(cuts, f"S{anchor_len}")
 
 
-def _packer(splitters: np.ndarray, min_len: int, anchor_len: int, group_bytes: int) -> Callable:
+def _zip(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unzip(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def zipped(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` as compressed UTF-8 (NULL stays NULL): what the shuffles of texts carry."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[place] = pa.array([None if t is None else _zip(t.encode("utf-8", "surrogatepass"))
+                                       for t in (x.as_py() for x in columns[place])], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema.fields])
+    return docs.mapInArrow(run, schema)
+
+
+def _prefix_packer(buckets: int, min_len: int, anchor_len: int, group_bytes: int) -> Callable:
+    """Per group of texts and bucket: six bytes of each suffix's prefix hash, its document and its place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PolynomialHash()
         for batch in batches:
             ids = _ids(batch.column(0))
             for start, end, raws in text_groups(batch.column(1).to_pylist(), group_bytes):
-                found, heads, (doc, first, size) = _stretches(raws, ids[start:end], hasher, min_len, anchor_len)
-                bucket = np.searchsorted(splitters, _as_keys(heads), side="right") if len(heads) else np.zeros(0, int)
+                group = Group(raws, ids[start:end], hasher, min_len, anchor_len)
+                group.select(np.unique(group.text << 32 | (group.anchor - group.base), return_index=True)[1])
+                bucket = (group.prefix % np.uint64(buckets)).astype(np.int64)
+                rest = np.ascontiguousarray(group.prefix // np.uint64(buckets)).view(np.uint8).reshape(-1, 8)[:, :6]
+                order = np.argsort(bucket, kind="stable")
+                numbers, blobs = [], []
+                for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+                    numbers.append(int(bucket[rows[0]]))
+                    blobs.append(_zip(np.array([len(rows)], np.int64).tobytes() + group.doc[rows].tobytes()
+                                      + (group.anchor - group.base)[rows].astype(np.int32).tobytes() + rest[rows].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary())],
+                                                 names=["bucket", "packed"])
+    return run
+
+
+def _several(table: pa.Table) -> pa.Table:
+    """(doc, anchor) of the suffixes whose prefix hash occurs more than once in the bucket."""
+    docs, anchors, hashes = [], [], []
+    for packed in table.column("packed").to_pylist():
+        raw = _unzip(packed)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        docs.append(np.frombuffer(raw, np.int64, n, 8))
+        anchors.append(np.frombuffer(raw, np.int32, n, 8 + 8 * n))
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 8 + 12 * n).reshape(n, 6)
+        hashes.append(wide.view(np.uint64).ravel())
+    doc, anchor, prefix = np.concatenate(docs), np.concatenate(anchors), np.concatenate(hashes)
+    order = np.argsort(prefix, kind="stable")
+    equal = prefix[order[1:]] == prefix[order[:-1]]
+    rows = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]
+    return pa.Table.from_arrays([pa.array(doc[rows]), pa.array(anchor[rows].astype(np.int64))], names=["doc", "anchor"])
+
+
+def candidates(docs: DataFrame, buckets: int, min_len: int, anchor_len: int, group_bytes: int) -> DataFrame:
+    """(doc, anchors): per document the places of suffixes whose leading bytes occur more than once."""
+    packed = docs.mapInArrow(_prefix_packer(buckets, min_len, anchor_len, group_bytes), "bucket long, packed binary")
+    found = packed.groupBy("bucket").applyInArrow(_several, "doc long, anchor long")
+    return found.groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))
+
+
+def _packer(splitters: np.ndarray, min_len: int, anchor_len: int, group_bytes: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = PolynomialHash()
+        for batch in batches:
+            ids = _ids(batch.column(0))
+            for start, end, raws in _unzipped_groups(batch.column(1), group_bytes):
+                group = Group(raws, ids[start:end], hasher, min_len, anchor_len)
+                wanted = [a for a in batch.column(2).slice(start, end - start).to_pylist()]
+                asked = np.concatenate([np.array(a, np.int64) | i << 32 for i, a in enumerate(wanted)])
+                group.select(np.isin(group.text << 32 | (group.anchor - group.base), asked))
+                keep, gone = group.distinct()
+                bucket = np.searchsorted(splitters, _as_keys(group.heads(keep)), side="right")
                 order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                at, numbers, blobs = found.offsets(), [], []
-                for rows in np.split(order, cuts) if len(order) else []:
+                numbers, blobs = [], []
+                for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
                     numbers.append(int(bucket[rows[0]]))
-                    blobs.append(Stretches({n: found.columns[n][rows] for n, _ in Stretches.FIELDS},
-                                           found.data[_spread(at[rows], found.size[rows])]).pack())
-                if len(doc):                       # already known to repeat: passed on as they are
-                    numbers.append(-1 - start % 64)
-                    blobs.append(Stretches({"doc": doc, "first": first, "before": np.zeros(len(doc), np.int32),
-                                            "size": size}, np.zeros(0, np.uint8)).pack())
+                    blobs.append(group.stretches(keep[rows]).pack())
+                if len(gone):                      # already known to repeat: passed on as they are
+                    numbers.append(-1 - int(group.prefix[0] % np.uint64(1 << 20)))
+                    blobs.append(Stretches({"doc": group.doc[gone], "first": (group.first - group.base)[gone],
+                                            "before": np.zeros(len(gone), np.int32), "size": group.size[gone]},
+                                           np.zeros(0, np.uint8)).pack())
                 yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary())],
                                                  names=["bucket", "packed"])
     return run
 
 
+def _unzipped_groups(column: pa.Array, group_bytes: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    start, held, size = 0, [], 0
+    for i, packed in enumerate(column):
+        raw = _unzip(packed.as_py())
+        if held and size + len(raw) > group_bytes:
+            yield start, i, held
+            start, held, size = i, [], 0
+        held.append(raw)
+        size += len(raw)
+    if held:
+        yield start, start + len(held), held
+
+
 def multikey(count: int, word: Callable[[np.ndarray, int], np.ndarray], depth: int, group: np.ndarray | None = None
              ) -> tuple[np.ndarray, np.ndarray]:
     """Rows in sorted order with their group, for groups of two or more rows equal in all ``depth`` words.
@@ -382,17 +486,19 @@ def _sorter(splitters: np.ndarray, min_len: int, anchor_len: int) -> Callable:
     return run
 
 
-def repeated_ranges(docs: DataFrame, min_len: int = 100, anchor_len: int = 32, group_bytes: int = 8 << 20) -> DataFrame:
+def repeated_ranges(docs: DataFrame, min_len: int = 100, anchor_len: int = 32, group_bytes: int = 4 << 20) -> DataFrame:
     """(doc, start, size) byte ranges covered by an earlier ``min_len``-byte string; they may overlap.
 
     ``docs`` has doc_id (long) and text.
     """
     if not 8 <= anchor_len <= min_len:
         raise ValueError("anchor_len must lie between 8 and min_len")
-    spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
+    buckets = 4 * partitions(docs.sparkSession)
     splitters = sample_splitters(docs, buckets, min_len, anchor_len)
-    packed = docs.mapInArrow(_packer(splitters, min_len, anchor_len, group_bytes), "bucket long, packed binary")
+    found = written(candidates(docs, buckets, min_len, anchor_len, group_bytes), "candidates")
+    texts = zipped(docs.where("text is not null").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text"))
+    asked = texts.join(found.hint("shuffle_hash"), "doc").select("doc", "text", "anchors")
+    packed = asked.mapInArrow(_packer(splitters, min_len, anchor_len, group_bytes), "bucket long, packed binary")
     sorted_ = written(packed.groupBy("bucket").applyInArrow(
         _sorter(splitters, min_len, anchor_len),
         "doc long, start long, size long, content_a long, content_b long"), "suffixes")
@@ -422,9 +528,9 @@ def without(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def with_runs(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``docs`` plus ``__ranges``: the array of (start, size) found for its doc_id, or NULL."""
+    """``docs`` with zipped text, plus ``__ranges``: the array of (start, size) of its doc_id, or NULL."""
     found = ranges.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("start", "size")).alias("__ranges"))
-    return (docs.join(found.hint("shuffle_hash"), F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("__doc"), "left")
+    return (zipped(docs).join(found.hint("shuffle_hash"), F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("__doc"), "left")
             .drop("__doc"))
 
 
@@ -443,7 +549,7 @@ def deduplicate(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", tex
         for batch in batches:
             out = []
             for text, found in zip(batch.column(1), batch.column(2)):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                raw = b"" if text.as_py() is None else _unzip(text.as_py())
                 runs = _runs_of(found.as_py())
                 out.append((len(raw), sum(b - a for a, b in runs), len(runs),
                             hashlib.sha256(without(raw, runs)).hexdigest()))
@@ -466,7 +572,7 @@ def cleaned(docs: DataFrame, min_len: int = 100) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t if not r else without(t.encode("utf-8", "surrogatepass"), _runs_of(r)).decode("utf-8", "ignore")
+            texts = [None if t is None else without(_unzip(t), _runs_of(r)).decode("utf-8", "ignore")
                      for t, r in zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
             columns = batch.columns[:-1]
             columns[place] = pa.array(texts, pa.string())
