@@ -140,20 +140,22 @@ def prototypes(docs: DataFrame, dims: int = 512, seed: int = 7, id_col: str = "d
 
 
 def predict(docs: DataFrame, languages: list[str], vectors: np.ndarray, seed: int = 7, id_col: str = "doc_id",
-            text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: the id) plus lang_pred and score for every row."""
+            text_col: str = "text", keep: list[str] | None = None, suffix: str = "") -> DataFrame:
+    """The columns ``keep`` (default: the id) plus lang_pred and score, with ``suffix`` to their names."""
     keep = [id_col] if keep is None else keep
     dims = vectors.shape[1]
     units = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-    picked = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = T.StructType([*picked.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    picked = docs.select(*keep, *([] if text_col in keep else [text_col]))
+    place = picked.columns.index(text_col)
+    fields = [f for f in picked.schema.fields if f.name in keep]
+    schema = T.StructType([*fields, T.StructField("lang_pred" + suffix, T.StringType()),
+                           T.StructField("score" + suffix, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dims, seed)
         for batch in batches:
             names, scores = [], []
-            for _, group in _groups(batch.column(batch.num_columns - 1).to_pylist()):
+            for _, group in _groups(batch.column(place).to_pylist()):
                 rows, ends = encoder.trigrams(group)
                 for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
                     name, score = UNDETERMINED, 0.0
@@ -165,8 +167,8 @@ def predict(docs: DataFrame, languages: list[str], vectors: np.ndarray, seed: in
                     names.append(name)
                     scores.append(score)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:len(fields)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=schema.names)
 
     return picked.mapInArrow(run, schema)
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadscope.llm import (op02_suffix_dedup, op04_decontaminate, op06_langid, op08_simhash, op09_tokencount,
-                           op10_sentencepiece)
+from leadscope.llm import (op01_ngram, op02_suffix_dedup, op03_ann, op04_decontaminate, op05_sharding, op06_langid,
+                           op07_license, op08_simhash, op09_tokencount, op10_sentencepiece)
 from leadscope.llm.common import table
 
 
@@ -17,18 +18,36 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_ngram.held_out_scores(table(spark, sf_dir, "documents"), remainder=1)
+
+
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), min_len=100)
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op04_decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
 
 
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents over 96 shards."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return op05_sharding.place(docs, "doc_id", [f"shard-{i:03d}" for i in range(96)], size=65_537)
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_langid.identify(table(spark, sf_dir, "documents"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_license.scan(table(spark, sf_dir, "documents"), op07_license.default_templates(spark))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
 
@@ -42,9 +61,13 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_scores": ngram_scores,
     "op2_suffix_dedup": suffix_dedup,
+    "op3_nearest_neighbours": nearest_neighbours,
     "op4_decontamination": decontamination,
+    "op5_sharding": sharding,
     "op6_language_id": language_id,
+    "op7_license_scan": license_scan,
     "op8_simhash_near_dedup": simhash_near_dedup,
     "op9_token_counts": token_counts,
     "op10_sentencepiece": sentencepiece,
