@@ -207,14 +207,14 @@ def _search(index: DataFrame, queries: DataFrame, lists: Lists, probes: int, k:
             chunk: int, batch: int) -> DataFrame:
     asked = probed(queries, lists, probes)
     # both sizes have at most one row per list
-    members = F.broadcast(index.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")))
-    callers = F.broadcast(asked.groupBy("list").agg(F.ceil(F.count("*") / batch).cast("int").alias("batches")))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = F.broadcast(index.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("long").alias("chunks")))
+    callers = F.broadcast(asked.groupBy("list").agg(F.ceil(F.count("*") / batch).cast("long").alias("batches")))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = (asked.join(members, "list").join(callers, "list")
-            .withColumn("batch", F.pmod(F.xxhash64("query_id"), F.col("batches"))).withColumn("chunk", spread("chunks").cast("long"))
+            .withColumn("batch", F.pmod(F.xxhash64("query_id"), F.col("batches"))).withColumn("chunk", spread("chunks"))
             .select("list", "chunk", "batch", "query_id", "query"))
     right = (index.join(members, "list").join(callers, "list")
-             .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks"))).withColumn("batch", spread("batches").cast("long"))
+             .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks"))).withColumn("batch", spread("batches"))
              .select("list", "chunk", "batch", "vec_id", "vector"))
     dims, turn = lists.dims, rotation(lists.dims)
 
@@ -247,7 +247,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 10, target: float = 0.97,
                id_col: str = "vec_id", vector_col: str = "embedding", chunk: int = 20_000, batch: int = 5_000) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other vectors found for each row where ``is_query``.
 
-    ``is_query`` is a condition on ``vec_id``.  All candidates come back when there are fewer than k.
+    ``is_query`` is a condition on ``vec_id`` (SQL text or Column).  All candidates come back when there are fewer than k.
     """
     rows, dims = usable(vectors, id_col, vector_col)
     spark = vectors.sparkSession
@@ -258,8 +258,9 @@ def neighbours(vectors: DataFrame, is_query, k: int = 10, target: float = 0.97,
     index = build(rows, lists)
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     out = written(_search(index, queries, lists, lists.probes, k, eps, block, chunk, batch), "found")
-    short = queries.join(out.where(F.col("rank") == k), F.col("vec_id") == F.col("query_id"), "left_anti")
+    full = out.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = queries.join(full, "vec_id", "left_anti")
     if lists.probes < len(lists.centroids) and not short.isEmpty():
         more = _search(index, short, lists, len(lists.centroids), k, float("inf"), block, chunk, batch)
-        out = out.join(short, out["query_id"] == short["vec_id"], "left_anti").unionByName(more)
+        out = out.join(full, out["query_id"] == full["vec_id"], "left_semi").unionByName(more)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

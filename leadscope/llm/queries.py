@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leadscope.llm import (op01_ngram, op02_suffix_dedup, op03_ann, op04_decontaminate, op05_sharding, op06_langid,
                            op07_license, op08_simhash, op09_tokencount, op10_sentencepiece)
@@ -27,7 +26,7 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op03_ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+    return op03_ann.neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
