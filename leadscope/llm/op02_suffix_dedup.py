@@ -9,16 +9,17 @@ same place within themselves, and sorting the suffixes at elected places finds e
 suffix in 35 is kept, each with the bytes of the windows that elected it (a stretch).
 
 1.  Candidates: the leading bytes of every elected suffix are counted by hash; a suffix whose leading
-    bytes occur once can match nothing and goes no further.
+    bytes occur once can match nothing and goes no further.  A hash repeated within a task's texts is
+    settled there and sent on once.
 2.  Per task: stretches of the candidates; those repeated in the task itself are settled (the earliest
     stays), the rest is routed by sampled splitters over the leading bytes into buckets, packed and
     compressed.
 3.  Per bucket: multikey quicksort, eight bytes at a time, first over the leading bytes, then over whole
     stretches, then over the single windows of stretches that differ somewhere; each window's earliest
     occurrence stays.
-4.  Across boundaries: a prefix cut by a splitter has windows in several buckets.  Those windows, already
-    reduced to one per bucket, meet by content in one more shuffle.  A hot prefix holds several splitters,
-    so no bucket has to take all of it.
+4.  Across boundaries: a hot prefix is sampled as several splitters, and its stretches are dealt over as
+    many buckets.  The windows of prefixes at a splitter, already reduced to one per bucket, meet by
+    content in one more shuffle.
 5.  The ranges found join the texts.
 
 Defined cases: NULL text is empty; texts under ``min_len`` bytes keep everything; rows with the same
@@ -200,8 +201,16 @@ def sample_splitters(docs: DataFrame, buckets: int, min_len: int, anchor_len: in
         F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     heads = sorted(_as_keys(np.frombuffer(r["head"], np.uint8)[None, :])[0]
                    for r in picked.mapInArrow(run, "head binary").collect())
-    cuts = sorted({heads[len(heads) * i // buckets] for i in range(1, buckets)}) if heads else []
-    return np.array(cuts, f"S{anchor_len}")
+    cuts = [heads[len(heads) * i // buckets] for i in range(1, buckets)] if heads else []
+    return np.array(cuts, f"S{anchor_len}")              # a hot prefix stands in it several times
+
+
+def bucket_of(heads: np.ndarray, docs: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """Range of the leading bytes; what equals several splitters is dealt over as many buckets by document."""
+    keys = _as_keys(heads)
+    low, high = np.searchsorted(splitters, keys, side="left"), np.searchsorted(splitters, keys, side="right")
+    equal = np.maximum(high - low, 1)
+    return high - (mix64(docs.astype(np.int64).view(np.uint64)) % equal.astype(np.uint64)).astype(np.int64)
 
 
 def _zip(data: bytes) -> bytes:
@@ -228,7 +237,10 @@ def zipped(docs: DataFrame) -> DataFrame:
 
 
 def _prefix_packer(buckets: int, min_len: int, anchor_len: int, group_bytes: int) -> Callable:
-    """Per group of texts and bucket: six bytes of each suffix's prefix hash, its document and its place."""
+    """Per group of texts and bucket: six bytes of each suffix's prefix hash, its document and its place.
+
+    Suffixes whose hash repeats in the group are passed on under a negative bucket; one entry without a
+    place stands for them in the count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = PolynomialHash()
         for batch in batches:
@@ -236,14 +248,22 @@ def _prefix_packer(buckets: int, min_len: int, anchor_len: int, group_bytes: int
             for start, end, raws in text_groups(batch.column(1).to_pylist(), group_bytes):
                 group = Group(raws, ids[start:end], hasher, min_len, anchor_len)
                 group.select(np.unique(group.text << 32 | (group.anchor - group.base), return_index=True)[1])
-                bucket = (group.prefix % np.uint64(buckets)).astype(np.int64)
-                rest = np.ascontiguousarray(group.prefix // np.uint64(buckets)).view(np.uint8).reshape(-1, 8)[:, :6]
+                place = (group.anchor - group.base).astype(np.int32)
+                hashes, first, which, times = np.unique(group.prefix, return_index=True, return_inverse=True, return_counts=True)
+                known = np.flatnonzero(times[which] > 1)
+                doc, place_of = group.doc[first], np.where(times > 1, -1, place[first]).astype(np.int32)
+                bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+                rest = np.ascontiguousarray(hashes // np.uint64(buckets)).view(np.uint8).reshape(-1, 8)[:, :6]
                 order = np.argsort(bucket, kind="stable")
                 numbers, blobs = [], []
                 for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
                     numbers.append(int(bucket[rows[0]]))
-                    blobs.append(_zip(np.array([len(rows)], np.int64).tobytes() + group.doc[rows].tobytes()
-                                      + (group.anchor - group.base)[rows].astype(np.int32).tobytes() + rest[rows].tobytes()))
+                    blobs.append(_zip(np.array([len(rows)], np.int64).tobytes() + doc[rows].tobytes()
+                                      + place_of[rows].tobytes() + rest[rows].tobytes()))
+                if len(known):
+                    numbers.append(-1 - int(hashes[0] % np.uint64(1 << 20)))
+                    blobs.append(_zip(np.array([len(known)], np.int64).tobytes() + group.doc[known].tobytes()
+                                      + place[known].tobytes() + bytes(6 * len(known))))
                 yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary())],
                                                  names=["bucket", "packed"])
     return run
@@ -261,9 +281,13 @@ def _several(table: pa.Table) -> pa.Table:
         wide[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 8 + 12 * n).reshape(n, 6)
         hashes.append(wide.view(np.uint64).ravel())
     doc, anchor, prefix = np.concatenate(docs), np.concatenate(anchors), np.concatenate(hashes)
-    order = np.argsort(prefix, kind="stable")
-    equal = prefix[order[1:]] == prefix[order[:-1]]
-    rows = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]
+    if table.column("bucket")[0].as_py() < 0:
+        rows = np.arange(len(doc))
+    else:
+        order = np.argsort(prefix, kind="stable")
+        equal = prefix[order[1:]] == prefix[order[:-1]]
+        rows = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]
+        rows = rows[anchor[rows] >= 0]
     return pa.Table.from_arrays([pa.array(doc[rows]), pa.array(anchor[rows].astype(np.int64))], names=["doc", "anchor"])
 
 
@@ -285,7 +309,7 @@ def _packer(splitters: np.ndarray, min_len: int, anchor_len: int, group_bytes: i
                 asked = np.concatenate([np.array(a, np.int64) | i << 32 for i, a in enumerate(wanted)])
                 group.select(np.isin(group.text << 32 | (group.anchor - group.base), asked))
                 keep, gone = group.distinct()
-                bucket = np.searchsorted(splitters, _as_keys(group.heads(keep)), side="right")
+                bucket = bucket_of(group.heads(keep), group.doc[keep], splitters)
                 order = np.argsort(bucket, kind="stable")
                 numbers, blobs = [], []
                 for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:

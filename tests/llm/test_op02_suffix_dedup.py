@@ -50,7 +50,10 @@ def test_cut_prefixes_meet_across_buckets(frame, prose, monkeypatch):
     for _, t in rows:
         group = op.Group([t.encode()], np.zeros(1, np.int64), hasher, 100, 32)
         heads += op._as_keys(group.heads(np.arange(len(group.first)))).tolist()
-    cuts = np.array(sorted(set(heads))[::3], "S32")
+    hot = max(set(heads), key=heads.count)
+    cuts = np.array(sorted(sorted(set(heads))[::3] + [hot] * 5), "S32")
+    same = np.frombuffer(hot.ljust(32, b"\1"), np.uint8)[None, :].repeat(64, axis=0)
+    assert len(set(op.bucket_of(same, np.arange(64), cuts).tolist())) >= 5          # a hot prefix is dealt out
     monkeypatch.setattr(op, "sample_splitters", lambda *a, **k: cuts)
     assert result(op.deduplicate(frame(rows, SCHEMA))) == brute(rows, 100)
 
