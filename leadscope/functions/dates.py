@@ -3,21 +3,16 @@
 from __future__ import annotations
 
 import datetime as _dt
+import operator
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted range of each date component, keyed by the two-letter code that
-# starts the component name.  The year is never wrong.  Hours run 1-24 and minutes and
-# seconds 1-60 (0 refused, 60 accepted).
-COMPONENT_RANGES = {
-    "MM": ("month", 1, 12),
-    "DD": ("day", 1, 31),
-    "hh": ("hour of day", 1, 24),
-    "mm": ("minutes of the hour", 1, 60),
-    "ss": ("seconds of the minute", 1, 60),
-}
+# Accepted range of each date component, by the two letters that start the component's
+# name.  The year is never wrong.  Hours run 1-24 and minutes and seconds 1-60 (0 refused, 60 accepted).
+COMPONENT_RANGES = {"MM": (1, 12), "DD": (1, 31), "hh": (1, 24), "mm": (1, 60), "ss": (1, 60)}
 YEAR_CODE = "YY"
 MISSING_VALUE = "no value"
 DATE_TEXT_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
@@ -36,14 +31,13 @@ def component_violation(value: Column | str, component: Column | str) -> Column:
     value = _col(value)
     comp = F.lit(component) if isinstance(component, str) else component
     code = F.left(F.trim(comp), F.lit(2))
-    out = F.concat(F.lit("unknown date component: "), F.coalesce(comp, F.lit("NULL")))
-    out = F.when(code == YEAR_CODE, F.lit(None).cast("string")).otherwise(out)
-    for key, (label, low, high) in COMPONENT_RANGES.items():
-        bad = (value < low) | (value > high)
-        msg = F.when(bad, F.concat(F.lit(f"{label} must be in [{low},{high}]: currently "),
-                                   value.cast("string")))
-        out = F.when(code == key, msg).otherwise(out)
-    return F.when(value.isNull() & code.isin(*COMPONENT_RANGES), F.lit(MISSING_VALUE)).otherwise(out)
+    ranges = F.create_map(*[F.lit(x) for c, (low, high) in COMPONENT_RANGES.items() for x in (c, f"{low}-{high}")])
+    inside = reduce(operator.or_, [(code == c) & value.between(low, high) for c, (low, high) in COMPONENT_RANGES.items()])
+    allowed = F.try_element_at(ranges, code)
+    return (F.when(code == YEAR_CODE, F.lit(None).cast("string"))
+            .when(allowed.isNull(), F.concat(F.lit("no rule for component "), F.coalesce(comp, F.lit("NULL"))))
+            .when(value.isNull(), F.lit(MISSING_VALUE))
+            .when(~inside, F.concat(code, F.lit("="), value.cast("string"), F.lit(", allowed "), allowed)))
 
 
 def is_date_text(c: Column | str) -> Column:

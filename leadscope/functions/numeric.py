@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are summed exactly: each parsed double is fixed to 9 decimals before the sum,
-# so the rounded total does not depend on the order in which partitions are combined.
-AMOUNT_TYPE = "decimal(38,9)"
+# An amount is summed in three parts, so that nothing is capped and the total does not depend on the
+# order of partitions: its whole part and its fraction exactly, as DECIMALs that no realistic number of
+# rows can overflow, and amounts beyond the exact range as DOUBLEs.
+EXACT_BELOW = 1e24
+WHOLE_TYPE, FRACTION_TYPE = "decimal(38,0)", "decimal(38,18)"
+AMOUNT_PARTS = ("whole", "fraction", "beyond")
 
 
 def _col(c: Column | str) -> Column:
@@ -24,12 +27,38 @@ def tolerant_double(c: Column | str) -> Column:
     return F.coalesce(_col(c).try_cast("double"), F.lit(0.0))
 
 
-def exact_amount(c: Column | str) -> Column:
-    """Text -> DECIMAL amount; unparsable, NaN or infinite values count as 0."""
-    return F.coalesce(_col(c).try_cast("double").try_cast(AMOUNT_TYPE), F.lit(0).cast(AMOUNT_TYPE))
+def amount_parts(c: Column | str) -> dict[str, Column]:
+    """Text -> the three parts of an amount; text that is no finite number counts as 0."""
+    number = _col(c).try_cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    number = F.coalesce(finite, F.lit(0.0))
+    exact = F.when(F.abs(number) < EXACT_BELOW, number).otherwise(F.lit(0.0))
+    whole = F.floor(exact.cast("decimal(38,13)")).cast(WHOLE_TYPE)
+    # below 2**53 a double may have a fraction; its decimal text is cut at 18 decimals, not at 13
+    small = F.when(F.abs(exact) < 2.0 ** 53, exact).otherwise(F.lit(0.0))
+    precise = small.cast("decimal(34,18)")
+    return {
+        "whole": F.when(F.abs(exact) < 2.0 ** 53, F.floor(precise).cast(WHOLE_TYPE)).otherwise(whole),
+        "fraction": (precise - F.floor(precise)).cast(FRACTION_TYPE),
+        "beyond": F.when(F.abs(number) < EXACT_BELOW, F.lit(0.0)).otherwise(number),
+    }
 
 
-def round_half_up(c: Column | str) -> Column:
-    """floor(x + 0.5) as BIGINT (the rounding of the report, not banker's or half-away).
-    The half is a DECIMAL literal, so a DECIMAL input stays exact."""
-    return F.floor(_col(c) + F.lit(0.5).cast("decimal(2,1)")).cast("bigint")
+def sum_amounts(prefix: str, parts: dict[str, Column] | None = None) -> list[Column]:
+    """Aggregates ``<prefix>_<part>``: over the given parts, or again over columns of those names."""
+    parts = parts or {name: F.col(f"{prefix}_{name}") for name in AMOUNT_PARTS}
+    return [F.sum(parts[name]).alias(f"{prefix}_{name}") for name in AMOUNT_PARTS]
+
+
+def rounded_total(prefix: str) -> Column:
+    """floor(total + 0.5) as BIGINT, at its bounds when the total lies beyond them."""
+    low, high = -(1 << 63), (1 << 63) - 1
+    whole, fraction, beyond = (F.col(f"{prefix}_{name}") for name in AMOUNT_PARTS)
+    carried = F.floor(fraction.cast("decimal(36,18)") + F.lit("0.5").cast("decimal(2,1)"))
+    exact = (whole + carried).cast(WHOLE_TYPE)
+    bounded = F.least(F.greatest(exact, F.lit(low).cast(WHOLE_TYPE)), F.lit(high).cast(WHOLE_TYPE)).cast("bigint")
+    rough = beyond + whole.cast("double") + fraction.cast("double")
+    return (F.when(beyond == 0.0, bounded)
+            .when(F.isnan(rough), F.lit(0).cast("bigint"))
+            .when(rough >= float(high), F.lit(high)).when(rough <= float(low), F.lit(low))
+            .otherwise(F.floor(rough + 0.5).cast("bigint")))

@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
 from leadscope.functions.numeric import to_long
+from leadscope.operators.skew import DEFAULT_HOT_ROWS, salted_join
 from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits_broadcast
 
 # Click-type names that count as leads (21 distinct names).
@@ -171,69 +173,71 @@ def phone_report(report: DataFrame, bridge: DataFrame, begin, end, parents: Pare
 
 # ---------------------------------------------------------------- reconciliation
 
-def _count_per_parent(rows: DataFrame, key_col: str, children: DataFrame, child_col: str,
-                      parents: DataFrame, name: str) -> DataFrame:
-    per_key = rows.groupBy(key_col).agg(F.count(F.lit(1)).alias("n"))
-    per_parent = (children.join(per_key, children[child_col] == per_key[key_col])
-                  .groupBy("parent_account_id").agg(F.sum("n").alias(name)))
-    return (parents.join(per_parent, "parent_account_id", "left")
-            .select("parent_account_id", F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)))
+# The four counted inputs: kind of lead and side.
+_COUNTED = (("online", "source"), ("online", "report"), ("phone", "source"), ("phone", "report"))
 
 
 def lead_reconciliation(activity: DataFrame, click_type: DataFrame, phone_lead: DataFrame,
                         online_report_table: DataFrame, phone_report_table: DataFrame, bridge: DataFrame,
                         begin, end, phone_begin=None, phone_end=None, parents: Parents = None) -> DataFrame:
     """Per parent and kind (online, phone): records in the source, records in the report,
-    and whether the two agree.  The phone range defaults to the online one."""
+    and whether the two agree.  The phone range defaults to the online one.
+
+    One pass: the four filtered inputs are tagged, counted per (kind, side, child) – a partial aggregate
+    that collapses hot children – joined once with the children and summed per parent."""
     parents = _parents_arg(parents)
     phone_begin = begin if phone_begin is None else phone_begin
     phone_end = end if phone_end is None else phone_end
-    plist = parent_list(bridge, parents)
-    keys, ids = child_keys(bridge, parents), child_ids(bridge, parents)
-    online_src = online_source(activity, click_type, begin, end)
     online_rep = typed_online_report(online_report_table).filter(date_in_days(F.col("date_day"), begin, end))
-    phone_src = phone_source(phone_lead, phone_begin, phone_end)
     phone_rep = typed_phone_report(phone_report_table).filter(
         date_in_days(F.col("phone_lead_date"), phone_begin, phone_end))
-
-    def kind(name, src, rep):
-        s = _count_per_parent(src, "account_key", keys, "child_key", plist, "source_count")
-        r = _count_per_parent(rep, "merchant_id", ids, "child_id", plist, "report_count")
-        return (s.join(r, "parent_account_id")
-                .select("parent_account_id", F.lit(name).alias("kind"), "source_count", "report_count",
-                        (F.col("source_count") == F.col("report_count")).alias("ok")))
-
-    return kind("online", online_src, online_rep).unionByName(kind("phone", phone_src, phone_rep))
+    inputs = ((online_source(activity, click_type, begin, end), "account_key"), (online_rep, "merchant_id"),
+              (phone_source(phone_lead, phone_begin, phone_end), "account_key"), (phone_rep, "merchant_id"))
+    tagged = [rows.select(F.lit(kind).alias("kind"), F.lit(side).alias("side"), F.col(key).cast("string").alias("child"))
+              for (kind, side), (rows, key) in zip(_COUNTED, inputs)]
+    counted = (reduce(DataFrame.unionByName, tagged).groupBy("kind", "side", "child")
+               .agg(F.count(F.lit(1)).alias("n")))
+    # sources name a child by its key, reports by its id; parents without a usable child keep their row
+    named = F.array(*[F.struct(F.lit(side).alias("side"), to_long(col).cast("string").alias("child"))
+                      for side, col in (("source", "child_account_key"), ("report", "child_account_id"))])
+    children = _for_parents(bridge, parents).select("parent_account_id", F.inline(named)).distinct()
+    sums = [F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.col("side") == side), F.col("n"))),
+                       F.lit(0).cast("bigint")).alias(f"{kind}_{side}") for kind, side in _COUNTED]
+    per_parent = children.join(counted, ["side", "child"], "left").groupBy("parent_account_id").agg(*sums)
+    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_source").alias("source_count"),
+                               F.col(f"{kind}_report").alias("report_count")) for kind in ("online", "phone")])
+    return (per_parent.select("parent_account_id", F.inline(kinds))
+            .withColumn("ok", F.col("source_count") == F.col("report_count")))
 
 
 # ---------------------------------------------------------------- record checks
 
 def report_violations(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,
-                      reconciliation: DataFrame | None = None,
-                      broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      reconciliation: DataFrame | None = None, broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """One row per (online report record, broken rule): rule name and offending value.
 
     Rules: empty_platform, unknown_platform (not Desktop/Mobile), not_a_lead (click type
     not among the lead names, case-sensitive), clicks_xor_impressions (not exactly one of
     them > 0), date_out_of_range, merchant_not_expected (not a child of the parents).
-    With ``reconciliation`` given, only records of parents whose online and phone counts
-    both agree are checked.
+    With ``reconciliation`` given, only records of children of parents whose online and phone counts
+    both agree are checked; such a merchant is a child, so ``merchant_not_expected`` cannot occur there.
+
+    One lookup (child, expected) is joined once; beyond the broadcast bound hot merchants are salted.
     """
-    parents = _parents_arg(parents)
     rows = typed_online_report(report)
-    ids = child_ids(bridge, parents)
-    expected = ids.select(F.col("child_id").alias("expected_id")).distinct()
-    # one size check proves the bound for both lookups: the reconciled children are a subset
-    small = fits_broadcast(expected, broadcast_rows)
+    ids = child_ids(bridge, _parents_arg(parents))
     if reconciliation is not None:
-        good_parents = (reconciliation.groupBy("parent_account_id")
-                        .agg(F.bool_and("ok").alias("all_ok")).filter("all_ok").select("parent_account_id"))
-        ok_ids = ids.join(good_parents, "parent_account_id", "left_semi").select("child_id").distinct()
-        ok_ids = F.broadcast(ok_ids) if small else ok_ids
-        rows = rows.join(ok_ids, rows["merchant_id"] == ok_ids["child_id"], "left_semi")
-    expected = expected.withColumn("expected", F.lit(True))
-    expected = F.broadcast(expected) if small else expected
-    rows = rows.join(expected, rows["merchant_id"] == expected["expected_id"], "left")
+        agreed = (reconciliation.groupBy("parent_account_id").agg(F.bool_and("ok").alias("all_ok"))
+                  .filter("all_ok").select("parent_account_id"))
+        ids = ids.join(agreed, "parent_account_id", "left_semi")
+    expected = ids.select(F.col("child_id").alias("merchant_id")).distinct().withColumn("expected", F.lit(True))
+    how = "left" if reconciliation is None else "inner"
+    # the children of some parents are a subset of the children of all: one check covers both
+    if fits_broadcast(child_ids(bridge).select("child_id"), broadcast_rows):
+        rows = rows.join(F.broadcast(expected), "merchant_id", how)
+    else:
+        rows = salted_join(rows, expected, "merchant_id", how, hot_rows)
     platform = F.coalesce(F.col("platform"), F.lit(""))
     c, i = F.col("clicks"), F.col("impressions")
     rules = [

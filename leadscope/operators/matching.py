@@ -19,7 +19,8 @@ from leadscope.functions.text import (
     normalised_name,
     normalised_term,
 )
-from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from leadscope.operators.skew import DEFAULT_HOT_ROWS, salted_join
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits_broadcast
 
 
 def _terms(activity: DataFrame) -> DataFrame:
@@ -44,15 +45,18 @@ def name_match_flags(activity: DataFrame, account: DataFrame,
                         matched.alias("matched"))
 
 
-def edit_distance_profile(activity: DataFrame, account: DataFrame,
-                          broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def edit_distance_profile(activity: DataFrame, account: DataFrame, broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                          hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Per account and edit distance: the number of distinct (term, name) pairs met after the
     account join; the distance is taken between the normalised term and name."""
-    names = bounded_broadcast(account.select("account_key", clean_text("account_name").alias("name"))
-                              .withColumn("n", normalised_name(F.col("name"))), broadcast_rows)
-    pairs = (_terms(activity).join(names, "account_key")
-             .select("account_key", "term", "name", "n")
-             .distinct())
+    names = (account.select("account_key", clean_text("account_name").alias("name"))
+             .withColumn("n", normalised_name(F.col("name"))))
+    terms = _terms(activity)
+    if fits_broadcast(names, broadcast_rows):
+        met = terms.join(F.broadcast(names), "account_key")
+    else:
+        met = salted_join(terms, names, "account_key", hot_rows=hot_rows)
+    pairs = met.select("account_key", "term", "name", "n").distinct()
     distance = F.levenshtein(normalised_term(F.col("term")), F.col("n"))
     return (pairs.select("account_key", distance.alias("edit_distance"))
             .groupBy("account_key", "edit_distance")

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.functions.text import NONE_TERM, clean_text, normalised_match, normalised_name, normalised_term
-from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits_broadcast
+from leadscope.operators.skew import DEFAULT_HOT_ROWS, salted_join
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
 
 def with_match_flags(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -72,7 +73,7 @@ def heading_directory_profile(activity: DataFrame, account: DataFrame, strict: b
 
 def merchant_profile(activity: DataFrame, account: DataFrame, per_date: bool = True,
                      clicks_only: bool = False, strict: bool = False,
-                     broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Per merchant (key, id, name): searches, by name, empty, ``NONE``.
 
     ``per_date`` (the default) counts one search per merchant and day – the smallest
@@ -95,7 +96,10 @@ def merchant_profile(activity: DataFrame, account: DataFrame, per_date: bool = T
     if per_date:
         # one group per distinct (key, name, id): identical account rows merge
         accounts = accounts.dropDuplicates(["account_key", "account_id", "account_name"])
-    accounts = bounded_broadcast(accounts.withColumn("name_key", normalised_name(F.col("account_name"))),
-                                 broadcast_rows)
-    flagged = with_match_flags(terms.join(accounts, "account_key"), strict)
+    accounts = accounts.withColumn("name_key", normalised_name(F.col("account_name")))
+    if fits_broadcast(accounts, broadcast_rows):
+        joined = terms.join(F.broadcast(accounts), "account_key")
+    else:
+        joined = salted_join(terms, accounts, "account_key", hot_rows=hot_rows)
+    flagged = with_match_flags(joined, strict)
     return flagged.groupBy("account_key", "account_id", "account_name").agg(*_counters())

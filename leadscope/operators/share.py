@@ -10,7 +10,7 @@ original left join of two aggregates gives.
 Plan: one scan of activity with the date range pushed into the scan.  When the (key,
 name) side is within the checked broadcast bound it is broadcast and each search is
 tested on the map side; otherwise searches are first counted per (account, squeezed
-keyword) so the shuffle join moves distinct keywords only.  One numeric aggregate per key
+keyword) so the shuffle join moves distinct keywords only, hot accounts salted.  One numeric aggregate per key
 gives both counts (no second pass over the join).  Text attributes per key are taken from
 the account side alone, so string minima never run over the activity.
 """
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
 from leadscope.functions.text import non_name_of, study_keyword, study_name
+from leadscope.operators.skew import DEFAULT_HOT_ROWS, salted_join
 from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
 
@@ -32,8 +33,8 @@ def _day_after(day: dt.date) -> F.Column:
 
 
 def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
-                   since: str | dt.date = "2014-04-01", limit: int | None = None,
-                   ts_col: str = "activity_ts", broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   since: str | dt.date, limit: int | None = None, ts_col: str = "activity_ts",
+                   broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """``activity``: account_key, keywords, ``ts_col`` (TIMESTAMP_NTZ);
     ``account``: account_key, account_id, account_name, location_key;
     ``location``: location_key, location_city, location_zip_code.
@@ -55,7 +56,7 @@ def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
     else:
         # count distinct (key, keyword) first, so the shuffle join moves reduced rows
         counted = keywords.groupBy("account_key", "kw").agg(F.count(F.lit(1)).alias("n"))
-        joined = counted.join(name_keys, "account_key")
+        joined = salted_join(counted, name_keys, "account_key", hot_rows=hot_rows)
     # numeric sums only, so the fact side stays in hash aggregation
     non_name = non_name_of("kw", "name_key")
     counts = (joined.groupBy("account_key")

@@ -1,8 +1,8 @@
 """Monthly totals: impressions and clicks per (account id, account key, directory).
 
 The extract carries the numbers as text; text that is not a number counts as 0.  Amounts
-are summed exactly (DECIMAL) and rounded half up once, at the end, so the total does not
-depend on how partitions are combined.  Extract rows are summed per (key, directory)
+are summed in exact parts (``functions.numeric``) and rounded half up once, at the end, so the
+total does not depend on how partitions are combined; a total beyond BIGINT stays at its bound.  Extract rows are summed per (key, directory)
 before the account join (partial aggregation on the map side), and re-summed after it,
 which is exact also when account keys repeat.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadscope.functions.numeric import exact_amount, round_half_up
+from leadscope.functions.numeric import amount_parts, rounded_total, sum_amounts
 from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 
@@ -22,9 +22,11 @@ def monthly_totals(extract: DataFrame, account: DataFrame,
     ``account``: account_key, account_id."""
     sums = (extract
             .groupBy("account_key", "directory_id")
-            .agg(F.sum(exact_amount("impressions")).alias("imp"), F.sum(exact_amount("clicks")).alias("clk")))
+            .agg(*sum_amounts("imp", amount_parts("impressions")), *sum_amounts("clk", amount_parts("clicks"))))
     accounts = bounded_broadcast(account.select("account_key", "account_id"), broadcast_rows)
     joined = sums.join(accounts, "account_key")
     return (joined
             .groupBy("account_id", "account_key", "directory_id")
-            .agg(round_half_up(F.sum("imp")).alias("impressions"), round_half_up(F.sum("clk")).alias("clicks")))
+            .agg(*sum_amounts("imp"), *sum_amounts("clk"))
+            .select("account_id", "account_key", "directory_id", rounded_total("imp").alias("impressions"),
+                    rounded_total("clk").alias("clicks")))

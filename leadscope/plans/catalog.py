@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadscope.operators import audit, leads, matching, profiles, share, totals
 from leadscope.plans import fixtures as fx
@@ -84,15 +85,18 @@ def monthly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """0.1 % sample without replacement, seed 1 (rows-only check)."""
-    return fx.activity(spark, sf_dir).sample(withReplacement=False, fraction=0.001, seed=1)
+    """0.1 % sample without replacement, seed 1, drawn by the row's identity."""
+    return fx.activity(spark, sf_dir).where(dataset.drawn(["event_id"], 0.001, 1))
 
 
 def _exported_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the activity (full and 0.1 % sample snapshots) as the partitioned dataset
     below the shared checkpoint folder and read it back."""
-    path = dataset.export_activity(fx.activity(spark, sf_dir), shared_path(spark, "activity"))
-    return dataset.read_activity_dataset(spark, path)
+    return dataset.read_activity_dataset(spark, _export(spark, sf_dir))
+
+
+def _export(spark: SparkSession, sf_dir: str) -> str:
+    return dataset.export_activity(fx.activity(spark, sf_dir), shared_path(spark, "activity"), identity=["event_id"])
 
 
 def activity_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,11 +105,48 @@ def activity_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ds = _exported_activity(spark, sf_dir)
-    present = dataset.day_range(ds, "2024-01-01", "2024-01-31")
+    present = dataset.present_days(spark, _export(spark, sf_dir))
     return dataset.missing_days(present, dataset.expected_days(spark, "2024-01-01", "2024-01-31"))
 
 
+def activity_day_range_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few days of one channel."""
+    ds = _exported_activity(spark, sf_dir)
+    return dataset.rows_per_day(dataset.day_range(ds, "2024-01-09", "2024-01-11", channels="online"))
+
+
+def activity_reexport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export, then a corrected one over the same days without a mobile day and with a smaller sample;
+    rows per day, channel and snapshot of what is left."""
+    activity = fx.activity(spark, sf_dir)
+    path = shared_path(spark, "activity")
+    days = ("2024-01-01", "2024-01-31", dataset.CHANNELS)
+    dataset.export_activity(activity, path, sample_fraction=0.2, identity=["event_id"], covered=days)
+    emptied = (F.col("activity_date") == F.lit("2024-01-05").cast("date")) & F.col("is_mobile")
+    dataset.export_activity(activity.where(~emptied), path, sample_fraction=0.01, identity=["event_id"], covered=days)
+    return (dataset.read_activity_dataset(spark, path).groupBy("activity_date", "channel", "snapshot")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def account_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables exported; the accounts read back."""
+    accounts = exports.good(exports.parse_account_lines(fx.account_lines(spark, sf_dir)))
+    _, path = dataset.export_everything(fx.activity(spark, sf_dir), accounts, shared_path(spark, "everything"),
+                                        identity=["event_id"])
+    return dataset.register_accounts_view(spark, path)
+
+
+def extract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.rejects(exports.parse_extract_lines(fx.extract_lines(spark, sf_dir)), "record_id")
+
+
+def activity_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with quoted commas, unpaired quotes and thousands of quoted fields, split outside quotes."""
+    parsed = exports.parse_activity_lines(fx.quoted_lines(spark, sf_dir), quoted=True)
+    return parsed.select("event_id", "account_key", "keywords", "date_text", "heading_id",
+                         F.col("reject_reason").alias("reason"))
+
+
 # Day ranges of the lead check: the online fixture covers January 2024, the phone one 1995-2001.
 ONLINE_RANGE = ("2024-01-05", "2024-01-20")
 PHONE_RANGE = ("1996-01-01", "1996-12-31")
@@ -115,6 +156,10 @@ def child_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads.child_accounts(fx.account_bridge(spark, sf_dir))
 
 
+def child_accounts_one_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.child_accounts(fx.account_bridge(spark, sf_dir), parents="P7")
+
+
 def online_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads.online_leads(fx.activity(spark, sf_dir), fx.click_type(spark), fx.account_bridge(spark, sf_dir),
                               *ONLINE_RANGE)
@@ -139,6 +184,13 @@ def lead_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
         *ONLINE_RANGE, *PHONE_RANGE)
 
 
+def lead_reconciliation_one_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leads.lead_reconciliation(
+        fx.activity(spark, sf_dir), fx.click_type(spark), fx.phone_lead(spark, sf_dir),
+        fx.online_report(spark, sf_dir), fx.phone_report(spark, sf_dir), fx.account_bridge(spark, sf_dir),
+        *ONLINE_RANGE, *PHONE_RANGE, parents="P7")
+
+
 def report_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leads.report_violations(fx.online_report(spark, sf_dir), fx.account_bridge(spark, sf_dir), *ONLINE_RANGE)
 
@@ -165,12 +217,27 @@ def report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def share_report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The non-name share written as comma files with a header and read back."""
-    df = non_name_share(spark, sf_dir)
+    """The non-name share of awkwardly named accounts, written as comma files with a header and read back."""
+    df = share.non_name_share(fx.activity(spark, sf_dir), fx.awkward_account(spark, sf_dir), fx.location(spark, sf_dir),
+                              since="2024-01-10")
     path = sinks.write_csv_with_header(df, shared_path(spark, "reports", "non_name_share"))
     return sinks.read_csv_with_header(spark, path, df.schema)
 
 
+def merchant_report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merchant profile of awkwardly named accounts, written tab-separated and read back."""
+    df = profiles.merchant_profile(fx.activity(spark, sf_dir), fx.awkward_account(spark, sf_dir))
+    path = sinks.write_tsv(df, shared_path(spark, "reports", "merchant"))
+    return sinks.read_tsv(spark, path, df.schema)
+
+
+def totals_report_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly totals written tab-separated and read back."""
+    df = monthly_totals(spark, sf_dir)
+    path = sinks.write_tsv(df, shared_path(spark, "reports", "totals"))
+    return sinks.read_tsv(spark, path, df.schema)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental ingest over raw export files written from the driver tables (one
     folder per channel and day, named like the exports): an availableNow stream converts
@@ -215,6 +282,15 @@ JOBS: dict[str, Job] = {
     "date_text_audit": date_text_audit,  # J18 (X6)
     "report_write": report_write,  # J19, K4
     "share_report_write": share_report_write,  # J19, K5
+    "merchant_report_write": merchant_report_write,  # J8, K4
+    "totals_report_write": totals_report_write,  # J9, K4
+    "extract_rejects": extract_rejects,  # J9 rejects
+    "activity_quoted": activity_quoted,  # S1, quoted fields
+    "activity_day_range_online": activity_day_range_online,  # J4, S7
+    "activity_reexport": activity_reexport,  # J1, K1, K3
+    "account_export": account_export,  # K2, K3, S4
+    "child_accounts_one_parent": child_accounts_one_parent,  # J11, F10
+    "lead_reconciliation_one_parent": lead_reconciliation_one_parent,  # J14, F8
 }
 
 FLAGSHIP = "heading_directory_profile"

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadscope.plans.sizing import bounded_broadcast
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -66,6 +64,31 @@ def account(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def awkward_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts whose names hold what text files find hard: outer blanks, quotes, tabs, line breaks,
+    backslashes, nothing, or NULL."""
+    key, name = F.col("account_key"), F.col("account_name")
+    shape = (key % 8).cast("int")
+    names = (F.when(key % 31 == 0, F.lit(None).cast("string"))
+             .when(shape == 0, F.concat(F.lit("  "), name, F.lit(" ")))
+             .when(shape == 1, F.concat(F.lit('the "'), name, F.lit('", best')))
+             .when(shape == 2, F.concat(name, F.lit("\t"), name))
+             .when(shape == 3, F.concat(name, F.lit("\r\n"), F.lit("2nd line")))
+             .when(shape == 4, F.lit(""))
+             .when(shape == 5, F.concat(F.lit("c:\\new\\"), name))
+             .otherwise(name))
+    return account(spark, sf_dir).withColumn("account_name", names)
+
+
+def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw activity lines with a quoted comma, an unpaired quote, or ten thousand quoted fields more."""
+    eid, line = F.col("event_id"), F.col("line")
+    comma = F.replace(line, F.lit('",f,"'), F.lit('",f,"a,b '))
+    return activity_lines(spark, sf_dir).select(
+        eid, F.when(eid % 50 == 1, comma).when(eid % 61 == 2, F.concat(line, F.lit(',x"')))
+        .when(eid % 1009 == 3, F.concat(line, F.repeat(F.lit(',"q,r"'), 10_000))).otherwise(line).alias("line"))
+
+
 def location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Locations; nation 3 has none, so its accounts drop out of inner joins."""
     n = table(spark, sf_dir, "nation")
@@ -138,7 +161,7 @@ def online_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delivered online report: activity rows with a lead or empty click type; records
     weighing over 300 are missing; platforms and counters partly malformed."""
     a = activity(spark, sf_dir)
-    ct = bounded_broadcast(click_type(spark))  # low-cardinality key: never a shuffle join
+    ct = F.broadcast(click_type(spark))  # four constant rows; low-cardinality key: never a shuffle join
     eid = F.col("event_id")
     platform = (F.when(eid % 17 == 0, F.lit("")).when(eid % 19 == 0, F.lit("Tablet"))
                 .when(F.col("is_mobile"), F.lit("Mobile")).otherwise(F.lit("Desktop")))
@@ -209,13 +232,20 @@ def account_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw semicolon-separated monthly extract lines: key, directory, impressions, clicks as text."""
+    """Raw semicolon-separated monthly extract lines: key, directory, impressions, clicks as text; some
+    lines are short or without a usable key, some amounts lie beyond BIGINT or have many decimals."""
     a = activity(spark, sf_dir)
     eid = F.col("event_id")
-    key_text = F.when(eid % 5 == 0, F.concat(F.lit('"'), _s(F.col("account_key")), F.lit('"'))) \
-        .otherwise(_s(F.col("account_key")))
-    imp = F.when(eid % 11 == 0, F.lit("n/a")).otherwise(_s(F.col("impression_weight")))
-    clk = F.when(eid % 13 == 0, F.lit("")).otherwise(_s(F.col("click_weight")))
-    line = F.concat(key_text, F.lit(";m;m;m;m;"), _s(F.col("directory_id")), F.lit(";m;m;m;m;m;m;"),
-                    imp, F.lit(";"), clk)
+    key_text = (F.when(eid % 103 == 0, F.concat(F.lit("key"), _s(F.col("account_key"))))
+                .when(eid % 5 == 0, F.concat(F.lit('"'), _s(F.col("account_key")), F.lit('"')))
+                .otherwise(_s(F.col("account_key"))))
+    directory = F.when(eid % 107 == 0, F.lit("")).otherwise(_s(F.col("directory_id")))
+    imp = (F.when(eid % 211 == 0, F.lit("3e30")).when(eid % 223 == 0, F.lit("9000000000000000000"))
+           .when(eid % 227 == 0, F.lit("0.25000000000001")).when(eid % 11 == 0, F.lit("n/a"))
+           .otherwise(_s(F.col("impression_weight"))))
+    clk = (F.when(eid % 229 == 0, F.lit("-3e30")).when(eid % 13 == 0, F.lit(""))
+           .otherwise(_s(F.col("click_weight"))))
+    full = F.concat(key_text, F.lit(";m;m;m;m;"), directory, F.lit(";m;m;m;m;m;m;"), imp, F.lit(";"), clk)
+    short = F.concat(_s(F.col("account_key")), F.lit(";m;m"))
+    line = F.when(eid % 101 == 0, short).otherwise(full)
     return a.select(eid.alias("record_id"), line.alias("line"))

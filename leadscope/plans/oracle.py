@@ -35,6 +35,18 @@ account AS (
          replace(c_name, '#', ' ') AS account_name, c_nationkey AS location_key
   FROM customer)"""
 
+AWKWARD_ACCOUNT = r"""
+account AS (
+  SELECT c_custkey AS account_key, 'A' || CAST(c_custkey AS VARCHAR) AS account_id, c_nationkey AS location_key,
+    CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE CASE CAST(c_custkey % 8 AS INTEGER)
+      WHEN 0 THEN '  ' || replace(c_name, '#', ' ') || ' '
+      WHEN 1 THEN 'the "' || replace(c_name, '#', ' ') || '", best'
+      WHEN 2 THEN replace(c_name, '#', ' ') || chr(9) || replace(c_name, '#', ' ')
+      WHEN 3 THEN replace(c_name, '#', ' ') || chr(13) || chr(10) || '2nd line'
+      WHEN 4 THEN '' WHEN 5 THEN 'c:\new\' || replace(c_name, '#', ' ')
+      ELSE replace(c_name, '#', ' ') END END AS account_name
+  FROM customer)"""
+
 LOCATION = r"""
 location AS (
   SELECT n_nationkey AS location_key, n_name AS location_city, 'Z' || CAST(n_regionkey AS VARCHAR) AS location_zip_code
@@ -108,10 +120,15 @@ account_lines AS (
 EXTRACT_LINES = r"""
 extract_lines AS (
   SELECT event_id AS record_id,
-    CASE WHEN event_id % 5 = 0 THEN '"' || CAST(account_key AS VARCHAR) || '"' ELSE CAST(account_key AS VARCHAR) END
-    || ';m;m;m;m;' || CAST(directory_id AS VARCHAR) || ';m;m;m;m;m;m;'
-    || CASE WHEN event_id % 11 = 0 THEN 'n/a' ELSE CAST(impression_weight AS VARCHAR) END || ';'
-    || CASE WHEN event_id % 13 = 0 THEN '' ELSE CAST(click_weight AS VARCHAR) END AS line
+    CASE WHEN event_id % 101 = 0 THEN CAST(account_key AS VARCHAR) || ';m;m'
+    ELSE CASE WHEN event_id % 103 = 0 THEN 'key' || CAST(account_key AS VARCHAR)
+              WHEN event_id % 5 = 0 THEN '"' || CAST(account_key AS VARCHAR) || '"' ELSE CAST(account_key AS VARCHAR) END
+    || ';m;m;m;m;' || CASE WHEN event_id % 107 = 0 THEN '' ELSE CAST(directory_id AS VARCHAR) END || ';m;m;m;m;m;m;'
+    || CASE WHEN event_id % 211 = 0 THEN '3e30' WHEN event_id % 223 = 0 THEN '9000000000000000000'
+            WHEN event_id % 227 = 0 THEN '0.25000000000001' WHEN event_id % 11 = 0 THEN 'n/a'
+            ELSE CAST(impression_weight AS VARCHAR) END || ';'
+    || CASE WHEN event_id % 229 = 0 THEN '-3e30' WHEN event_id % 13 = 0 THEN '' ELSE CAST(click_weight AS VARCHAR) END
+    END AS line
   FROM activity)"""
 
 
@@ -175,26 +192,21 @@ SELECT account_key, account_id, account_name,
 FROM normalised GROUP BY account_key, account_id, account_name"""
 
 NON_NAME_SHARE = with_views(ACTIVITY, ACCOUNT, LOCATION) + r""",
-base AS (
-  SELECT a.account_key, c.account_id, c.account_name, l.location_city, l.location_zip_code, a.keywords
-  FROM activity a JOIN account c ON c.account_key = a.account_key
-       JOIN location l ON c.location_key = l.location_key
-  WHERE CAST(a.activity_ts AS DATE) > DATE '2024-01-10'),
-t_all AS (
-  SELECT account_key, arg_min(account_id, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS account_id,
-         arg_min(account_name, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS account_name,
-         arg_min(location_city, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS location_city,
-         arg_min(location_zip_code, (account_id IS NULL, account_id, account_name IS NULL, account_name, location_city IS NULL, location_city, location_zip_code IS NULL, location_zip_code)) AS location_zip_code,
-         count(*) AS total_count
-  FROM base GROUP BY account_key),
-t_diff AS (
-  SELECT account_key, count(*) AS per_category_count FROM base
-  WHERE upper(replace(replace(keywords, '-', ''), ' ', '')) <> upper(replace(replace(account_name, chr(39), ''), ' ', ''))
-  GROUP BY account_key)
-SELECT t_all.account_key, account_id, account_name, location_city, location_zip_code,
-  CAST(total_count AS BIGINT) AS total_count, CAST(per_category_count AS BIGINT) AS per_category_count,
-  CAST(per_category_count AS DOUBLE) / CAST(total_count AS DOUBLE) AS category_proportion
-FROM t_all LEFT JOIN t_diff ON t_all.account_key = t_diff.account_key"""
+searched AS (
+  SELECT account_key, count(*) AS searches,
+         count(*) FILTER (WHERE upper(replace(replace(keywords, '-', ''), ' ', ''))
+                                <> upper(replace(replace(account_name, chr(39), ''), ' ', ''))) AS other_searches
+  FROM activity JOIN account USING (account_key) JOIN location USING (location_key)
+  WHERE activity_ts >= TIMESTAMP '2024-01-11 00:00:00' GROUP BY account_key),
+described AS (
+  SELECT account_key, account_id, account_name, location_city, location_zip_code,
+         row_number() OVER (PARTITION BY account_key ORDER BY account_id NULLS LAST, account_name NULLS LAST,
+                            location_city NULLS LAST, location_zip_code NULLS LAST) AS nth
+  FROM account JOIN location USING (location_key))
+SELECT s.account_key, d.account_id, d.account_name, d.location_city, d.location_zip_code,
+       CAST(s.searches AS BIGINT) AS total_count, CAST(nullif(s.other_searches, 0) AS BIGINT) AS per_category_count,
+       CAST(nullif(s.other_searches, 0) AS DOUBLE) / CAST(s.searches AS DOUBLE) AS category_proportion
+FROM searched s JOIN described d ON d.account_key = s.account_key AND d.nth = 1"""
 
 NAME_MATCH_FLAGS = with_views(ACTIVITY, ACCOUNT) + f""",
 pairs AS (
@@ -275,29 +287,41 @@ ACCOUNT_REJECTS = ACCOUNT_FIELDS + """
 SELECT record_id, reason FROM tagged WHERE reason IS NOT NULL"""
 
 
-def _amount(x: str) -> str:
-    return f"coalesce(TRY_CAST(TRY_CAST({x} AS DOUBLE) AS DECIMAL(38,9)), CAST(0 AS DECIMAL(38,9)))"
+def _total(x: str) -> str:
+    """floor(sum + 0.5) within BIGINT: decimal digits of the text where they fit, doubles beyond."""
+    number = f"coalesce(CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END, CAST(0 AS DOUBLE))"
+    exact = f"sum(CASE WHEN abs({number}) < 1e24 THEN coalesce(TRY_CAST({x} AS DECIMAL(38,12)), 0) ELSE 0 END)"
+    far = f"sum(CASE WHEN abs({number}) >= 1e24 THEN {number} ELSE CAST(0 AS DOUBLE) END)"
+    return (f"CASE WHEN {far} + CAST({exact} AS DOUBLE) >= 9223372036854775807 THEN 9223372036854775807 "
+            f"WHEN {far} + CAST({exact} AS DOUBLE) <= -9223372036854775807 THEN -9223372036854775807 - 1 "
+            f"ELSE CAST(floor({exact} + CAST(0.5 AS DECIMAL(2,1))) AS BIGINT) END")
 
 
-MONTHLY_TOTALS = with_views(ACTIVITY, ACCOUNT, EXTRACT_LINES) + f""",
-parsed AS (SELECT string_split(line, ';') AS p FROM extract_lines),
+EXTRACT_FIELDS = with_views(ACTIVITY, ACCOUNT, EXTRACT_LINES) + f""",
+parsed AS (SELECT record_id, string_split(line, ';') AS p FROM extract_lines),
 f AS (
-  SELECT len(p) AS n_fields, TRY_CAST({clean('p[1]')} AS BIGINT) AS account_key,
+  SELECT record_id, len(p) AS n_fields, TRY_CAST({clean('p[1]')} AS BIGINT) AS account_key,
          TRY_CAST({clean('p[6]')} AS BIGINT) AS directory_id, {clean('p[13]')} AS impressions, {clean('p[14]')} AS clicks
-  FROM parsed)
-SELECT c.account_id, f.account_key, f.directory_id,
-  CAST(floor(sum({_amount('f.impressions')}) + 0.5) AS BIGINT) AS impressions,
-  CAST(floor(sum({_amount('f.clicks')}) + 0.5) AS BIGINT) AS clicks
+  FROM parsed)"""
+
+MONTHLY_TOTALS = EXTRACT_FIELDS + f"""
+SELECT c.account_id, f.account_key, f.directory_id, {_total('f.impressions')} AS impressions, {_total('f.clicks')} AS clicks
 FROM f JOIN account c ON c.account_key = f.account_key
 WHERE f.n_fields >= 14 AND f.account_key IS NOT NULL AND f.directory_id IS NOT NULL
 GROUP BY 1, 2, 3"""
 
+EXTRACT_REJECTS = EXTRACT_FIELDS + """
+SELECT record_id, CASE WHEN n_fields < 14 THEN 'short_row' ELSE 'bad_number' END AS reason
+FROM f WHERE n_fields < 14 OR account_key IS NULL OR directory_id IS NULL"""
+
 ORACLES.update({
     "activity_ingest": ACTIVITY_INGEST,
     "activity_rejects": ACTIVITY_REJECTS,
     "account_ingest": ACCOUNT_INGEST,
     "account_rejects": ACCOUNT_REJECTS,
     "monthly_totals": MONTHLY_TOTALS,
+    "totals_report_write": MONTHLY_TOTALS,
+    "extract_rejects": EXTRACT_REJECTS,
 })
 
 
@@ -326,9 +350,12 @@ ORACLES.update({
 
 # ---------------------------------------------------------------- lead check oracles
 
-from leadscope.operators.leads import LEAD_CLICK_TYPES  # noqa: E402  (fixed list, shared as data)
-
-LEAD_NAMES_SQL = "(" + ", ".join(f"'{n}'" for n in LEAD_CLICK_TYPES) + ")"
+# The click-type names that count as leads, stated here on their own.
+LEAD_NAMES_SQL = """(
+  'appointment_submit', 'contact_submit', 'directions-confirm', 'email-confirm', 'free_call', 'free_call_mp', 'howtodetail',
+  'newsletter_submit', 'printdirection', 'quote_submit', 'reserve_online', 'reservenow-ot', 'save_share_facebook',
+  'save_share_foursquare', 'save_share_other', 'save_share_tripadvisor', 'save_share_twitter', 'saveshare_email-confirm',
+  'saveshareemail-confirm', 'share_confirm', 'sms-confirm')"""
 
 KEYS = """
 keys AS (SELECT DISTINCT parent_account_id, TRY_CAST(child_account_key AS BIGINT) AS child_key
@@ -453,11 +480,6 @@ ORACLES.update({
 
 # ---------------------------------------------------------------- audits and written reports
 
-def _range_message(label: str, low: int, high: int) -> str:
-    return (f"CASE WHEN value < {low} OR value > {high} "
-            f"THEN '{label} must be in [{low},{high}]: currently ' || CAST(value AS VARCHAR) END")
-
-
 DATE_COMPONENT_AUDIT = with_views(ACTIVITY) + f""",
 parts AS (
   SELECT 'YY' AS component, CAST(year(activity_ts) AS INTEGER) AS value FROM activity UNION ALL
@@ -465,16 +487,15 @@ parts AS (
   SELECT 'DD', CAST(day(activity_ts) AS INTEGER) FROM activity UNION ALL
   SELECT 'hh', CAST(hour(activity_ts) AS INTEGER) FROM activity UNION ALL
   SELECT 'mm', CAST(minute(activity_ts) AS INTEGER) FROM activity UNION ALL
-  SELECT 'ss', CAST(second(activity_ts) AS INTEGER) FROM activity)
-SELECT component, value, {big('count(*)')} AS n,
-  CASE WHEN value IS NULL AND component IN ('MM', 'DD', 'hh', 'mm', 'ss') THEN 'no value'
-  ELSE CASE component WHEN 'YY' THEN NULL
-    WHEN 'MM' THEN {_range_message('month', 1, 12)}
-    WHEN 'DD' THEN {_range_message('day', 1, 31)}
-    WHEN 'hh' THEN {_range_message('hour of day', 1, 24)}
-    WHEN 'mm' THEN {_range_message('minutes of the hour', 1, 60)}
-    WHEN 'ss' THEN {_range_message('seconds of the minute', 1, 60)} END END AS message
-FROM parts GROUP BY 1, 2"""
+  SELECT 'ss', CAST(second(activity_ts) AS INTEGER) FROM activity),
+allowed AS (SELECT * FROM (VALUES ('MM', 1, 12), ('DD', 1, 31), ('hh', 1, 24), ('mm', 1, 60), ('ss', 1, 60))
+            AS t(component, low, high))
+SELECT p.component, p.value, {big('count(*)')} AS n,
+  CASE WHEN p.component = 'YY' THEN NULL WHEN p.value IS NULL THEN 'no value'
+       WHEN p.value < any_value(a.low) OR p.value > any_value(a.high)
+       THEN p.component || '=' || CAST(p.value AS VARCHAR) || ', allowed ' || CAST(any_value(a.low) AS VARCHAR)
+            || '-' || CAST(any_value(a.high) AS VARCHAR) END AS message
+FROM parts p LEFT JOIN allowed a ON a.component = p.component GROUP BY 1, 2"""
 
 DATE_TEXT_AUDIT = ACTIVITY_FIELDS + """,
 texts AS (SELECT date_text, count(*) AS n FROM tagged WHERE reason IS NULL GROUP BY 1),
@@ -534,7 +555,7 @@ ORACLES.update({"stream_ingest": STREAM_INGEST})
 # ---------------------------------------------------------------- report variants
 
 NON_NAME_SHARE_TOP10 = NON_NAME_SHARE + """
-ORDER BY account_name, t_all.account_key LIMIT 10"""
+ORDER BY d.account_name, s.account_key LIMIT 10"""
 
 HEADING_DIRECTORY_PROFILE_STRICT = HEADING_DIRECTORY_PROFILE.replace(
     f"count_if({match('t', 'n')})", f"count_if(length(t) > 0 AND {match('t', 'n')})")
@@ -544,3 +565,66 @@ ORACLES.update({
     "non_name_share_top10": NON_NAME_SHARE_TOP10,
     "heading_directory_profile_strict": HEADING_DIRECTORY_PROFILE_STRICT,
 })
+
+
+# ---------------------------------------------------------------- exports, quoted lines, one parent, written reports
+
+def _with(view: str, other: str, sql: str) -> str:
+    if view not in sql:
+        raise ValueError("the view is not part of the query")
+    return sql.replace(view, other)
+
+
+ACTIVITY_SAMPLE = with_views(ACTIVITY) + """
+SELECT * FROM activity WHERE left(md5('1|' || CAST(event_id AS VARCHAR)), 8) < '00418937'"""
+
+ACTIVITY_DAY_RANGE_ONLINE = with_views(ACTIVITY) + f"""
+SELECT activity_date, 'online' AS channel, {big('count(*)')} AS n FROM activity
+WHERE activity_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-11' AND NOT is_mobile GROUP BY 1"""
+
+ACTIVITY_REEXPORT = with_views(ACTIVITY) + f""",
+corrected AS (SELECT * FROM activity WHERE NOT (is_mobile AND activity_date = DATE '2024-01-05')),
+snapshots AS (
+  SELECT activity_date, {CHANNEL_SQL} AS channel, 'full' AS snapshot FROM corrected
+  UNION ALL
+  SELECT activity_date, {CHANNEL_SQL}, 'sample' FROM corrected
+  WHERE left(md5('1|' || CAST(event_id AS VARCHAR)), 8) < '028f5c29')
+SELECT activity_date, channel, snapshot, {big('count(*)')} AS n FROM snapshots GROUP BY 1, 2, 3"""
+
+QUOTED_LINES = r"""
+quoted_lines AS (
+  SELECT event_id, CASE WHEN event_id % 50 = 1 THEN replace(line, '",f,"', '",f,"a,b ')
+    WHEN event_id % 61 = 2 THEN line || ',x"'
+    WHEN event_id % 1009 = 3 THEN line || repeat(',"q,r"', 10000) ELSE line END AS line
+  FROM activity_lines)"""
+
+# a section between quotes with an odd number of quotes after it keeps its commas
+ACTIVITY_QUOTED = with_views(ACTIVITY, ACTIVITY_LINES, QUOTED_LINES) + f""",
+sections AS (SELECT event_id, string_split(line, '"') AS s FROM quoted_lines),
+marked AS (
+  SELECT event_id, array_to_string([CASE WHEN (len(s) - i) % 2 = 1 THEN replace(s[i], ',', chr(10)) ELSE s[i] END
+                                    FOR i IN range(1, len(s) + 1)], '"') AS line FROM sections),
+parsed AS (SELECT event_id, [replace(x, chr(10), ',') FOR x IN string_split(line, ',')] AS p FROM marked),
+f AS (
+  SELECT event_id, len(p) AS n_fields, TRY_CAST({clean('p[3]')} AS BIGINT) AS account_key, {clean('p[18]')} AS keywords,
+         {clean('p[4]')} AS date_text, TRY_CAST({clean('p[5]')} AS BIGINT) AS heading_id,
+         TRY_CAST({clean('p[6]')} AS BIGINT) AS directory_id, TRY_CAST({clean('p[8]')} AS BIGINT) AS referer_id,
+         TRY_CAST({clean('p[16]')} AS BIGINT) AS mobile_number
+  FROM parsed)
+SELECT event_id, account_key, keywords, date_text, heading_id,
+       CASE WHEN n_fields < 18 THEN 'short_row'
+            WHEN account_key IS NULL OR heading_id IS NULL OR directory_id IS NULL OR referer_id IS NULL
+                 OR mobile_number IS NULL THEN 'bad_number' END AS reason
+FROM f"""
+
+ORACLES.update({
+    "activity_sample": ACTIVITY_SAMPLE,
+    "activity_day_range_online": ACTIVITY_DAY_RANGE_ONLINE,
+    "activity_reexport": ACTIVITY_REEXPORT,
+    "activity_quoted": ACTIVITY_QUOTED,
+    "account_export": ACCOUNT_INGEST,
+    "child_accounts_one_parent": f"SELECT * FROM ({CHILD_ACCOUNTS}) WHERE parent_account_id = 'P7'",
+    "lead_reconciliation_one_parent": LEAD_RECONCILIATION + " WHERE parent_account_id = 'P7'",
+    "share_report_write": _with(ACCOUNT, AWKWARD_ACCOUNT, NON_NAME_SHARE),
+    "merchant_report_write": _with(ACCOUNT, AWKWARD_ACCOUNT, MERCHANT_PROFILE),
+})

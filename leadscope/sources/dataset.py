@@ -11,15 +11,17 @@ split mixes many days, ``files_per_day`` clusters rows first: a shuffle on (chan
 snapshot, day, bucket) with a deterministic bucket from a row hash, so each day gets that
 many files (and a hot day is spread over that many tasks) and a retried task sends every
 row to the same place.
-Re-running an export overwrites only the partitions it writes (dynamic overwrite), so a
-retried job after a lost executor gives the same dataset.
+An export replaces whole days: it covers the (channel, day) pairs that its rows hold, and those of a
+range it names.  Partitions of covered pairs that receive no row, in either snapshot, are removed after
+the write, so a corrected export leaves nothing of the one before.  Other days stay as they are.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
@@ -54,6 +56,30 @@ def _write(df: DataFrame, path: str, max_records_per_file: int, files_per_day: i
     return path
 
 
+Covered = tuple[str | dt.date, str | dt.date, tuple[str, ...]]
+
+
+def _days_of(df: DataFrame) -> set[tuple[str, str, dt.date]]:
+    """Distinct partition values of the rows: at most channels x snapshots x days of them."""
+    return {(r["channel"], r["snapshot"], r["activity_date"])
+            for r in df.select(*PARTITION_COLUMNS).distinct().collect()}
+
+
+def _remove_stale(spark: SparkSession, path: str, filled: set, covered: Covered | None) -> None:
+    """Remove the partitions of covered (channel, day) pairs that received no row."""
+    pairs = {(channel, day) for channel, _, day in filled}
+    if covered is not None:
+        first, last = date_argument(covered[0]), date_argument(covered[1])
+        pairs |= {(c, first + dt.timedelta(days=k)) for c in covered[2] for k in range((last - first).days + 1)}
+    jvm = spark._jvm
+    for channel, day in sorted(pairs, key=str):
+        for snapshot in SNAPSHOTS:
+            if (channel, snapshot, day) not in filled:
+                value = day.isoformat() if day is not None else "__HIVE_DEFAULT_PARTITION__"
+                folder = jvm.org.apache.hadoop.fs.Path(f"{path}/channel={channel}/snapshot={snapshot}/activity_date={value}")
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full",
                            max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
     """Write ``activity`` as one snapshot of the dataset (only the days it holds are replaced)."""
@@ -61,23 +87,53 @@ def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full
                   activity.columns)
 
 
+def drawn(identity: list[str], fraction: float, seed: int) -> Column:
+    """Whether a row is in the sample of ``fraction``: the md5 of the seed and the row's identity, as a
+    number below 2**32.  Any layout and any engine draw the same rows; equal identities go together."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity])
+    return F.left(F.md5(F.encode(text, "UTF-8")), F.lit(8)) < F.lit(f"{round(fraction * (1 << 32)):08x}"[:8]) \
+        if fraction < 1 else F.lit(True)
+
+
 def export_activity(activity: DataFrame, path: str, sample_fraction: float | None = 0.001, seed: int = 1,
-                    max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
+                    max_records_per_file: int = 5_000_000, files_per_day: int | None = None,
+                    identity: list[str] | None = None, covered: Covered | None = None) -> str:
     """Full snapshot and (optionally) a sampled snapshot of the same activity, in one pass.
 
-    Each row is written to ``snapshot=full`` and, when a seeded Bernoulli draw selects it
-    (probability ``sample_fraction``, no replacement), also to ``snapshot=sample``: one scan
-    and one write job instead of two.  ``rand(seed)`` is seeded per partition, so a retried
-    task draws the same rows.  Dynamic overwrite replaces the partitions that receive rows: a
-    re-exported day whose draw selects no row (a day of a few hundred rows at 0.1 %) keeps
-    its earlier sample partition."""
+    Each row is written to ``snapshot=full`` and, when ``drawn`` by its ``identity`` columns (default:
+    all columns), also to ``snapshot=sample``: one scan and one write job instead of two.
+    ``covered`` = (first day, last day, channels) names days that the export speaks for even where it
+    has no row."""
     df = with_partition_columns(activity, "full").drop("snapshot")
     snapshots = F.array(F.lit("full"))
     if sample_fraction:
-        snapshots = F.when(F.rand(seed) < F.lit(sample_fraction), F.array(F.lit("full"), F.lit("sample"))) \
-            .otherwise(snapshots)
+        snapshots = F.when(drawn(identity or activity.columns, sample_fraction, seed),
+                           F.array(F.lit("full"), F.lit("sample"))).otherwise(snapshots)
     both = df.withColumn("snapshot", F.explode(snapshots))
-    return _write(both, path, max_records_per_file, files_per_day, activity.columns)
+    _write(both, path, max_records_per_file, files_per_day, activity.columns)
+    _remove_stale(activity.sparkSession, path, _days_of(both), covered)
+    return path
+
+
+def write_accounts(account: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
+    """The account table as Parquet; every export replaces it as a whole."""
+    account.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
+    return path
+
+
+def read_accounts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def register_accounts_view(spark: SparkSession, path: str, name: str = "account") -> DataFrame:
+    df = read_accounts(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def export_everything(activity: DataFrame, account: DataFrame, root: str, **options) -> tuple[str, str]:
+    """Both tables below ``root``: the partitioned activity (both snapshots) and the accounts."""
+    return export_activity(activity, f"{root}/activity", **options), write_accounts(account, f"{root}/account")
 
 
 def read_activity_dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -122,6 +178,19 @@ def expected_days(spark: SparkSession, start: str | dt.date, end: str | dt.date,
             .select("activity_date", F.explode(F.array(*[F.lit(c) for c in channels])).alias("channel")))
 
 
+def present_days(spark: SparkSession, path: str, snapshot: str = "full") -> DataFrame:
+    """(activity_date, channel) of the partitions of a dataset, from its folder listing: no row is read.
+
+    A partition is written only with rows in it, so its folder stands for a present day; there are at
+    most days x channels of them."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/channel=*/snapshot={snapshot}/activity_date=*")
+    folders = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    found = [re.search(r"/channel=([^/]+)/snapshot=[^/]+/activity_date=(\d{4}-\d{2}-\d{2})$", f.getPath().toString())
+             for f in folders]
+    return spark.createDataFrame([(dt.date.fromisoformat(m[2]), m[1]) for m in found if m],
+                                 "activity_date date, channel string")
+
+
 def missing_days(present: DataFrame, expected: DataFrame) -> DataFrame:
     """(day, channel) pairs of ``expected`` that have no row in ``present``."""
     have = present.select("activity_date", "channel").distinct()

@@ -40,9 +40,6 @@ EXTRACT_MIN_FIELDS = 14
 # Source file name prefixes of the two activity channels.
 CHANNEL_FILE_PREFIXES = {"online": "deduped-", "mobile": "API_DTA_D_"}
 
-# A separator outside double-quoted sections: followed by an even number of quotes.
-QUOTE_AWARE = r'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
 SHORT_ROW = "short_row"
 BAD_NUMBER = "bad_number"
 OTHER_VERTICAL = "other_vertical"
@@ -77,7 +74,19 @@ def _field(parts: Column, pos: int) -> Column:
     return F.get(parts, pos)
 
 
-def _parse(lines: DataFrame, line_col: str, sep: str, keep_line: bool, fields: dict, build) -> DataFrame:
+def split_quoted(line: Column, sep: str) -> Column:
+    """Fields of a line; a separator with an odd number of double quotes after it belongs to its field.
+
+    One pass over the quoted sections: a line holds no line feed, so that stands in for the separators
+    inside them while the line is split."""
+    from_end = F.reverse(F.split(line, '"', -1))
+    shielded = F.transform(from_end, lambda s, i: F.when(i % 2 == 1, F.replace(s, F.lit(sep), F.lit("\n"))).otherwise(s))
+    fields = F.split(F.array_join(F.reverse(shielded), '"'), sep, -1)
+    return F.transform(fields, lambda f: F.replace(f, F.lit("\n"), F.lit(sep)))
+
+
+def _parse(lines: DataFrame, line_col: str, sep: str, keep_line: bool, fields: dict, build, quoted: bool = False
+           ) -> DataFrame:
     """Split each line once, clean the needed fields once, then compute the typed output and
     the reject reason inside one generator over a one-element array.
 
@@ -89,7 +98,8 @@ def _parse(lines: DataFrame, line_col: str, sep: str, keep_line: bool, fields: d
     field columns and the field count to the output columns.
     """
     carry = [c for c in lines.columns if keep_line or c != line_col]
-    split = lines.select(*carry, F.split(F.col(line_col), sep, -1).alias("_parts"))
+    cut = split_quoted(F.col(line_col), sep) if quoted else F.split(F.col(line_col), sep, -1)
+    split = lines.select(*carry, cut.alias("_parts"))
     parts = F.col("_parts")
     cleaned = split.select(*carry, F.coalesce(F.size(parts), F.lit(0)).alias("_n"),
                            *[expr(parts).alias(f"_f_{name}") for name, expr in fields.items()])
@@ -129,8 +139,7 @@ def parse_activity_lines(lines: DataFrame, line_col: str = "line", keep_line: bo
             "reject_reason": reason,
         }
     fields = {name: _cleaned(pos) for name, pos in ACTIVITY_POSITIONS.items()}
-    sep = QUOTE_AWARE.format(sep=",") if quoted else ","
-    return _parse(lines, line_col, sep, keep_line, fields, build)
+    return _parse(lines, line_col, ",", keep_line, fields, build, quoted)
 
 
 def parse_account_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False) -> DataFrame:

@@ -2,29 +2,60 @@
 
 Executors write the files (one per partition) through Spark's commit protocol, so a
 retried task never leaves half a report; the caller names the output folder.
+
+Every text value comes back as it was: blanks are kept, empty text and NULL differ, and a value never
+spans lines, so files stay splittable.  In text columns a backslash, tab, line feed and carriage return
+are written as ``\\\\``, ``\\t``, ``\\n`` and ``\\r``; NULL is ``\\N``, which no written value can be.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+# Escaped characters and the mark of a missing value.
+ESCAPES = {"\n": "\\n", "\r": "\\r", "\t": "\\t"}
+NULL_MARK = "\\N"
+_OPTIONS = {"nullValue": NULL_MARK, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _escaped(c: Column) -> Column:
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for char, written in ESCAPES.items():
+        c = F.replace(c, F.lit(char), F.lit(written))
+    return c
+
+
+def _plain(c: Column) -> Column:
+    """Undo ``_escaped``: what lies between doubled backslashes holds single escapes only."""
+    def part(x: Column) -> Column:
+        for char, written in ESCAPES.items():
+            x = F.replace(x, F.lit(written), F.lit(char))
+        return x
+    return F.array_join(F.transform(F.split(c, r"\\\\", -1), part), "\\")
+
+
+def _on_text(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def write_tsv(df: DataFrame, path: str) -> str:
     """Tab-separated lines, no header (the profile reports)."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", False).csv(path)
+    _on_text(df, _escaped).write.mode("overwrite").options(**_OPTIONS, sep="\t", header=False).csv(path)
     return path
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("sep", "\t").option("header", False).csv(path)
+    return _on_text(spark.read.schema(schema).options(**_OPTIONS, sep="\t", header=False).csv(path), _plain)
 
 
 def write_csv_with_header(df: DataFrame, path: str) -> str:
     """Comma-separated with one header line per file (the share study)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    _on_text(df, _escaped).write.mode("overwrite").options(**_OPTIONS, header=True).csv(path)
     return path
 
 
 def read_csv_with_header(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return _on_text(spark.read.schema(schema).options(**_OPTIONS, header=True).csv(path), _plain)

@@ -1,5 +1,5 @@
-"""Structured Streaming form of the daily activity ingest (exactly-once file sinks)."""
+"""Structured Streaming form of the daily activity ingest (each file converted exactly once)."""
 
-from leadscope.streaming.ingest import IngestStreams, start_activity_ingest
+from leadscope.streaming.ingest import IngestStream, start_activity_ingest
 
-__all__ = ["IngestStreams", "start_activity_ingest"]
+__all__ = ["IngestStream", "start_activity_ingest"]

@@ -1,24 +1,21 @@
 """Incremental activity ingest: new daily export files -> the partitioned activity dataset.
 
 The batch export walks channel x day and converts each file once.  Here Structured
-Streaming tracks which files were already converted: a file source over the export
-folder, the same parser as the batch jobs, and two file sinks – typed rows into the
-dataset partitioned by channel / snapshot / day, rejected rows with their reason into a
-rejects table.  File sinks commit through their metadata log, so a restarted or retried
-run writes every file exactly once; ``availableNow`` processes what is there and stops,
-which fits a daily schedule.  Channel and day come from the export name in the file path;
-rows of files that are not named exports are rejected (``unknown_export``).
-
-The file sink keeps a metadata log in the dataset folder, and readers then see only files
-in that log: the folder of a streamed dataset is written by the stream alone (a batch
-export writes its own folder).  The two sinks are two queries, so each file is parsed
-twice; that keeps both outputs exactly once without a transactional table format.
+Streaming tracks which files were already converted: one file-source query over the export
+folder parses each file once per micro-batch and writes typed rows into the dataset
+(partitioned by channel / snapshot / day) and rejected rows with their reason into a rejects
+table.  Both are written below a folder named by the micro-batch, which is replaced as a
+whole: a batch that is run again after a failure leaves the same files, so every file
+counts exactly once.  ``availableNow`` processes what is there and stops, which fits a daily
+schedule.  Channel and day come from the export name in the file path; rows of files that
+are not named exports are rejected (``unknown_export``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,55 +28,47 @@ UNKNOWN_EXPORT = "unknown_export"
 
 
 @dataclass
-class IngestStreams:
-    rows: StreamingQuery
-    rejects: StreamingQuery
-
-    def await_all(self, poll_seconds: float = 1.0) -> None:
-        """Wait until both streams end; if either fails the other is stopped and the error
-        raised (both are watched together, so a failure is seen whichever stream it hits)."""
-        queries = (self.rows, self.rejects)
-        try:
-            while True:
-                done = [q.awaitTermination(poll_seconds) for q in queries]   # raises on failure
-                if all(done):
-                    return
-        finally:
-            for q in queries:
-                if q.isActive:
-                    q.stop()
-
+class IngestStream:
+    query: StreamingQuery
 
-def _lines(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None) -> DataFrame:
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(source_dir).select(F.col("value").alias("line"),
-                                          F.col("_metadata.file_path").alias("source_file"))
+    def await_all(self) -> None:
+        """Wait until the stream ends; its error is raised."""
+        self.query.awaitTermination()
 
 
-def start_activity_ingest(spark: SparkSession, source_dir: str, dataset_path: str, rejects_path: str,
-                          checkpoint_dir: str, snapshot: str = "full",
-                          max_files_per_trigger: int | None = None, available_now: bool = True) -> IngestStreams:
-    parsed = (parse_activity_lines(_lines(spark, source_dir, max_files_per_trigger), keep_line=True)
+def parse_export_files(lines: DataFrame) -> DataFrame:
+    """(line, source_file) -> typed rows with channel, activity_date, line and reject_reason."""
+    parsed = (parse_activity_lines(lines, keep_line=True)
               .withColumn("channel", channel_of_file(F.col("source_file")))
               .withColumn("activity_date", F.coalesce(day_of_file(F.col("source_file")),
                                                       parse_date_text(F.col("date_text")))))
     # a row whose file is not a named export has no channel or day: rejected, never put in a null partition
     reason = F.coalesce(F.col("reject_reason"),
                         F.when(F.col("channel").isNull() | F.col("activity_date").isNull(), F.lit(UNKNOWN_EXPORT)))
-    parsed = parsed.withColumn("reject_reason", reason)
-    rows = good(parsed).drop("line").withColumn("snapshot", F.lit(snapshot))
-    rejects = (parsed.filter(F.col("reject_reason").isNotNull())
-               .select("source_file", "line", F.col("reject_reason").alias("reason")))
-
-    def sink(df: DataFrame, path: str, name: str, partition_by=()):
-        writer = (df.writeStream.format("parquet").outputMode("append")
-                  .option("path", path).option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{name}"))
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-        return writer.start()
-
-    return IngestStreams(rows=sink(rows, dataset_path, "rows", PARTITION_COLUMNS),
-                         rejects=sink(rejects, rejects_path, "rejects"))
+    return parsed.withColumn("reject_reason", reason)
+
+
+def start_activity_ingest(spark: SparkSession, source_dir: str, dataset_path: str, rejects_path: str,
+                          checkpoint_dir: str, snapshot: str = "full",
+                          max_files_per_trigger: int | None = None, available_now: bool = True) -> IngestStream:
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = reader.load(source_dir).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"))
+
+    def convert(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_export_files(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            def put(df: DataFrame, path: str, *by: str) -> None:
+                (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by)
+                 .parquet(f"{path.rstrip('/')}/batch={batch_id}"))
+
+            put(good(parsed).drop("line").withColumn("snapshot", F.lit(snapshot)), dataset_path, *PARTITION_COLUMNS)
+            put(parsed.filter(F.col("reject_reason").isNotNull())
+                .select("source_file", "line", F.col("reject_reason").alias("reason")), rejects_path)
+        finally:
+            parsed.unpersist()
+
+    writer = lines.writeStream.foreachBatch(convert).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return IngestStream(writer.start())

@@ -105,3 +105,32 @@ def test_quoted_option_keeps_commas_inside_quotes(spark, scratch):
     quoted = {r.id: r.keywords for r in exports.parse_activity_lines(lines, quoted=True).collect()}
     assert positional == {1: "pizza", 2: "pizza hut"}
     assert quoted == {1: "pizza, hut", 2: "pizza hut"}
+
+
+def test_quoted_option_on_long_and_unpaired_lines(spark, scratch):
+    long = GOOD.replace('"pizza hut"', '"pizza, hut"') + ',"a,b"' * 10_000
+    got = {r.id: r for r in exports.parse_activity_lines(
+        as_parquet(spark, [(1, long), (3, None), (4, "")], "id int, line string", scratch), quoted=True).collect()}
+    assert got[1].keywords == "pizza, hut" and got[1].reject_reason is None
+    assert got[3].reject_reason == got[4].reject_reason == "short_row"
+
+
+def test_split_quoted_against_a_count_of_quotes(spark, scratch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    lines = ["".join(rng.choice('ab",," ') for _ in range(rng.randint(0, 25))) for _ in range(500)]
+
+    def fields(line):
+        out, at = [], 0
+        for i, c in enumerate(line):
+            if c == "," and line[i:].count('"') % 2 == 0:
+                out.append(line[at:i])
+                at = i + 1
+        return [*out, line[at:]]
+
+    df = as_parquet(spark, [(x,) for x in lines], "line string", scratch)
+    for r in df.select("line", exports.split_quoted(F.col("line"), ",").alias("f")).collect():
+        assert r.f == fields(r.line)

@@ -14,7 +14,7 @@ def _plan(df) -> str:
 def test_contract_keys():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"activity_sample"}
+    assert set(catalog.JOBS) <= set(q) and set(catalog.JOBS) <= set(o)      # every job has an oracle
 
 
 def test_entry_runs(spark):
@@ -78,7 +78,7 @@ def test_oracle_gate(spark, sf):
 
     con = duck(sf)
     bad = []
-    for name in entry.oracle_sql():
+    for name in catalog.JOBS:
         r = compare(spark, name, sf, con)
         if not r["ok"]:
             bad.append(r)
@@ -107,7 +107,7 @@ def test_oracle_gate_under_other_session_settings(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         con = duck(SF01)
-        bad = [r for r in (compare(spark, n, SF01, con) for n in entry.oracle_sql()) if not r["ok"]]
+        bad = [r for r in (compare(spark, n, SF01, con) for n in catalog.JOBS) if not r["ok"]]
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -155,3 +155,14 @@ def test_checkpoint_folder_fallback_rules():
     assert first == ensure_checkpoint_dir(local)          # one private folder per session
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_RemoteSession({"spark.master": "yarn"}))
+
+
+def test_reconciliation_is_one_pass(spark):
+    """Each large source is scanned once and the bridge once; far fewer exchanges than one count per side."""
+    plan = _plan(catalog.JOBS["lead_reconciliation"](spark, SF001))
+    assert plan.count("FileScan parquet") <= 6 and plan.count("Exchange hashpartitioning") <= 6, plan
+
+
+def test_missing_days_reads_no_row(spark):
+    plan = _plan(catalog.JOBS["missing_days"](spark, SF001))
+    assert "FileScan" not in plan

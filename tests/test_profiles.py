@@ -86,6 +86,22 @@ def test_monthly_totals_round_half_up_and_tolerant(spark, scratch):
     assert got == {1: (3, 1), 2: (-2, 0)}   # 2.5 -> 3, 0.5 -> 1, -2.5 -> -2 (floor(x + 0.5))
 
 
+def test_monthly_totals_lose_nothing(spark, scratch):
+    """Amounts beyond DECIMAL and BIGINT, many decimals, and repeated account keys; any row order."""
+    big, top = "9000000000000000000", (1 << 63) - 1
+    rows = [(1, 5, "1e30", big), (1, 5, "5", big),                                # beyond BIGINT: at its bound
+            (2, 5, "-1e30", "-" + big), (2, 5, "7", "-" + big),
+            (3, 5, "1e30", "0.25000000000001"), (3, 5, "-1e30", "0.24999999999999"),   # 0.5 exactly: up
+            (4, 5, "1e30", "Infinity"), (4, 6, "123456789012345678", "1e-7"),
+            (5, 5, "9007199254740993", "2251799813685248.5"), (5, 5, "1", "0")]
+    ext = as_parquet(spark, rows, "account_key bigint, directory_id bigint, impressions string, clicks string", scratch)
+    acc = as_parquet(spark, [(k, f"A{k}", "n", 1) for k in range(1, 6)], ACC, scratch)
+    for part in (ext, ext.repartition(5), ext.orderBy(F.desc("impressions"))):
+        got = {(r.account_key, r.directory_id): (r.impressions, r.clicks) for r in totals.monthly_totals(part, acc).collect()}
+        assert got == {(1, 5): (top, top), (2, 5): (-top - 1, -top - 1), (3, 5): (0, 1), (4, 5): (top, 0),
+                       (4, 6): (123456789012345680, 0), (5, 5): (9007199254740993, 2251799813685249)}
+
+
 def test_edit_distance_profile_counts_distinct_pairs(small):
     act, acc = small
     got = {(r.account_key, r.edit_distance): r.pairs for r in matching.edit_distance_profile(act, acc).collect()}

@@ -59,38 +59,75 @@ def test_hot_key_is_split_and_lookup_stays_broadcast(spark):
                 spark.conf.set(k, v)
 
 
-def test_profile_shapes_agree(spark):
-    """Both plan shapes of the flagship (broadcast / pre-aggregate + shuffle join) give the same rows."""
-    from leadscope.operators import profiles
+class NoBroadcast:
+    """Auto broadcast off, so a job beyond its bound really takes its shuffle shape."""
 
-    act, acc = fx.activity(spark, SF01), fx.account(spark, SF01)
-    a = profiles.heading_directory_profile(act, acc)
-    b = profiles.heading_directory_profile(act, acc, broadcast_rows=0)
-    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    KEYS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
 
+    def __init__(self, spark):
+        self.spark = spark
 
-def test_share_shapes_agree(spark):
-    from leadscope.operators import share
+    def __enter__(self):
+        self.old = {k: self.spark.conf.get(k, None) for k in self.KEYS}
+        for k in self.KEYS:
+            self.spark.conf.set(k, "-1")
 
-    args = (fx.activity(spark, SF01), fx.account(spark, SF01), fx.location(spark, SF01))
-    a = share.non_name_share(*args, since="2024-01-10")
-    b = share.non_name_share(*args, since="2024-01-10", broadcast_rows=0)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
 
 
-def test_account_side_fallbacks_agree(spark):
-    """Beyond the broadcast bound (forced with broadcast_rows=0) every job gives the same rows."""
-    from leadscope.operators import matching, profiles, totals
+def _jobs(spark, activity):
+    """Name -> job(broadcast rows, hot rows); hot rows only where the job salts."""
+    from leadscope.operators import matching, profiles, share, totals
     from leadscope.sources import exports
 
-    act, acc = fx.activity(spark, SF01), fx.account(spark, SF01)
+    acc, loc = fx.account(spark, SF01), fx.location(spark, SF01)
     extract = exports.good(exports.parse_extract_lines(fx.extract_lines(spark, SF01)))
-    pairs = [
-        (lambda b: profiles.merchant_profile(act, acc, broadcast_rows=b)),
-        (lambda b: matching.name_match_flags(act, acc, broadcast_rows=b)),
-        (lambda b: matching.edit_distance_profile(act, acc, broadcast_rows=b)),
-        (lambda b: totals.monthly_totals(extract, acc, broadcast_rows=b)),
-    ]
-    for job in pairs:
-        assert sorted(map(tuple, job(1_000_000).collect())) == sorted(map(tuple, job(0).collect()))
+    report = fx.online_report(spark, SF01).withColumn(
+        "merchant_id", F.when(F.col("event_id") % 2 == 0, F.lit("7")).otherwise(F.col("merchant_id")))
+    bridge, days = fx.account_bridge(spark, SF01), ("2024-01-05", "2024-01-20")
+    agreed = bridge.select("parent_account_id", F.lit(True).alias("ok")).where("parent_account_id <> 'P3'").distinct()
+    return {
+        "heading": lambda b, h: profiles.heading_directory_profile(activity, acc, broadcast_rows=b),
+        "merchant": lambda b, h: profiles.merchant_profile(activity, acc, broadcast_rows=b, hot_rows=h),
+        "all_rows": lambda b, h: profiles.merchant_profile(activity, acc, per_date=False, broadcast_rows=b, hot_rows=h),
+        "share": lambda b, h: share.non_name_share(activity, acc, loc, since="2024-01-10", broadcast_rows=b, hot_rows=h),
+        "flags": lambda b, h: matching.name_match_flags(activity, acc, broadcast_rows=b),
+        "distance": lambda b, h: matching.edit_distance_profile(activity, acc, broadcast_rows=b, hot_rows=h),
+        "totals": lambda b, h: totals.monthly_totals(extract, acc, broadcast_rows=b),
+        "violations": lambda b, h: leads.report_violations(report, bridge, *days, broadcast_rows=b, hot_rows=h),
+        "reconciled": lambda b, h: leads.report_violations(report, bridge, *days, reconciliation=agreed, broadcast_rows=b,
+                                                           hot_rows=h),
+    }
+
+
+def test_shuffle_shapes_give_the_same_rows(spark):
+    """Half the rows on one key, every term of it distinct: broadcast and salted shuffle joins agree."""
+    act = fx.activity(spark, SF01).repartition(8)
+    hot = F.col("event_id") % 2 == 0
+    act = act.withColumns({"account_key": F.when(hot, F.lit(7)).otherwise(F.col("account_key")),
+                           "keywords": F.when(hot, F.concat("keywords", F.lit(" "), "event_id")).otherwise(F.col("keywords"))})
+    for name, job in _jobs(spark, act).items():
+        want = sorted(map(str, job(1_000_000, 1_000_000).collect()))
+        with NoBroadcast(spark):
+            df = job(0, 200)
+            got = sorted(map(str, df.collect()))
+            assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString(), name
+        assert got == want, name
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """The rows of a hot key arrive in many partitions of the salted join, and none is lost."""
+    from leadscope.operators.skew import salted_join
+
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    lookup = spark.range(15_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    with NoBroadcast(spark):
+        for how in ("inner", "left"):
+            got = salted_join(rows, lookup, "k", how, hot_rows=500).withColumn("task", F.spark_partition_id()).cache()
+            assert got.drop("task").exceptAll(rows.join(lookup, "k", how).select("k", "x", "y")).isEmpty()
+            assert got.count() == rows.join(lookup, "k", how).count()
+            tasks = got.where("k = 7").groupBy("task").count().collect()
+            assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 5_000
+            got.unpersist()

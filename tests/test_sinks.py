@@ -24,3 +24,16 @@ def test_csv_header_round_trip(spark, scratch):
         assert fh.readline().strip() == "account_key,account_name,total_count,per_category_count,share"
     back = sinks.read_csv_with_header(spark, path, df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(ROWS)
+
+
+AWKWARD = [(1, " blanks  "), (2, ""), (3, None), (4, 'say "hi", twice'), (5, "tab\there"), (6, "two\r\nlines\nmore"), (7, "c:\\new\\t"),
+           (8, "\\N"), (9, "\\"), (10, '"'), (11, '""'), (12, ","), (13, "é"), (14, "\\\\n"), (15, "\\\n"), (16, " "), (17, "'")]
+
+
+def test_every_text_comes_back(spark, scratch):
+    df = as_parquet(spark, AWKWARD, "k bigint, name string", scratch).repartition(2)
+    for write, read, name in ((sinks.write_tsv, sinks.read_tsv, "t"), (sinks.write_csv_with_header, sinks.read_csv_with_header, "c")):
+        path = write(df, os.path.join(scratch, "awkward-" + name))
+        assert sorted(map(tuple, read(spark, path, df.schema).collect())) == sorted(AWKWARD)
+        lines = spark.read.text(path).count()             # one line per row, and the header of each comma file
+        assert lines == len(AWKWARD) + (len([f for f in os.listdir(path) if f.endswith(".csv")]) if name == "c" else 0)
