@@ -138,6 +138,7 @@ class Model:
     """Where the arrays lie, and the totals that do not grow with the corpus."""
     folder: str
     buckets: int
+    follow_buckets: int
     tokens: int = 0
     words: int = 0
     pairs: int = 0
@@ -242,7 +243,7 @@ def _pair_reducer(model: Model) -> Callable:
         blobs = [_pack(_count_of_counts(total), np.array([len(pair)], np.int64), np.array([bucket], np.int64),
                        keys[hot], np.ascontiguousarray(stats[hot]).ravel())]
         follows, times = np.unique(word, return_counts=True)
-        to = (mix64(follows) % np.uint64(model.buckets)).astype(np.int64)
+        to = (mix64(follows) % np.uint64(model.follow_buckets)).astype(np.int64)
         for p in _by_bucket(to):
             numbers.append(int(to[p[0]]))
             blobs.append(_pack(np.diff(follows[p], prepend=np.uint64(0)), times[p].astype(np.uint32)))
@@ -268,7 +269,8 @@ def train(texts: DataFrame, group_bytes: int = 16 << 20, split: int = 8) -> Mode
     at most 16 most frequent words of each."""
     spark = texts.sparkSession
     texts = texts.select("text")
-    model = Model(shared_path(spark, "llm", "ngram"), 4 * partitions(spark))
+    # pairs are many and get small buckets; each of those sends one packed row to every bucket of words
+    model = Model(shared_path(spark, "llm", "ngram"), 4 * partitions(spark), max(1, partitions(spark) // 4))
     rows = (texts.mapInArrow(_word_packer(model.buckets, group_bytes), PACKED)
             .groupBy("bucket").applyInArrow(_word_reducer(model), PACKED).collect())
     hot, shares = [], []
@@ -349,8 +351,8 @@ class Scorer:
         words, word_of = np.unique(t.word, return_inverse=True)
         count = self._each("word", words, (words % size).astype(np.int64), look, np.zeros(len(words), np.int64))
         follow_keys = words >> np.uint64(8)
-        follow = self._each("follow", follow_keys, (mix64(follow_keys) % size).astype(np.int64), look,
-                            np.zeros(len(words), np.int64))
+        follow = self._each("follow", follow_keys, (mix64(follow_keys) % np.uint64(m.follow_buckets)).astype(np.int64),
+                            look, np.zeros(len(words), np.int64))
         uniform = 1.0 / (m.words + 1)
         lower = np.full(len(words), uniform)
         if m.pairs:
