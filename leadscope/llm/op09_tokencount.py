@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,11 +137,59 @@ def word_starts(symbols: np.ndarray, chunk: int = 4096) -> np.ndarray:
     return np.flatnonzero(starts.T.ravel()[:len(symbols)])
 
 
+class Transitions:
+    """Open-addressed table from (state, byte) to (next state, emitted count); grows as it fills."""
+
+    STEP = 0x9E3779B97F4A7C15
+
+    def __init__(self, bits: int = 16) -> None:
+        self.bits, self.used = bits, 0
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(self.STEP)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values of the keys, -1 where there is none."""
+        at = self._home(keys)
+        out = self.values[at]
+        other = np.flatnonzero(self.keys[at] != keys)
+        at, mask = at[other], (1 << self.bits) - 1
+        while len(other):
+            seen = self.keys[at]
+            out[other] = np.where(seen == keys[other], self.values[at], -1)
+            more = (seen != keys[other]) & (seen >= 0)
+            other, at = other[more], (at[more] + 1) & mask
+        return out
+
+    def put(self, key: int, value: int) -> None:
+        if self.used * 3 > len(self.keys):
+            old_keys, old_values = self.keys[self.keys >= 0], self.values[self.keys >= 0]
+            self.__init__(self.bits + 1)
+            for k, v in zip(old_keys.tolist(), old_values.tolist()):
+                self._insert(k, v)
+        self._insert(key, value)
+
+    def _insert(self, key: int, value: int) -> None:
+        at, mask = (key * self.STEP & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits), (1 << self.bits) - 1
+        while self.keys[at] >= 0:
+            at = (at + 1) & mask
+        self.keys[at], self.values[at] = key, value
+        self.used += 1
+
+
+def _by_size(sizes: np.ndarray) -> np.ndarray:
+    """Order of falling sizes (radix sort up to 65,535, which is nearly every word)."""
+    if len(sizes) and int(sizes.max()) > 0xFFFF:
+        return np.argsort(-sizes, kind="stable")
+    return np.argsort(0xFFFF - sizes.astype(np.uint16), kind="stable")
+
+
 class Counter:
     """The counting transducer, compiled as its transitions are first used."""
 
     #: states kept before the tables start anew (they are a cache; counts do not depend on it)
-    MOST = 80_000
+    MOST = 300_000
 
     def __init__(self, tokens: dict[bytes, int], merges: list[tuple[bytes, bytes]]) -> None:
         n = max(tokens.values()) + 1
@@ -168,88 +217,65 @@ class Counter:
         self._reset()
 
     def _reset(self) -> None:
-        #: open prefixes by start: (trie node, token before the start or -1, count there minus count now)
-        self.states: list[tuple] = [((0, -1, 0),)]
+        #: open prefixes by start, packed: (trie node, token before the start or -1, count there minus count now)
+        self.states: list[bytes] = [array("i", (0, -1, 0)).tobytes()]
         self.number = {self.states[0]: 0}
-        self.column = np.full(256, -1, np.int64)             # bytes seen, as table columns
-        self.used_columns = 0
-        self.to = np.full((1024, 32), -1, np.int32)
-        self.emit = np.zeros((1024, 32), np.int8)
-
-    def _compile(self, state: int, byte: int) -> tuple[int, int]:
-        open_, found = [], None
-        for node, before, count in self.states[state]:
+        self.table = Transitions()
+
+    def _compile(self, state: int, byte: int) -> None:
+        open_, token, grown = [], -1, 0
+        flat = iter(memoryview(self.states[state]).cast("i"))
+        for node, before, count in zip(flat, flat, flat):
             node = self.children[node].get(byte)
             if node is None:
                 continue
-            token = self.token[node]
-            if token >= 0 and found is None and (before < 0 or self.rules.adjacent_one(before, token)):
-                found = (token, count + 1)
+            if token < 0 <= self.token[node] and (before < 0 or self.rules.adjacent_one(before, self.token[node])):
+                token, grown = self.token[node], count + 1
             if self.children[node]:
                 open_.append((node, before, count))
-        token, grown = found
-        key = tuple((node, before, count - grown) for node, before, count in open_) + ((0, token, 0),)
+        key = array("i", [x for node, before, count in open_ for x in (node, before, count - grown)])
+        key.extend((0, token, 0))
+        key = key.tobytes()
         target = self.number.get(key)
         if target is None:
             target = self.number[key] = len(self.states)
             self.states.append(key)
-        return target, grown
-
-    def _column(self, byte: int) -> int:
-        if self.column[byte] < 0:
-            if self.used_columns == self.to.shape[1]:
-                wide = self.to.shape[1]
-                self.to = np.concatenate([self.to, np.full((len(self.to), wide), -1, np.int32)], axis=1)
-                self.emit = np.concatenate([self.emit, np.zeros((len(self.emit), wide), np.int8)], axis=1)
-            self.column[byte] = self.used_columns
-            self.used_columns += 1
-        return int(self.column[byte])
-
-    def _fill(self, state: int, byte: int) -> None:
-        column = self._column(byte)
-        target, grown = self._compile(state, byte)
-        while target >= len(self.to):
-            self.to = np.concatenate([self.to, np.full_like(self.to, -1)])
-            self.emit = np.concatenate([self.emit, np.zeros_like(self.emit)])
-        self.to[state, column], self.emit[state, column] = target, grown
+        if not -128 <= grown < 128:
+            raise OverflowError("a transition that changes the count by over 127")
+        self.table.put(state << 8 | byte, target << 8 | grown + 128)
+
+    def _values(self, keys: np.ndarray) -> np.ndarray:
+        out = self.table.get(keys)
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            for key in np.unique(keys[missing]).tolist():
+                self._compile(key >> 8, key & 255)
+            out[missing] = self.table.get(keys[missing])
+        return out
 
     def count(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, few: int = 8) -> np.ndarray:
         """Tokens of every word data[start : start + size]; all words advance together."""
         if len(self.states) > self.MOST:
             self._reset()
-        for byte in np.unique(data).tolist():
-            self._column(byte)
-        columns = self.column[data]
-        order = np.argsort(-sizes, kind="stable")
+        order = _by_size(sizes)
         place, left = starts[order], sizes[order]
         out = np.zeros(len(order), np.int64)
         state = np.zeros(len(order), np.int64)
-        live = len(order)
-        for k in range(int(left[0]) if live else 0):
-            live = int(np.searchsorted(-left[:live], -k, side="left"))     # words longer than k
+        longest = int(left[0]) if len(left) else 0
+        longer = len(order) - np.cumsum(np.bincount(left, minlength=longest + 1)[:longest])     # words over k bytes
+        done = 0
+        for done, live in enumerate([*longer.tolist(), 0]):
             if live <= few:
                 break
-            column = columns[place[:live] + k]
-            to = self.to[state[:live], column]
-            missing = np.flatnonzero(to < 0)
-            if len(missing):
-                wide = self.to.shape[1]
-                for pair in np.unique(state[missing] * wide + column[missing]).tolist():
-                    byte = int(np.flatnonzero(self.column == pair % wide)[0])
-                    self._fill(pair // wide, byte)
-                to = self.to[state[:live], column]
-            out[:live] += self.emit[state[:live], column]
-            state[:live] = to
-        else:
-            live = 0
-        for i in range(live):                               # the few longest words, one by one
+            value = self._values(state[:live] << 8 | data[place[:live] + done])
+            out[:live] += (value & 255) - 128
+            state[:live] = value >> 8
+        for i in np.flatnonzero(left > done).tolist():      # the few longest words, one by one
             now, total = int(state[i]), int(out[i])
-            for byte in data[place[i] + k:place[i] + left[i]].tolist():
-                column = self.column[byte]
-                if self.to[now, column] < 0:
-                    self._fill(now, byte)
-                total += int(self.emit[now, column])
-                now = int(self.to[now, column])
+            for byte in data[place[i] + done:place[i] + left[i]].tolist():
+                value = int(self._values(np.array([now << 8 | byte]))[0])
+                total += (value & 255) - 128
+                now = value >> 8
             out[i] = total
         back = np.empty(len(order), np.int64)
         back[order] = out
