@@ -8,8 +8,9 @@ Search: queries and list members meet by list.  A long list is cut into chunks a
 batches, so no task takes a whole hot list.  In a task the vectors are rotated by a random orthogonal
 matrix and read in column blocks.  After d of D rotated dimensions the partial distance, scaled by D / d,
 estimates the full one; a candidate whose estimate exceeds the query's current k-th distance by more than
-a factor 1 + eps / sqrt(d) is rejected with the confidence that eps sets.  Survivors get the exact
-distance on the original vectors in double precision.
+a factor 1 + eps / sqrt(d) is rejected with the confidence that eps sets.  The first k-th distance is exact,
+and every test allows for rounding, so copies of a query stay.  Survivors get the exact distance on the
+original vectors in double precision.
 
 Defined cases: vectors that are NULL, all zero, of another length than most, or hold NULL or non-finite
 components take no part, nor do rows without an id; rows that repeat a vec_id count as one neighbour;
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from leadscope.llm.common import written
 
 FOUND = "query_id long, vec_id long, score double"
+ROUNDING = 1e-12          # of the squared norms: above the rounding of any distance between rotated vectors
+PAIR_VALUES = 1 << 22     # components of the pairs that are measured at a time
 
 
 @dataclass
@@ -73,7 +76,10 @@ def _nearest(points: np.ndarray, centroids: np.ndarray, block: int = 4096) -> np
 
 def k_means(points: np.ndarray, count: int, rounds: int = 8, seed: int = 3) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    centroids = points[rng.permutation(len(points))[:count]]
+    order = rng.permutation(len(points))
+    # copies of a point would make equal centroids, among which rounding picks the list
+    centroids = points[order[np.sort(np.unique(points[order], axis=0, return_index=True)[1])[:count]]]
+    count = len(centroids)
     for _ in range(rounds):
         own = _nearest(points, centroids)
         size = np.bincount(own, minlength=count)
@@ -114,6 +120,7 @@ def fit(rows: DataFrame, dims: int, k: int = 10, target: float = 0.97, max_lists
     sample = sample.reshape(-1, dims)
     count = max(1, min(count, len(sample)))
     centroids = k_means(sample, count) if len(sample) else np.zeros((1, dims))
+    count = len(centroids)
     asked = _sampled(rows, sample_queries / max(n, 1), 2).orderBy("vec_id").collect()
     if not asked:
         return Lists(centroids, count, dims, 1.0)
@@ -175,31 +182,55 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np
     dims = queries.shape[1]
     q, p = queries @ turn.T, points @ turn.T
     same = query_ids[:, None] == ids[None, :]
-    # the bound to start from: the k-th distance within the first points
-    first = _squares(q, p[:4 * k])
-    first[same[:, :4 * k]] = np.inf
-    bound = np.sort(first, axis=1)[:, k - 1] if first.shape[1] >= k else np.full(len(q), np.inf)
-    part = _squares(q[:, :block], p[:, :block])
-    part[same] = np.inf
-    at = min(block, dims)
-    slack = (1 + eps / math.sqrt(at)) ** 2 if at < dims else 1 + 1e-9
-    row, col = np.nonzero(part * (dims / at) <= bound[:, None] * slack)
-    row, col = row[np.isfinite(part[row, col])], col[np.isfinite(part[row, col])]
-    away = part[row, col]
-    while at < dims:
-        end = min(at + block, dims)
-        diff = q[row, at:end] - p[col, at:end]
-        away = away + (diff * diff).sum(axis=1)
-        at = end
+    # the bound to start from: the exact distance of k of the first points, which have k different ids
+    lead = np.sort(np.unique(ids, return_index=True)[1])[:4 * k]
+    first = _squares(q, p[lead])
+    first[same[:, lead]] = np.inf
+    bound = np.full(len(q), np.inf)
+    if len(lead) >= k:
+        near = np.argsort(first, axis=1, kind="stable")[:, :k]
+        bound = np.zeros(len(q))
+        for rank in range(k):
+            diff = queries - points[lead[near[:, rank]]]
+            bound = np.maximum(bound, (diff * diff).sum(axis=1))
+        bound[np.isinf(np.take_along_axis(first, near, axis=1)).any(axis=1)] = np.inf
+    # partial distances are off by rounding, of the squared norms' size; a bound near 0 must not reject by that
+    noise_q, noise_p = ROUNDING * (queries * queries).sum(axis=1), ROUNDING * (points * points).sum(axis=1)
+
+    def keeps(away: np.ndarray, noise: np.ndarray, limit: np.ndarray, at: int) -> np.ndarray:
+        if at < dims and math.isinf(eps):
+            return np.isfinite(away)
         slack = (1 + eps / math.sqrt(at)) ** 2 if at < dims else 1 + 1e-9
-        on = away * (dims / at) <= bound[row] * slack
-        row, col, away = row[on], col[on], away[on]
-    diff = queries[row] - points[col]
-    score = np.sqrt((diff * diff).sum(axis=1))
+        return np.isfinite(away) & ((away - noise) * (dims / at) <= limit * slack)
+
+    start = min(block, dims)
+    part = _squares(q[:, :start], p[:, :start])
+    part[same] = np.inf
+    rows, cols = np.nonzero(keeps(part, noise_q[:, None] + noise_p[None, :], bound[:, None], start))
+    kept = [(rows[:0], cols[:0], np.zeros(0))]
+    step = max(1, PAIR_VALUES // dims)
+    for i in range(0, len(rows), step):      # copies of a query all get here, so the pairs go in pieces
+        row, col, at = rows[i:i + step], cols[i:i + step], start
+        away = part[row, col]
+        while at < dims:
+            end = min(at + block, dims)
+            diff = q[row, at:end] - p[col, at:end]
+            away = away + (diff * diff).sum(axis=1)
+            at = end
+            on = keeps(away, noise_q[row] + noise_p[col], bound[row], at)
+            row, col, away = row[on], col[on], away[on]
+        diff = queries[row] - points[col]
+        kept.append((row, col, np.sqrt((diff * diff).sum(axis=1))))
+    row, col, score = (np.concatenate(x) for x in zip(*kept))
+    # rows that repeat an id count once, at their smallest distance
+    order = np.lexsort((score, ids[col], row))
+    row, col, score = row[order], col[order], score[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (ids[col[1:]] != ids[col[:-1]])
+    row, col, score = row[new], col[new], score[new]
     order = np.lexsort((ids[col], score, row))
     row, col, score = row[order], col[order], score[order]
-    start = np.searchsorted(row, row, side="left")
-    top = np.arange(len(row)) - start < k
+    top = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
     return row[top], col[top], score[top]
 
 

@@ -96,3 +96,47 @@ def test_recall_on_the_table(spark):
     want = brute(rows, 10)
     hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
     assert hits >= 0.9 * 10 * len(want)
+
+
+def hot(seed, copies, others, dims=48, noise=0.0):
+    """``copies`` rows of one long vector (with ``noise``), then ``others`` near it."""
+    rng = np.random.default_rng(seed)
+    centre = 3 * rng.normal(size=dims)
+    points = np.concatenate([centre + noise * rng.normal(size=(copies, dims)), centre + 0.2 * rng.normal(size=(others, dims))])
+    return points.astype(np.float32).astype(float)
+
+
+def test_scan_keeps_copies_over_many_blocks():
+    """More copies than k among the first points, and one more copy behind: rounding rejects none."""
+    turn = op.rotation(48)
+    for seed in range(20):
+        for noise in (0.0, 1e-7):
+            points = hot(seed, 60, 300, noise=noise)
+            ids, asked = np.arange(360), np.arange(0, 60, 7)
+            for eps in (2.1, float("inf")):
+                row, col, score = op.scan(points[asked], asked, points, ids, 10, eps, 16, turn)
+                assert np.bincount(row, minlength=len(asked)).tolist() == [10] * len(asked)
+                for i, q in enumerate(asked):
+                    away = np.sqrt(((points - points[q]) ** 2).sum(axis=1))
+                    want = [j for j in np.lexsort((ids, away)) if j != q][:10]
+                    if noise == 0.0 or eps == float("inf"):
+                        assert col[row == i].tolist() == want
+                    assert col[row == i].max() < 60
+
+
+def test_scan_counts_a_repeated_id_once():
+    points = np.concatenate([np.ones((30, 32)), hot(1, 0, 40, dims=32)])
+    ids = np.concatenate([np.full(30, 5), np.arange(100, 140)])
+    row, col, score = op.scan(np.ones((1, 32)), np.array([-1]), points, ids, 10, float("inf"), 8, op.rotation(32))
+    away = np.sqrt(((points - 1) ** 2).sum(axis=1))
+    assert ids[col].tolist() == [5, *ids[30:][np.argsort(away[30:], kind="stable")][:9].tolist()]
+
+
+def test_hot_copies_of_several_blocks(frame):
+    """A third of the rows in one point of 48 dimensions, other vectors in the same and in other lists."""
+    rng = np.random.default_rng(6)
+    points = np.concatenate([hot(6, 150, 100), 3 * rng.normal(size=(200, 48))]).astype(np.float32)
+    rows = [(i, v.tolist(), None) for i, v in enumerate(points)]
+    got = by_query(op.neighbours(frame(rows, SCHEMA), ASKED))
+    for q in range(0, 150, 10):
+        assert got[q] == [(0.0, i) for i in range(12) if i != q][:10]
