@@ -23,8 +23,9 @@ suffix in 35 is kept, each with the bytes of the windows that elected it (a stre
 5.  The ranges found join the texts.
 
 Defined cases: NULL text is empty; texts under ``min_len`` bytes keep everything; rows with the same
-doc_id count as the same document, so a row and its exact repetition under one id start at the same
-place and neither is earlier; a NULL doc_id is one id after all others.
+doc_id and text count as the same document, so a row and its exact repetition under one id start at the same
+place and neither is earlier; different texts under one doc_id are documents of their own, in the order of
+their XXH64; a NULL doc_id is one id after all others.
 """
 
 from __future__ import annotations
@@ -295,7 +296,7 @@ def candidates(docs: DataFrame, buckets: int, min_len: int, anchor_len: int, gro
     """(doc, anchors): per document the places of suffixes whose leading bytes occur more than once."""
     packed = docs.mapInArrow(_prefix_packer(buckets, min_len, anchor_len, group_bytes), "bucket long, packed binary")
     found = packed.groupBy("bucket").applyInArrow(_several, "doc long, anchor long")
-    return found.groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))
+    return found.groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
 
 
 def _packer(splitters: np.ndarray, min_len: int, anchor_len: int, group_bytes: int) -> Callable:
@@ -513,7 +514,7 @@ def _sorter(splitters: np.ndarray, min_len: int, anchor_len: int) -> Callable:
 def repeated_ranges(docs: DataFrame, min_len: int = 100, anchor_len: int = 32, group_bytes: int = 4 << 20) -> DataFrame:
     """(doc, start, size) byte ranges covered by an earlier ``min_len``-byte string; they may overlap.
 
-    ``docs`` has doc_id (long) and text.
+    ``docs`` has doc_id (long) and text; one doc_id has one text.
     """
     if not 8 <= anchor_len <= min_len:
         raise ValueError("anchor_len must lie between 8 and min_len")
@@ -551,11 +552,37 @@ def without(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``__doc``, a number per (doc_id, text) in the order of doc_id; NULL comes last.
+
+    Where no doc_id has two texts, that is the doc_id; else the rows are written with their places in the order.
+    """
+    keys = {"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
+            "__version": F.xxhash64("text")}
+    seen = docs.select(*[value.alias(name) for name, value in keys.items()])
+    shared = (seen.groupBy("__id").agg(*[f(c).alias(f"{f.__name__}{c}") for f in (F.min, F.max) for c in ("__version", "__none")])
+              .where("min__version <> max__version or min__none <> max__none"))
+    if shared.limit(1).count() == 0:
+        return docs.withColumn("__doc", keys["__id"])
+    parts = partitions(docs.sparkSession)
+    # written in order once, so that the places are the same in every later reading
+    placed = written(seen.distinct().repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+                     .withColumn("__part", F.spark_partition_id())
+                     .withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "places")
+    counts = {r["__part"]: r["count"] for r in placed.groupBy("__part").count().collect()}     # one row per partition
+    before, offsets = 0, []
+    for part in sorted(counts):
+        offsets.append((part, before))
+        before += counts[part]
+    offset = docs.sparkSession.createDataFrame(offsets, "__part int, __before long")
+    numbers = placed.join(F.broadcast(offset), "__part").select(*keys, (F.col("__before") + F.col("__at")).alias("__doc"))
+    return written(docs.withColumns(keys).join(numbers, list(keys)).select(*docs.columns, "__doc"), "numbered")
+
+
 def with_runs(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``docs`` with zipped text, plus ``__ranges``: the array of (start, size) of its doc_id, or NULL."""
-    found = ranges.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("start", "size")).alias("__ranges"))
-    return (zipped(docs).join(found.hint("shuffle_hash"), F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("__doc"), "left")
-            .drop("__doc"))
+    """``docs`` with zipped text, plus ``__ranges``: the array of (start, size) of its ``__doc``, or NULL."""
+    found = ranges.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set(F.struct("start", "size")).alias("__ranges"))
+    return zipped(docs).join(found.hint("shuffle_hash"), "__doc", "left")
 
 
 def _runs_of(value: list[dict] | None) -> list[tuple[int, int]]:
@@ -567,7 +594,7 @@ def _runs_of(value: list[dict] | None) -> list[tuple[int, int]]:
 
 def deduplicate(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -582,7 +609,8 @@ def deduplicate(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", tex
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return with_runs(docs, repeated_ranges(docs, min_len)).select("doc_id", "text", "__ranges").mapInArrow(
+    ranges = repeated_ranges(docs.select(F.col("__doc").alias("doc_id"), "text"), min_len)
+    return with_runs(docs, ranges).select("doc_id", "text", "__ranges").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -591,7 +619,8 @@ def cleaned(docs: DataFrame, min_len: int = 100) -> DataFrame:
 
     A character of which a byte went goes as a whole.  NULL stays NULL.
     """
-    found = with_runs(docs, repeated_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), min_len))
+    known = numbered(docs)
+    found = with_runs(known, repeated_ranges(known.select(F.col("__doc").alias("doc_id"), "text"), min_len))
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

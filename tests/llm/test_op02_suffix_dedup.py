@@ -105,3 +105,27 @@ def test_cleaned_keeps_columns(frame):
     out = {r["doc_id"]: r for r in op.cleaned(docs).collect()}
     assert out[1]["text"] == text[:150] and out[2]["text"] == "new " + " é tail" and out[3]["text"] is None
     assert op.cleaned(docs).columns == docs.columns
+
+
+def by_version(spark, rows):
+    """The rows' identity in order: doc_id (NULL last), then the hash of the text."""
+    hashed = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "text", "xxhash64(text) as v").collect()
+    return [((r["doc_id"] is None, r["doc_id"] or 0, r["v"]), r["text"]) for r in hashed]
+
+
+def test_texts_under_one_id_are_apart(frame, spark, prose):
+    """Different texts under one id and under NULL: no ranges of each other, and repeats among them are found."""
+    texts = prose(13, docs=24)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    rows += [(7, texts[1]), (None, texts[0]), (None, texts[2]), (7, None), (None, None), ((1 << 63) - 1, "tail " + texts[0])]
+    got = op.deduplicate(frame(rows, SCHEMA))
+    want = [((None if none else i), *rest) for (none, i, _), *rest in brute(by_version(spark, rows), 100)]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    assert any(r[0] is None and r[2] for r in want) and any(r[0] == 7 and r[2] for r in want)
+
+
+def test_cleaned_keeps_texts_under_one_id_apart(frame):
+    a, b = (" ".join(str(seed * 1000 + i) for i in range(200)) for seed in (1, 2))
+    rows = [(1, a), (None, a + b[:300]), (None, "q" + b[300:])]
+    assert sorted(r["text"] for r in op.cleaned(frame(rows, SCHEMA)).collect()) == sorted([a, b[:300], "q" + b[300:]])
