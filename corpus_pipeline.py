@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 ``documents``.  ``run`` writes each stage's rows as Parquet in the shared folder and hands the reread table
 to the next one.
 
-Defined cases: documents without a letter (NULL and empty texts too) go in the first stage; rows without a
+Defined cases: documents without a letter (NULL and empty texts too) go in the first stage, and no others,
+whatever languages were learned and also if none was; rows without a
 doc_id go in the second, as do all rows but one of a near-duplicate group (the smallest id stays, and one
 row of it); texts that the third stage empties stay as empty documents; extra columns are carried along.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which no language can be told."""
     languages, vectors = op06_langid.prototypes(docs)
+    if not languages:       # nothing learned: one name for every text with a letter
+        languages, vectors = [""], np.zeros((1, vectors.shape[1]))
     told = op06_langid.predict(docs, languages, vectors, keep=docs.columns, suffix="_told")
     return told.where(F.col("lang_pred_told") != op06_langid.UNDETERMINED).select(*docs.columns)
 

@@ -72,3 +72,9 @@ def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_documents_stay_when_no_language_is_learned(spark, frame):
+    texts = {1: "plain words", 2: "123 456", 3: None, 4: "ß", 5: ""}
+    docs = frame([(i, t, None, "s", len(t or "")) for i, t in texts.items()], SCHEMA)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 4]
