@@ -6,8 +6,8 @@ to the next one.
 
 Defined cases: documents without a letter (NULL and empty texts too) go in the first stage, and no others,
 whatever languages were learned and also if none was; rows without a
-doc_id go in the second, as do all rows but one of a near-duplicate group (the smallest id stays, and one
-row of it); texts that the third stage empties stay as empty documents; extra columns are carried along.
+doc_id go in the second, as do all rows but one of a near-duplicate group (the smallest id stays, and of its
+texts there the one with the smallest XXH64); texts under one id that are in different groups all stay; texts that the third stage empties stay as empty documents; extra columns are carried along.
 """
 
 from __future__ import annotations
@@ -37,10 +37,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group."""
-    groups = op08_simhash.near_duplicates(docs, width=3, max_bits=2)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Keeps the row with the smallest (id, hash of the text) of each near-duplicate group."""
+    first = op08_simhash.first_rows(docs, width=3, max_bits=2).select("doc_id", F.col("version").alias("__version"))
+    return (docs.withColumn("__version", F.xxhash64("text")).join(first.hint("shuffle_hash"), ["doc_id", "__version"], "left_semi")
+            .dropDuplicates(["doc_id", "__version"]).select(*docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,15 +70,19 @@ def fingerprint(text: str | None, width: int = 3, block: int = 1 << 20) -> int:
     return int(np.packbits(ones * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, fp) per row, and its long columns ``keep``; fp holds the 64 bits as a signed long."""
+    keep = keep or []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), width) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *keep])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep).mapInArrow(
+        run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *keep]))
 
 
 class Ring:
@@ -240,3 +244,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2,
     by_fp = placed.join(named, "root").select(F.col("fp").alias("class_fp"), "component_id")
     return (fps.join(by_fp, fps["fp"] == by_fp["class_fp"])
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def first_rows(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, version (XXH64 of the text): the first row of each component by these two, NULL ids last.
+
+    Components are told apart by their links, so texts under one doc_id may be in several.
+    """
+    version = F.xxhash64(text_col).alias("version")
+    hashed = fingerprints(docs.withColumn("__version", version), width, id_col, text_col, keep=["__version"])
+    fps = written(hashed, "simhash")
+    roots = connected_components(links(fps, max_bits))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__version").alias("version"))).alias("row")
+    classes = fps.groupBy("fp").agg(best)
+    placed = classes.join(roots, classes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    return placed.groupBy("root").agg(F.min("row").alias("row")).select("row.doc_id", "row.version")

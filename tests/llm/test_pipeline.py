@@ -78,3 +78,12 @@ def test_documents_stay_when_no_language_is_learned(spark, frame):
     texts = {1: "plain words", 2: "123 456", 3: None, 4: "ß", 5: ""}
     docs = frame([(i, t, None, "s", len(t or "")) for i, t in texts.items()], SCHEMA)
     assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 4]
+
+
+def test_texts_under_one_id_stay_when_they_link_to_nothing(spark, frame):
+    a, b, c = [" ".join(f"{w}{seed}{i}" for i in range(200) for w in ("x", "yz")) for seed in "abc"]
+    rows = [(1, a), (1, b), (1, a), (2, b), (3, c), (3, c.upper()), (4, a)]
+    docs = frame([(i, t, None, "s", len(t)) for i, t in rows], SCHEMA)
+    got = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    hashes = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) h").collect()}
+    assert got == sorted([(1, a), (1, b), (3, min(c, c.upper(), key=hashes.get))])
