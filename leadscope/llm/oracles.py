@@ -36,6 +36,18 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM doc_words d LEFT JOIN hit_words h ON h.doc_id = d.doc_id LEFT JOIN named m ON m.doc_id = d.doc_id
 """
 
+LINES = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM texts),
+keyed AS (SELECT r, doc_id, line, i, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                               '{_UPPER}', '{_LOWER}') AS key FROM lines),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON c.key = k.key GROUP BY k.r, k.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op4_decontamination": DECONTAMINATION,
+    "op13_line_dedup": LINES,
 }

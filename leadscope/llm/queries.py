@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadscope.llm import (op01_ngram, op02_suffix_dedup, op03_ann, op04_decontaminate, op05_sharding, op06_langid,
-                           op07_license, op08_simhash, op09_tokencount, op10_sentencepiece)
+                           op07_license, op08_simhash, op09_tokencount, op10_sentencepiece, op11_repair,
+                           op12_variants, op13_lines)
 from leadscope.llm.common import table
 
 
@@ -59,6 +61,20 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_sentencepiece.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_repair.audits(op11_repair.damage(table(spark, sf_dir, "conversations")), "present")
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = op12_variants.word_counts(table(spark, sf_dir, "documents"), least_length=5, least_count=3, damage=97)
+    return op12_variants.variants(words, ratio=2)
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op13_lines.deduplicate(table(spark, sf_dir, "documents"), least=10)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_scores": ngram_scores,
     "op2_suffix_dedup": suffix_dedup,
@@ -70,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": simhash_near_dedup,
     "op9_token_counts": token_counts,
     "op10_sentencepiece": sentencepiece,
+    "op11_conversation_repair": conversation_repair,
+    "op12_spelling_variants": spelling_variants,
+    "op13_line_dedup": line_dedup,
 }

@@ -1,0 +1,143 @@
+"""Spelling variants against all pairs of words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from leadscope.llm import op12_variants as op
+from leadscope.llm import queries
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute_counts(docs, least_length=5, least_count=3, damage=97):
+    n = Counter()
+    for doc, text in docs:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for run in re.findall("[a-zÀ-ÿ]+", low):
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if damage and h % damage == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1:]
+            n[run] += 1
+    return {w: c for w, c in n.items() if len(w) >= least_length and c >= least_count}
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if abs(len(a) - len(b)) != 1:
+        return False
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def brute(words):
+    by_size = {}
+    for w in words:
+        by_size.setdefault(len(w), []).append(w)
+    form, count = {}, {}
+    for w, n in words.items():
+        found = [v for k in (-1, 0, 1) for v in by_size.get(len(w) + k, []) if near(w, v)]
+        count[w] = len(found)
+        best = min(found, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+    return {w: (form[w], root(w), n, count[w], words.get(form[w])) for w, n in words.items()}
+
+
+def results(df):
+    rows = df.collect()
+    out = {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def invented(seed, n, letters="abé", most=9):
+    rng = random.Random(seed)
+    return {"".join(rng.choice(letters) for _ in range(rng.randint(1, most))): int(1.6 ** rng.randint(2, 30)) for _ in range(n)}
+
+
+@pytest.mark.parametrize("seed,letters,most", [(1, "ab", 14), (2, "abcdeé", 7), (3, "aÿ", 40)])
+def test_against_all_pairs(spark, frame, seed, letters, most):
+    words = invented(seed, 500, letters, most)
+    got = results(op.variants(frame(list(words.items()), "word string, n long")))
+    assert got == brute(words) and any(v[0] for v in got.values())
+
+
+def test_deep_nodes_are_numbered_once(spark, frame):
+    """A wide alphabet packs three letters a node, so most nodes are numbered in the stream."""
+    letters = "".join(map(chr, range(0x100, 0x100 + 70_000)))
+    words = invented(5, 300, letters[:3], 12)
+    assert 63 // op._symbols(letters)[1] == 3
+    assert results(op.variants(frame(list(words.items()), "word string, n long"), letters)) == brute(words)
+
+
+def test_query_on_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = results(queries.spelling_variants(spark, sf))
+    assert got == brute(brute_counts(docs)) and len(got) > 500
+
+
+def test_counts(spark, frame):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["Straße", "naïveté", "ÀÉÎ×÷ÿ", "abcde", "abcdef", "x1y2abcdez", "abcd", "ABCDE"]) + rng.choice("., \n")
+                      for _ in range(60)) for _ in range(40)]
+    docs = [(i % 37, t) for i, t in enumerate(texts)] + [(None, "abcdef " * 5), (3, None), (4, ""), (None, None), (5, "ab" * 9 + " " * 9)]
+    for damage in (0, 3, 97):
+        got = {r["word"]: r["n"] for r in op.word_counts(frame(docs, SCHEMA), damage=damage, flush=5).collect()}
+        assert got == brute_counts(docs, damage=damage)
+
+
+def test_pieces_do_not_cut_runs():
+    inside = re.compile("[a-z]")
+    text = "abc defgh, " * 50 + "z" * 500 + " end"
+    parts = list(op._pieces(text, inside, 7))
+    assert "".join(parts) == text and sum((re.findall("[a-z]+", p) for p in parts), []) == re.findall("[a-z]+", text)
+
+
+def test_very_long_words(spark, frame):
+    a = "ab" * 20_000
+    words = {a: 9, a + "b": 3, a[1:]: 4, a[:777] + "c" + a[778:]: 100, "a" * 9_000: 3, "a" * 9_001: 7}
+    assert results(op.variants(frame(list(words.items()), "word string, n long"))) == brute(words)
+
+
+def test_chain_of_forms_reaches_its_end(spark, frame):
+    words = {"a" * k: 3 * 2 ** (k - 5) for k in range(5, 30)}
+    got = results(op.variants(frame(list(words.items()), "word string, n long")))
+    assert got == brute(words) and {v[1] for v in got.values()} == {"a" * 29}
+
+
+def test_no_group_outgrows_the_alphabet(spark, frame):
+    """One letter replaced in one place: every letter, and the word without it, share a pair."""
+    words = {f"stem{c}tail": 3 + i for i, c in enumerate(op.LETTERS)} | {"stemtail": 500}
+    assert results(op.variants(frame(list(words.items()), "word string, n long"))) == brute(words)
+    known = frame([(i, w) for i, w in enumerate(words)], "id long, word string")
+    sizes = op._pairs(op._forward(known, op.LETTERS), op.LETTERS).groupBy("before", "after").count()
+    assert sizes.agg(F.max("count")).first()[0] == len(op.LETTERS) + 1
+
+
+def test_empty_table_and_other_columns(spark, frame):
+    assert op.variants(op.word_counts(frame([], SCHEMA), damage=97)).collect() == []
+    docs = [(i, "wordy wordz words word " * 3) for i in range(5)]
+    extra = frame(docs, SCHEMA)
+    for name in ("doc", "word", "n", "id", "near", "entry"):
+        extra = extra.withColumn(name, F.lit("x"))
+    assert results(op.variants(op.word_counts(extra))) == brute(brute_counts(docs, damage=0))
+
+
+def test_groups_by_hand():
+    # one pair: skips of words 3 (first of a run) and 7 (not), and the gap of word 5
+    group, entry = np.zeros(3, np.int64), np.array([3 * 4 + 1, 5 * 4 + 2, 7 * 4 + 0])
+    found = {i: (c, b) for i, c, b in zip(*(a.tolist() for a in op.near_in_groups(group, entry)))}
+    assert found == {3: (2, 5), 5: (1, 3), 7: (1, 3)}
