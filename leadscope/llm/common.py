@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,47 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores added to those that ``df`` already has (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def give_back() -> None:
+    """Returns the worker's free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # another C library: nothing to give back
+        pass
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches whose worker gives its free memory back when the task ends: an executor's
+    idle workers would otherwise hold what their largest task once took."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return task
+
+
+def frugal_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function over groups, after each group."""
+    def group(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+    return group
+
+
 def crc_bucket(column: str | object, modulus: int = 5):
     """crc32 of the id as text, modulo ``modulus``; NULL ids give NULL."""
     col = F.col(column) if isinstance(column, str) else column

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadscope.llm.common import PolynomialHash, mix64, partitions, text_groups, written
+from leadscope.llm.common import PolynomialHash, fresh, frugal, frugal_group, mix64, partitions, text_groups, written
 
 NULL_ID = (1 << 63) - 1
 BLOCK = 1 << 18                       # windows elected at once
@@ -234,7 +234,7 @@ def zipped(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in docs.schema.fields])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def _prefix_packer(buckets: int, min_len: int, anchor_len: int, group_bytes: int) -> Callable:
@@ -294,8 +294,8 @@ def _several(table: pa.Table) -> pa.Table:
 
 def candidates(docs: DataFrame, buckets: int, min_len: int, anchor_len: int, group_bytes: int) -> DataFrame:
     """(doc, anchors): per document the places of suffixes whose leading bytes occur more than once."""
-    packed = docs.mapInArrow(_prefix_packer(buckets, min_len, anchor_len, group_bytes), "bucket long, packed binary")
-    found = packed.groupBy("bucket").applyInArrow(_several, "doc long, anchor long")
+    packed = docs.mapInArrow(frugal(_prefix_packer(buckets, min_len, anchor_len, group_bytes)), "bucket long, packed binary")
+    found = packed.groupBy("bucket").applyInArrow(frugal_group(_several), "doc long, anchor long")
     return found.groupBy("doc").agg(F.collect_set("anchor").alias("anchors"))
 
 
@@ -523,9 +523,9 @@ def repeated_ranges(docs: DataFrame, min_len: int = 100, anchor_len: int = 32, g
     found = written(candidates(docs, buckets, min_len, anchor_len, group_bytes), "candidates")
     texts = zipped(docs.where("text is not null").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text"))
     asked = texts.join(found.hint("shuffle_hash"), "doc").select("doc", "text", "anchors")
-    packed = asked.mapInArrow(_packer(splitters, min_len, anchor_len, group_bytes), "bucket long, packed binary")
+    packed = asked.mapInArrow(frugal(_packer(splitters, min_len, anchor_len, group_bytes)), "bucket long, packed binary")
     sorted_ = written(packed.groupBy("bucket").applyInArrow(
-        _sorter(splitters, min_len, anchor_len),
+        frugal_group(_sorter(splitters, min_len, anchor_len)),
         "doc long, start long, size long, content_a long, content_b long"), "suffixes")
     same = Window.partitionBy("content_a", "content_b")
     here = F.struct("doc", "start")
@@ -552,37 +552,39 @@ def without(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``__doc``, a number per (doc_id, text) in the order of doc_id; NULL comes last.
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number per (doc_id, text) in the order of doc_id, NULL last, and its column's name.
 
     Where no doc_id has two texts, that is the doc_id; else the rows are written with their places in the order.
     """
-    keys = {"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-            "__version": F.xxhash64("text")}
+    number, none, key, version, part, at, before = fresh(docs, "doc", "none", "key", "version", "part", "at", "before")
+    keys = {none: F.col("doc_id").isNull(), key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
+            version: F.xxhash64("text")}
     seen = docs.select(*[value.alias(name) for name, value in keys.items()])
-    shared = (seen.groupBy("__id").agg(*[f(c).alias(f"{f.__name__}{c}") for f in (F.min, F.max) for c in ("__version", "__none")])
-              .where("min__version <> max__version or min__none <> max__none"))
+    shared = (seen.groupBy(key).agg(F.min(version).alias("low"), F.max(version).alias("high"), F.min(none).alias("some"),
+                                    F.max(none).alias("all")).where("low <> high or some <> all"))
     if shared.limit(1).count() == 0:
-        return docs.withColumn("__doc", keys["__id"])
+        return docs.withColumn(number, keys[key]), number
     parts = partitions(docs.sparkSession)
     # written in order once, so that the places are the same in every later reading
     placed = written(seen.distinct().repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-                     .withColumn("__part", F.spark_partition_id())
-                     .withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "places")
-    counts = {r["__part"]: r["count"] for r in placed.groupBy("__part").count().collect()}     # one row per partition
-    before, offsets = 0, []
-    for part in sorted(counts):
-        offsets.append((part, before))
-        before += counts[part]
-    offset = docs.sparkSession.createDataFrame(offsets, "__part int, __before long")
-    numbers = placed.join(F.broadcast(offset), "__part").select(*keys, (F.col("__before") + F.col("__at")).alias("__doc"))
-    return written(docs.withColumns(keys).join(numbers, list(keys)).select(*docs.columns, "__doc"), "numbered")
+                     .withColumn(part, F.spark_partition_id())
+                     .withColumn(at, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "places")
+    counts = {r[part]: r["count"] for r in placed.groupBy(part).count().collect()}     # one row per partition
+    first, offsets = 0, []
+    for p in sorted(counts):
+        offsets.append((p, first))
+        first += counts[p]
+    offset = docs.sparkSession.createDataFrame(offsets, f"`{part}` int, `{before}` long")
+    numbers = placed.join(F.broadcast(offset), part).select(*keys, (F.col(before) + F.col(at)).alias(number))
+    return written(docs.withColumns(keys).join(numbers, list(keys)).select(*docs.columns, number), "numbered"), number
 
 
-def with_runs(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``docs`` with zipped text, plus ``__ranges``: the array of (start, size) of its ``__doc``, or NULL."""
-    found = ranges.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set(F.struct("start", "size")).alias("__ranges"))
-    return zipped(docs).join(found.hint("shuffle_hash"), "__doc", "left")
+def with_runs(docs: DataFrame, number: str, ranges: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with zipped text and the array of (start, size) of its ``number``, or NULL; that column's name."""
+    name, = fresh(docs, "ranges")
+    found = ranges.groupBy(F.col("doc").alias(number)).agg(F.collect_set(F.struct("start", "size")).alias(name))
+    return zipped(docs).join(found.hint("shuffle_hash"), number, "left"), name
 
 
 def _runs_of(value: list[dict] | None) -> list[tuple[int, int]]:
@@ -594,7 +596,7 @@ def _runs_of(value: list[dict] | None) -> list[tuple[int, int]]:
 
 def deduplicate(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
-    docs = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    docs, number = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -609,9 +611,9 @@ def deduplicate(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", tex
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    ranges = repeated_ranges(docs.select(F.col("__doc").alias("doc_id"), "text"), min_len)
-    return with_runs(docs, ranges).select("doc_id", "text", "__ranges").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    found, ranges = with_runs(docs, number, repeated_ranges(docs.select(F.col(number).alias("doc_id"), "text"), min_len))
+    return found.select("doc_id", "text", ranges).mapInArrow(
+        frugal(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame, min_len: int = 100) -> DataFrame:
@@ -619,8 +621,8 @@ def cleaned(docs: DataFrame, min_len: int = 100) -> DataFrame:
 
     A character of which a byte went goes as a whole.  NULL stays NULL.
     """
-    known = numbered(docs)
-    found = with_runs(known, repeated_ranges(known.select(F.col("__doc").alias("doc_id"), "text"), min_len))
+    known, number = numbered(docs)
+    found, ranges = with_runs(known, number, repeated_ranges(known.select(F.col(number).alias("doc_id"), "text"), min_len))
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -631,4 +633,4 @@ def cleaned(docs: DataFrame, min_len: int = 100) -> DataFrame:
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return found.select(*docs.columns, "__ranges").mapInArrow(run, docs.schema)
+    return found.select(*docs.columns, ranges).mapInArrow(frugal(run), docs.schema)

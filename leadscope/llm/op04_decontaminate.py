@@ -37,6 +37,19 @@ def words_of(text):
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _BREAK), "")
 
 
+def identity(id_col, text_col):
+    """(doc, version) of a document: its id, and a hash of its text that tells texts under one id apart.  The
+    lowest bit of the hash says that there is no id, so no id is taken for none."""
+    doc = id_col.cast("long")
+    return (F.coalesce(doc, F.lit(NULL_ID)),
+            F.xxhash64(text_col).bitwiseAND(F.lit(-2).cast("long")).bitwiseOR(doc.isNull().cast("long")))
+
+
+def id_of(doc, version):
+    """The id behind the two, or NULL."""
+    return F.when(version.bitwiseAND(F.lit(1).cast("long")) == 0, doc)
+
+
 def phrase_windows(items: DataFrame, width: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, phrase, terms): the windows of the items; ``phrase`` identifies a window's words."""
     words = items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
@@ -52,8 +65,8 @@ def build_index(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_
     ``version`` tells texts under one id apart.  The empty term closes a document: pos is its word count.
     """
     wanted = bounded_broadcast(terms.union(terms.sparkSession.range(1).select(F.lit("").alias("term"))))
-    words = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),
-                        F.xxhash64(text_col).alias("version"), words_of(F.col(text_col)).alias("w"))
+    doc, version = identity(F.col(id_col), F.col(text_col))
+    words = docs.select(doc.alias("doc"), version.alias("version"), words_of(F.col(text_col)).alias("w"))
     postings = words.select(*DOC, F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term"))
     return written(postings.join(wanted, "term").select("term", *DOC, "pos").sortWithinPartitions("term", *DOC), "postings")
 
@@ -137,7 +150,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, id_col: st
     """One row per document with its exact matches."""
     index, matches, named = find_matches(docs, items, width, 0, id_col, text_col)
     out = summarize(index, written(matches, "matches"), named)
-    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "n_words", "n_hit", "n_items",
+    return out.select(id_of(F.col("doc"), F.col("version")).alias("doc_id"), "n_words", "n_hit", "n_items",
                       "items_sha256", "contaminated")
 
 
@@ -151,5 +164,5 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str
 def clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without the documents that hold a window of the items."""
     hit = contaminated(docs, items, width)
-    return docs.join(hit, (F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)) == hit["doc"])
-                     & (F.xxhash64(docs["text"]) == hit["version"]), "left_anti")
+    doc, version = identity(docs["doc_id"], docs["text"])
+    return docs.join(hit, (doc == hit["doc"]) & (version == hit["version"]), "left_anti")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadscope.llm.common import crc_bucket
+from leadscope.llm.common import crc_bucket, frugal
 
 SYMBOLS = 128          # 0: no letter; 1-26: a-z; the rest shared by all other letters
 UNDETERMINED = "und"
@@ -128,7 +128,7 @@ def prototypes(docs: DataFrame, dims: int = 512, seed: int = 7, id_col: str = "d
     train = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                        & (crc_bucket(id_col) != held_out_remainder))
     sums = (train.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "lang string, vector array<double>")
+            .mapInArrow(frugal(run), "lang string, vector array<double>")
             .select("lang", F.posexplode("vector").alias("dim", "x"))
             .groupBy("lang", "dim").agg(F.sum("x").alias("x"))
             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("v"))
@@ -140,21 +140,21 @@ def prototypes(docs: DataFrame, dims: int = 512, seed: int = 7, id_col: str = "d
 
 
 def predict(docs: DataFrame, languages: list[str], vectors: np.ndarray, seed: int = 7, id_col: str = "doc_id",
-            text_col: str = "text", keep: list[str] | None = None, suffix: str = "") -> DataFrame:
-    """The columns ``keep`` (default: the id) plus lang_pred and score, with ``suffix`` to their names."""
+            text_col: str = "text", keep: list[str] | None = None,
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` (default: the id) plus the language and its score under ``names``."""
     keep = [id_col] if keep is None else keep
     dims = vectors.shape[1]
     units = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
     picked = docs.select(*keep, *([] if text_col in keep else [text_col]))
     place = picked.columns.index(text_col)
     fields = [f for f in picked.schema.fields if f.name in keep]
-    schema = T.StructType([*fields, T.StructField("lang_pred" + suffix, T.StringType()),
-                           T.StructField("score" + suffix, T.DoubleType())])
+    schema = T.StructType([*fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dims, seed)
         for batch in batches:
-            names, scores = [], []
+            told, scores = [], []
             for _, group in _groups(batch.column(place).to_pylist()):
                 rows, ends = encoder.trigrams(group)
                 for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
@@ -164,13 +164,13 @@ def predict(docs: DataFrame, languages: list[str], vectors: np.ndarray, seed: in
                         cosines = units @ vector / max(np.linalg.norm(vector), 1e-300)
                         best = int(np.argmax(cosines))
                         name, score = languages[best], min(1.0, max(0.0, float(cosines[best])))
-                    names.append(name)
+                    told.append(name)
                     scores.append(score)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(fields)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.columns[:len(fields)], pa.array(told, pa.string()), pa.array(scores, pa.float64())],
                 names=schema.names)
 
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(frugal(run), schema)
 
 
 def identify(docs: DataFrame, dims: int = 512, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
@@ -178,4 +178,5 @@ def identify(docs: DataFrame, dims: int = 512, seed: int = 7, id_col: str = "doc
     """doc_id, held_out, lang_pred, score for every row, learned from the other rows' labels."""
     languages, vectors = prototypes(docs, dims, seed, id_col, text_col, lang_col)
     out = predict(docs, languages, vectors, seed, id_col, text_col)
-    return out.select(F.col(id_col).alias("doc_id"), (crc_bucket(id_col) == 0).alias("held_out"), "lang_pred", "score")
+    return out.select(F.col(id_col).alias("doc_id"), F.coalesce(crc_bucket(id_col) == 0, F.lit(True)).alias("held_out"),
+                      "lang_pred", "score")

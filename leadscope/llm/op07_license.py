@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadscope.llm.common import written
-from leadscope.llm.op04_decontaminate import NULL_ID, words_of
+from leadscope.llm.op04_decontaminate import id_of, identity, words_of
 from leadscope.plans.sizing import bounded_broadcast
 
 SHINGLE = 5
@@ -116,8 +116,8 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = 0.8, rows:
     marks = bounded_broadcast(minima.select("length", at_minimum.alias("h")).distinct())
     template_bands = bounded_broadcast(_bands(minima, ["license_id", "length"], bands, rows))
 
-    texts = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),
-                         F.xxhash64(text_col).alias("version"), words_of(F.col(text_col)).alias("w"))
+    doc, version = identity(F.col(id_col), F.col(text_col))
+    texts = (docs.select(doc.alias("doc"), version.alias("version"), words_of(F.col(text_col)).alias("w"))
              .where(F.size("w") >= SHINGLE))
     key = ["doc", "version", "length", "window"]
     stride = F.greatest(F.lit(1), F.floor(F.col("length") / 4)).cast("int")
@@ -139,5 +139,5 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = 0.8, rows:
     return (checked.groupBy("doc", "version", "license_id")
             .agg(F.max("held").alias("containment"), F.min(F.col("window") * stride).cast("long").alias("first_word"),
                  F.count("*").alias("n_windows"))
-            .select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "license_id", "containment", "first_word",
+            .select(id_of(F.col("doc"), F.col("version")).alias("doc_id"), "license_id", "containment", "first_word",
                     "n_windows"))

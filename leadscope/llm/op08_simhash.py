@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadscope.llm.common import partitions, written
+from leadscope.llm.common import frugal, partitions, written
 from leadscope.llm.components import connected_components
 
 LARGE_RUN = 2048
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
                                              names=["doc_id", "fp", *keep])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep).mapInArrow(
-        run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *keep]))
+        frugal(run), ", ".join(f"{c} long" for c in ["doc_id", "fp", *keep]))
 
 
 class Ring:
@@ -229,7 +229,7 @@ def links(fps: DataFrame, max_bits: int = 2, block_rows: int = 200_000) -> DataF
                      for s in range(ring.count)])
     keyed = (distinct.select("fp", F.explode(keys).alias("k")).select("k.start", "k.key", "fp")
              .repartition(partitions(spark), "start", "key").sortWithinPartitions("start", "key", "fp"))
-    return keyed.mapInArrow(_linker(max_bits, block_rows), "a long, b long")
+    return keyed.mapInArrow(frugal(_linker(max_bits, block_rows)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2,

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadscope.llm.common import frugal
 from leadscope.llm.merges import MergeRules, merge_down
 
 MARK = "▁"
@@ -272,7 +273,7 @@ def _encode_group(units: list[tuple[int, str]], vocabulary: Vocabulary) -> tuple
             np.bincount(unit, weights=counts[uses], minlength=len(units)).astype(np.int64))
 
 
-def encode_texts(texts: list[str | None], vocabulary: Vocabulary, chars: int = 3 << 20
+def encode_texts(texts: list[str | None], vocabulary: Vocabulary, chars: int = 512 << 10
                  ) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, one after the other, and the number of ids of each."""
     rows, ids, counts, held, size = [], [], [], [], 0
@@ -317,7 +318,7 @@ def _vocabulary(model: bytes) -> Vocabulary:
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           chars: int = 3 << 20) -> DataFrame:
+           chars: int = 512 << 10) -> DataFrame:
     """doc_id, n_tokens, ids, round_trip for every row; the model (a vocabulary of bounded size, read by
     the driver) travels with the tasks.  round_trip: decoding gives the text back (its U+2581 as spaces);
     NULL for a NULL text."""
@@ -340,7 +341,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     names=["doc_id", "n_tokens", "ids", "round_trip"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids array<int>, round_trip boolean")
+        frugal(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
