@@ -5,9 +5,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 to the next one.
 
 Defined cases: documents without a letter (NULL and empty texts too) go in the first stage, and no others,
-whatever languages were learned and also if none was; rows without a
-doc_id go in the second, as do all rows but one of a near-duplicate group (the smallest id stays, and of its
-texts there the one with the smallest XXH64); texts under one id that are in different groups all stay; texts that the third stage empties stay as empty documents; extra columns are carried along.
+whatever languages were learned and also if none was; all rows but one of a near-duplicate group go in the
+second (the smallest id stays, and of its texts there the one with the smallest XXH64; rows without an id
+come last); rows without an id and texts under one id stay like any other where they link to nothing; texts
+that the third stage empties stay as empty documents; extra columns are carried along whatever their names:
+helper columns take names that the input does not have.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadscope.llm import op02_suffix_dedup, op04_decontaminate, op06_langid, op08_simhash, op10_sentencepiece
-from leadscope.llm.common import table, written
+from leadscope.llm.common import fresh, table, written
 from leadscope.llm.queries import tokenizer
 
 #: SQL cannot form the language vectors, XXH64 fingerprints or token ids; tests/llm/test_pipeline.py
@@ -32,15 +34,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     languages, vectors = op06_langid.prototypes(docs)
     if not languages:       # nothing learned: one name for every text with a letter
         languages, vectors = [""], np.zeros((1, vectors.shape[1]))
-    told = op06_langid.predict(docs, languages, vectors, keep=docs.columns, suffix="_told")
-    return told.where(F.col("lang_pred_told") != op06_langid.UNDETERMINED).select(*docs.columns)
+    names = fresh(docs, "told", "told_score")
+    told = op06_langid.predict(docs, languages, vectors, keep=docs.columns, names=tuple(names))
+    return told.where(F.col(names[0]) != op06_langid.UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row with the smallest (id, hash of the text) of each near-duplicate group."""
-    first = op08_simhash.first_rows(docs, width=3, max_bits=2).select("doc_id", F.col("version").alias("__version"))
-    return (docs.withColumn("__version", F.xxhash64("text")).join(first.hint("shuffle_hash"), ["doc_id", "__version"], "left_semi")
-            .dropDuplicates(["doc_id", "__version"]).select(*docs.columns))
+    """Keeps the row with the smallest (id, hash of the text) of each near-duplicate group; ids come before none."""
+    first = op08_simhash.first_rows(docs, width=3, max_bits=2).select(F.col("doc_id").alias("id"), F.col("version").alias("hash"))
+    version, = fresh(docs, "version")
+    marked = docs.withColumn(version, F.xxhash64("text"))
+    kept = marked.join(first.hint("shuffle_hash"), marked["doc_id"].eqNullSafe(first["id"])
+                       & (marked[version] == first["hash"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", version]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
