@@ -6,11 +6,14 @@ import json
 import os
 import tempfile
 import uuid
+from collections import OrderedDict
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 
-_MAPPED: dict[str, dict[str, np.ndarray]] = {}
+#: Files a worker keeps mapped, the last used ones; a mapping lives on while its arrays are in use.
+MOST_MAPPED = 1024
+_MAPPED: OrderedDict[str, dict[str, np.ndarray]] = OrderedDict()
 
 
 def local_path(uri: str) -> str | None:
@@ -49,9 +52,10 @@ def write_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
 
 
 def map_arrays(uri: str) -> dict[str, np.ndarray]:
-    """The arrays of a file, memory-mapped once per worker.  From a store without local paths the file is
-    copied to an unnamed temporary file first."""
+    """The arrays of a file, memory-mapped; a worker keeps the ``MOST_MAPPED`` last used files mapped.  From a
+    store without local paths the file is copied to an unnamed temporary file first."""
     if uri in _MAPPED:
+        _MAPPED.move_to_end(uri)
         return _MAPPED[uri]
     path = local_path(uri)
     if path is not None:
@@ -71,4 +75,6 @@ def map_arrays(uri: str) -> dict[str, np.ndarray]:
         dtype = np.dtype(kind)
         out[name] = raw[base + at:base + at + n * dtype.itemsize].view(dtype)
     _MAPPED[uri] = out
+    while len(_MAPPED) > MOST_MAPPED:
+        _MAPPED.popitem(last=False)
     return out

@@ -96,11 +96,17 @@ def _count_of_counts(counts: np.ndarray) -> np.ndarray:
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
-    """D1, D2, D3+ of modified Kneser-Ney from the counts of counts n1..n4, kept within 0..k."""
+    """D1, D2, D3+ of modified Kneser-Ney from the counts of counts n1..n4.
+
+    An estimate outside of (0, k) – corpora of copies have few counts of one – gives way to the absolute
+    discount n1 / (n1 + 2 n2), and that to a half: every discount is positive and below its count, so every
+    context keeps mass for unseen words and every score is finite.
+    """
     n1, n2, n3, n4 = (float(x) for x in n)
     y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
-    raw = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return np.array([min(max(d, 0.0), k) for k, d in enumerate(raw, 1)])
+    absolute = y if 0 < y < 1 else 0.5
+    raw = [1 - 2 * y * n2 / n1 if n1 else 0.0, 2 - 3 * y * n3 / n2 if n2 else 0.0, 3 - 4 * y * n4 / n3 if n3 else 0.0]
+    return np.array([d if 0 < d < k else absolute for k, d in enumerate(raw, 1)])
 
 
 def discount_of(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -214,8 +220,8 @@ def _pair_packer(model: Model, group_bytes: int) -> Callable:
 
 
 def _pair_reducer(model: Model) -> Callable:
-    """Writes the pairs and contexts of a bucket; passes on continuations by word and, under bucket -1,
-    the counts of counts and the parts of hot contexts."""
+    """Writes the pairs and contexts of a bucket; passes on continuations by word and, under a negative
+    number of its own, the bucket's counts of counts and parts of hot contexts."""
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         contexts, words, counts = [], [], []
@@ -239,7 +245,7 @@ def _pair_reducer(model: Model) -> Callable:
         write_arrays(model.file("context", bucket), {
             "key": keys[~hot], "total": stats[~hot, 0], "n1": stats[~hot, 1].astype(np.uint32),
             "n2": stats[~hot, 2].astype(np.uint32), "n3": stats[~hot, 3].astype(np.uint32)})
-        numbers = [-1]
+        numbers = [-1 - bucket]
         blobs = [_pack(_count_of_counts(total), np.array([len(pair)], np.int64), np.array([bucket], np.int64),
                        keys[hot], np.ascontiguousarray(stats[hot]).ravel())]
         follows, times = np.unique(word, return_counts=True)

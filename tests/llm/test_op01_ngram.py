@@ -29,8 +29,8 @@ def brute(rows, remainder=1):
         n = Counter(counts)
         n1, n2, n3, n4 = (n[k] for k in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2) if n1 + n2 else 0
-        d = [1 - 2 * y * n2 / n1 if n1 else .5, 2 - 3 * y * n3 / n2 if n2 else 1., 3 - 4 * y * n4 / n3 if n3 else 1.5]
-        d = [min(max(x, 0), k) for k, x in enumerate(d, 1)]
+        d = [1 - 2 * y * n2 / n1 if n1 else 0, 2 - 3 * y * n3 / n2 if n2 else 0, 3 - 4 * y * n4 / n3 if n3 else 0]
+        d = [x if 0 < x < k else y if 0 < y < 1 else .5 for k, x in enumerate(d, 1)]
         return lambda c: 0 if c == 0 else d[min(c, 3) - 1]
 
     follow, context = Counter(w for _, w in bi), defaultdict(list)
@@ -83,6 +83,47 @@ def test_probabilities_sum_to_one(prose):
         assert abs(sum(p2(a, w) for w in uni) + p2(a, "<unknown>") - 1) < 1e-9
 
 
+@pytest.mark.parametrize("times", [2, 3, 4, 7])
+def test_corpora_of_copies_have_finite_scores(frame, prose, times):
+    """Copies leave few counts of one: no estimate of a discount may take the mass of unseen words away."""
+    texts = prose(6, docs=60)
+    rows = [(k * 100 + i, t, None) for k in range(times) for i, t in enumerate(texts)]
+    rows += [(10_000 + i, f"new words {i} " + t, None) for i, t in enumerate(texts[:30])]
+    want, p2, uni = brute(rows)
+    got = op.held_out_scores(frame(rows, SCHEMA)).collect()
+    assert all(math.isfinite(r["score"]) for r in got)
+    close(got, want)
+    for a in ["<s>", *list(uni)[:5]]:
+        assert abs(sum(p2(a, w) for w in uni) + p2(a, "<unknown>") - 1) < 1e-9 and p2(a, "<unknown>") > 0
+
+
+def test_discounts_lie_between_zero_and_their_count():
+    rng = np.random.default_rng(1)
+    for n in [*rng.integers(0, 50, (500, 4)), (0, 0, 0, 0), (0, 5, 9, 9), (9, 0, 0, 0), (1, 1, 40, 40)]:
+        d = op.discounts(np.array(n))
+        assert all(0 < x < k for k, x in enumerate(d, 1))
+
+
+def test_no_group_of_all_buckets(spark, tmp_path, prose):
+    """Each bucket passes its summary on under a number of its own."""
+    import pyarrow as pa
+    model, numbers = op.Model(f"file:{tmp_path}", 8, 2), []
+    texts = pa.RecordBatch.from_arrays([pa.array(prose(2))], names=["text"])
+    for batch in op._pair_packer(model, 1 << 20)(iter([texts])):
+        for row in range(batch.num_rows):
+            out = op._pair_reducer(model)(pa.Table.from_batches([batch.slice(row, 1)]))
+            numbers += [n for n in out.column("bucket").to_pylist() if n < 0]
+    assert len(numbers) > 4 and len(set(numbers)) == len(numbers)
+
+
+def test_mapped_files_are_bounded(tmp_path, monkeypatch):
+    monkeypatch.setattr(arrays, "MOST_MAPPED", 3)
+    for k in range(9):
+        arrays.write_arrays(f"file:{tmp_path}/{k}", {"key": np.array([k])})
+        assert arrays.map_arrays(f"file:{tmp_path}/{k}")["key"][0] == k and len(arrays._MAPPED) <= 3
+    assert arrays.map_arrays(f"file:{tmp_path}/0")["key"][0] == 0
+
+
 def test_hot_contexts_spread(frame, prose):
     """A context split over buckets scores as without the split."""
     rows = [(i, "the " + " the ".join((t or "").split()), None) for i, t in enumerate(prose(4, docs=40))]
