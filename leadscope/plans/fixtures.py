@@ -233,7 +233,8 @@ def account_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw semicolon-separated monthly extract lines: key, directory, impressions, clicks as text; some
-    lines are short or without a usable key, some amounts lie beyond BIGINT or have many decimals."""
+    lines are short or without a usable key, some amounts lie beyond BIGINT or have many decimals, and some
+    records have two lines more whose huge amounts cancel each other, or leave one that does not."""
     a = activity(spark, sf_dir)
     eid = F.col("event_id")
     key_text = (F.when(eid % 103 == 0, F.concat(F.lit("key"), _s(F.col("account_key"))))
@@ -245,7 +246,13 @@ def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(_s(F.col("impression_weight"))))
     clk = (F.when(eid % 229 == 0, F.lit("-3e30")).when(eid % 13 == 0, F.lit(""))
            .otherwise(_s(F.col("click_weight"))))
-    full = F.concat(key_text, F.lit(";m;m;m;m;"), directory, F.lit(";m;m;m;m;m;m;"), imp, F.lit(";"), clk)
+
+    def full(impressions: Column, clicks: Column) -> Column:
+        return F.concat(key_text, F.lit(";m;m;m;m;"), directory, F.lit(";m;m;m;m;m;m;"), impressions, F.lit(";"), clicks)
+
     short = F.concat(_s(F.col("account_key")), F.lit(";m;m"))
-    line = F.when(eid % 101 == 0, short).otherwise(full)
-    return a.select(eid.alias("record_id"), line.alias("line"))
+    line = F.when(eid % 101 == 0, short).otherwise(full(imp, clk))
+    lines = (F.when(eid % 53 == 4, F.array(line, full(F.lit("1e60"), F.lit("-1.5e308")), full(F.lit("-1e60"), F.lit("1.5e308"))))
+             .when(eid % 59 == 6, F.array(full(F.lit("-1e60"), F.lit("7e40")), line, full(F.lit("1e60"), F.lit(""))))
+             .otherwise(F.array(line)))
+    return a.select(eid.alias("record_id"), F.explode(lines).alias("line"))

@@ -118,18 +118,22 @@ account_lines AS (
   FROM customer)"""
 
 EXTRACT_LINES = r"""
+extract_parts AS (
+  SELECT event_id, account_key,
+    CASE WHEN event_id % 103 = 0 THEN 'key' || CAST(account_key AS VARCHAR)
+         WHEN event_id % 5 = 0 THEN '"' || CAST(account_key AS VARCHAR) || '"' ELSE CAST(account_key AS VARCHAR) END
+    || ';m;m;m;m;' || CASE WHEN event_id % 107 = 0 THEN '' ELSE CAST(directory_id AS VARCHAR) END || ';m;m;m;m;m;m;' AS head,
+    CASE WHEN event_id % 211 = 0 THEN '3e30' WHEN event_id % 223 = 0 THEN '9000000000000000000'
+         WHEN event_id % 227 = 0 THEN '0.25000000000001' WHEN event_id % 11 = 0 THEN 'n/a'
+         ELSE CAST(impression_weight AS VARCHAR) END || ';'
+    || CASE WHEN event_id % 229 = 0 THEN '-3e30' WHEN event_id % 13 = 0 THEN '' ELSE CAST(click_weight AS VARCHAR) END AS own
+  FROM activity),
 extract_lines AS (
-  SELECT event_id AS record_id,
-    CASE WHEN event_id % 101 = 0 THEN CAST(account_key AS VARCHAR) || ';m;m'
-    ELSE CASE WHEN event_id % 103 = 0 THEN 'key' || CAST(account_key AS VARCHAR)
-              WHEN event_id % 5 = 0 THEN '"' || CAST(account_key AS VARCHAR) || '"' ELSE CAST(account_key AS VARCHAR) END
-    || ';m;m;m;m;' || CASE WHEN event_id % 107 = 0 THEN '' ELSE CAST(directory_id AS VARCHAR) END || ';m;m;m;m;m;m;'
-    || CASE WHEN event_id % 211 = 0 THEN '3e30' WHEN event_id % 223 = 0 THEN '9000000000000000000'
-            WHEN event_id % 227 = 0 THEN '0.25000000000001' WHEN event_id % 11 = 0 THEN 'n/a'
-            ELSE CAST(impression_weight AS VARCHAR) END || ';'
-    || CASE WHEN event_id % 229 = 0 THEN '-3e30' WHEN event_id % 13 = 0 THEN '' ELSE CAST(click_weight AS VARCHAR) END
-    END AS line
-  FROM activity)"""
+  SELECT event_id AS record_id, CASE WHEN event_id % 101 = 0 THEN CAST(account_key AS VARCHAR) || ';m;m' ELSE head || own END AS line
+  FROM extract_parts
+  UNION ALL SELECT event_id, head || unnest(['1e60;-1.5e308', '-1e60;1.5e308']) FROM extract_parts WHERE event_id % 53 = 4
+  UNION ALL SELECT event_id, head || unnest(['-1e60;7e40', '1e60;']) FROM extract_parts
+            WHERE event_id % 59 = 6 AND event_id % 53 <> 4)"""
 
 
 def with_views(*views: str) -> str:
@@ -287,16 +291,6 @@ ACCOUNT_REJECTS = ACCOUNT_FIELDS + """
 SELECT record_id, reason FROM tagged WHERE reason IS NOT NULL"""
 
 
-def _total(x: str) -> str:
-    """floor(sum + 0.5) within BIGINT: decimal digits of the text where they fit, doubles beyond."""
-    number = f"coalesce(CASE WHEN isfinite(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END, CAST(0 AS DOUBLE))"
-    exact = f"sum(CASE WHEN abs({number}) < 1e24 THEN coalesce(TRY_CAST({x} AS DECIMAL(38,12)), 0) ELSE 0 END)"
-    far = f"sum(CASE WHEN abs({number}) >= 1e24 THEN {number} ELSE CAST(0 AS DOUBLE) END)"
-    return (f"CASE WHEN {far} + CAST({exact} AS DOUBLE) >= 9223372036854775807 THEN 9223372036854775807 "
-            f"WHEN {far} + CAST({exact} AS DOUBLE) <= -9223372036854775807 THEN -9223372036854775807 - 1 "
-            f"ELSE CAST(floor({exact} + CAST(0.5 AS DECIMAL(2,1))) AS BIGINT) END")
-
-
 EXTRACT_FIELDS = with_views(ACTIVITY, ACCOUNT, EXTRACT_LINES) + f""",
 parsed AS (SELECT record_id, string_split(line, ';') AS p FROM extract_lines),
 f AS (
@@ -304,11 +298,35 @@ f AS (
          TRY_CAST({clean('p[6]')} AS BIGINT) AS directory_id, {clean('p[13]')} AS impressions, {clean('p[14]')} AS clicks
   FROM parsed)"""
 
-MONTHLY_TOTALS = EXTRACT_FIELDS + f"""
-SELECT c.account_id, f.account_key, f.directory_id, {_total('f.impressions')} AS impressions, {_total('f.clicks')} AS clicks
-FROM f JOIN account c ON c.account_key = f.account_key
-WHERE f.n_fields >= 14 AND f.account_key IS NOT NULL AND f.directory_id IS NOT NULL
-GROUP BY 1, 2, 3"""
+# Amounts below 1e24 are summed by their decimal digits.  The others are counted per size, those of opposite
+# signs against each other; the largest size that is left decides, since the sizes lie far apart.
+MONTHLY_TOTALS = EXTRACT_FIELDS + """,
+placed AS (
+  SELECT c.account_id, u.account_key, u.directory_id, u.measure, u.txt,
+         coalesce(CASE WHEN isfinite(TRY_CAST(u.txt AS DOUBLE)) THEN TRY_CAST(u.txt AS DOUBLE) END, CAST(0 AS DOUBLE)) AS x
+  FROM (SELECT *, unnest(['imp', 'clk']) AS measure, unnest([impressions, clicks]) AS txt FROM f
+        WHERE n_fields >= 14 AND account_key IS NOT NULL AND directory_id IS NOT NULL) u
+  JOIN account c ON c.account_key = u.account_key),
+near AS (
+  SELECT account_id, account_key, directory_id, measure,
+         floor(sum(CASE WHEN abs(x) < 1e24 THEN coalesce(TRY_CAST(txt AS DECIMAL(38,12)), 0) ELSE 0 END)
+               + CAST(0.5 AS DECIMAL(2,1))) AS total
+  FROM placed GROUP BY ALL),
+sizes AS (
+  SELECT account_id, account_key, directory_id, measure, abs(x) AS size, sum(sign(x)) AS net
+  FROM placed WHERE abs(x) >= 1e24 GROUP BY ALL HAVING sum(sign(x)) <> 0),
+far AS (
+  SELECT account_id, account_key, directory_id, measure, arg_max(sign(net), size) AS side FROM sizes GROUP BY ALL),
+both_ AS (
+  SELECT n.account_id, n.account_key, n.directory_id, n.measure,
+         CASE WHEN f.side > 0 OR (f.side IS NULL AND n.total >= 9223372036854775807) THEN 9223372036854775807
+              WHEN f.side < 0 OR (f.side IS NULL AND n.total <= -9223372036854775807) THEN -9223372036854775807 - 1
+              ELSE CAST(n.total AS BIGINT) END AS total
+  FROM near n LEFT JOIN far f ON f.account_id = n.account_id AND f.account_key = n.account_key
+                             AND f.directory_id = n.directory_id AND f.measure = n.measure)
+SELECT account_id, account_key, directory_id, CAST(max(total) FILTER (WHERE measure = 'imp') AS BIGINT) AS impressions,
+       CAST(max(total) FILTER (WHERE measure = 'clk') AS BIGINT) AS clicks
+FROM both_ GROUP BY 1, 2, 3"""
 
 EXTRACT_REJECTS = EXTRACT_FIELDS + """
 SELECT record_id, CASE WHEN n_fields < 14 THEN 'short_row' ELSE 'bad_number' END AS reason
