@@ -12,17 +12,24 @@ snapshot, day, bucket) with a deterministic bucket from a row hash, so each day
 many files (and a hot day is spread over that many tasks) and a retried task sends every
 row to the same place.
 An export replaces whole days: it covers the (channel, day) pairs that its rows hold, and those of a
-range it names.  Partitions of covered pairs that receive no row, in either snapshot, are removed after
-the write, so a corrected export leaves nothing of the one before.  Other days stay as they are.
+range it names.  Its files are staged under a name of their own (the innermost partition ``export``) and
+become visible together, when one manifest file beside the dataset is written last: a line per (channel,
+snapshot, day) it covers with the rows and files there, zero rows for those it empties.  Readers take each
+partition from the latest manifest line about it, so none sees an export in part, and an export that is
+killed changes nothing.  The rows to write are evaluated once; counts come from the footers of the staged files.
+Superseded files stay until the folder is tidied (``superseded`` lists them).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
+import json
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadscope.functions.dates import date_argument
 
@@ -31,6 +38,13 @@ PARTITION_COLUMNS = ("channel", "snapshot", "activity_date")
 CHANNELS = ("online", "mobile")
 SNAPSHOTS = ("full", "sample")
 
+EXPORT = "export"
+_MANIFEST_SCHEMA = ("version long, export string, schema string, channel string, snapshot string, activity_date date, "
+                    "rows long, files long")
+# Characters that Spark writes as %XX in the folder names of partitions, and its name for NULL.
+_ESCAPED = {chr(c) for c in range(1, 32)} | set('"#%\'*/:=?\\{}[]^\x7f')
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def with_partition_columns(activity: DataFrame, snapshot: str = "full") -> DataFrame:
     """Adds channel (from ``is_mobile`` unless present), snapshot and activity_date."""
@@ -42,49 +56,110 @@ def with_partition_columns(activity: DataFrame, snapshot: str = "full") -> DataF
     return df.withColumn("snapshot", F.lit(snapshot))
 
 
-def _write(df: DataFrame, path: str, max_records_per_file: int, files_per_day: int | None,
-           hash_columns: list[str]) -> str:
-    if files_per_day:
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hash_columns]), F.lit(files_per_day))
-        df = df.repartition(*[F.col(c) for c in PARTITION_COLUMNS], bucket)
-    (df.sortWithinPartitions(*PARTITION_COLUMNS)
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy(*PARTITION_COLUMNS)
-       .parquet(path))
+def manifest_path(path: str) -> str:
+    return f"{path.rstrip('/')}-manifest"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """Every line of the dataset's manifest; None where there is none (a streamed dataset)."""
+    try:
+        return spark.read.schema(_MANIFEST_SCHEMA).json(manifest_path(path))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _current(lines: DataFrame) -> DataFrame:
+    """The latest line about each partition: channel, snapshot, activity_date, export, rows, files."""
+    latest = F.max_by(F.struct(EXPORT, "rows", "files"), F.struct("version", EXPORT)).alias("last")
+    return (lines.where("schema is null").groupBy(*PARTITION_COLUMNS).agg(latest)
+            .select(*PARTITION_COLUMNS, "last.*"))
+
+
+def _folder(path: str, names: tuple[str, ...], part: Row) -> str:
+    def value(x: object) -> str:
+        text = _NULL_FOLDER if x is None or x == "" else str(x)
+        return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+    return "/".join([path.rstrip("/"), *(f"{n}={value(part[n])}" for n in names), f"{EXPORT}={part[EXPORT]}"])
+
+
+def _read(spark: SparkSession, path: str, names: tuple[str, ...]) -> DataFrame:
+    lines = manifest(spark, path)
+    if lines is None:
+        return spark.read.option("basePath", path).parquet(path)
+    newest = lines.where("schema is not null").orderBy(F.desc("version"), F.desc(EXPORT)).first()
+    schema = StructType.fromJson(json.loads(newest["schema"]))
+    parts = _current(lines).where("rows > 0").collect()               # one small row per partition
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(StructType([*schema.fields]).add(EXPORT, "string")).option("basePath", path)
+            .parquet(*[_folder(path, names, p) for p in parts]).select(*schema.names))
+
+
+def _publish(df: DataFrame, path: str, names: tuple[str, ...], max_records_per_file: int,
+             emptied: DataFrame | None = None, both_snapshots: bool = False) -> str:
+    """Stage the rows of ``df`` as one export and make them visible.  ``names``: its partition columns;
+    ``emptied``: further (activity_date, channel) pairs that the export speaks for."""
+    spark, export = df.sparkSession, "e" + uuid.uuid4().hex
+    seen = Observation()
+    watched = df.observe(seen, F.collect_set(F.struct(*names, F.lit(export).alias(EXPORT))).alias("parts"))
+    placed = watched.withColumn(EXPORT, F.lit(export))
+    ((placed.sortWithinPartitions(*names) if names else placed)
+     .write.mode("append").option("maxRecordsPerFile", max_records_per_file).partitionBy(*names, EXPORT).parquet(path))
+    parts = seen.get["parts"] or []                                   # partitions with rows
+    none = [F.lit(None).cast(t).alias(n) for n, t in zip(PARTITION_COLUMNS, ("string", "string", "date")) if n not in names]
+    schema = StructType([*df.schema.fields])
+    if parts:
+        staged = (spark.read.schema(StructType([*df.schema.fields]).add(EXPORT, "string")).option("basePath", path)
+                  .parquet(*[_folder(path, names, p) for p in parts]))
+        counts = (staged.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_metadata.file_path").alias("files"))
+                  .select(*names, *none, "rows", "files").select(*PARTITION_COLUMNS, "rows", "files"))
+    else:
+        # an empty table that is not partitioned replaces the one before; an empty dataset names no partition
+        counts = spark.createDataFrame([] if names else [(None, None, None, 0, 0)],
+                                       "channel string, snapshot string, activity_date date, rows long, files long")
+    if both_snapshots:
+        pairs = counts.select("activity_date", "channel")
+        pairs = (pairs if emptied is None else pairs.union(emptied.select("activity_date", "channel"))).distinct()
+        spoken = pairs.select("channel", F.explode(F.array(*[F.lit(s) for s in SNAPSHOTS])).alias("snapshot"), "activity_date")
+        empty = spoken.select(*PARTITION_COLUMNS, F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("files"))
+        counts = counts.union(empty).groupBy(*PARTITION_COLUMNS).agg(F.sum("rows").alias("rows"), F.sum("files").alias("files"))
+    earlier = manifest(spark, path)
+    version = 1 + ((earlier.agg(F.max("version")).first()[0] if earlier is not None else 0) or 0)
+    head = spark.range(1).select(F.lit(schema.json()).alias("schema"), *[F.lit(None).alias(c) for c in (*PARTITION_COLUMNS, "rows", "files")])
+    lines = counts.withColumn("schema", F.lit(None).cast("string")).unionByName(head)
+    # one file, so that it appears as a whole
+    (lines.withColumn("version", F.lit(version)).withColumn(EXPORT, F.lit(export)).repartition(1)
+     .write.mode("append").json(manifest_path(path)))
     return path
 
 
 Covered = tuple[str | dt.date, str | dt.date, tuple[str, ...]]
 
 
-def _days_of(df: DataFrame) -> set[tuple[str, str, dt.date]]:
-    """Distinct partition values of the rows: at most channels x snapshots x days of them."""
-    return {(r["channel"], r["snapshot"], r["activity_date"])
-            for r in df.select(*PARTITION_COLUMNS).distinct().collect()}
+def _clustered(df: DataFrame, files_per_day: int | None, hash_columns: list[str]) -> DataFrame:
+    if not files_per_day:
+        return df
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hash_columns]), F.lit(files_per_day))
+    return df.repartition(*[F.col(c) for c in PARTITION_COLUMNS], bucket)
 
 
-def _remove_stale(spark: SparkSession, path: str, filled: set, covered: Covered | None) -> None:
-    """Remove the partitions of covered (channel, day) pairs that received no row."""
-    pairs = {(channel, day) for channel, _, day in filled}
-    if covered is not None:
-        first, last = date_argument(covered[0]), date_argument(covered[1])
-        pairs |= {(c, first + dt.timedelta(days=k)) for c in covered[2] for k in range((last - first).days + 1)}
-    jvm = spark._jvm
-    for channel, day in sorted(pairs, key=str):
-        for snapshot in SNAPSHOTS:
-            if (channel, snapshot, day) not in filled:
-                value = day.isoformat() if day is not None else "__HIVE_DEFAULT_PARTITION__"
-                folder = jvm.org.apache.hadoop.fs.Path(f"{path}/channel={channel}/snapshot={snapshot}/activity_date={value}")
-                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def superseded(spark: SparkSession, path: str) -> DataFrame:
+    """(channel, snapshot, activity_date, export) of staged partitions that no reader takes any more."""
+    lines = manifest(spark, path)
+    if lines is None:
+        raise ValueError(f"{path} has no manifest")
+    live = _current(lines).select(*PARTITION_COLUMNS, EXPORT)
+    old = lines.where("schema is null and rows > 0").select(*PARTITION_COLUMNS, EXPORT)
+    return old.exceptAll(live)
 
 
 def write_activity_dataset(activity: DataFrame, path: str, snapshot: str = "full",
                            max_records_per_file: int = 5_000_000, files_per_day: int | None = None) -> str:
     """Write ``activity`` as one snapshot of the dataset (only the days it holds are replaced)."""
-    return _write(with_partition_columns(activity, snapshot), path, max_records_per_file, files_per_day,
-                  activity.columns)
+    df = _clustered(with_partition_columns(activity, snapshot), files_per_day, activity.columns)
+    return _publish(df, path, PARTITION_COLUMNS, max_records_per_file)
 
 
 def drawn(identity: list[str], fraction: float, seed: int) -> Column:
@@ -110,19 +185,18 @@ def export_activity(activity: DataFrame, path: str, sample_fraction: float | Non
         snapshots = F.when(drawn(identity or activity.columns, sample_fraction, seed),
                            F.array(F.lit("full"), F.lit("sample"))).otherwise(snapshots)
     both = df.withColumn("snapshot", F.explode(snapshots))
-    _write(both, path, max_records_per_file, files_per_day, activity.columns)
-    _remove_stale(activity.sparkSession, path, _days_of(both), covered)
-    return path
+    emptied = None if covered is None else expected_days(activity.sparkSession, *covered)
+    return _publish(_clustered(both, files_per_day, activity.columns), path, PARTITION_COLUMNS, max_records_per_file,
+                    emptied, both_snapshots=True)
 
 
 def write_accounts(account: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
-    """The account table as Parquet; every export replaces it as a whole."""
-    account.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
-    return path
+    """The account table as Parquet; every export replaces it as a whole, for readers at one moment."""
+    return _publish(account, path, (), max_records_per_file)
 
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return _read(spark, path, ())
 
 
 def register_accounts_view(spark: SparkSession, path: str, name: str = "account") -> DataFrame:
@@ -137,7 +211,8 @@ def export_everything(activity: DataFrame, account: DataFrame, root: str, **opti
 
 
 def read_activity_dataset(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+    """The published rows; a dataset without a manifest (a streamed one) is read as it lies."""
+    return _read(spark, path, PARTITION_COLUMNS)
 
 
 def register_activity_view(spark: SparkSession, path: str, name: str = "activity") -> DataFrame:
@@ -179,16 +254,11 @@ def expected_days(spark: SparkSession, start: str | dt.date, end: str | dt.date,
 
 
 def present_days(spark: SparkSession, path: str, snapshot: str = "full") -> DataFrame:
-    """(activity_date, channel) of the partitions of a dataset, from its folder listing: no row is read.
-
-    A partition is written only with rows in it, so its folder stands for a present day; there are at
-    most days x channels of them."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/channel=*/snapshot={snapshot}/activity_date=*")
-    folders = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    found = [re.search(r"/channel=([^/]+)/snapshot=[^/]+/activity_date=(\d{4}-\d{2}-\d{2})$", f.getPath().toString())
-             for f in folders]
-    return spark.createDataFrame([(dt.date.fromisoformat(m[2]), m[1]) for m in found if m],
-                                 "activity_date date, channel string")
+    """(activity_date, channel) of the days that have rows, from the manifest: no folder is listed and no row
+    read.  Without a manifest (a streamed dataset) from the partition columns."""
+    lines = manifest(spark, path)
+    held = read_activity_dataset(spark, path) if lines is None else _current(lines).where("rows > 0")
+    return held.where(F.col("snapshot") == snapshot).select("activity_date", "channel").distinct()
 
 
 def missing_days(present: DataFrame, expected: DataFrame) -> DataFrame:

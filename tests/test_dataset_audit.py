@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from leadscope.functions.dates import component_violation, is_date_text
@@ -169,3 +171,72 @@ def test_unknown_component_wins_over_missing_value(spark, scratch):
     df = as_parquet(spark, [(None, "hx")], "value int, component string", scratch)
     assert df.select(component_violation(F.col("value"), F.col("component")).alias("m")).first().m == \
         "no rule for component hx"
+
+
+def test_input_is_evaluated_once(spark, scratch):
+    """A source that counts its rows: an export of both snapshots reads it one time."""
+    rows = spark.sparkContext.accumulator(0)
+    act = fx.activity(spark, SF001)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    counted = act.mapInArrow(count, act.schema)
+    path = dataset.export_activity(counted, os.path.join(scratch, "once"), sample_fraction=0.5, identity=["event_id"],
+                                   covered=("2024-01-01", "2024-01-31", dataset.CHANNELS))
+    assert rows.value == act.count()
+    assert dataset.read_activity_dataset(spark, path).where("snapshot = 'full'").count() == rows.value
+
+
+def test_a_killed_export_changes_nothing(spark, scratch, monkeypatch):
+    act = fx.activity(spark, SF001)
+    path = dataset.export_activity(act.where("event_id % 2 = 0"), os.path.join(scratch, "killed"), sample_fraction=None)
+    before = sorted(r[0] for r in dataset.read_activity_dataset(spark, path).select("event_id").collect())
+    reader = dataset.read_activity_dataset(spark, path)
+    failing = act.withColumn("keywords", F.when(F.col("event_id") % 50 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("keywords")))
+    with pytest.raises(Exception, match="lost"):
+        dataset.export_activity(failing, path, sample_fraction=None)
+    # staged in full, killed before the manifest
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        def stop(*_):
+            raise KeyboardInterrupt
+        m.setattr(dataset, "manifest", stop)
+        dataset.export_activity(act, path, sample_fraction=None)
+    assert sorted(r[0] for r in dataset.read_activity_dataset(spark, path).select("event_id").collect()) == before
+    dataset.export_activity(act, path, sample_fraction=None)
+    assert dataset.read_activity_dataset(spark, path).count() == act.count()
+    assert sorted(r[0] for r in reader.select("event_id").collect()) == before       # a reader keeps what it saw
+    assert dataset.superseded(spark, path).count() > 0
+
+
+def test_manifest_counts_rows_and_files(spark, scratch):
+    act = fx.activity(spark, SF001).repartition(3)
+    path = dataset.write_activity_dataset(act, os.path.join(scratch, "counted"), max_records_per_file=4)
+    lines = dataset._current(dataset.manifest(spark, path))
+    want = {(r.channel, r.activity_date): r.n for r in dataset.rows_per_day(dataset.read_activity_dataset(spark, path)).collect()}
+    assert {(r.channel, r.activity_date): r.rows for r in lines.collect()} == want
+    assert all(r.files >= -(-r.rows // 4) for r in lines.collect())
+
+
+def test_empty_exports_and_unusual_partitions(spark, scratch):
+    act = fx.activity(spark, SF001)
+    path = dataset.export_activity(act.limit(0), os.path.join(scratch, "empty"), sample_fraction=None)
+    assert dataset.read_activity_dataset(spark, path).count() == 0 == dataset.present_days(spark, path).count()
+    odd = act.withColumn("channel", F.when(F.col("event_id") % 3 == 0, F.lit("a/b=c %d:é'")).when(
+        F.col("event_id") % 3 == 1, F.lit(None).cast("string")).otherwise(F.lit("online")))
+    dataset.export_activity(odd, path, sample_fraction=None)
+    back = dataset.read_activity_dataset(spark, path)
+    assert back.select("event_id", "channel").exceptAll(odd.select("event_id", "channel")).isEmpty()
+    assert back.count() == act.count()
+
+
+def test_account_readers_follow_the_manifest(spark, scratch):
+    acc = fx.account(spark, SF001)
+    path = dataset.write_accounts(acc, os.path.join(scratch, "acc"))
+    held = dataset.read_accounts(spark, path)
+    dataset.write_accounts(acc.limit(3), path)
+    assert held.count() == acc.count() and dataset.read_accounts(spark, path).count() == 3
+    dataset.write_accounts(acc.limit(0), path)
+    assert dataset.read_accounts(spark, path).count() == 0
