@@ -131,3 +131,41 @@ def test_hot_key_is_spread_over_tasks(spark):
             tasks = got.where("k = 7").groupBy("task").count().collect()
             assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 5_000
             got.unpersist()
+
+
+def test_salted_join_evaluates_its_rows_once(spark):
+    from leadscope.operators.skew import salted_join, watched
+
+    count = spark.sparkContext.accumulator(0)
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 5_000).alias("k"),
+        F.col("id").alias("x"))
+
+    def counted(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    lookup = spark.range(4_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    with NoBroadcast(spark):
+        for how in ("inner", "left"):
+            count.value = 0
+            got = salted_join(rows.mapInArrow(counted, rows.schema), lookup, "k", how, hot_rows=400)
+            spread = got.withColumn("task", F.spark_partition_id()).cache()
+            assert count.value == 30_000
+            assert sorted(map(str, spread.drop("task").collect())) == sorted(map(str, rows.join(lookup, "k", how).select("k", "x", "y").collect()))
+            assert spread.where("k = 7").select("task").distinct().count() >= 6
+            if how == "left":                                    # rows without a key are spread as well
+                assert spread.where("k is null").select("task").distinct().count() >= 6
+            spread.unpersist()
+        assert dict(watched(rows, "k", 400)[1]) == {7: 10_000 + rows.where("k = 7 and x % 3 <> 0").count()}
+
+
+def test_salted_plans_of_the_jobs(spark):
+    """Each job that meets hot keys joins on key and salt beyond the broadcast bound, over rows read back."""
+    jobs = _jobs(spark, fx.activity(spark, SF01))
+    with NoBroadcast(spark):
+        for name in ("merchant", "all_rows", "share", "distance", "violations", "reconciled"):
+            df = jobs[name](0, 200)
+            assert "_salt" in df._jdf.queryExecution().executedPlan().toString(), name
+            assert any("leadscope/salted" in f for f in df.inputFiles()), name

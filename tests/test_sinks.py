@@ -37,3 +37,31 @@ def test_every_text_comes_back(spark, scratch):
         assert sorted(map(tuple, read(spark, path, df.schema).collect())) == sorted(AWKWARD)
         lines = spark.read.text(path).count()             # one line per row, and the header of each comma file
         assert lines == len(AWKWARD) + (len([f for f in os.listdir(path) if f.endswith(".csv")]) if name == "c" else 0)
+
+
+def test_one_header_and_parts_in_order(spark, scratch):
+    """Several range-ordered parts: put together they are one sorted report with one header."""
+    rows = [(k, f"name {k * 7919 % 1000:04d}") for k in range(1000)]
+    df = spark.createDataFrame(rows, "k bigint, name string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = sinks.write_csv_with_header(df, os.path.join(scratch, "ordered"), order=["name"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sinks.report_parts(spark, path)
+    text = []
+    for part in parts:
+        with open(part.removeprefix("file://")) as f:
+            text += f.read().splitlines()
+    assert len(parts) > 3 and text[0] == "k,name" and text.count("k,name") == 1
+    assert text[1:] == [f"{k},{n}" for k, n in sorted(rows, key=lambda r: r[1])]
+    assert sorted(map(tuple, sinks.read_csv_with_header(spark, path, df.schema).collect())) == rows
+
+
+def test_rows_like_the_header_stay_rows(spark, scratch):
+    rows = [("a", "b"), ("a", "b"), ("\\ha", "b"), ("x", None), (None, "b"), ("", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    path = sinks.write_csv_with_header(df, os.path.join(scratch, "like"))
+    assert sorted(map(str, (tuple(r) for r in sinks.read_csv_with_header(spark, path, df.schema).collect()))) == sorted(map(str, rows))
+    empty = sinks.write_csv_with_header(df.limit(0), os.path.join(scratch, "none"))
+    assert sinks.read_csv_with_header(spark, empty, df.schema).count() == 0 and spark.read.text(empty).count() == 1

@@ -6,7 +6,7 @@ from leadscope.functions import text as tx
 from tests.conftest import as_parquet
 
 MATCH_VECTORS = [
-    # (term, name, expected)
+    # The first five pairs must give these results. (term, name, expected)
     ("Dominos", "Dominos P", True),          # contains
     ("Dominos", "Dominos Pizza", True),      # contains
     ("Dominos", "Dmino", True),              # edit distance 2 <= 7 div 3
