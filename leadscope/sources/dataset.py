@@ -257,8 +257,11 @@ def present_days(spark: SparkSession, path: str, snapshot: str = "full") -> Data
     """(activity_date, channel) of the days that have rows, from the manifest: no folder is listed and no row
     read.  Without a manifest (a streamed dataset) from the partition columns."""
     lines = manifest(spark, path)
-    held = read_activity_dataset(spark, path) if lines is None else _current(lines).where("rows > 0")
-    return held.where(F.col("snapshot") == snapshot).select("activity_date", "channel").distinct()
+    if lines is None:
+        held = read_activity_dataset(spark, path).where(F.col("snapshot") == snapshot)
+        return held.select("activity_date", "channel").distinct()
+    found = _current(lines).where((F.col("rows") > 0) & (F.col("snapshot") == snapshot)).collect()   # days x channels
+    return spark.createDataFrame([(r["activity_date"], r["channel"]) for r in found], "activity_date date, channel string")
 
 
 def missing_days(present: DataFrame, expected: DataFrame) -> DataFrame:
