@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from leadscope.functions.dates import date_argument
 from leadscope.functions.numeric import to_long
+from leadscope.operators.bloom import possible
 from leadscope.operators.skew import DEFAULT_HOT_ROWS, salted_join
-from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits_broadcast
+from leadscope.plans.sizing import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast,
+                                    fits_broadcast, measured)
 
 # Click-type names that count as leads (21 distinct names).
 LEAD_CLICK_TYPES = (
@@ -118,13 +120,25 @@ def phone_source(phone_lead: DataFrame, begin, end) -> DataFrame:
     return phone_lead.filter(ts_in_days(F.col("created_datetime"), begin, end))
 
 
+def of_children(rows: DataFrame, key: str, children: DataFrame, child: str,
+                broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``rows`` joined with the (parent_account_id, ``child``) pairs on ``key`` = ``child``.
+
+    The pairs are broadcast within the checked bound.  Beyond it a Bloom filter of the children takes the
+    other rows out before the shuffle join, whose hot keys AQE splits."""
+    n, size = measured(children)
+    if n <= broadcast_rows and size <= DEFAULT_MAX_BROADCAST_BYTES:
+        children = F.broadcast(children)
+    else:
+        rows = possible(rows, key, children, child, n)
+    return rows.join(children, rows[key] == children[child])
+
+
 def online_leads(activity: DataFrame, click_type: DataFrame, bridge: DataFrame, begin, end,
                  parents: Parents = None, broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Source rows of the children: the child list is broadcast within the checked bound,
-    otherwise a shuffle join whose hot keys AQE splits."""
+    """Source rows of the children."""
     src = online_source(activity, click_type, begin, end)
-    keys = bounded_broadcast(child_keys(bridge, parents), broadcast_rows)
-    return (src.join(keys, src["account_key"] == keys["child_key"])
+    return (of_children(src, "account_key", child_keys(bridge, parents), "child_key", broadcast_rows)
             .select("parent_account_id", F.col("event_id").alias("raw_activity_account_key"), "account_key",
                     "session_id", F.col("activity_ts").alias("activity_date")))
 
@@ -132,8 +146,8 @@ def online_leads(activity: DataFrame, click_type: DataFrame, bridge: DataFrame,
 def phone_leads(phone_lead: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,
                 broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     src = phone_source(phone_lead, begin, end)
-    keys = bounded_broadcast(child_keys(bridge, parents), broadcast_rows)
-    return src.join(keys, src["account_key"] == keys["child_key"]).select("parent_account_id", *phone_lead.columns)
+    return (of_children(src, "account_key", child_keys(bridge, parents), "child_key", broadcast_rows)
+            .select("parent_account_id", *phone_lead.columns))
 
 
 # ---------------------------------------------------------------- reports
@@ -156,9 +170,8 @@ def typed_phone_report(report: DataFrame) -> DataFrame:
 
 def _report_rows(typed: DataFrame, day_col: str, bridge: DataFrame, begin, end, parents: Parents,
                  broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    ids = bounded_broadcast(child_ids(bridge, parents), broadcast_rows)
     rows = typed.filter(date_in_days(F.col(day_col), begin, end))
-    return rows.join(ids, rows["merchant_id"] == ids["child_id"]).drop("child_id")
+    return of_children(rows, "merchant_id", child_ids(bridge, parents), "child_id", broadcast_rows).drop("child_id")
 
 
 def online_report(report: DataFrame, bridge: DataFrame, begin, end, parents: Parents = None,

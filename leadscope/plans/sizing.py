@@ -37,6 +37,12 @@ def _row_bytes(df: DataFrame):
     return total.cast("bigint")
 
 
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes (as Spark holds them) of ``df``, from one aggregate."""
+    rows, size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
+    return rows, size or 0
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of data.
@@ -47,9 +53,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     sized) side once; ``max_rows <= 0`` disables broadcasting."""
     if max_rows <= 0:
         return False
-    probe = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
-    rows, size = probe.first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    rows, size = measured(df)
+    return rows <= max_rows and size <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
