@@ -51,22 +51,23 @@ def _counters(total_name: str = "queries_total"):
 
 
 def heading_directory_profile(activity: DataFrame, account: DataFrame, strict: bool = False,
-                              broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                              broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                              on: tuple[str, ...] = ("account_key",)) -> DataFrame:
     """Per (heading, directory): searches, searches by merchant name, empty ones, ``NONE`` ones.
 
     ``activity`` needs account_key, heading_id, directory_id, keywords; ``account`` needs
     account_key, account_name.  Terms and names are cleaned (quotes dropped, Java trim).
     A NULL term counts in the total only.  ``broadcast_rows`` bounds the account side that
-    may be broadcast (0: never).
+    may be broadcast (0: never).  ``on`` names the join columns of a bucketed pair (key and salt).
     """
-    names = account.select("account_key", normalised_name(clean_text("account_name")).alias("name_key"))
-    terms = activity.select("account_key", "heading_id", "directory_id", clean_text("keywords").alias("term"))
-    if fits_broadcast(names, broadcast_rows):
+    names = account.select(*on, normalised_name(clean_text("account_name")).alias("name_key"))
+    terms = activity.select(*on, "heading_id", "directory_id", clean_text("keywords").alias("term"))
+    if len(on) == 1 and fits_broadcast(names, broadcast_rows):
         joined = terms.join(F.broadcast(names), "account_key").withColumn("searches", F.lit(1).cast("bigint"))
     else:
-        searches = (terms.groupBy("account_key", "heading_id", "directory_id", "term")
+        searches = (terms.groupBy(*on, "heading_id", "directory_id", "term")
                     .agg(F.count(F.lit(1)).alias("searches")))
-        joined = searches.join(names, "account_key")
+        joined = searches.join(names, list(on))
     flagged = with_match_flags(joined, strict)
     return flagged.groupBy("heading_id", "directory_id").agg(*_counters())
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from leadscope.functions.dates import date_argument
 from leadscope.functions.text import non_name_of, study_keyword, study_name
 from leadscope.operators.skew import DEFAULT_HOT_ROWS, salted_join
-from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
+from leadscope.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, fits_broadcast
 
 
 def _day_after(day: dt.date) -> F.Column:
@@ -34,29 +34,33 @@ def _day_after(day: dt.date) -> F.Column:
 
 def non_name_share(activity: DataFrame, account: DataFrame, location: DataFrame,
                    since: str | dt.date, limit: int | None = None, ts_col: str = "activity_ts",
-                   broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                   broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hot_rows: int = DEFAULT_HOT_ROWS,
+                   on: tuple[str, ...] = ("account_key",)) -> DataFrame:
     """``activity``: account_key, keywords, ``ts_col`` (TIMESTAMP_NTZ);
     ``account``: account_key, account_id, account_name, location_key;
     ``location``: location_key, location_city, location_zip_code.
 
     Output ordered by account name then key; ``limit`` keeps the first rows of that order.
     ``broadcast_rows`` bounds the (key, name) side that may be broadcast (0: never).
+    ``on`` names the join columns of a bucketed pair (key and salt).
     """
     since_day = date_argument(since)
     # "DATE(ts) > since" written as a sargable range on the raw timestamp
     recent = activity.filter(F.col(ts_col) >= _day_after(since_day))
-    keywords = recent.select("account_key", study_keyword("keywords").alias("kw"))
-    located = (account
-               .select("account_key", "account_id", "account_name", "location_key")
-               .join(location.select("location_key", "location_city", "location_zip_code"), "location_key"))
-    name_keys = located.select("account_key", study_name("account_name").alias("name_key"))
-    if fits_broadcast(name_keys, broadcast_rows):
+    keywords = recent.select(*on, study_keyword("keywords").alias("kw"))
+    places = location.select("location_key", "location_city", "location_zip_code")
+    if len(on) > 1:          # a shuffle on the location would undo the accounts' buckets
+        places = bounded_broadcast(places, broadcast_rows)
+    located = account.select(*on, "account_id", "account_name", "location_key").join(places, "location_key")
+    name_keys = located.select(*on, study_name("account_name").alias("name_key"))
+    if len(on) == 1 and fits_broadcast(name_keys, broadcast_rows):
         # no shuffle of the activity: broadcast join, one count per search
         joined = keywords.join(F.broadcast(name_keys), "account_key").withColumn("n", F.lit(1).cast("bigint"))
     else:
         # count distinct (key, keyword) first, so the shuffle join moves reduced rows
-        counted = keywords.groupBy("account_key", "kw").agg(F.count(F.lit(1)).alias("n"))
-        joined = salted_join(counted, name_keys, "account_key", hot_rows=hot_rows)
+        counted = keywords.groupBy(*on, "kw").agg(F.count(F.lit(1)).alias("n"))
+        joined = (salted_join(counted, name_keys, "account_key", hot_rows=hot_rows) if len(on) == 1
+                  else counted.join(name_keys, list(on)))
     # numeric sums only, so the fact side stays in hash aggregation
     non_name = non_name_of("kw", "name_key")
     counts = (joined.groupBy("account_key")

@@ -8,6 +8,7 @@ write below the shared checkpoint folder and return the read-back DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from leadscope.operators import audit, leads, matching, profiles, share, totals
 from leadscope.plans import fixtures as fx
 from leadscope.session import shared_path
-from leadscope.sources import dataset, exports, sinks
+from leadscope.sources import bucketed, dataset, exports, sinks
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -251,6 +252,34 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.rows_per_day(dataset.read_activity_dataset(spark, f"{root}/dataset"))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The activity and the accounts as a bucketed pair, named by a second registration as a later session would."""
+    path, name = shared_path(spark, "bucketed"), "t" + uuid.uuid4().hex
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed.write_pair(fx.activity(spark, sf_dir), fx.account(spark, sf_dir), path, f"{name}_written", buckets=buckets)
+    return bucketed.register_pair(spark, path, name)
+
+
+def heading_directory_profile_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship over bucketed tables: neither side is shuffled for the join."""
+    activity, account = _bucketed(spark, sf_dir)
+    return profiles.heading_directory_profile(activity, account, on=("account_key", bucketed.SALT))
+
+
+def non_name_share_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    activity, account = _bucketed(spark, sf_dir)
+    return share.non_name_share(activity, account, fx.location(spark, sf_dir), since="2024-01-10",
+                                on=("account_key", bucketed.SALT))
+
+
+def activity_ingest_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity lines from gzip files, each decompressed by one task and parsed by many."""
+    path = shared_path(spark, "compressed")
+    fx.activity_lines(spark, sf_dir).select("line").write.option("compression", "gzip").text(path)
+    parsed = exports.parse_activity_lines(exports.read_lines(spark, path, whole_bytes=0))
+    return exports.good(parsed).drop("source_file")
+
+
 JOBS: dict[str, Job] = {
     "heading_directory_profile": heading_directory_profile,  # J7 (flagship)
     "merchant_profile": merchant_profile,  # J8
@@ -291,6 +320,9 @@ JOBS: dict[str, Job] = {
     "account_export": account_export,  # K2, K3, S4
     "child_accounts_one_parent": child_accounts_one_parent,  # J11, F10
     "lead_reconciliation_one_parent": lead_reconciliation_one_parent,  # J14, F8
+    "heading_directory_profile_bucketed": heading_directory_profile_bucketed,  # J7, N1 without a shuffle
+    "non_name_share_bucketed": non_name_share_bucketed,  # J10, N3 without a shuffle
+    "activity_ingest_compressed": activity_ingest_compressed,  # J1, S1 from unsplittable files
 }
 
 FLAGSHIP = "heading_directory_profile"

@@ -646,3 +646,11 @@ ORACLES.update({
     "share_report_write": _with(ACCOUNT, AWKWARD_ACCOUNT, NON_NAME_SHARE),
     "merchant_report_write": _with(ACCOUNT, AWKWARD_ACCOUNT, MERCHANT_PROFILE),
 })
+
+# ---------------------------------------------------------------- other physical forms of the same jobs
+
+ORACLES.update({
+    "heading_directory_profile_bucketed": ORACLES["heading_directory_profile"],
+    "non_name_share_bucketed": ORACLES["non_name_share"],
+    "activity_ingest_compressed": f"SELECT * EXCLUDE (event_id) FROM ({ACTIVITY_INGEST})",
+})

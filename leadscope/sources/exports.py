@@ -45,10 +45,27 @@ BAD_NUMBER = "bad_number"
 OTHER_VERTICAL = "other_vertical"
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Text files (plain or gzip/bzip2/zstd) -> (line, source_file)."""
-    df = spark.read.text(paths)
-    return df.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"))
+# Suffixes of compressed text that Spark reads as one split a file.
+ONE_SPLIT_SUFFIXES = (".gz", ".deflate", ".snappy", ".lz4", ".zst")
+DEFAULT_WHOLE_BYTES = 32 << 20
+
+
+def read_lines(spark: SparkSession, paths: str | list[str], whole_bytes: int = DEFAULT_WHOLE_BYTES,
+               parts: int | None = None) -> DataFrame:
+    """Text files (plain or compressed) -> (line, source_file).
+
+    A compressed file that cannot be split is decompressed by one task.  The lines of those with more than
+    ``whole_bytes`` bytes are dealt out before anything parses them: by their place in the file, so a retried
+    task sends each line where it went before and repeated lines do not meet.  AQE sizes the parts unless
+    ``parts`` names their number.  Each file is in one of the two scans: the conditions are on file metadata,
+    which Spark tests against the file listing."""
+    files = spark.read.text(paths).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"),
+                                          F.col("_metadata.file_size").alias("_size"))
+    whole = reduce(operator.or_, [F.lower("source_file").endswith(s) for s in ONE_SPLIT_SUFFIXES]) & (F.col("_size") > whole_bytes)
+    columns = ["line", "source_file"]
+    placed = files.where(whole).select(*columns, F.monotonically_increasing_id().alias("_at"))
+    dealt = placed.repartition("_at") if parts is None else placed.repartition(parts, "_at")
+    return files.where(~whole).select(*columns).unionAll(dealt.select(*columns))
 
 
 EXPORT_NAME_PATTERN = ("(" + "|".join(re.escape(p) for p in CHANNEL_FILE_PREFIXES.values()) + ")"

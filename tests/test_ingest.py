@@ -134,3 +134,50 @@ def test_split_quoted_against_a_count_of_quotes(spark, scratch):
     df = as_parquet(spark, [(x,) for x in lines], "line string", scratch)
     for r in df.select("line", exports.split_quoted(F.col("line"), ",").alias("f")).collect():
         assert r.f == fields(r.line)
+
+
+def _scans(df):
+    """(files, rows) of every scan in the plan that ran."""
+    df.collect()
+
+    def walk(p, out):
+        name = p.nodeName()
+        if "Scan" in name:
+            out.append((p.metrics().apply("numFiles").value(), p.metrics().apply("numOutputRows").value()))
+        inner = [p.executedPlan()] if name.startswith("AdaptiveSparkPlan") else [p.plan()] if "QueryStage" in name else []
+        children = p.children().iterator()
+        while children.hasNext():
+            inner.append(children.next())
+        for q in inner:
+            walk(q, out)
+        return out
+
+    return walk(df._jdf.queryExecution().executedPlan(), [])
+
+
+def test_large_compressed_files_are_dealt_out_before_the_parse(spark, scratch):
+    import gzip
+    import os
+
+    from pyspark.sql import functions as F
+
+    folder = os.path.join(scratch, "raw")
+    os.makedirs(folder)
+    lines = [GOOD.replace("pizza hut", f"term {i}") if i % 10 else "x,y" for i in range(5_000)] + [GOOD] * 5_000
+    for name, body in (("deduped-2013-05-02.csv.gz", lines), ("deduped-2013-05-03.csv.gz", lines[:20])):
+        with gzip.open(os.path.join(folder, name), "wt") as fh:
+            fh.write("\n".join(body) + "\n")
+    with open(os.path.join(folder, "deduped-2013-05-04.csv"), "w") as fh:
+        fh.write("\n".join(lines[:3_000]) + "\n")
+
+    read = exports.read_lines(spark, folder, whole_bytes=2_000, parts=8)
+    assert sorted(_scans(read)) == [(1, 10_000), (2, 3_020)]                   # every file is read once
+    parsed = exports.parse_activity_lines(read)
+    plain = exports.parse_activity_lines(exports.read_lines(spark, folder))
+    assert parsed.exceptAll(plain).isEmpty() and plain.exceptAll(parsed).isEmpty()
+    assert exports.rejects(parsed).count() == 500 + 2 + 300
+    big = parsed.where(F.col("source_file").contains("05-02"))
+    tasks = [r["count"] for r in big.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 8 and max(tasks) < 2_000                              # repeated lines are spread as well
+    others = parsed.where(~F.col("source_file").contains("05-02")).groupBy("source_file", F.spark_partition_id()).count()
+    assert others.count() == 2                                                 # small and plain files stay where they are
