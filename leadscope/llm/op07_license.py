@@ -31,7 +31,8 @@ from leadscope.plans.sizing import bounded_broadcast
 
 SHINGLE = 5
 
-# Short grant lines and the opening or core of common notices, as published.
+# Short grant lines and the opening or core of common notices, as published.  What their words do not
+# cover is not reported: tag lines of under five words (SPDX-License-Identifier: MIT) among them.
 TEMPLATES = [
     ("apache-2.0-line", "Licensed under the Apache License, Version 2.0."),
     ("mit-line", "Released under the MIT License."),
@@ -49,7 +50,40 @@ TEMPLATES = [
                    "compliance with the License. You may obtain a copy of the License at"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
             "Public License as published by the Free Software Foundation"),
+    ("lgpl", "free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+             "License as published by the Free Software Foundation"),
+    ("agpl", "free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+             "License as published by the Free Software Foundation"),
+    ("gpl-2.0-version", "Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("lgpl-2.1-version", "Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("gpl-3.0-version", "Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+                "was not distributed with this file, You can obtain one at"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0 which is available at"),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("boost-1.0-line", "Distributed under the Boost Software License, Version 1.0."),
+    ("mit-line-distributed", "Distributed under the MIT License."),
+    ("mit-line-licensed", "Licensed under the MIT License."),
+    ("cc-by-4.0-line", "Licensed under CC BY 4.0."),
+    ("cc-by-sa-4.0-line", "CC BY-SA 4.0"),
+    ("cc-by-nd-4.0-line", "CC BY-ND 4.0"),
+    ("cc-by-nc-sa-4.0-line", "CC BY-NC-SA 4.0"),
+    ("cc-by-nc-nd-4.0-line", "CC BY-NC-ND 4.0"),
+    ("cc-by-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nc-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc-by-nd-4.0", "licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("cc-by-nc-sa-4.0", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-nd-4.0", "licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
 ]
+# Identifiers whose tag line has at least five words.
+SPDX = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-2.0", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+        "CC-BY-NC-4.0", "CC-BY-ND-4.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only",
+        "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later")
+TEMPLATES += [(f"spdx-{name.lower()}", f"SPDX-License-Identifier: {name}") for name in SPDX]
 
 
 def default_templates(spark) -> DataFrame:

@@ -10,7 +10,8 @@ Two deterministic transducers, both annotated with what a transition emits:
   vocabulary prefixes still open at the end, each with the token before it and the count there; a
   transition closes the one token that may follow its predecessor (``MergeRules``) and emits by how much
   the count of the prefix grows.  States are compiled when first reached and shared by all words of a
-  worker; all words of a batch advance together.
+  worker; all words of a batch advance together.  A long word is cut into chunks, whose maps from start
+  states to end states and counts are composed by the same prefix scan.
 
 Defined cases: NULL and empty texts have 0 bytes and 0 tokens; a special string inside a text is one
 token and splits the text around it, as the library does by default; repeated rows stay rows.
@@ -190,6 +191,10 @@ class Counter:
 
     #: states kept before the tables start anew (they are a cache; counts do not depend on it)
     MOST = 300_000
+    #: bytes of a word that is cut, of its chunks, of what is read in front of a chunk to guess its state, and of
+    #: a stretch after which the cache of states may start anew
+    LONG, CHUNK, WARM, STRETCH = 4_096, 1_024, 128, 1 << 20
+    ROUNDS = 24
 
     def __init__(self, tokens: dict[bytes, int], merges: list[tuple[bytes, bytes]]) -> None:
         n = max(tokens.values()) + 1
@@ -236,13 +241,17 @@ class Counter:
         key = array("i", [x for node, before, count in open_ for x in (node, before, count - grown)])
         key.extend((0, token, 0))
         key = key.tobytes()
+        target = self._number_of(key)
+        if not -128 <= grown < 128:
+            raise OverflowError("a transition that changes the count by over 127")
+        self.table.put(state << 8 | byte, target << 8 | grown + 128)
+
+    def _number_of(self, key: bytes) -> int:
         target = self.number.get(key)
         if target is None:
             target = self.number[key] = len(self.states)
             self.states.append(key)
-        if not -128 <= grown < 128:
-            raise OverflowError("a transition that changes the count by over 127")
-        self.table.put(state << 8 | byte, target << 8 | grown + 128)
+        return target
 
     def _values(self, keys: np.ndarray) -> np.ndarray:
         out = self.table.get(keys)
@@ -253,33 +262,106 @@ class Counter:
             out[missing] = self.table.get(keys[missing])
         return out
 
-    def count(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, few: int = 8) -> np.ndarray:
-        """Tokens of every word data[start : start + size]; all words advance together."""
-        if len(self.states) > self.MOST:
-            self._reset()
+    def _advance(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, state: np.ndarray
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """(state after, tokens emitted) for every range of ``data`` from its start state; all advance together."""
         order = _by_size(sizes)
-        place, left = starts[order], sizes[order]
+        place, state = starts[order], state[order]
         out = np.zeros(len(order), np.int64)
-        state = np.zeros(len(order), np.int64)
-        longest = int(left[0]) if len(left) else 0
-        longer = len(order) - np.cumsum(np.bincount(left, minlength=longest + 1)[:longest])     # words over k bytes
-        done = 0
-        for done, live in enumerate([*longer.tolist(), 0]):
-            if live <= few:
-                break
-            value = self._values(state[:live] << 8 | data[place[:live] + done])
+        longest = int(sizes.max(initial=0))
+        longer = len(order) - np.cumsum(np.bincount(sizes, minlength=longest + 1)[:longest])     # ranges over k bytes
+        for k, live in enumerate(longer.tolist()):
+            value = self._values(state[:live] << 8 | data[place[:live] + k])
             out[:live] += (value & 255) - 128
             state[:live] = value >> 8
-        for i in np.flatnonzero(left > done).tolist():      # the few longest words, one by one
-            now, total = int(state[i]), int(out[i])
-            for byte in data[place[i] + done:place[i] + left[i]].tolist():
-                value = int(self._values(np.array([now << 8 | byte]))[0])
-                total += (value & 255) - 128
-                now = value >> 8
-            out[i] = total
         back = np.empty(len(order), np.int64)
-        back[order] = out
-        return back
+        back[order] = np.arange(len(order))
+        return state[back], out[back]
+
+    def count(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Tokens of every word data[start : start + size]."""
+        if len(self.states) > self.MOST:
+            self._reset()
+        long = sizes > self.LONG
+        out = np.zeros(len(starts), np.int64)
+        out[~long] = self._advance(data, starts[~long], sizes[~long], np.zeros(int((~long).sum()), np.int64))[1]
+        todo = np.flatnonzero(long)
+        starts, left, state = starts.copy(), sizes.copy(), np.zeros(len(starts), np.int64)
+        while len(todo):                                              # a stretch of every long word at a time
+            size = np.minimum(left[todo], self.STRETCH)
+            ends, counts = self._count_long(data, starts[todo], size, state[todo])
+            out[todo] += counts
+            starts[todo] += size
+            left[todo] -= size
+            state[todo] = ends
+            todo = todo[left[todo] > 0]
+            if len(todo) and len(self.states) > self.MOST:
+                kept = [self.states[i] for i in state[todo].tolist()]
+                self._reset()
+                state[todo] = [self._number_of(key) for key in kept]
+        return out
+
+    def _count_long(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, entry: np.ndarray
+                    ) -> tuple[np.ndarray, np.ndarray]:
+        """(state after, tokens emitted) for long ranges, from composed maps of their chunks.
+
+        A chunk's map is kept for the states that it can start in as far as known: at first the state that the
+        bytes in front of it lead to, then every state in which the chunk before it ends.  When nothing new
+        comes up, the maps are closed under composition and a prefix scan gives each chunk's start state.  Words
+        that do not settle in ``ROUNDS`` rounds are followed from their start.
+        """
+        lanes = -(-sizes // self.CHUNK)
+        word = np.repeat(np.arange(len(starts)), lanes)
+        head = np.cumsum(lanes) - lanes                               # the first chunk of each word
+        offset = (np.arange(len(word)) - head[word]) * self.CHUNK
+        begin, size = starts[word] + offset, np.minimum(self.CHUNK, sizes[word] - offset)
+        follows = np.zeros(len(word) + 1, bool)                       # chunk i goes on from chunk i - 1
+        follows[:-1] = offset > 0
+        warm = np.minimum(offset, self.WARM)
+        guess = self._advance(data, begin - warm, warm, np.where(offset > 0, 0, entry[word]))[0]
+        starts_of = [[s] for s in guess.tolist()]                     # per chunk: start states, and what they give
+        ends_of, counts_of = ([[-1] for _ in word] for _ in range(2))
+        place = [{s: 0} for s in guess.tolist()]
+        todo = [(i, 0) for i in range(len(word))]
+        rounds = 0
+        while todo:
+            at = np.array([i for i, _ in todo])
+            first = np.array([starts_of[i][j] for i, j in todo], np.int64)
+            ends, counts = self._advance(data, begin[at], size[at], first)
+            new = []
+            for (i, j), end, n in zip(todo, ends.tolist(), counts.tolist()):
+                ends_of[i][j], counts_of[i][j] = end, n
+                if follows[i + 1] and end not in place[i + 1]:
+                    place[i + 1][end] = len(starts_of[i + 1])
+                    new.append((i + 1, len(starts_of[i + 1])))
+                    for held, value in ((starts_of, end), (ends_of, -1), (counts_of, 0)):
+                        held[i + 1].append(value)
+            todo, rounds = new, rounds + 1
+            if rounds >= self.ROUNDS:                                 # only what the true start states reach
+                todo = self._fronts(head, follows, place, ends_of)
+        width = max(map(len, starts_of))
+        maps, emitted = np.zeros((len(word), width), np.int64), np.zeros((len(word), width), np.int64)
+        for i, (ends, counts) in enumerate(zip(ends_of, counts_of)):
+            emitted[i, :len(counts)] = counts
+            if follows[i + 1]:                                        # else: the next range's entry, its first state
+                maps[i, :len(ends)] = [place[i + 1].get(e, 0) for e in ends]
+        taken = np.concatenate([[0], compose(maps)[:-1, 0]])
+        last = head + lanes - 1
+        return (np.array([ends_of[i][taken[i]] for i in last.tolist()], np.int64),
+                np.bincount(word, weights=emitted[np.arange(len(word)), taken], minlength=len(starts)).astype(np.int64))
+
+    @staticmethod
+    def _fronts(head: np.ndarray, follows: np.ndarray, place: list[dict[int, int]], ends_of: list[list[int]]
+                ) -> list[tuple[int, int]]:
+        """Per word, the first (chunk, start) on its path that has not run."""
+        out = []
+        for i in head.tolist():
+            j = 0
+            while ends_of[i][j] >= 0 and follows[i + 1]:
+                i, j = i + 1, place[i + 1][ends_of[i][j]]
+            if ends_of[i][j] < 0:
+                out.append((i, j))
+        return out
 
 
 def _byte_letters() -> dict[str, int]:

@@ -81,6 +81,22 @@ def test_cases(spark, frame):
         op.scan(frame(corpus(3), DOCS), frame([("short", "only four words here")], TEMPLATES))
 
 
+def test_each_notice_is_told_from_its_relatives(spark, frame):
+    """Every built-in template is found in its own text and only where its words are."""
+    said = [(i, f"Some words before it. {text} And so it goes on.", None) for i, (_, text) in enumerate(op.TEMPLATES)]
+    found = {}
+    for r in op.scan(frame(said, DOCS), op.default_templates(spark)).collect():
+        found.setdefault(op.TEMPLATES[r["doc_id"]][0], set()).add(r["license_id"])
+    assert all(name in found[name] for name, _ in op.TEMPLATES)
+    assert found["spdx-gpl-2.0-only"] == {"spdx-gpl-2.0-only"} and found["mpl-2.0"] == {"mpl-2.0"}
+    assert found["cc-by-4.0"] == {"cc-by-4.0"} and found["cc-by-nc-sa-4.0"] == {"cc-by-nc-sa-4.0"}
+    assert found["lgpl"] == {"lgpl"} and "gpl-3.0-version" not in found["gpl-2.0-version"] | found["lgpl-2.1-version"]
+    lines = ["/* SPDX-License-Identifier: LGPL-2.1-or-later */", "Distributed under the MIT License.", "(CC BY-SA 4.0)"]
+    got = {(r["doc_id"], r["license_id"]) for r in op.scan(frame([(i, t, None) for i, t in enumerate(lines)], DOCS),
+                                                           op.default_templates(spark)).collect()}
+    assert got == {(0, "spdx-lgpl-2.1-or-later"), (1, "mit-line-distributed"), (2, "cc-by-sa-4.0-line")}
+
+
 def test_native(frame, spark):
     plan = op.scan(frame(corpus(4), DOCS), op.default_templates(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

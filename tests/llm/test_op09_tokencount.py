@@ -81,3 +81,32 @@ def test_empty_and_refused(spark):
     spec["pre_tokenizer"]["add_prefix_space"] = True
     with pytest.raises(ValueError):
         op.Tokenizer(json.dumps(spec))
+
+
+def _long_texts():
+    rng = np.random.default_rng(9)
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123))]
+    return ["".join(rng.choice(letters, 120_000)), "a" * 100_003, "abcab" * 20_000, "=" * 70_001,
+            ("a" * 5000 + "the" * 3000 + "é" * 7000) * 2, "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 20_000))),
+            "x" * 4096, "x" * 4097, "short " * 50]
+
+
+def test_long_words_against_library(library, own):
+    texts = _long_texts()
+    assert own.counts(texts).tolist() == want(library, texts)
+    assert [own.counts([t])[0] for t in texts] == want(library, texts)
+
+
+def test_stretches_rounds_and_resets_change_nothing(library, own, monkeypatch):
+    """Tiny chunks and stretches, states thrown away between stretches, and following words from their start."""
+    texts = [t[:9_000] for t in _long_texts()]
+    for name, value in (("LONG", 40), ("CHUNK", 16), ("WARM", 3), ("STRETCH", 1_000), ("MOST", 10)):
+        monkeypatch.setattr(op.Counter, name, value)
+    assert own.counts(texts).tolist() == want(library, texts)
+    monkeypatch.setattr(op.Counter, "ROUNDS", 1)
+    assert own.counts(texts).tolist() == want(library, texts)
+
+
+def test_a_text_of_ten_megabytes_without_white_space(library, own):
+    text = "QWxhZGRpbjpvcGVuIHNlc2FtZQ" * 400_000
+    assert own.counts([text]).tolist() == want(library, [text])
