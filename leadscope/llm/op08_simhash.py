@@ -6,10 +6,13 @@ pigeonring principle some segment of a linked pair starts a chain in which, for
 first l segments together differ in at most l * max_bits / segments bits.  The first three lengths of
 that budget allow 0, 0 and (for two bits) 1 differing bits, so a candidate agrees on two consecutive
 segments: those two are the key.  Longer chains are checked on the candidates, then the full distance.
+A key of more than ``hot_rows`` fingerprints goes to no single task: its fingerprints are dealt by the
+values within ``max_bits / 2`` bits of them (``centre_links``), where no group can be large.
 
 Defined cases: NULL and empty texts and texts without words have fingerprint zero and link like any
 other; a text shorter than one shingle is one shingle; repeated rows share a fingerprint and stay
 separate rows; a NULL doc_id keeps its row and never names a component unless no id is known there.
+Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,8 +28,10 @@ from pyspark.sql import functions as F
 
 from leadscope.llm.common import frugal, partitions, written
 from leadscope.llm.components import connected_components
+from leadscope.plans.sizing import bounded_broadcast
 
 LARGE_RUN = 2048
+HOT_ROWS = 100_000     # fingerprints of one key that one task may link
 
 
 def _word_lists(raw: bytes, block: int) -> Iterator[list[bytes]]:
@@ -216,27 +221,57 @@ def _linker(max_bits: int, rows: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int = 2, block_rows: int = 200_000) -> DataFrame:
-    """(a, b) links between distinct fingerprints: a spanning set of all links within ``max_bits``."""
+def _signed(value: int):
+    return F.lit(value - (1 << 64) if value >> 63 else value).cast("long")
+
+
+def centre_links(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b) links that connect all of the distinct ``fp`` within ``max_bits`` of each other, without keys.
+
+    Two such values have a value (their centre) within half of ``max_bits``, rounded up, of one and down of
+    the other.  Every value is dealt to all its centres; a centre's group is bounded by the number of its
+    neighbours (65 for two bits), whatever the data, and is linked to its nearest member.
+    """
+    half = (max_bits + 1) // 2
+    masks = F.array(*[_signed(m) for m in [0, *_flips(list(range(64)), half)]])
+    centres = F.transform(masks, lambda m: F.struct(F.col("fp").bitwiseXOR(m).alias("centre"), F.bit_count(m).alias("away")))
+    groups = (fps.select("fp", F.explode(centres).alias("c"))
+              .select("c.centre", F.struct("c.away", "fp").alias("member"))
+              .groupBy("centre").agg(F.collect_list("member").alias("members")).where(F.size("members") > 1))
+    return (groups.select(F.array_min("members").alias("hub"), F.explode("members").alias("member"))
+            .where((F.col("hub.fp") != F.col("member.fp")) & (F.col("hub.away") + F.col("member.away") <= max_bits))
+            .select(F.col("hub.fp").alias("a"), F.col("member.fp").alias("b")))
+
+
+def links(fps: DataFrame, max_bits: int = 2, block_rows: int = 200_000, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(a, b) links between distinct fingerprints that connect all within ``max_bits`` of each other."""
     spark = fps.sparkSession
     distinct = fps.select("fp").distinct()
     if max_bits < 1:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("a <> b")
+    distinct = written(distinct, "simhash-distinct")
     ring = Ring(max_bits)
-    signed = lambda v: F.lit(v - (1 << 64) if v >> 63 else v).cast("long")
     keys = F.array(*[F.struct(F.lit(s).cast("long").alias("start"),
-                              F.col("fp").bitwiseAND(signed(ring.chain(s)[ring.exact - 1])).alias("key"))
+                              F.col("fp").bitwiseAND(_signed(ring.chain(s)[ring.exact - 1])).alias("key"))
                      for s in range(ring.count)])
-    keyed = (distinct.select("fp", F.explode(keys).alias("k")).select("k.start", "k.key", "fp")
-             .repartition(partitions(spark), "start", "key").sortWithinPartitions("start", "key", "fp"))
-    return keyed.mapInArrow(frugal(_linker(max_bits, block_rows)), "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    keyed = distinct.select("fp", F.explode(keys).alias("k")).select("k.start", "k.key", "fp")
+    hot = written(keyed.groupBy("start", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+                  .select("start", "key"), "simhash-hot")
+    more = None
+    if not hot.isEmpty():
+        hot = bounded_broadcast(hot)
+        more = centre_links(keyed.join(hot, ["start", "key"], "left_semi").select("fp").distinct(), max_bits)
+        keyed = keyed.join(hot, ["start", "key"], "left_anti").select("start", "key", "fp")
+    found = (keyed.repartition(partitions(spark), "start", "key").sortWithinPartitions("start", "key", "fp")
+             .mapInArrow(frugal(_linker(max_bits, block_rows)), "a long, b long"))
+    return found if more is None else found.unionByName(more)
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id",
+                    text_col: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links)."""
     fps = written(fingerprints(docs, width, id_col, text_col), "simhash")
-    roots = connected_components(links(fps, max_bits))
+    roots = connected_components(links(fps, max_bits, hot_rows=hot_rows))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     placed = (classes.join(roots, classes["fp"] == roots["node"], "left")
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
@@ -246,7 +281,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2,
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def first_rows(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def first_rows(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text",
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """doc_id, version (XXH64 of the text): the first row of each component by these two, NULL ids last.
 
     Components are told apart by their links, so texts under one doc_id may be in several.
@@ -254,7 +290,7 @@ def first_rows(docs: DataFrame, width: int = 3, max_bits: int = 2, id_col: str =
     version = F.xxhash64(text_col).alias("version")
     hashed = fingerprints(docs.withColumn("__version", version), width, id_col, text_col, keep=["__version"])
     fps = written(hashed, "simhash")
-    roots = connected_components(links(fps, max_bits))
+    roots = connected_components(links(fps, max_bits, hot_rows=hot_rows))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__version").alias("version"))).alias("row")
     classes = fps.groupBy("fp").agg(best)
     placed = classes.join(roots, classes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))

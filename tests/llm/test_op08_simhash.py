@@ -107,3 +107,30 @@ def test_cases(spark, frame):
     rows = frame([(None, "a b c"), (7, "a b c"), (7, "a b c"), (None, "alone here now then")], SCHEMA)
     got = sorted(((r["doc_id"], r["component_id"]) for r in op.near_duplicates(rows).collect()), key=str)
     assert got == [(7, 7), (7, 7), (None, 7), (None, None)]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3, 4])
+def test_hot_keys_against_all_pairs(frame, prose, bits):
+    """With every key of over three fingerprints hot, the components stay those of all pairs."""
+    texts = prose(6, docs=12, words=150)
+    texts += [t + " " + " ".join(["and", "so", "on"][:n]) for t in texts[:6] for n in (1, 2, 3)] + [None, "", "one two"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    assert result(op.near_duplicates(frame(rows, SCHEMA), 3, bits, hot_rows=3)) == brute(rows, 3, bits)
+
+
+def test_a_hot_group_is_spread(spark):
+    """A third of all fingerprints around one value: one component, and no centre has a large group."""
+    rng = np.random.default_rng(3)
+    centre, values = 0x0F1E2D3C4B5A6978, set()
+    while len(values) < 1500:
+        values.add(centre ^ (1 << int(rng.integers(64))) ^ (1 << int(rng.integers(64))))
+    others = [int(v) for v in rng.integers(0, 1 << 63, 3000)]
+    signed = [v - (1 << 64) if v >> 63 else v for v in [*values, *others]]
+    df = spark.createDataFrame([(v,) for v in signed], "fp long").repartition(4)
+    pairs = op.links(df, 2, hot_rows=200)
+    assert pairs.where("bit_count(a ^ b) > 2").count() == 0
+    roots = op.connected_components(pairs).collect()
+    group = {r["root"] for r in roots if (r["node"] & (1 << 64) - 1) in values}
+    assert len(group) == 1 and sum((r["node"] & (1 << 64) - 1) in values for r in roots) == len(values)
+    stars = op.centre_links(df, 2).groupBy("a", "b").count().groupBy("a").count()
+    assert stars.agg({"count": "max"}).first()[0] <= 64 * 63 // 2 + 64
