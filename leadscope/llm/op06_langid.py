@@ -1,6 +1,7 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random bipolar vector.  A trigram inside a word (with one boundary symbol on either
+Every letter (code point, lower-cased) has a random bipolar vector of its own, hashed from the code point
+and a seed.  A trigram inside a word (with one boundary symbol on either
 side of the word) is the product of its three letter vectors, the first permuted twice and the second
 once; a text's vector is the sum over its trigrams.  The prototype of a language is the sum over its
 training texts, summed per task and added up by Spark.  A text gets the language whose prototype has
@@ -8,7 +9,9 @@ the largest cosine with it.
 
 Defined cases: a NULL text and a text without a letter are ``und`` with score 0; equal cosines go to
 the alphabetically first language; rows without a language or without an id teach nothing; with no
-training row at all every text is ``und``.  Negative cosines score 0.  Repeated rows stay rows.
+training row at all every text is ``und``.  Negative cosines score 0.  Repeated rows stay rows.  A NULL id
+counts as held out.  Extra columns are not read, whatever their names; ``predict`` carries along those it is
+told to keep, and its result columns take the names it is given.
 """
 
 from __future__ import annotations
@@ -21,73 +24,124 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadscope.llm.common import crc_bucket, frugal
+from leadscope.llm.common import crc_bucket, frugal, mix64
 
-SYMBOLS = 128          # 0: no letter; 1-26: a-z; the rest shared by all other letters
 UNDETERMINED = "und"
+POINT = (1 << 21) - 1                                    # bits of one code point; a trigram packs three
+NARROW = 128                                             # letters below have a direct table of trigrams
+WIDE = sum((POINT - (NARROW - 1)) << s for s in (0, 21, 42))
 
 
 def _symbol_table() -> np.ndarray:
-    table = np.zeros(0x110000, np.int32)
+    """Code point of the lower-cased letter, 0 for all that is no letter."""
+    table = np.zeros(0x110000, np.int64)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
-            low = ord(c.lower()[0])
-            table[cp] = low - 96 if 97 <= low <= 122 else 27 + low % (SYMBOLS - 27)
+            table[cp] = ord(c.lower()[0])
     return table
 
 
+class Letters:
+    """The random vector of every code point, hashed from seed and code point, rolled by ``shift`` places."""
+
+    def __init__(self, seed: int, dims: int, shift: int) -> None:
+        self.dims, self.shift = dims, shift
+        words = np.arange(1, (dims + 63) // 64 + 1, dtype=np.uint64)
+        self.salts = mix64(words * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+
+    def __getitem__(self, points: np.ndarray | int) -> np.ndarray:
+        distinct, back = np.unique(np.asarray(points, np.uint64), return_inverse=True)
+        bits = mix64(mix64(distinct[:, None] + np.uint64(1)) + self.salts)
+        signs = np.unpackbits(bits.view(np.uint8), axis=1)[:, :self.dims].astype(np.int8) * 2 - 1
+        return np.roll(signs, self.shift, axis=1)[back]
+
+
 class Encoder:
-    """Turns texts into sums of trigram vectors; keeps the vectors of trigrams seen so far."""
+    """Turns texts into sums of trigram vectors.
+
+    Trigrams are numbered as they come up; the vectors of the first ``keep`` are held, those of later ones
+    are formed in blocks when they are needed, so memory stays bounded whatever the alphabet.
+    """
 
     _table: np.ndarray | None = None
 
-    def __init__(self, dims: int, seed: int, keep: int = 1 << 15) -> None:
+    def __init__(self, dims: int, seed: int, keep: int = 1 << 15, block: int = 1 << 12) -> None:
         if Encoder._table is None:
             Encoder._table = _symbol_table()
-        rng = np.random.default_rng(seed)
-        letters = rng.choice(np.array([-1, 1], np.int8), (SYMBOLS, dims))
-        self.bound = [np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1), letters]
-        self.dims, self.keep = dims, keep
+        self.bound = [Letters(seed, dims, shift) for shift in (2, 1, 0)]
+        self.dims, self.keep, self.block = dims, keep, block
         self._reset()
 
     def _reset(self) -> None:
-        self.row = np.full(SYMBOLS ** 3, -1, np.int32)
-        self.vectors = np.zeros((1024, self.dims), np.float32)
-        self.used = 0
+        self.row = np.full(NARROW ** 3, -1, np.int32)
+        self.wide, self.wide_row = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.codes = np.zeros(0, np.int64)
+        self.vectors = np.zeros((0, self.dims), np.float32)
+
+    def _vectors(self, codes: np.ndarray) -> np.ndarray:
+        a, b, c = codes >> 42, codes >> 21 & POINT, codes & POINT
+        return (self.bound[0][a] * self.bound[1][b] * self.bound[2][c]).astype(np.float32)
+
+    @staticmethod
+    def _direct(codes: np.ndarray) -> np.ndarray:
+        return codes >> 28 | codes >> 14 & (NARROW - 1) << 7 | codes & NARROW - 1
+
+    def _known(self, codes: np.ndarray) -> np.ndarray:
+        """Numbers of the trigrams, -1 for new ones."""
+        wide = codes & WIDE != 0
+        if not wide.any():
+            return self.row[self._direct(codes)]
+        rows = np.full(len(codes), -1, np.int32)
+        rows[~wide] = self.row[self._direct(codes[~wide])]
+        if len(self.wide):
+            asked = codes[wide]
+            at = np.minimum(np.searchsorted(self.wide, asked), len(self.wide) - 1)
+            rows[wide] = np.where(self.wide[at] == asked, self.wide_row[at], -1)
+        return rows
 
     def _rows(self, codes: np.ndarray) -> np.ndarray:
-        rows = self.row[codes]
-        if (rows < 0).any():
-            new = np.unique(codes[rows < 0])
-            if self.used + len(new) > self.keep and self.used:
-                self._reset()
-                new = np.unique(codes)
-            while self.used + len(new) > len(self.vectors):
-                self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-            a, b, c = new // SYMBOLS ** 2, new // SYMBOLS % SYMBOLS, new % SYMBOLS
-            self.vectors[self.used:self.used + len(new)] = self.bound[0][a] * self.bound[1][b] * self.bound[2][c]
-            self.row[new] = np.arange(self.used, self.used + len(new))
-            self.used += len(new)
-            rows = self.row[codes]
-        return rows
+        rows = self._known(codes)
+        if not (rows < 0).any():
+            return rows
+        new = np.unique(codes[rows < 0])
+        if len(self.codes) and len(self.codes) + len(new) > self.keep:
+            self._reset()
+            new = np.unique(codes)
+        numbers = np.arange(len(self.codes), len(self.codes) + len(new), dtype=np.int32)
+        wide = new & WIDE != 0
+        self.row[self._direct(new[~wide])] = numbers[~wide]
+        if wide.any():
+            keys, places = np.append(self.wide, new[wide]), np.append(self.wide_row, numbers[wide])
+            order = np.argsort(keys)
+            self.wide, self.wide_row = keys[order], places[order]
+        self.codes = np.append(self.codes, new)
+        held = self.codes[len(self.vectors):self.keep]
+        self.vectors = np.concatenate([self.vectors, *(self._vectors(held[i:i + self.block])
+                                                       for i in range(0, len(held), self.block))])
+        return self._known(codes)
 
     def trigrams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Vector rows of all trigrams in order, and where each text's trigrams end."""
+        """Numbers of all trigrams in order, and where each text's trigrams end."""
         points = np.frombuffer("\0".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         symbols = self._table[points]
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         middle = np.flatnonzero(symbols)
         padded = np.concatenate([[0], symbols, [0]])
-        codes = (padded[middle] * SYMBOLS + padded[middle + 1]) * SYMBOLS + padded[middle + 2]
+        codes = padded[middle] << 42 | padded[middle + 1] << 21 | padded[middle + 2]
         return self._rows(codes), np.searchsorted(middle, ends)
 
     def bundle(self, rows: np.ndarray) -> np.ndarray:
         """Sum of trigram vectors; whole numbers, so the order of addition does not matter."""
-        counts = np.bincount(rows, minlength=self.used)
+        counts = np.bincount(rows, minlength=1)
         used = np.flatnonzero(counts)
         kind = np.float32 if len(rows) < 1 << 23 else np.float64
-        return (counts[used].astype(kind) @ self.vectors[used].astype(kind, copy=False)).astype(np.float64)
+        held = used[:np.searchsorted(used, len(self.vectors))]
+        total = (counts[held].astype(kind) @ self.vectors[held].astype(kind, copy=False)).astype(np.float64)
+        for i in range(len(held), len(used), self.block):
+            part = used[i:i + self.block]
+            total += counts[part].astype(kind) @ self._vectors(self.codes[part]).astype(kind, copy=False)
+        return total
 
 
 def _groups(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:

@@ -60,3 +60,30 @@ def test_cache_reset_changes_nothing():
     for t in texts:
         a, b = full.trigrams([t])[0], small.trigrams([t])[0]
         assert np.array_equal(full.bundle(a), small.bundle(b))
+
+
+def test_every_letter_has_a_vector_of_its_own():
+    letters = op.Encoder(512, 7).bound[2][np.arange(0x4E00, 0xA000)]
+    assert len(np.unique(letters, axis=0)) == 0xA000 - 0x4E00
+    assert np.array_equal(letters[:3], op.Letters(7, 512, 0)[np.array([0x4E00, 0x4E01, 0x4E02])])
+
+
+def test_alphabets_of_many_letters(frame):
+    """Languages of one script that differ by a shift of their letters, in two scripts."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for lang, first, size in [("h1", 0x4E00, 101), ("h2", 0x4E00 + 101, 101), ("h3", 0x6000, 3000), ("c1", 0x430, 16), ("c2", 0x440, 16)]:
+        words = ["".join(chr(first + int(i)) for i in rng.integers(0, size, 5)) for _ in range(200)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words, 60)), lang, None) for i in range(40)]
+    got = op.identify(frame(rows, SCHEMA)).collect()
+    want = {r[0]: r[2] for r in rows}
+    assert sum(r["lang_pred"] == want[r["doc_id"]] for r in got) >= 0.97 * len(rows)
+
+
+def test_vectors_beyond_the_kept_ones():
+    """Trigrams whose vectors are not held give the same sums, in blocks of any size."""
+    rng = np.random.default_rng(5)
+    text = "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 500, 3000)) + " abc é"
+    full, small = op.Encoder(64, 7), op.Encoder(64, 7, keep=100, block=64)
+    assert np.array_equal(full.bundle(full.trigrams([text])[0]), small.bundle(small.trigrams([text])[0]))
+    assert len(small.vectors) == 100
