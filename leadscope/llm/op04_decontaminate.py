@@ -13,7 +13,8 @@ with fewer (but some) words is one window.
 Defined cases: NULL and empty texts have no words; equal windows of several items count for each of them;
 items without words name nothing; a NULL item_id hits words and is not counted as an item; rows with the
 same doc_id and text get the same result, one row each; rows with the same doc_id and different texts
-are kept apart; a NULL doc_id keeps its row.
+are kept apart; a NULL doc_id keeps its row, and no id is taken for none.  Extra columns are not read,
+whatever their names; ``clean`` carries all columns along.
 """
 
 from __future__ import annotations
@@ -78,10 +79,10 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, slack: int = 0, lead: i
     phrase are intersected first.  With ``slack`` > 0 a start counts when each term lies within ``slack``
     positions of its place, seen from the rarest term.
     """
-    frequency = index.where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+    frequency = written(index.where("term <> ''").groupBy("term").agg(F.count("*").alias("df")), "frequency")
     parts = phrases.select("phrase", F.size("terms").alias("size"), F.posexplode("terms").alias("off", "term"))
     rare = Window.partitionBy("phrase").orderBy("df", "off")
-    ranked = (parts.join(frequency, "term")
+    ranked = (parts.join(bounded_broadcast(frequency), "term")
               .withColumn("rank", F.row_number().over(rare))
               .withColumn("known", F.count("*").over(Window.partitionBy("phrase"))))
     ranked = written(ranked.where("known = size").select("phrase", "size", "off", "term", "rank"), "phrases")
