@@ -34,7 +34,7 @@ WIDE = sum((POINT - (NARROW - 1)) << s for s in (0, 21, 42))
 
 def _symbol_table() -> np.ndarray:
     """Code point of the lower-cased letter, 0 for all that is no letter."""
-    table = np.zeros(0x110000, np.int64)
+    table = np.zeros(0x110000, np.int32)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
@@ -127,8 +127,10 @@ class Encoder:
         symbols = self._table[points]
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
         middle = np.flatnonzero(symbols)
-        padded = np.concatenate([[0], symbols, [0]])
-        codes = padded[middle] << 42 | padded[middle + 1] << 21 | padded[middle + 2]
+        padded = np.pad(symbols, 1)
+        codes = padded[middle].astype(np.int64) << 42
+        codes |= padded[middle + 1].astype(np.int64) << 21
+        codes |= padded[middle + 2]
         return self._rows(codes), np.searchsorted(middle, ends)
 
     def bundle(self, rows: np.ndarray) -> np.ndarray:
