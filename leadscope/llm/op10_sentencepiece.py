@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-A batch's distinct words (a word starts at a space mark) form one text.  Its suffixes are sorted by as
-many characters as the longest piece has; every piece is looked up by binary search, and its range of
-suffixes gives all its occurrences: edges (start, piece).  The edges are sorted by the position they end
+A batch's distinct words (a word starts at a space mark) form one text.  Its suffixes, each up to the end
+of its word, are sorted by as many characters as the longest piece has, in letters that pack as many
+characters of the text's own alphabet as 64 bits hold; every piece is looked up by binary search, and its
+range of suffixes gives all its occurrences: edges (start, piece).  The edges are sorted by the position they end
 at and relaxed in that order: the edge that reaches a position is the one whose piece may follow the
 piece that ends at the edge's start (``MergeRules.adjacent``).  In a byte-pair model exactly one edge
 does, and following the edges back from a word's end gives the model's encoding.
@@ -14,7 +15,9 @@ library.  Repeated rows stay rows.
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,6 @@ from leadscope.llm.common import frugal
 from leadscope.llm.merges import MergeRules, merge_down
 
 MARK = "▁"
-_PER_WORD = 4                   # characters packed into one 64-bit letter of the suffix sort
 LONG_WORD = 4096
 
 
@@ -84,16 +86,13 @@ class Vocabulary:
             raise ValueError("over 65,534 characters in pieces")
         self.code = np.full(0x110000, len(chars) + 1, np.uint16)
         self.code[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.codes = len(chars) + 2
         pieces = [p for p in sorted(ids, key=lambda p: (-len(p), p)) if self.usable[ids[p]]]   # long edges first
         self.piece_ids = np.array([ids[p] for p in pieces], np.int32)
         self.piece_len = np.array([len(p) for p in pieces], np.int32)
-        self.levels = -(-self.longest // _PER_WORD)
-        codes = np.zeros((len(pieces), self.levels * _PER_WORD), np.uint64)
+        self.piece_codes = np.zeros((self.longest, len(pieces)), np.uint16)
         for row, p in enumerate(pieces):
-            codes[row, :len(p)] = self.code[[ord(c) for c in p]]
-        self.low = _packed(codes)
-        codes[np.arange(codes.shape[1]) >= self.piece_len[:, None]] = 0xFFFF
-        self.high = _packed(codes)
+            self.piece_codes[:len(p), row] = self.code[[ord(c) for c in p]]
 
     def encode_long(self, word: str) -> list[int]:
         """One very long word, position by position."""
@@ -117,12 +116,6 @@ class Vocabulary:
         return flat
 
 
-def _packed(codes: np.ndarray) -> np.ndarray:
-    """(levels x rows) letters: four 16-bit codes each, the first in the highest bits."""
-    wide = codes.reshape(len(codes), -1, _PER_WORD)
-    return sum(wide[:, :, k].astype(np.uint64) << np.uint64(16 * (_PER_WORD - 1 - k)) for k in range(_PER_WORD)).T
-
-
 def _bisect(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray, right: bool) -> np.ndarray:
     """Binary search of wanted[i] in the sorted part values[low[i]:high[i]], all at once."""
     low, high = low.copy(), high.copy()
@@ -141,23 +134,66 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def occurrences(text: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(start, piece row) of every occurrence of every piece in the coded text, longer pieces first."""
+def _packed(codes: np.ndarray, per: int, bits: int) -> np.ndarray:
+    """Per place the next ``per`` codes in one letter, the first in the highest bits."""
+    out = np.zeros(len(codes) - per + 1, np.uint64)
+    for k in range(per):
+        out <<= np.uint64(bits)
+        out |= codes[k:len(out) + k]
+    return out
+
+
+def occurrences(text: np.ndarray, left: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(start, piece row) of every occurrence of every piece in the coded text, longer pieces first.
+    ``left``: the characters from each place to the end of its word; the places between words have none."""
+    found = np.bincount(text, minlength=vocabulary.codes) > 0
+    found[0] = True
+    own = (np.cumsum(found) - 1).astype(np.uint64)          # the text's own alphabet, in order; 0 ends a word
+    bits = max(1, int(own[-1]).bit_length())
+    per = min(64 // bits, vocabulary.longest)               # characters in a letter
+    levels = -(-vocabulary.longest // per)
+    kept = np.uint64((1 << per * bits) - 1) ^ np.array([(1 << bits * (per - k)) - 1 for k in range(per + 1)], np.uint64)
     n = len(text)
-    padded = np.concatenate([text, np.zeros(vocabulary.levels * _PER_WORD, np.uint16)]).astype(np.uint64)
-    four = sum(padded[k:len(padded) - _PER_WORD + 1 + k] << np.uint64(16 * (_PER_WORD - 1 - k)) for k in range(_PER_WORD))
-    letters = [four[_PER_WORD * k:_PER_WORD * k + n] for k in range(vocabulary.levels)]
-    order = np.lexsort(letters[::-1])                       # the suffix array, to the longest piece's depth
-    low, high = np.zeros(len(vocabulary.piece_ids), np.int64), np.full(len(vocabulary.piece_ids), n, np.int64)
-    for k, letter in enumerate(letters):
-        used = np.flatnonzero((vocabulary.piece_len > k * _PER_WORD) & (low < high))
+    first = _packed(np.concatenate([own[text], np.zeros(per - 1, np.uint64)]), per, bits)
+    first &= kept[np.minimum(left, per)]
+
+    def letter(k: int, places: np.ndarray) -> np.ndarray:
+        if k == 0:
+            return first[places]
+        return np.where(left[places] > k * per, first[np.minimum(places + k * per, n - 1)], np.uint64(0))
+
+    order = np.argsort(first)                               # the suffix array, to the longest piece's depth
+    ranked = first[order]
+    if levels > 1:                                          # only full letters that occur again need more
+        same = ranked[1:] == ranked[:-1]
+        tied = np.zeros(n, bool)
+        tied[1:] = same
+        tied[:-1] |= same
+        tied = np.flatnonzero(tied & (left[order] >= per))
+        places = order[tied]
+        order[tied] = places[np.lexsort([letter(k, places) for k in range(levels - 1, -1, -1)])]
+
+    rows = np.flatnonzero(found[vocabulary.piece_codes].all(axis=0))      # pieces of the text's characters
+    size = vocabulary.piece_len[rows]
+    codes = np.zeros((levels * per, len(rows)), np.uint64)
+    codes[:vocabulary.longest] = own[vocabulary.piece_codes[:, rows]]
+    low, high = np.zeros(len(rows), np.int64), np.full(len(rows), n, np.int64)
+    for k in range(levels):
+        used = np.flatnonzero((size > k * per) & (low < high))
         if not len(used):
             break
-        ranked = letter[order]
-        low[used], high[used] = (_bisect(ranked, low[used], high[used], vocabulary.low[k][used], False),
-                                 _bisect(ranked, low[used], high[used], vocabulary.high[k][used], True))
+        least = np.zeros(len(used), np.uint64)
+        for c in codes[k * per:(k + 1) * per]:
+            least = least << np.uint64(bits) | c[used]
+        most = least | (kept[per] ^ kept[np.minimum(size[used] - k * per, per)])
+        if k == 0:
+            low[used], high[used] = np.searchsorted(ranked, least), np.searchsorted(ranked, most, "right")
+        else:
+            ranked = letter(k, order)
+            low[used], high[used] = (_bisect(ranked, low[used], high[used], least, False),
+                                     _bisect(ranked, low[used], high[used], most, True))
     count = np.maximum(high - low, 0)
-    return order[_spread(low, count)], np.repeat(np.arange(len(count)), count)
+    return order[_spread(low, count)], np.repeat(rows, count)
 
 
 def _by_end(end: np.ndarray) -> np.ndarray:
@@ -174,15 +210,17 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray,
     points = np.frombuffer("\0".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
     coded = vocabulary.code[points]
     coded[starts[1:] - 1] = 0
-    start, row = occurrences(coded, vocabulary)
-    owner = np.repeat(np.arange(len(words)), sizes + 1)[:len(points)]
-    offset = np.arange(len(points)) - starts[owner]
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), sizes + 1)[:len(points)]
+    offset = (np.arange(len(points)) - starts[owner]).astype(np.int32)
+    left = sizes[owner].astype(np.int32) - offset
+    start, row = occurrences(coded, left, vocabulary)
+    size = vocabulary.piece_len[row]
     known = np.zeros(len(points), bool)                     # a piece of one character starts here
-    known[start[vocabulary.piece_len[row] == 1]] = True
-    lone = np.flatnonzero(~known & (offset < sizes[owner]))
-    size = np.concatenate([vocabulary.piece_len[row], np.ones(len(lone), np.int32)])
+    known[start[size == 1]] = True
+    lone = np.flatnonzero(~known & (left > 0))
+    start = np.concatenate([start, lone]).astype(np.int32)
+    size = np.concatenate([size, np.ones(len(lone), np.int32)])
     piece = np.concatenate([vocabulary.piece_ids[row], np.full(len(lone), vocabulary.other, np.int32)])
-    start = np.concatenate([start, lone])
     end = offset[start] + size
     order = _by_end(end)
     start, size, piece, end = start[order], size[order], piece[order], end[order]
@@ -201,17 +239,15 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray,
                 edge = edge[vocabulary.rules.adjacent(last[start[a:b][edge]], piece[a:b][edge])]
             last[goal[edge]], back[goal[edge]] = piece[a:b][edge], size[a]
 
-    at, live, found = starts + sizes, np.arange(len(words)), []
+    closes = np.zeros(len(points), bool)                    # an id of the encoding ends here
+    at, live = starts + sizes, np.arange(len(words))
     while len(live):
         at_live = at[live]
-        found.append((live, last[at_live], at_live - 1))
-        at[live] -= back[at_live]
-        live = live[at[live] > starts[live]]
-    owner = np.concatenate([f[0] for f in found])
-    ids = np.concatenate([f[1] for f in found])
-    place = np.concatenate([f[2] for f in found])
-    order = np.lexsort((place, owner))
-    owner, ids, place = owner[order], ids[order], place[order]
+        closes[at_live - 1] = True
+        at[live] = at_live = at_live - back[at_live]
+        live = live[at_live > starts[live]]
+    place = np.flatnonzero(closes)
+    owner, ids = owner[place], last[place + 1]
     counts = np.bincount(owner, minlength=len(words))
     lone = np.flatnonzero(ids >= vocabulary.size)
     if len(lone):                                           # byte pieces in place of the character
@@ -241,14 +277,22 @@ def _units(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int,
             at = end
 
 
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_WORD = re.compile(f"{MARK}+[^{MARK}]*")
+
+
+def _words(text: str) -> list[str]:
+    """The words of a marked text, each without its first mark."""
+    return text[1:].split(MARK) if MARK + MARK not in text else [w[1:] for w in _WORD.findall(text)]
 
 
 def _encode_group(units: list[tuple[int, str]], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows, ids, number of ids) per unit."""
-    number: dict[str, int] = {}
-    words = [[number.setdefault(w, len(number)) for w in _WORD.findall(text)] for _, text in units]
-    distinct = list(number)
+    words = [_words(text) for _, text in units]
+    per_unit = np.fromiter(map(len, words), np.int64, len(words))
+    number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+    uses = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(per_unit.sum()))
+    del words
+    distinct = [MARK + w for w in number]
     short = [w for w in distinct if len(w) <= LONG_WORD]
     ids, counts = encode_words(short, vocabulary) if short else (np.zeros(0, np.int32), np.zeros(0, np.int64))
     if len(short) < len(distinct):
@@ -265,8 +309,6 @@ def _encode_group(units: list[tuple[int, str]], vocabulary: Vocabulary) -> tuple
         ids, counts = np.concatenate([ids, *(p for _, p in extra)]), full
     else:
         starts = np.cumsum(counts) - counts
-    uses = np.fromiter((w for ws in words for w in ws), np.int64)
-    per_unit = np.fromiter(map(len, words), np.int64, len(words))
     out = ids[_spread(starts[uses], counts[uses])]
     unit = np.repeat(np.arange(len(units)), per_unit)
     return (np.array([r for r, _ in units]), out,
@@ -298,7 +340,7 @@ def encode_texts(texts: list[str | None], vocabulary: Vocabulary, chars: int = 5
 
 def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
     """The text of an encoding; bytes that are no UTF-8 become U+FFFD."""
-    raw = b"".join([vocabulary.value[i] for i in ids])
+    raw = b"".join(map(vocabulary.value.__getitem__, ids))
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 

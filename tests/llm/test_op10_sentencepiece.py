@@ -83,3 +83,37 @@ def test_cases(spark, frame):
     got = op.encode(frame([(None, "a", "x", 1), (2, None, None, None), (3, "", "", 0), (3, "", "", 0)], schema), PATH).collect()
     by = sorted(((r["doc_id"] or 0, r["n_tokens"], r["ids"] is None, r["round_trip"]) for r in got), key=str)
     assert by == [(0, 1, False, True), (2, 0, True, None), (3, 0, False, True), (3, 0, False, True)]
+
+
+def _coded(words, vocabulary):
+    text = np.concatenate([np.append(vocabulary.code[[ord(c) for c in w]], 0) for w in words]).astype(np.uint16)[:-1]
+    left = np.concatenate([np.arange(len(w), -1, -1) for w in words])[:-1].astype(np.int32)
+    return text, left
+
+
+@pytest.mark.parametrize("letters, length", [("a", 40), ("ab", 30), ("etaoins▁", 25), (None, 12)])
+def test_occurrences_against_search(vocabulary, letters, length):
+    """Letters of many widths: alphabets of one character up to all characters of the pieces."""
+    rng = np.random.default_rng(8)
+    letters = list(letters or sorted({c for p in vocabulary.text for c in p}) + ["\U0001F601"])
+    words = ["".join(rng.choice(letters, rng.integers(1, length))) for _ in range(300 if len(letters) < 99 else 2000)]
+    words += ["▁international" + w for w in words[:50]]
+    start, row = op.occurrences(*_coded(words, vocabulary), vocabulary)
+    assert (np.diff(vocabulary.piece_len[row]) <= 0).all()
+    names = {i: p for p, i in [*vocabulary.text.items(), *vocabulary.atom.items()]}
+    usable = {names[i]: k for k, i in enumerate(vocabulary.piece_ids.tolist())}
+    text = "\n".join(words)
+    expected = sorted((at, usable[text[at:at + n]]) for at in range(len(text)) for n in range(1, vocabulary.longest + 1)
+                      if at + n <= len(text) and text[at:at + n] in usable)
+    assert sorted(zip(start.tolist(), row.tolist())) == expected
+
+
+def test_suffixes_are_sorted_deeply_only_where_they_tie(spark, vocabulary, monkeypatch):
+    """The CPU time of a group is mostly its suffix sort: of all suffixes' letters only a part is compared."""
+    texts = [r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").limit(300).collect()]
+    words = {w for t in texts for w in (op.MARK + t.replace(" ", " " + op.MARK)).split(" ")}
+    sorted_letters, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, *a, **k: (sorted_letters.append(sum(map(len, keys))), lexsort(keys, *a, **k))[1])
+    ids, counts = op.encode_words(sorted(words), vocabulary)
+    assert len(counts) == len(words) and counts.sum() == len(ids)
+    assert sum(sorted_letters) < sum(map(len, words))
